@@ -7,6 +7,8 @@ give the same rows.  Column names and types are aligned on both sides.
 """
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finmesh.functions.coerce import (
@@ -845,3 +847,123 @@ def queries() -> dict:
 
 def oracle_sql() -> dict:
     return dict(ORACLE)
+
+
+# ================================================================== R10 on landed driver pages
+from finmesh.plans.landed import LANDING_ORDER, land_project_pages  # noqa: E402
+
+_LANDED_SQL = "landed AS (\n  SELECT l.*, o.*, c.c_name, c.c_mktsegment, n.n_name, r.r_name, p.p_name, p.p_type,\n" \
+    f"         row_number() OVER (ORDER BY {', '.join('l.' + c for c in LANDING_ORDER)}) - 1 AS rn\n" \
+    """  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+  JOIN part p ON l.l_partkey = p.p_partkey)"""
+_PROJ_SQL = """proj AS (
+  SELECT rn, 'P' || CAST(l_orderkey AS VARCHAR) AS project_id,
+         'Project ' || CAST(l_orderkey AS VARCHAR) ||
+           CASE WHEN l_linenumber = 1 THEN '' ELSE ' line ' || CAST(l_linenumber AS VARCHAR) END AS project_name,
+         n_name AS countryshortname,
+         CASE o_orderpriority WHEN '1-URGENT' THEN n_name WHEN '2-HIGH' THEN 'Other'
+              WHEN '3-MEDIUM' THEN NULL ELSE r_name END AS regionname,
+         CAST(o_totalprice AS DECIMAL(20,2)) AS totalamt,
+         CAST(o_orderdate AS DATE) AS boardapprovaldate, CAST(l_shipdate AS DATE) AS closingdate,
+         o_orderstatus AS envassesmentcategorycode, c_name, c_mktsegment, l_suppkey, l_linenumber,
+         l_returnflag, l_linestatus, p_type, p_name, l_partkey, l_discount
+  FROM landed)"""
+_SEC_SQL = f"""sec AS (
+  SELECT rn, project_id, p_type AS major_sector_code,
+         lower(p_type) || CASE WHEN l_linestatus = 'O' THEN ' (open)' ELSE '' END AS major_sector_name,
+         CAST(l_partkey AS VARCHAR) AS sector_code,
+         p_name || CASE WHEN l_linestatus = 'O' THEN ' ' ELSE '' END AS sector_name,
+         {PCT.format(c='l_discount')} AS sector_percent,
+         row_number() OVER (ORDER BY rn) AS rid
+  FROM proj WHERE l_returnflag <> 'R')"""
+
+
+_BUILT: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def _landed_tables(spark, sf_dir):
+    """The project-side tables built from landed pages, once per session and
+    landed folder (their surrogate keys are checkpointed, so reuse is cheap)."""
+    path = land_project_pages(spark, sf_dir)
+    cache = _BUILT.setdefault(spark, {})
+    if path not in cache:
+        cache[path] = normalize.build_project_tables(
+            P.project_records(P.read_pages(spark, path)), mode="unique")
+    return cache[path]
+
+
+@query("normalize_country", _with(_LANDED_SQL, _PROJ_SQL) + """
+SELECT countryshortname, regionname FROM (
+  SELECT countryshortname, NULLIF(regionname, countryshortname) AS regionname,
+         row_number() OVER (PARTITION BY countryshortname ORDER BY rn) AS k
+  FROM proj WHERE countryshortname IS NOT NULL) WHERE k = 1""")
+def q_normalize_country(spark, sf_dir):
+    """R10 country table from landed project pages."""
+    return _landed_tables(spark, sf_dir)["country"]
+
+
+@query("normalize_projects", _with(_LANDED_SQL, _PROJ_SQL) + """
+SELECT project_id, project_name, countryshortname, CAST(NULL AS DECIMAL(20,2)) AS curr_ibrd_commitment,
+       CAST(NULL AS DECIMAL(20,2)) AS idacommamt, totalamt, CAST(0 AS DECIMAL(20,2)) AS grantamt,
+       CAST(NULL AS DECIMAL(20,2)) AS lendprojectcost, boardapprovaldate, closingdate,
+       envassesmentcategorycode
+FROM (SELECT *, row_number() OVER (PARTITION BY project_id ORDER BY rn) AS k FROM proj) WHERE k = 1""")
+def q_normalize_projects(spark, sf_dir):
+    """R10 projects table: first record per project, coerced money and dates."""
+    return _landed_tables(spark, sf_dir)["projects"]
+
+
+@query("normalize_major_sector_lookup", _with(_LANDED_SQL, _PROJ_SQL, _SEC_SQL) + """
+SELECT major_sector_code, major_sector_name FROM (
+  SELECT *, row_number() OVER (PARTITION BY major_sector_code ORDER BY rid) AS k FROM sec) WHERE k = 1""")
+def q_normalize_major_sector_lookup(spark, sf_dir):
+    """R10 major sector lookup: first name per code."""
+    return _landed_tables(spark, sf_dir)["major_sector_lookup"]
+
+
+@query("normalize_proj_sector_lookup", _with(_LANDED_SQL, _PROJ_SQL, _SEC_SQL) + """
+SELECT sector_code, sector_name FROM (
+  SELECT *, row_number() OVER (PARTITION BY sector_code ORDER BY rid) AS k FROM sec) WHERE k = 1""")
+def q_normalize_proj_sector_lookup(spark, sf_dir):
+    """R10 sector lookup: first name per code, names not stripped."""
+    return _landed_tables(spark, sf_dir)["proj_sector_lookup"]
+
+
+@query("normalize_project_major_sectors", _with(_LANDED_SQL, _PROJ_SQL, _SEC_SQL) + """
+SELECT rid AS project_major_sector_id, project_id, major_sector_code FROM sec""")
+def q_normalize_project_major_sectors(spark, sf_dir):
+    """R10 project x major sector bridge with surrogate ids (G1, K1)."""
+    return _landed_tables(spark, sf_dir)["project_major_sectors"]
+
+
+@query("normalize_project_sectors", _with(_LANDED_SQL, _PROJ_SQL, _SEC_SQL) + """
+, par AS (SELECT project_id, major_sector_code, min(rid) AS pid FROM sec GROUP BY 1, 2)
+SELECT s.rid AS project_sector_id, s.project_id, par.pid AS project_major_sector_id, s.sector_code,
+       s.sector_percent
+FROM sec s JOIN par ON s.project_id = par.project_id AND s.major_sector_code = par.major_sector_code""")
+def q_normalize_project_sectors(spark, sf_dir):
+    """R10 sector bridge: parent surrogate key resolved (G2, J5 unique, K1)."""
+    return _landed_tables(spark, sf_dir)["project_sectors"]
+
+
+@query("normalize_borrower", _with(_LANDED_SQL, _PROJ_SQL) + """
+SELECT row_number() OVER (ORDER BY rn, k) AS borrower_id, borrower_name, project_id FROM (
+  SELECT rn, 0 AS k, c_name AS borrower_name, project_id FROM proj WHERE c_name IS NOT NULL AND c_mktsegment IS NOT NULL
+  UNION ALL
+  SELECT rn, 1, c_mktsegment, project_id FROM proj WHERE c_name IS NOT NULL AND c_mktsegment IS NOT NULL)""")
+def q_normalize_borrower(spark, sf_dir):
+    """R10 borrower list: plain comma split."""
+    return _landed_tables(spark, sf_dir)["borrower"]
+
+
+@query("normalize_impagency", _with(_LANDED_SQL, _PROJ_SQL) + """
+SELECT row_number() OVER (ORDER BY rn, k) AS impagency_id, impagency_name, project_id FROM (
+  SELECT rn, 0 AS k, 'Agency ' || CAST(l_suppkey AS VARCHAR) AS impagency_name, project_id FROM proj
+  UNION ALL
+  SELECT rn, 1, 'Unit ' || CAST(l_linenumber AS VARCHAR), project_id FROM proj)""")
+def q_normalize_impagency(spark, sf_dir):
+    """R10 implementing agencies: a name with a comma is cut in two (F1)."""
+    return _landed_tables(spark, sf_dir)["impagency"]

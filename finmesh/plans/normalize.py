@@ -102,14 +102,16 @@ def sector_rows(flat: DataFrame) -> DataFrame:
 def build_major_sector_lookup(ms_rows: DataFrame) -> DataFrame:
     """First name seen per code."""
     r = ms_rows.filter(F.col("major_sector_code").isNotNull())
-    return keep_first(r.select(*ORDER, "ms_pos", "major_sector_code", "major_sector_name"),
-                      ["major_sector_code"], [*ORDER, "ms_pos"])
+    first = keep_first(r.select(*ORDER, "ms_pos", "major_sector_code", "major_sector_name"),
+                       ["major_sector_code"], [*ORDER, "ms_pos"])
+    return first.select("major_sector_code", "major_sector_name")
 
 
 def build_proj_sector_lookup(s_rows: DataFrame) -> DataFrame:
     r = s_rows.filter(F.col("sector_code").isNotNull())
-    return keep_first(r.select(*ORDER, "ms_pos", "s_pos", "sector_code", "sector_name"),
-                      ["sector_code"], [*ORDER, "ms_pos", "s_pos"])
+    first = keep_first(r.select(*ORDER, "ms_pos", "s_pos", "sector_code", "sector_name"),
+                       ["sector_code"], [*ORDER, "ms_pos", "s_pos"])
+    return first.select("sector_code", "sector_name")
 
 
 def build_project_major_sectors(ms_rows: DataFrame) -> DataFrame:
