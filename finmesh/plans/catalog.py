@@ -967,3 +967,103 @@ SELECT row_number() OVER (ORDER BY rn, k) AS impagency_id, impagency_name, proje
 def q_normalize_impagency(spark, sf_dir):
     """R10 implementing agencies: a name with a comma is cut in two (F1)."""
     return _landed_tables(spark, sf_dir)["impagency"]
+
+
+# ------------------------------------------------------------------ document side of R10
+from finmesh.plans.landed import land_documents_table  # noqa: E402
+
+
+def _landed_document_tables(spark, sf_dir):
+    proj = _landed_tables(spark, sf_dir)
+    path = land_documents_table(spark, sf_dir)
+    cache = _BUILT.setdefault(spark, {})
+    if path not in cache:
+        recs = P.document_records(P.read_pages(spark, path))
+        cache[path] = normalize.build_document_tables(recs, proj["projects"], proj["country"])
+    return cache[path]
+
+
+_DOCS_SQL = _with(_LANDED_SQL) + """
+, dl AS (SELECT doc_id, text, lang, source, n_chars,
+                CASE lang WHEN 'de' THEN '' WHEN 'es' THEN NULL ELSE 'P' || CAST(doc_id AS VARCHAR) END AS projectid
+         FROM documents)
+, kept AS (SELECT * FROM dl WHERE projectid IS NOT NULL AND projectid <> '')
+, ins AS (SELECT * FROM kept WHERE projectid IN (SELECT DISTINCT 'P' || CAST(l_orderkey AS VARCHAR) FROM landed))
+"""
+
+
+def _pieces_sql(src: str, expr: str, lower: bool = False) -> str:
+    """Comma-not-space split of ``expr`` per document of ``src`` with positions, stripped, empties dropped."""
+    item = _strip_sql("replace(piece, chr(57344), ', ')")
+    if lower:
+        item = f"lower({item})"
+    return f"""(SELECT doc_id, ord, item FROM (
+      SELECT doc_id, ord, {item} AS item FROM (
+        SELECT doc_id, unnest(arr) AS piece, generate_subscripts(arr, 1) AS ord FROM (
+          SELECT doc_id, string_split(replace({expr}, ', ', chr(57344)), ',') AS arr FROM {src})))
+    WHERE length(item) > 0)"""
+
+
+_SUBSC = "source || ',' || upper(lang) || ',' || lang"
+_COUNT = "'NATION_' || CAST(doc_id % 25 AS VARCHAR) || ',nation_' || CAST(doc_id % 7 AS VARCHAR) || ',Atlantis'"
+
+
+@query("normalize_documents", _DOCS_SQL + """
+SELECT CAST(doc_id AS INTEGER) AS document_id, 'Document ' || CAST(doc_id AS VARCHAR) AS document_name,
+       source AS document_type, source AS author, lang, CAST(n_chars AS INTEGER) AS volnb,
+       projectid AS project_id
+FROM ins""")
+def q_normalize_documents(spark, sf_dir):
+    """R10 documents from landed pages: truthy project id (P3), nested first
+    values (F6), number coercion (F7, F9), known projects only (J6)."""
+    d = _landed_document_tables(spark, sf_dir)["documents"]
+    return d.select("document_id", "document_name", "document_type", "author", "lang", "volnb", "project_id")
+
+
+@query("normalize_doc_theme", _DOCS_SQL + f"""
+SELECT row_number() OVER (ORDER BY doc_id, ord) AS doc_theme_id, item AS theme_name,
+       CAST(doc_id AS INTEGER) AS document_id FROM {_pieces_sql('ins', 'text')}""")
+def q_normalize_doc_theme(spark, sf_dir):
+    """R10 themes of whole texts."""
+    return _landed_document_tables(spark, sf_dir)["doc_theme"]
+
+
+@query("normalize_doc_theme_lookup", _DOCS_SQL + f"""
+SELECT DISTINCT item AS theme_name FROM {_pieces_sql('ins', 'text')}""")
+def q_normalize_doc_theme_lookup(spark, sf_dir):
+    return _landed_document_tables(spark, sf_dir)["doc_theme_lookup"]
+
+
+@query("normalize_doc_sub_sector_lookup", _DOCS_SQL + f"""
+SELECT DISTINCT item AS sub_sector_name FROM {_pieces_sql('kept', _SUBSC, lower=True)}""")
+def q_normalize_doc_sub_sector_lookup(spark, sf_dir):
+    """R10 sub-sector lookup: lower-cased, over all kept documents (not only inserted)."""
+    return _landed_document_tables(spark, sf_dir)["doc_sub_sector_lookup"]
+
+
+@query("normalize_doc_sub_sector", _DOCS_SQL + f"""
+SELECT row_number() OVER (ORDER BY doc_id, ord) AS doc_sub_sector_id, item AS sub_sector_name,
+       CAST(doc_id AS INTEGER) AS document_id FROM {_pieces_sql('ins', _SUBSC, lower=True)}""")
+def q_normalize_doc_sub_sector(spark, sf_dir):
+    return _landed_document_tables(spark, sf_dir)["doc_sub_sector"]
+
+
+@query("normalize_doc_sector", _DOCS_SQL + f"""
+SELECT row_number() OVER (ORDER BY doc_id, pos) AS doc_sector_id, sector_name,
+       CAST(doc_id AS INTEGER) AS document_id FROM (
+  SELECT doc_id, 0 AS pos, {_strip_sql('source')} AS sector_name FROM ins
+  UNION ALL SELECT doc_id, 1, {_strip_sql("' ' || lang || ' '")} FROM ins)
+WHERE length(sector_name) > 0""")
+def q_normalize_doc_sector(spark, sf_dir):
+    """R10 document sectors from the ``sectr`` map."""
+    return _landed_document_tables(spark, sf_dir)["doc_sector"]
+
+
+@query("normalize_doc_country", _DOCS_SQL + f"""
+, known AS (SELECT DISTINCT n_name FROM landed WHERE n_name IS NOT NULL)
+SELECT row_number() OVER (ORDER BY doc_id, ord) AS doc_country_id, item AS countryshortname,
+       CAST(doc_id AS INTEGER) AS document_id
+FROM {_pieces_sql('ins', _COUNT)} x WHERE item IN (SELECT n_name FROM known)""")
+def q_normalize_doc_country(spark, sf_dir):
+    """R10 document countries: exact match against the country table."""
+    return _landed_document_tables(spark, sf_dir)["doc_country"]

@@ -99,3 +99,70 @@ def land_project_pages(spark: SparkSession, sf_dir: str, page_size: int = 1000)
     pages.select(line.alias("value")).write.mode("overwrite").text(path)
     cache[key] = path
     return path
+
+
+def write_document_pages(spark: SparkSession, rows: DataFrame, year_col: str, page_size: int,
+                         name: str) -> str:
+    """Write document API pages from ``rn, <year_col>, key, rec`` rows (``rec`` a
+    struct; null fields are left out of the JSON).  Pages of at most
+    ``page_size`` records in ``rn`` order, each with the year's ``total`` and
+    the ``facets: {}`` pseudo-record."""
+    rows = rows.withColumn("offset", (F.floor(F.col("rn") / page_size) * page_size).cast("int"))
+    totals = rows.groupBy(year_col).agg(F.count(F.lit(1)).cast("string").alias("total"))
+    entry = F.struct(F.col("rn"), F.col("key"), F.col("rec").alias("value"))
+    # A page holds at most ``page_size`` records: the group is bounded by construction.
+    by_rn = lambda a, b: F.when(a["rn"] < b["rn"], -1).when(a["rn"] > b["rn"], 1).otherwise(0)
+    pages = rows.groupBy(year_col, "offset").agg(F.array_sort(F.collect_list(entry), by_rn).alias("entries"))
+    facets = F.struct(F.lit("facets").alias("key"),
+                      F.lit(None).cast(rows.schema["rec"].dataType).alias("value"))
+    docs = F.map_from_entries(F.concat(
+        F.transform("entries", lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))),
+        F.array(facets)))
+    body = F.struct(F.col("total"), docs.alias("documents"))
+    lines = pages.join(F.broadcast(totals), year_col).select(F.to_json(F.struct(
+        F.lit("documents").alias("source"), F.col(year_col).alias("year"), "offset",
+        body.alias("body"))).alias("value"))
+    path = scratch_path(spark, name)
+    lines.write.mode("overwrite").text(path)
+    return path
+
+
+def document_record(d: DataFrame) -> DataFrame:
+    """The driver ``documents`` table as document records: the whole text is
+    the theme list, sub-sectors differ only by case, a sector map, countries
+    known / case-variant / unknown, and planted falsy project ids."""
+    lang = F.col("lang")
+    projectid = (F.when(lang == "de", F.lit("")).when(lang == "es", F.lit(None).cast("string"))
+                  .otherwise(F.concat(F.lit("P"), F.col("doc_id").cast("string"))))
+    rec = F.struct(
+        F.col("doc_id").cast("string").alias("id"),
+        projectid.alias("projectid"),
+        F.col("source").alias("docty"),
+        F.col("lang").alias("lang"),
+        F.create_map(F.lit("0"), F.create_map(F.lit("docna"), F.concat(
+            F.lit("Document "), F.col("doc_id").cast("string")))).alias("docna"),
+        F.create_map(F.lit("0"), F.create_map(F.lit("author"), F.col("source"))).alias("authors"),
+        F.col("n_chars").cast("string").alias("volnb"),
+        F.col("text").alias("theme"),
+        F.concat_ws(",", F.col("source"), F.upper("lang"), F.col("lang")).alias("subsc"),
+        F.create_map(F.lit("0"), F.create_map(F.lit("sector"), F.col("source")),
+                     F.lit("1"), F.create_map(F.lit("sector"), F.concat(F.lit(" "), lang, F.lit(" ")))
+                     ).alias("sectr"),
+        F.concat(F.lit("NATION_"), F.pmod(F.col("doc_id"), F.lit(25)).cast("string"), F.lit(",nation_"),
+                 F.pmod(F.col("doc_id"), F.lit(7)).cast("string"), F.lit(",Atlantis")).alias("count"))
+    return d.select("rn", F.lit(2020).alias("year"),
+                    F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("key"), rec.alias("rec"))
+
+
+def land_documents_table(spark: SparkSession, sf_dir: str, page_size: int = 100) -> str:
+    """Write the whole ``documents`` table as document pages; return the folder."""
+    cache = _LANDED.setdefault(spark, {})
+    key = ("documents", sf_dir, page_size)
+    if key in cache:
+        return cache[key]
+    t = DriverTables(spark, sf_dir)
+    d = with_surrogate_key(t("documents", "doc_id", "text", "lang", "source", "n_chars"),
+                           ["doc_id"], "rn", start=0)
+    path = write_document_pages(spark, document_record(d), "year", page_size, "documents-table-pages")
+    cache[key] = path
+    return path
