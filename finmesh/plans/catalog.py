@@ -1067,3 +1067,19 @@ FROM {_pieces_sql('ins', _COUNT)} x WHERE item IN (SELECT n_name FROM known)""")
 def q_normalize_doc_country(spark, sf_dir):
     """R10 document countries: exact match against the country table."""
     return _landed_document_tables(spark, sf_dir)["doc_country"]
+
+
+# ------------------------------------------------------------------ incremental ingest
+from finmesh.streaming import landing as stream_landing  # noqa: E402
+
+
+@query("stream_ingest_pages", _with(_LANDED_SQL) + """
+SELECT CAST(floor(rn / 1000) * 1000 AS INTEGER) AS page_offset, CAST(rn % 1000 AS INTEGER) AS pos,
+       'P' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(rn AS VARCHAR) AS record_key
+FROM landed""")
+def q_stream_ingest_pages(spark, sf_dir):
+    """S1/U1 as a stream: every landed project page ingested exactly once into bronze."""
+    path = land_project_pages(spark, sf_dir)
+    bronze = scratch_path(spark, "bronze")
+    stream_landing.ingest_pages(spark, path, bronze)
+    return stream_landing.read_bronze(spark, bronze, "projects").select("page_offset", "pos", "record_key")
