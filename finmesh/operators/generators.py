@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from finmesh.functions.nested import json_field
 from finmesh.functions.text import (
@@ -39,14 +39,21 @@ def explode_delimited(df: DataFrame, col, out: str, rule: str = "comma_nospace",
 
 def parse_major_sectors(raw) -> Column:
     """The ``major_sectors`` list, or null unless the raw value is a JSON list
-    (P13: a string or an object is not used)."""
+    (P13: a string or an object is not used).  A column that is already
+    parsed passes through."""
     raw = _col(raw)
     return F.when(F.ltrim(raw).startswith("["), F.from_json(raw, MAJOR_SECTORS))
 
 
+def _sector_list(df: DataFrame, raw) -> Column:
+    if isinstance(raw, str) and dict(df.dtypes).get(raw, "string") != "string":
+        return F.col(raw)
+    return parse_major_sectors(raw)
+
+
 def explode_major_sectors(df: DataFrame, raw, keep: Sequence[str] = ()) -> DataFrame:
     """Project x major sector (G1): ``ms_pos, major_sector_code, major_sector_name``."""
-    x = df.select(*keep, F.posexplode(parse_major_sectors(raw)).alias("ms_pos", "__ms"))
+    x = df.select(*keep, F.posexplode(_sector_list(df, raw)).alias("ms_pos", "__ms"))
     x = x.filter(F.col("__ms.major_sector").isNotNull())
     return x.select(*keep, "ms_pos",
                     F.col("__ms.major_sector.major_sector_code").alias("major_sector_code"),
@@ -56,7 +63,7 @@ def explode_major_sectors(df: DataFrame, raw, keep: Sequence[str] = ()) -> DataF
 def explode_sectors(df: DataFrame, raw, keep: Sequence[str] = ()) -> DataFrame:
     """Project x sector, parent code carried down (G2); a major sector without
     ``sectors`` yields nothing (F10).  Sector names are kept as given."""
-    x = df.select(*keep, F.posexplode(parse_major_sectors(raw)).alias("ms_pos", "__ms"))
+    x = df.select(*keep, F.posexplode(_sector_list(df, raw)).alias("ms_pos", "__ms"))
     x = x.filter(F.col("__ms.major_sector").isNotNull())
     y = x.select(*keep, "ms_pos",
                  F.col("__ms.major_sector.major_sector_code").alias("major_sector_code"),
@@ -79,16 +86,17 @@ def explode_map_field(df: DataFrame, raw, field: str, out: str,
     return x.filter(F.length(out) > 0)
 
 
-def explode_keyed_records(df: DataFrame, body, field: str, keep: Sequence[str] = (),
-                          extra_schema: str | None = None) -> DataFrame:
-    """``{field: {key: record, ...}}`` into ``pos, record_key, record`` rows
-    (G5); the record stays raw JSON text, in page order."""
-    schema = f"{field} map<string,string>" + (f", {extra_schema}" if extra_schema else "")
+def explode_keyed_records(df: DataFrame, body, field: str, value_type=None,
+                          keep: Sequence[str] = (), extra: Sequence[tuple] = ()) -> DataFrame:
+    """``{field: {key: record, ...}, <extra>}`` into ``pos, record_key, record``
+    rows (G5), in page order.  ``value_type`` is the record type (a struct of
+    strings parses every record in the same pass as the page; default: raw
+    JSON text); ``extra`` are ``(name, type)`` top-level fields kept beside."""
+    value_type = value_type or T.StringType()
+    schema = T.StructType([T.StructField(field, T.MapType(T.StringType(), value_type))]
+                          + [T.StructField(n, t) for n, t in extra])
     parsed = df.select(*keep, F.from_json(_col(body), schema).alias("__b"))
-    extra = []
-    if extra_schema:
-        extra = [F.col(f"__b.{f.strip().split(' ')[0]}") for f in extra_schema.split(",")]
-    x = parsed.select(*keep, *extra,
+    x = parsed.select(*keep, *[F.col(f"__b.{n}").alias(n) for n, _ in extra],
                       F.posexplode(F.map_entries(F.col(f"__b.{field}"))).alias("pos", "__e"))
-    return x.select(*keep, *[c for c in x.columns if c not in keep and c not in ("pos", "__e")],
-                    "pos", F.col("__e.key").alias("record_key"), F.col("__e.value").alias("record"))
+    return x.select(*keep, *[n for n, _ in extra], "pos",
+                    F.col("__e.key").alias("record_key"), F.col("__e.value").alias("record"))

@@ -12,9 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from finmesh.session import checkpoint_dir
+from finmesh.session import checkpoint_dir, scratch_path
 
 _PID, _LOCAL, _OFFSET = "__pid", "__local", "__offset"
 
@@ -24,22 +25,32 @@ def _cols(cs) -> list[Column]:
 
 
 def with_surrogate_key(df: DataFrame, order: Sequence, name: str, start: int = 1,
-                       num_partitions: int | None = None) -> DataFrame:
+                       num_partitions: int | None = None, persist_input: bool = False) -> DataFrame:
     """Append ``name`` = dense row number (from ``start``) in ``order``.
 
     Equal to ``row_number() OVER (ORDER BY order) + start - 1`` whenever the
     order is total; ties get consecutive numbers in an unspecified order.
+    ``persist_input`` keeps the input for the range-bounds sample and the
+    shuffle that follows it: one evaluation of an expensive input (a join)
+    instead of two; not worth it for a cheap input (a scan or an explode).
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = _cols(order)
-    numbered = (df.repartitionByRange(n, *order_cols)
-                  .sortWithinPartitions(*order_cols)
-                  .withColumn(_PID, F.spark_partition_id())
-                  .withColumn(_LOCAL, F.monotonically_increasing_id()
-                              - F.shiftleft(F.col(_PID).cast("long"), 33)))
-    numbered = numbered.checkpoint(eager=True)
+    source = df.persist(StorageLevel.MEMORY_AND_DISK) if persist_input else df
+    numbered = (source.repartitionByRange(n, *order_cols)
+                      .sortWithinPartitions(*order_cols)
+                      .withColumn(_PID, F.spark_partition_id())
+                      .withColumn(_LOCAL, F.monotonically_increasing_id()
+                                  - F.shiftleft(F.col(_PID).cast("long"), 33)))
+    # Cut lineage with a table written to the shared checkpoint folder (columnar,
+    # compressed); numbering is then fixed even if an executor is lost later.
+    path = scratch_path(spark, "surrogate-key")
+    numbered.write.mode("overwrite").parquet(path)
+    if persist_input:
+        source.unpersist()
+    numbered = spark.read.parquet(path)
     counts = numbered.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         _PID,

@@ -83,7 +83,8 @@ def land_project_pages(spark: SparkSession, sf_dir: str, page_size: int = 1000)
     if key in cache:
         return cache[key]
     t = DriverTables(spark, sf_dir)
-    numbered = with_surrogate_key(project_landing_rows(t), LANDING_ORDER, "rn", start=0)
+    numbered = with_surrogate_key(project_landing_rows(t), LANDING_ORDER, "rn", start=0,
+                                  persist_input=True)
     recs = _project_record(numbered)
     entry = F.struct(F.col("rn"), F.concat(
         F.lit('"P'), F.col("__ok").cast("string"), F.lit("-"), F.col("rn").cast("string"), F.lit('":'),

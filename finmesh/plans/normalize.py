@@ -27,11 +27,13 @@ from finmesh.functions.text import strip_ws
 from finmesh.operators.dedup import keep_first, last_write_wins
 from finmesh.operators.generators import (
     explode_delimited, explode_major_sectors, explode_map_field, explode_sectors,
+    parse_major_sectors,
 )
 from finmesh.operators.joins import keep_known
 from finmesh.operators.keys import resolve_parent_key, with_surrogate_key
 from finmesh.schemas import (
-    DOCUMENT_DATE_COLUMNS, DOCUMENT_FIELD_MAP, MONEY_FIELDS, PROJECT_DATE_FIELDS, PROJECT_FIELDS,
+    DOCUMENT_DATE_COLUMNS, DOCUMENT_FIELD_MAP, DOCUMENT_RECORD, MONEY_FIELDS, PROJECT_DATE_FIELDS,
+    PROJECT_FIELDS, PROJECT_RECORD,
 )
 from finmesh.sources.pages import ORDER
 
@@ -40,14 +42,24 @@ _PROJECT_EXTRA = ["regionname", "major_sectors", "borrower", "impagency"]
 
 
 def _field(m: str, name: str):
-    return F.try_element_at(F.col(m), F.lit(name))
+    return F.col(f"{m}.{name}")
+
+
+def as_records(records: DataFrame, schema) -> DataFrame:
+    """Accept record frames whose ``record`` is raw JSON text (parsed here) or
+    already a struct (parsed with its page)."""
+    if dict(records.dtypes)["record"] == "string":
+        return records.withColumn("record", F.from_json("record", schema))
+    return records
 
 
 # ------------------------------------------------------------------ projects
 def flatten_projects(records: DataFrame) -> DataFrame:
     """Record frame -> one row per landed project record, raw string fields."""
-    m = records.select(*ORDER, F.from_json("record", _MAP).alias("__m"))
-    return m.select(*ORDER, *[_field("__m", f).alias(f) for f in PROJECT_FIELDS + _PROJECT_EXTRA])
+    m = as_records(records, PROJECT_RECORD)
+    flat = m.select(*ORDER, *[_field("record", f).alias(f) for f in PROJECT_FIELDS + _PROJECT_EXTRA])
+    # parse the nested sector list once (null unless it is a JSON list)
+    return flat.withColumn("major_sectors", parse_major_sectors("major_sectors"))
 
 
 def build_country(flat: DataFrame) -> DataFrame:
@@ -156,19 +168,18 @@ def build_project_tables(records: DataFrame, mode: str = "unique") -> dict[str,
 def kept_documents(records: DataFrame) -> DataFrame:
     """Records with a truthy ``projectid`` (P3), newest value per record key
     (A7) at the key's first-seen position: ``first_seen, record_key, record``."""
-    m = records.select(*ORDER, "record_key", "record",
-                       F.from_json("record", _MAP).alias("__m"))
-    m = m.filter(truthy(_field("__m", "projectid"))).drop("__m")
+    m = as_records(records, DOCUMENT_RECORD).select(*ORDER, "record_key", "record")
+    m = m.filter(truthy(_field("record", "projectid")))
     return last_write_wins(m, ["record_key"], ORDER, first_seen_as="first_seen").select(
         "first_seen", "record_key", "record")
 
 
 def flatten_documents(kept: DataFrame) -> DataFrame:
     """25 documented columns, uncleaned (the bronze layer, S5)."""
-    m = kept.select("first_seen", F.from_json("record", _MAP).alias("__m"))
+    m = kept.select("first_seen", "record")
     cols = []
     for field, name, nested in DOCUMENT_FIELD_MAP:
-        raw = _field("__m", field)
+        raw = _field("record", field)
         cols.append((first_nested_value(raw) if nested else raw).alias(name))
     return m.select("first_seen", *cols)
 
@@ -192,10 +203,9 @@ def build_documents(flat_docs: DataFrame, projects: DataFrame) -> DataFrame:
 def _doc_children(kept: DataFrame) -> dict[str, DataFrame]:
     """Child rows of *all* kept records with a truthy id (P4):
     ``first_seen, raw_id, entry_pos, <name>``."""
-    m = kept.select("first_seen", F.from_json("record", _MAP).alias("__m"))
-    m = m.select("first_seen", _field("__m", "id").alias("raw_id"),
-                 _field("__m", "sectr").alias("sectr"), _field("__m", "theme").alias("theme"),
-                 _field("__m", "subsc").alias("subsc"), _field("__m", "count").alias("count"))
+    m = kept.select("first_seen", _field("record", "id").alias("raw_id"),
+                    _field("record", "sectr").alias("sectr"), _field("record", "theme").alias("theme"),
+                    _field("record", "subsc").alias("subsc"), _field("record", "count").alias("count"))
     m = m.filter(truthy("raw_id"))
     keep = ["first_seen", "raw_id"]
     return {

@@ -14,10 +14,6 @@ PAGE_ENVELOPE = T.StructType([
     T.StructField("body", T.StringType()),     # raw API response object
 ])
 
-# Project API body: records keyed by id.
-PROJECT_BODY = "projects map<string,string>"
-# Document API body: records keyed by 'D<id>' plus a total for the year.
-DOCUMENT_BODY = "total string, documents map<string,string>"
 
 # Nested sector payload of a project record (guarded: only parsed when the
 # raw value is a JSON list).
@@ -158,3 +154,14 @@ SECTOR_MART = T.StructType([
     T.StructField("sector_percent", T.DecimalType(5, 2)),
     T.StructField("allocated_amount", T.DecimalType(30, 8)),
 ])
+
+
+def _strings(names) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+# Records parsed once, every field as a string: any JSON value fits a string
+# field (objects and lists keep their raw JSON text), so a mistyped field never
+# nulls its siblings.  Unknown fields are ignored.
+PROJECT_RECORD = _strings(PROJECT_FIELDS + ["regionname", "major_sectors", "borrower", "impagency"])
+DOCUMENT_RECORD = _strings([f for f, _, _ in DOCUMENT_FIELD_MAP] + ["sectr", "theme", "subsc", "count"])

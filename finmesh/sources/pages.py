@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from finmesh.operators.generators import explode_keyed_records
-from finmesh.schemas import PAGE_ENVELOPE
+from finmesh.schemas import DOCUMENT_RECORD, PAGE_ENVELOPE, PROJECT_RECORD
 
 # Record frame: ordering columns + key + raw record text.
 ORDER = ["page_year", "page_offset", "pos"]
@@ -32,7 +32,7 @@ RAW_DUMP = T.StructType([
     T.StructField("year", T.IntegerType()),
     T.StructField("offset", T.IntegerType()),
     T.StructField("pos", T.IntegerType()),
-    T.StructField("record", T.StringType()),
+    T.StructField("record", DOCUMENT_RECORD),
 ])
 
 
@@ -41,21 +41,22 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGE_ENVELOPE).json(path)
 
 
-def _records(pages: DataFrame, source: str, field: str, extra: str | None = None) -> DataFrame:
+def _records(pages: DataFrame, source: str, field: str, value_type, extra=()) -> DataFrame:
     p = pages.filter(F.col("source") == F.lit(source)).select(
         F.col("year").alias("page_year"), F.col("offset").alias("page_offset"), "body")
-    return explode_keyed_records(p, "body", field, keep=["page_year", "page_offset"],
-                                 extra_schema=extra)
+    return explode_keyed_records(p, "body", field, value_type,
+                                 keep=["page_year", "page_offset"], extra=extra)
 
 
 def project_records(pages: DataFrame) -> DataFrame:
-    """``page_year, page_offset, pos, record_key, record`` for project pages."""
-    return _records(pages, "projects", "projects")
+    """``page_year, page_offset, pos, record_key, record`` for project pages (S1);
+    ``record`` is a struct of strings parsed with the page."""
+    return _records(pages, "projects", "projects", PROJECT_RECORD)
 
 
 def document_records(pages: DataFrame) -> DataFrame:
     """Same for document pages, plus the year's ``total``."""
-    r = _records(pages, "documents", "documents", extra="total string")
+    r = _records(pages, "documents", "documents", DOCUMENT_RECORD, extra=[("total", T.StringType())])
     return r.select("page_year", "page_offset", "pos", "record_key", "record",
                     F.col("total").try_cast("long").alias("total"))
 

@@ -23,7 +23,7 @@ def write_raw_dump(records: DataFrame, path: str) -> None:
     """Kept records as JSON lines, before any cleaning."""
     out = records.select(
         "record_key", F.col("page_year").alias("year"), F.col("page_offset").alias("offset"),
-        "pos", F.parse_json("record").alias("record"))
+        "pos", "record")
     out.write.mode("overwrite").json(path)
 
 

@@ -21,12 +21,13 @@ RECORD_COLUMNS = ["source", "page_year", "page_offset", "pos", "record_key", "re
 
 
 def page_records(pages: DataFrame) -> DataFrame:
-    """Records of both page kinds in one frame (works on batch and streaming frames)."""
+    """Records of both page kinds in one frame (works on batch and streaming
+    frames); records are kept as JSON text, which the builders accept."""
     p = project_records(pages).select(F.lit("projects").alias("source"), "page_year", "page_offset",
-                                      "pos", "record_key", "record",
+                                      "pos", "record_key", F.to_json("record").alias("record"),
                                       F.lit(None).cast("long").alias("total"))
     d = document_records(pages).select(F.lit("documents").alias("source"), "page_year", "page_offset",
-                                       "pos", "record_key", "record", "total")
+                                       "pos", "record_key", F.to_json("record").alias("record"), "total")
     return p.unionByName(d)
 
 

@@ -124,7 +124,7 @@ def test_case_variants_of_sub_sectors(spark, tmp_path):
     from finmesh.operators.generators import explode_delimited
     path = write_pages(str(tmp_path / "pages.jsonl"))
     kept = normalize.kept_documents(P.document_records(P.read_pages(spark, path)))
-    flat = kept.selectExpr("get_json_object(record, '$.subsc') AS subsc")
+    flat = kept.select("record.subsc")
     pieces = explode_delimited(flat, "subsc", "name")
     got = [(r.name_key, r.n_variants, r.n_rows) for r in audit.case_variant_audit(pieces, "name").collect()]
     assert got == [("other industry", 2, 2)]
