@@ -111,3 +111,10 @@ def region_checks(country: DataFrame, country_col: str = "countryshortname",
     return country.agg(
         F.count_if(r.isNull()).alias("null_regions"),
         F.count_if((r == F.lit(placeholder)) & (c != F.lit(placeholder))).alias("residual_placeholder"))
+
+
+def per_key_limit_audit(df: DataFrame, key: str, limit: int, count_name: str = "n") -> DataFrame:
+    """Keys with more than ``limit`` rows (S14: a project with more documents
+    than one fetch returns), counted with map-side partial aggregation."""
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
+    return counted.filter(F.col(count_name) > F.lit(limit))

@@ -1083,3 +1083,35 @@ def q_stream_ingest_pages(spark, sf_dir):
     bronze = scratch_path(spark, "bronze")
     stream_landing.ingest_pages(spark, path, bronze)
     return stream_landing.read_bronze(spark, bronze, "projects").select("page_offset", "pos", "record_key")
+
+
+# ------------------------------------------------------------------ co-located joins
+@query("bucketed_sector_percent", _with(CTE_PROJECTS, CTE_PS_LEAN, CTE_PSL) + """
+SELECT p.project_id, sl.sector_name, ps.sector_percent
+FROM projects_m p JOIN psl_lean ps ON ps.project_id = p.project_id
+JOIN sl_m sl ON sl.sector_code = ps.sector_code""")
+def q_bucketed_sector_percent(spark, sf_dir):
+    """R2 over projects and the sector bridge stored bucketed by project id:
+    the project join runs without an exchange on either side."""
+    t = DriverTables(spark, sf_dir)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tag = scratch_path(spark, "bucketed").rsplit("-", 1)[-1]
+    p = sinks.save_bucketed(S.projects(t), f"projects_b_{tag}", ["project_id"], n,
+                            scratch_path(spark, "projects-bucketed"))
+    ps = sinks.save_bucketed(S.project_sectors_lean(t), f"project_sectors_b_{tag}", ["project_id"], n,
+                             scratch_path(spark, "project-sectors-bucketed"))
+    return marts.project_sector_percent(p, ps, S.proj_sector_lookup(t))
+
+
+# Fixed value: documents returned by one per-project fetch.
+DOCUMENTS_PER_FETCH = 50
+
+
+@query("document_limit_audit", f"""
+SELECT user_id, count(*) AS n_documents FROM events GROUP BY user_id
+HAVING count(*) > {DOCUMENTS_PER_FETCH}""")
+def q_document_limit_audit(spark, sf_dir):
+    """Owners with more documents than one fetch returns (events per user
+    stand in for documents per project)."""
+    e = DriverTables(spark, sf_dir)("events", "user_id")
+    return audit.per_key_limit_audit(e, "user_id", DOCUMENTS_PER_FETCH, "n_documents")

@@ -128,3 +128,20 @@ def test_case_variants_of_sub_sectors(spark, tmp_path):
     pieces = explode_delimited(flat, "subsc", "name")
     got = [(r.name_key, r.n_variants, r.n_rows) for r in audit.case_variant_audit(pieces, "name").collect()]
     assert got == [("other industry", 2, 2)]
+
+
+def test_bucketed_load_and_colocated_mart(spark, tmp_path):
+    import uuid
+    from finmesh.plans import marts
+    from finmesh.sources import sinks
+    path = write_pages(str(tmp_path / "pages.jsonl"))
+    pages = P.read_pages(spark, path)
+    built = normalize.build_all(P.project_records(pages), P.document_records(pages))
+    loaded = sinks.full_refresh_bucketed(built, str(tmp_path / "db"), 4, prefix=f"t{uuid.uuid4().hex[:8]}")
+    assert {k: v.count() for k, v in loaded.items()} == {k: v.count() for k, v in built.items()}
+    detail = marts.project_sector_detail(loaded["projects"], loaded["project_major_sectors"],
+                                         loaded["major_sector_lookup"], loaded["project_sectors"],
+                                         loaded["proj_sector_lookup"])
+    assert [(r.project_id, r.major_sector_code, r.sector_code) for r in detail.collect()] == [
+        ("P1", "WWX", "WWA"), ("P1", "WWX", "WWA"), ("P1", "WWX", "WWC"), ("P1", "WWX", "WWC"),
+        ("P6", "WWX", "WWA")]
