@@ -74,8 +74,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder (never machine-local on a cluster)."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/finmesh-scratch/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def local_path(path: str) -> str:
@@ -85,3 +84,22 @@ def local_path(path: str) -> str:
 
 def exists(path: str) -> bool:
     return os.path.exists(local_path(path))
+
+
+def scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/finmesh-scratch"
+
+
+def cleanup_scratch(spark: SparkSession) -> None:
+    """Delete this session's scratch folder (landed pages, round trips,
+    surrogate-key tables) through the Hadoop FileSystem API, so it works on
+    any shared file system, and drop the per-session caches that point into
+    it.  Call when the session's results are no longer needed."""
+    from finmesh.plans import catalog, landed, standins
+    for cache in (landed._LANDED, catalog._BUILT, standins._BASE):
+        cache.pop(spark, None)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)

@@ -15,4 +15,6 @@ def spark():
     from finmesh.session import get_session
     s = get_session("local[*]", shuffle_partitions=8)
     yield s
+    from finmesh.session import cleanup_scratch
+    cleanup_scratch(s)
     s.stop()
