@@ -1115,3 +1115,68 @@ def q_document_limit_audit(spark, sf_dir):
     stand in for documents per project)."""
     e = DriverTables(spark, sf_dir)("events", "user_id")
     return audit.per_key_limit_audit(e, "user_id", DOCUMENTS_PER_FETCH, "n_documents")
+
+
+# ------------------------------------------------------------------ R10 load report and integrity
+from finmesh.schemas import FOREIGN_KEYS, PRIMARY_KEYS  # noqa: E402
+
+_TABLE_QUERY = {name: f"normalize_{name}" for name in [
+    "country", "projects", "major_sector_lookup", "proj_sector_lookup", "project_major_sectors",
+    "project_sectors", "borrower", "impagency", "documents", "doc_theme", "doc_theme_lookup",
+    "doc_sub_sector_lookup", "doc_sub_sector", "doc_sector", "doc_country"]}
+
+
+def _table_sql(name: str) -> str:
+    if name == "doc_sector_lookup":
+        return f"SELECT DISTINCT sector_name FROM ({ORACLE['normalize_doc_sector']})"
+    return ORACLE[_TABLE_QUERY[name]]
+
+
+def _all_landed_tables(spark, sf_dir) -> dict:
+    return {**_landed_tables(spark, sf_dir), **_landed_document_tables(spark, sf_dir)}
+
+
+_TABLE_ORDER = list(PRIMARY_KEYS)
+
+
+@query("normalize_load_report", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM ({_table_sql(t)}) x" for t in _TABLE_ORDER))
+def q_normalize_load_report(spark, sf_dir):
+    """S12 over the 16 tables built from landed pages."""
+    tables = _all_landed_tables(spark, sf_dir)
+    return audit.load_report({t: tables[t] for t in _TABLE_ORDER})
+
+
+def _pk_sql(t, keys):
+    nulls = " OR ".join(f"{k} IS NULL" for k in keys)
+    return (f"SELECT 'pk:{t}' AS check_name, count(*) AS violations FROM (SELECT {', '.join(keys)} "
+            f"FROM ({_table_sql(t)}) x GROUP BY {', '.join(keys)} HAVING count(*) > 1 OR {nulls}) y")
+
+
+def _fk_sql(child, ccols, parent, pcols):
+    notnull = " AND ".join(f"c.{c} IS NOT NULL" for c in ccols)
+    match = " AND ".join(f"p.{pc} = c.{cc}" for cc, pc in zip(ccols, pcols))
+    return (f"SELECT 'fk:{child}.{'+'.join(ccols)}' AS check_name, count(*) AS violations "
+            f"FROM ({_table_sql(child)}) c WHERE {notnull} AND NOT EXISTS "
+            f"(SELECT 1 FROM ({_table_sql(parent)}) p WHERE {match})")
+
+
+@query("normalize_integrity", "\nUNION ALL\n".join(
+    [_pk_sql(t, k) for t, k in PRIMARY_KEYS.items()]
+    + [_fk_sql(c, cc, p, pc) for c, cc, p, pc in FOREIGN_KEYS]))
+def q_normalize_integrity(spark, sf_dir):
+    """K2+K3 on R10: every primary key and foreign key of the 16 built tables,
+    one row per constraint with its violation count (expected 0)."""
+    tables = _all_landed_tables(spark, sf_dir)
+    parts = []
+    for t, keys in PRIMARY_KEYS.items():
+        parts.append(audit.pk_audit(tables[t].select(*keys), keys).agg(
+            F.count(F.lit(1)).alias("violations")).select(F.lit(f"pk:{t}").alias("check_name"), "violations"))
+    for child, ccols, parent, pcols in FOREIGN_KEYS:
+        orphans = audit.fk_audit(tables[child].select(*ccols), tables[parent], ccols, pcols)
+        parts.append(orphans.agg(F.count(F.lit(1)).alias("violations")).select(
+            F.lit(f"fk:{child}.{'+'.join(ccols)}").alias("check_name"), "violations"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
