@@ -2,9 +2,9 @@
 
 ``with_surrogate_key`` numbers rows 1..n in a total order without a global
 single-partition window: range-partition and sort on the order, number rows
-inside each partition, checkpoint (cuts lineage to the shared checkpoint
-folder, so a lost executor does not renumber anything), then add the prefix
-sum of the per-partition counts.  Only the counts frame, one row per
+inside each partition, write the numbered rows as a parquet table in the
+shared checkpoint folder (cuts lineage, so a lost executor does not renumber
+anything), then add the prefix sum of the per-partition counts.  Only the counts frame, one row per
 partition, sees a global window; it is broadcast because its size is bounded
 by the partition count.
 """

@@ -15,6 +15,7 @@ from finmesh.functions.coerce import (
     parse_date, parse_decimal, parse_int_id, parse_int_number,
 )
 from finmesh.functions.nested import first_nested_value, json_field
+from finmesh.functions.text import WS_CLASS
 from finmesh.operators import audit
 from finmesh.operators.dedup import distinct_values, keep_first, keep_last
 from finmesh.operators.generators import (
@@ -44,10 +45,8 @@ PAGE_SIZE, MAX_RECORDS = 100, 10_000
 # Declared text width for the length audit (VARCHAR(255)).
 TEXT_WIDTH = 255
 
-# Python str.strip() white space, as an RE2/Java class (same text as functions.text.WS_CLASS).
-_WS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
-_STRIP = f"^{_WS}+|{_WS}+$"
+# The white-space set is a fixed value shared with the library (both engines read the class).
+_STRIP = f"^{WS_CLASS}+|{WS_CLASS}+$"
 
 
 def _sql_list(xs):

@@ -37,7 +37,6 @@ from finmesh.schemas import (
 )
 from finmesh.sources.pages import ORDER
 
-_MAP = "map<string,string>"
 _PROJECT_EXTRA = ["regionname", "major_sectors", "borrower", "impagency"]
 
 

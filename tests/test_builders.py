@@ -145,3 +145,11 @@ def test_bucketed_load_and_colocated_mart(spark, tmp_path):
     assert [(r.project_id, r.major_sector_code, r.sector_code) for r in detail.collect()] == [
         ("P1", "WWX", "WWA"), ("P1", "WWX", "WWA"), ("P1", "WWX", "WWC"), ("P1", "WWX", "WWC"),
         ("P6", "WWX", "WWA")]
+
+
+def test_page_inventory(spark, tmp_path):
+    path = write_pages(str(tmp_path / "pages.jsonl"))
+    inv = sorted(tuple(r) for r in P.page_inventory(P.read_pages(spark, path)).collect())
+    assert inv == [("documents", 2020, 0, 4, 1500), ("documents", 2020, 1000, 3, 1500),
+                   ("documents", 2021, 0, 1, 1), ("projects", None, 0, 5, None),
+                   ("projects", None, 1000, 2, None)]
