@@ -13,6 +13,7 @@ import weakref
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from finmesh.operators.joins import keep_known
 from finmesh.operators.keys import with_surrogate_key
 from finmesh.plans.standins import DriverTables, percent_of_discount
 from finmesh.session import scratch_path
@@ -25,7 +26,14 @@ _LANDED: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictio
 
 
 def project_landing_rows(t: DriverTables) -> DataFrame:
+    """Line items numbered ``rn`` (0..n-1) in landing order, with their order,
+    customer country and part attributes.  Numbering runs on the narrow line
+    item columns (after semi joins that keep exactly the rows the inner joins
+    keep); the wide attributes are joined afterwards."""
     li = t("lineitem", *LANDING_ORDER)
+    li = keep_known(li, t("orders", "o_orderkey"), ["l_orderkey"], ["o_orderkey"])
+    li = keep_known(li, t("part", "p_partkey"), ["l_partkey"], ["p_partkey"])
+    numbered = with_surrogate_key(li, LANDING_ORDER, "rn", start=0)
     o = t("orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus",
           "o_orderpriority")
     c = t("customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey")
@@ -35,9 +43,9 @@ def project_landing_rows(t: DriverTables) -> DataFrame:
     cn = (c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
            .join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
            .select("c_custkey", "c_name", "c_mktsegment", "n_name", "r_name"))
-    return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(cn, F.col("o_custkey") == F.col("c_custkey"), "left")
-              .join(p, F.col("l_partkey") == F.col("p_partkey")))
+    return (numbered.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+                    .join(cn, F.col("o_custkey") == F.col("c_custkey"), "left")
+                    .join(p, F.col("l_partkey") == F.col("p_partkey")))
 
 
 def _project_record(rows: DataFrame) -> DataFrame:
@@ -83,9 +91,7 @@ def land_project_pages(spark: SparkSession, sf_dir: str, page_size: int = 1000)
     if key in cache:
         return cache[key]
     t = DriverTables(spark, sf_dir)
-    numbered = with_surrogate_key(project_landing_rows(t), LANDING_ORDER, "rn", start=0,
-                                  persist_input=True)
-    recs = _project_record(numbered)
+    recs = _project_record(project_landing_rows(t))
     entry = F.struct(F.col("rn"), F.concat(
         F.lit('"P'), F.col("__ok").cast("string"), F.lit("-"), F.col("rn").cast("string"), F.lit('":'),
         F.col("record")).alias("text"))
