@@ -83,23 +83,28 @@ def load_report(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
-    """Per column: type, rows, nulls, distinct values (A9), in one aggregate.
-    ``exact=False`` uses HyperLogLog (``approx_count_distinct``), which keeps
-    a fixed-size sketch per column instead of shuffling distinct values."""
+    """Per column: type, rows, nulls, distinct values, smallest and largest
+    value as text (A9), in one aggregate.  ``exact=False`` uses HyperLogLog
+    (``approx_count_distinct``), which keeps a fixed-size sketch per column
+    instead of shuffling distinct values."""
     cols = df.columns
     distinct = F.count_distinct if exact else F.approx_count_distinct
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"__n{i}"))
-        aggs.append(distinct(F.col(c)).alias(f"__d{i}"))
+        aggs += [F.count_if(F.col(c).isNull()).alias(f"__n{i}"),
+                 distinct(F.col(c)).alias(f"__d{i}"),
+                 F.min(F.col(c)).cast("string").alias(f"__lo{i}"),
+                 F.max(F.col(c)).cast("string").alias(f"__hi{i}")]
     agg = df.agg(*aggs)
     types = dict(df.dtypes)
-    rows = ", ".join(f"'{c}', '{types[c]}', `__n{i}`, `__d{i}`" for i, c in enumerate(cols))
+    rows = ", ".join(f"'{c}', '{types[c]}', `__n{i}`, `__d{i}`, `__lo{i}`, `__hi{i}`"
+                     for i, c in enumerate(cols))
     return agg.select(
-        F.expr(f"stack({len(cols)}, {rows}) as (column_name, data_type, null_count, distinct_count)"),
+        F.expr(f"stack({len(cols)}, {rows}) as "
+               "(column_name, data_type, null_count, distinct_count, min_value, max_value)"),
         F.col("__rows").alias("row_count"),
     ).select("column_name", "data_type", "row_count", "null_count",
-             F.col("distinct_count").cast("long").alias("distinct_count"))
+             F.col("distinct_count").cast("long").alias("distinct_count"), "min_value", "max_value")
 
 
 def region_checks(country: DataFrame, country_col: str = "countryshortname",

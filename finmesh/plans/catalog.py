@@ -786,7 +786,8 @@ _MART_TYPES = [("project_id", "bigint"), ("countryshortname", "string"), ("total
 
 @query("column_profile", _with(CTE_PROJECTS, CTE_PS, CTE_PMS, CTE_PSL, CTE_MSL, CTE_MART) + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, '{ty}' AS data_type, count(*) AS row_count, "
-    f"count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS distinct_count FROM mart"
+    f"count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS distinct_count, "
+    f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM mart"
     for c, ty in _MART_TYPES))
 def q_column_profile(spark, sf_dir):
     """Per column type, rows, nulls, exact distinct values of the mart."""

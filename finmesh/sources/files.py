@@ -16,4 +16,6 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Typed CSV scan with header, comma, UTF-8 (S9).  Never infers."""
     return (spark.read.schema(schema).option("header", True).option("sep", ",")
-            .option("encoding", "UTF-8").option("mode", "PERMISSIVE").csv(path))
+            .option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .csv(path))

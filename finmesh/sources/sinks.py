@@ -37,8 +37,12 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV export with header, no index."""
-    df.write.mode(mode).option("header", True).option("encoding", "UTF-8").csv(path)
+    """CSV export with header, no index (S8).  Values are written as they are:
+    Spark's writer would otherwise trim leading/trailing spaces (some sector
+    names end with one)."""
+    (df.write.mode(mode).option("header", True).option("encoding", "UTF-8")
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+       .csv(path))
 
 
 def append_load(tables: Mapping[str, DataFrame], base: str) -> None:
