@@ -24,6 +24,7 @@ from finmesh.operators.generators import (
 from finmesh.operators.joins import keep_known
 from finmesh.operators.keys import fanout_report, resolve_parent_key, with_surrogate_key
 from finmesh.plans import marts, normalize, pageplan
+from finmesh.plans.landed import write_document_pages
 from finmesh.plans import standins as S
 from finmesh.plans.standins import DriverTables, percent_of_discount
 from finmesh.session import checkpoint_dir, scratch_path
@@ -586,7 +587,6 @@ def _land_document_pages(spark, sf_dir, page_size: int = PAGE_SIZE) -> str:
     t = DriverTables(spark, sf_dir)
     o = t("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     numbered = with_surrogate_key(o, ["o_orderkey"], "rn", start=0)
-    total = o.agg(F.count(F.lit(1)).cast("string").alias("total"))
     pid = F.concat(F.lit("P"), F.col("o_custkey").cast("string"))
     docdt = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T00:00:00Z"))
 
@@ -596,26 +596,10 @@ def _land_document_pages(spark, sf_dir, page_size: int = PAGE_SIZE) -> str:
 
     real_pid = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None).cast("string"))
                  .when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(pid))
-    stale = numbered.select("rn", F.lit(0).alias("year"), rec(pid, F.lit("stale")).alias("rec"), "o_orderkey")
-    real = numbered.select("rn", F.lit(1).alias("year"), rec(real_pid, F.col("o_orderstatus")).alias("rec"),
-                           "o_orderkey")
-    both = stale.unionByName(real).withColumn(
-        "offset", (F.floor(F.col("rn") / page_size) * page_size).cast("int"))
-    entry = F.struct(F.col("rn"), F.concat(F.lit("D"), F.col("o_orderkey").cast("string")).alias("key"),
-                     F.col("rec").alias("value"))
-    # A page holds at most ``page_size`` records: the group is bounded by construction.
-    pages = both.groupBy("year", "offset").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    facets = F.struct(F.lit("facets").alias("key"),
-                      F.lit(None).cast(both.schema["rec"].dataType).alias("value"))
-    docs = F.map_from_entries(F.concat(
-        F.transform("entries", lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))),
-        F.array(facets)))
-    body = F.struct(F.col("total"), docs.alias("documents"))
-    lines = pages.crossJoin(total).select(F.to_json(F.struct(
-        F.lit("documents").alias("source"), "year", "offset", body.alias("body"))).alias("value"))
-    path = scratch_path(spark, "document-pages")
-    lines.write.mode("overwrite").text(path)
-    return path
+    key = F.concat(F.lit("D"), F.col("o_orderkey").cast("string")).alias("key")
+    stale = numbered.select("rn", F.lit(0).alias("year"), key, rec(pid, F.lit("stale")).alias("rec"))
+    real = numbered.select("rn", F.lit(1).alias("year"), key, rec(real_pid, F.col("o_orderstatus")).alias("rec"))
+    return write_document_pages(spark, stale.unionByName(real), "year", page_size, "document-pages")
 
 
 _KEYED_SQL = """
@@ -850,7 +834,7 @@ def oracle_sql() -> dict:
 
 
 # ================================================================== R10 on landed driver pages
-from finmesh.plans.landed import LANDING_ORDER, land_project_pages  # noqa: E402
+from finmesh.plans.landed import LANDING_ORDER, land_project_pages  # noqa: E402,F811
 
 _LANDED_SQL = "landed AS (\n  SELECT l.*, o.*, c.c_name, c.c_mktsegment, n.n_name, r.r_name, p.p_name, p.p_type,\n" \
     f"         row_number() OVER (ORDER BY {', '.join('l.' + c for c in LANDING_ORDER)}) - 1 AS rn\n" \

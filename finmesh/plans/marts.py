@@ -83,9 +83,9 @@ def sector_coverage(project_sectors: DataFrame) -> DataFrame:
 
 def sector_coverage_total(projects: DataFrame, project_sectors: DataFrame) -> DataFrame:
     """R5 plus the total number of projects as a scalar subquery."""
-    total = projects.agg(F.count(F.lit(1)).alias("total_projects"))
-    return total.crossJoin(sector_coverage(project_sectors)).select(
-        "total_projects", "projects_with_sector_data",
+    total = projects.agg(F.count(F.lit(1))).scalar()
+    return sector_coverage(project_sectors).select(
+        total.alias("total_projects"), "projects_with_sector_data",
         "projects_with_nonzero_percent", "projects_with_zero_percent")
 
 
