@@ -35,3 +35,10 @@ def test_flagship_pushes_filter_and_prunes_columns(spark):
 def test_keep_first_combines_before_the_shuffle(spark):
     text = _formatted(spark, E.queries()["keep_first"](spark, SF001))
     assert "partial_min_by" in text
+
+
+def test_preaggregated_flagship_equals_mart_based_top_sectors(spark):
+    q = E.queries()
+    a = [tuple(r) for r in q["top_sectors_for_country"](spark, SF001).collect()]
+    b = [tuple(r) for r in q["top_sectors_from_mart"](spark, SF001).collect()]
+    assert a == b and len(a) > 0
