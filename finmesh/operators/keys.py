@@ -24,12 +24,14 @@ def _cols(cs) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
-def with_surrogate_key(df: DataFrame, order: Sequence, name: str, start: int = 1,
+def with_surrogate_key(df: DataFrame, order: Sequence, name: str, start: int | Column = 1,
                        num_partitions: int | None = None, persist_input: bool = False) -> DataFrame:
     """Append ``name`` = dense row number (from ``start``) in ``order``.
 
     Equal to ``row_number() OVER (ORDER BY order) + start - 1`` whenever the
     order is total; ties get consecutive numbers in an unspecified order.
+    ``start`` may be a Column, e.g. a scalar subquery over an already loaded
+    table (see ``append_with_keys``).
     ``persist_input`` keeps the input for the range-bounds sample and the
     shuffle that follows it: one evaluation of an expensive input (a join)
     instead of two; not worth it for a cheap input (a scan or an explode).
@@ -57,7 +59,8 @@ def with_surrogate_key(df: DataFrame, order: Sequence, name: str, start: int = 1
         (F.sum("__n").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)))
         .alias(_OFFSET))
     out = numbered.join(F.broadcast(offsets), _PID, "left")
-    key = (F.coalesce(F.col(_OFFSET), F.lit(0)) + F.col(_LOCAL) + F.lit(start)).alias(name)
+    first = start if isinstance(start, Column) else F.lit(start)
+    key = (F.coalesce(F.col(_OFFSET), F.lit(0)) + F.col(_LOCAL) + first).cast("long").alias(name)
     return out.select(*[F.col(c) for c in df.columns], key)
 
 
@@ -92,3 +95,11 @@ def fanout_report(children: DataFrame, parents: DataFrame, keys: Sequence[str])
         F.sum(F.when(F.col("__p") > 1, F.col("__c")).otherwise(0)).cast("long").alias("children_with_repeated_parent"),
         F.count(F.when(F.col("__p") > 1, F.lit(1))).cast("long").alias("repeated_parent_keys"),
     )
+
+
+def append_with_keys(loaded: DataFrame, new_rows: DataFrame, order: Sequence, name: str) -> DataFrame:
+    """Rows to append with surrogate keys continuing after ``max(name)`` of the
+    loaded table, as an auto-increment column does (K1, append).  The offset
+    is a scalar subquery: nothing is collected to the driver."""
+    after = loaded.agg(F.coalesce(F.max(name), F.lit(0)).cast("long") + F.lit(1)).scalar()
+    return with_surrogate_key(new_rows, order, name, start=after)

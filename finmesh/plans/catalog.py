@@ -1164,3 +1164,24 @@ def q_normalize_integrity(spark, sf_dir):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+from finmesh.operators.keys import append_with_keys  # noqa: E402
+
+
+@query("append_surrogate_keys", """
+SELECT o_orderkey, row_number() OVER (ORDER BY CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END, o_orderkey)
+       AS order_id
+FROM orders""")
+def q_append_surrogate_keys(spark, sf_dir):
+    """S6+K1: a table loaded in two batches; the second batch's keys continue
+    after the first batch's largest key (read back from storage)."""
+    o = DriverTables(spark, sf_dir)("orders", "o_orderkey", "o_orderstatus")
+    first = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    base = scratch_path(spark, "append-keys")
+    batch1 = with_surrogate_key(o.filter(first).select("o_orderkey"), ["o_orderkey"], "order_id")
+    sinks.append_load({"orders": batch1}, base)
+    loaded = sinks.read_back(spark, base, "orders")
+    batch2 = append_with_keys(loaded, o.filter(~first).select("o_orderkey"), ["o_orderkey"], "order_id")
+    sinks.append_load({"orders": batch2}, base)
+    return sinks.read_back(spark, base, "orders")
