@@ -84,18 +84,28 @@ def load_report(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """Per column: type, rows, nulls, distinct values, smallest and largest
-    value as text (A9), in one aggregate.  ``exact=False`` uses HyperLogLog
-    (``approx_count_distinct``), which keeps a fixed-size sketch per column
-    instead of shuffling distinct values."""
+    value as text (A9).
+
+    Exact distinct counts are one aggregate of ``count_distinct`` only (Spark
+    expands rows once per distinct column); the plain aggregates (nulls,
+    min, max) run in a separate single pass delivered as one struct-valued
+    scalar subquery, so they are not carried through that expansion.
+    ``exact=False`` uses HyperLogLog sketches (``approx_count_distinct``):
+    one pass, a fixed-size state per column, nothing distinct shuffled."""
     cols = df.columns
-    distinct = F.count_distinct if exact else F.approx_count_distinct
-    aggs = [F.count(F.lit(1)).alias("__rows")]
+    plain = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"__n{i}"),
-                 distinct(F.col(c)).alias(f"__d{i}"),
-                 F.min(F.col(c)).cast("string").alias(f"__lo{i}"),
-                 F.max(F.col(c)).cast("string").alias(f"__hi{i}")]
-    agg = df.agg(*aggs)
+        plain += [F.count_if(F.col(c).isNull()).alias(f"__n{i}"),
+                  F.min(F.col(c)).cast("string").alias(f"__lo{i}"),
+                  F.max(F.col(c)).cast("string").alias(f"__hi{i}")]
+    distinct = [(F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c))).alias(f"__d{i}")
+                for i, c in enumerate(cols)]
+    if exact:
+        stats = df.agg(*plain).select(F.struct("*").alias("__s")).scalar()
+        agg = df.agg(*distinct).select("*", stats.alias("__s")).select(
+            *[f"__d{i}" for i in range(len(cols))], "__s.*")
+    else:
+        agg = df.agg(*plain, *distinct)
     types = dict(df.dtypes)
     rows = ", ".join(f"'{c}', '{types[c]}', `__n{i}`, `__d{i}`, `__lo{i}`, `__hi{i}`"
                      for i, c in enumerate(cols))
