@@ -62,16 +62,24 @@ def explode_major_sectors(df: DataFrame, raw, keep: Sequence[str] = ()) -> DataF
 
 def explode_sectors(df: DataFrame, raw, keep: Sequence[str] = ()) -> DataFrame:
     """Project x sector, parent code carried down (G2); a major sector without
-    ``sectors`` yields nothing (F10).  Sector names are kept as given."""
-    x = df.select(*keep, F.posexplode(_sector_list(df, raw)).alias("ms_pos", "__ms"))
-    x = x.filter(F.col("__ms.major_sector").isNotNull())
-    y = x.select(*keep, "ms_pos",
-                 F.col("__ms.major_sector.major_sector_code").alias("major_sector_code"),
-                 F.posexplode(F.col("__ms.major_sector.sectors")).alias("s_pos", "__s"))
-    return y.select(*keep, "ms_pos", "major_sector_code", "s_pos",
-                    F.col("__s.sector_code").alias("sector_code"),
-                    F.col("__s.sector_name").alias("sector_name"),
-                    F.col("__s.sector_percent").alias("sector_percent"))
+    ``sectors`` yields nothing (F10).  Sector names are kept as given.
+
+    The two levels are flattened with higher-order functions into one array
+    of ``(ms_pos, major_sector_code, s_pos, sector)`` and exploded once, so no
+    intermediate row carries the nested list."""
+    # positions count every entry of the list, as in explode_major_sectors;
+    # an entry without a major sector contributes no sectors
+    per_major = F.transform(_sector_list(df, raw), lambda m, i: F.transform(
+        F.coalesce(m["major_sector"]["sectors"], F.array()),
+        lambda sec, j: F.struct(i.alias("ms_pos"),
+                                m["major_sector"]["major_sector_code"].alias("major_sector_code"),
+                                j.alias("s_pos"),
+                                sec["sector_code"].alias("sector_code"),
+                                sec["sector_name"].alias("sector_name"),
+                                sec["sector_percent"].alias("sector_percent"))))
+    x = df.select(*keep, F.inline(F.flatten(per_major)))
+    return x.select(*keep, "ms_pos", "major_sector_code", "s_pos", "sector_code", "sector_name",
+                    "sector_percent")
 
 
 def explode_map_field(df: DataFrame, raw, field: str, out: str,
