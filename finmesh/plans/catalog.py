@@ -333,9 +333,11 @@ SELECT CAST(sum(n) AS BIGINT) AS child_rows,
 FROM c""")
 def q_parent_key_fanout(spark, sf_dir):
     """J5 (all mode) sized without emitting pairs: rows the many-to-many merge would give."""
-    parents, children = _parents_children(spark, sf_dir)
-    return fanout_report(children, parents.drop("project_major_sector_id"),
-                         ["project_id", "major_sector_code"])
+    t = DriverTables(spark, sf_dir)
+    keys = [F.col("l_orderkey").alias("project_id"), F.col("l_linenumber").alias("major_sector_code")]
+    parents = t("lineitem", "l_orderkey", "l_linenumber").select(*keys)   # ids are not needed to count
+    children = t("lineitem", "l_orderkey", "l_linenumber").select(*keys)
+    return fanout_report(children, parents, ["project_id", "major_sector_code"])
 
 
 @query("semi_known_parents", """
