@@ -9,6 +9,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from finmesh.operators.filters import OTHER_REGION
+
 
 def pk_audit(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that repeat, or contain a null (K2): ``keys..., n``."""
@@ -118,7 +120,7 @@ def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def region_checks(country: DataFrame, country_col: str = "countryshortname",
-                  region_col: str = "regionname", placeholder: str = "Other") -> DataFrame:
+                  region_col: str = "regionname", placeholder: str = OTHER_REGION) -> DataFrame:
     """The two checks after region repair (P10, P12), one row:
     ``null_regions`` (expected 0) and ``residual_placeholder`` (expected 0:
     the placeholder may only remain where the country itself is the placeholder)."""

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from finmesh.functions.coerce import allocated_amount
-from finmesh.operators.filters import exclude_members, repair_region
+from finmesh.operators.filters import OTHER_REGION, exclude_members, repair_region
 
 
 def project_document_dates(projects: DataFrame, documents: DataFrame) -> DataFrame:
@@ -129,7 +129,7 @@ def top_sectors_preaggregated(projects: DataFrame, project_sectors: DataFrame,
     return summed.orderBy(F.desc("allocated_amount"), F.asc("sector_name")).limit(k)
 
 
-def repaired_country(country: DataFrame, placeholder: str = "Other") -> DataFrame:
+def repaired_country(country: DataFrame, placeholder: str = OTHER_REGION) -> DataFrame:
     """Region := country where missing or the placeholder."""
     return country.select("countryshortname",
                           repair_region("countryshortname", "regionname", placeholder).alias("regionname"))

@@ -11,9 +11,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from finmesh.functions.coerce import percent_complete
 
+# Fixed values of the source fetch: records per page and records fetched per year at most.
+PAGE_SIZE = 1000
+MAX_RECORDS_PER_YEAR = 100_000
 
-def page_plan(totals: DataFrame, group: str = "year", page_size: int = 1000,
-              max_records: int = 100_000) -> DataFrame:
+
+def page_plan(totals: DataFrame, group: str = "year", page_size: int = PAGE_SIZE,
+              max_records: int = MAX_RECORDS_PER_YEAR) -> DataFrame:
     """``group, total, offset`` for every page to fetch.  Groups with a zero
     total get no pages (an empty ``sequence`` range would fail)."""
     capped = F.least(F.col("total"), F.lit(max_records))
@@ -30,7 +34,7 @@ def missing_pages(plan: DataFrame, inventory: DataFrame, group: str = "year") ->
 
 
 def completeness(plan: DataFrame, inventory: DataFrame, group: str = "year",
-                 max_records: int = 100_000) -> DataFrame:
+                 max_records: int = MAX_RECORDS_PER_YEAR) -> DataFrame:
     """Per group: planned/landed/failed pages, landed records, percent done
     (rounded to one decimal), records beyond the cap."""
     planned = plan.groupBy(group).agg(F.max("total").alias("total"),
