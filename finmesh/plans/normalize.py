@@ -23,7 +23,6 @@ from finmesh.functions.coerce import (
     parse_date, parse_decimal, parse_int_id, parse_int_number, truthy,
 )
 from finmesh.functions.nested import first_nested_value
-from finmesh.functions.text import strip_ws
 from finmesh.operators.dedup import keep_first, last_write_wins
 from finmesh.operators.generators import (
     explode_delimited, explode_major_sectors, explode_map_field, explode_sectors,

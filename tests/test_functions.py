@@ -2,7 +2,6 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from finmesh.functions import (
     clean_items, first_nested_value, parse_date, parse_decimal, parse_int_id, parse_int_number,

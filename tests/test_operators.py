@@ -1,5 +1,4 @@
 """Keys, dedup, page plan and the fan-out report on small inputs vs brute force."""
-import pandas as pd
 from pyspark.sql import functions as F
 
 from finmesh.operators.dedup import keep_first, keep_last, last_write_wins
