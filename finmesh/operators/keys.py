@@ -31,7 +31,9 @@ def with_surrogate_key(df: DataFrame, order: Sequence, name: str, start: int | C
     Equal to ``row_number() OVER (ORDER BY order) + start - 1`` whenever the
     order is total; ties get consecutive numbers in an unspecified order.
     ``start`` may be a Column, e.g. a scalar subquery over an already loaded
-    table (see ``append_with_keys``).
+    table (see ``append_with_keys``).  ``num_partitions`` (default: the
+    session's shuffle partitions) should follow the data size, e.g. rows /
+    10 million; the offsets frame has one row per partition.
     ``persist_input`` keeps the input for the range-bounds sample and the
     shuffle that follows it: one evaluation of an expensive input (a join)
     instead of two; not worth it for a cheap input (a scan or an explode).
