@@ -1187,3 +1187,51 @@ def q_append_surrogate_keys(spark, sf_dir):
     batch2 = append_with_keys(loaded, o.filter(~first).select("o_orderkey"), ["o_orderkey"], "order_id")
     sinks.append_load({"orders": batch2}, base)
     return sinks.read_back(spark, base, "orders")
+
+
+# ------------------------------------------------------------------ marts over the built tables (R10 -> R1, R7, R8)
+def _sub(name: str) -> str:
+    return f"({_table_sql(name)})"
+
+
+_BUILT_MART_SQL = f"""
+SELECT p.project_id, p.countryshortname, p.totalamt, msl.major_sector_code, msl.major_sector_name,
+       sl.sector_code, sl.sector_name, ps.sector_percent,
+       CAST(p.totalamt * ps.sector_percent * CAST('0.01' AS DECIMAL(3,2)) AS DECIMAL(30,8)) AS allocated_amount
+FROM {_sub('projects')} p
+JOIN {_sub('project_major_sectors')} pms ON p.project_id = pms.project_id
+JOIN {_sub('major_sector_lookup')} msl ON pms.major_sector_code = msl.major_sector_code
+JOIN {_sub('project_sectors')} ps ON pms.project_major_sector_id = ps.project_major_sector_id
+JOIN {_sub('proj_sector_lookup')} sl ON ps.sector_code = sl.sector_code"""
+
+
+def _built_mart(spark, sf_dir):
+    t = _all_landed_tables(spark, sf_dir)
+    return marts.sector_mart(t["projects"], t["project_major_sectors"], t["major_sector_lookup"],
+                             t["project_sectors"], t["proj_sector_lookup"])
+
+
+@query("normalize_project_document_dates", f"""
+SELECT p.project_id, p.countryshortname, p.boardapprovaldate, CAST(NULL AS DATE) AS docdt,
+       d.document_type, d.document_id
+FROM {_sub('projects')} p JOIN {_sub('documents')} d ON p.project_id = d.project_id""")
+def q_normalize_project_document_dates(spark, sf_dir):
+    """R1 over the projects and documents built from landed pages."""
+    t = _all_landed_tables(spark, sf_dir)
+    return marts.project_document_dates(t["projects"], t["documents"])
+
+
+@query("normalize_sector_mart", _BUILT_MART_SQL)
+def q_normalize_sector_mart(spark, sf_dir):
+    """The 9-column mart over the five built tables, joined through the
+    bridge's surrogate key."""
+    return _built_mart(spark, sf_dir)
+
+
+@query("normalize_top_sectors", f"""
+SELECT sector_name, CAST(SUM(allocated_amount) AS DECIMAL(38,8)) AS allocated_amount
+FROM ({_BUILT_MART_SQL}) m WHERE countryshortname = '{FLAGSHIP_COUNTRY}'
+GROUP BY sector_name ORDER BY allocated_amount DESC, sector_name LIMIT {TOP_K}""")
+def q_normalize_top_sectors(spark, sf_dir):
+    """R8 exactly as the chart reads it, over the mart built from landed pages."""
+    return marts.top_sectors(_built_mart(spark, sf_dir), FLAGSHIP_COUNTRY, TOP_K)
