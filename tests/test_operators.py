@@ -65,3 +65,22 @@ def test_page_plan_and_completeness(spark):
     assert c[2002].records_beyond_cap == 150_000 and c[2002].pct_done == 40.0
     missing = pageplan.missing_pages(plan, inv).collect()
     assert [(r.year, r.page_offset) for r in missing] == [(2000, 1000)]
+
+
+def test_append_with_keys_continues_after_loaded_max(spark):
+    from finmesh.operators.keys import append_with_keys
+    loaded = spark.createDataFrame([(10, 1), (20, 2), (30, 7)], "k int, sid long")
+    new = spark.createDataFrame([(5,), (40,)], "k int")
+    got = sorted((r.k, r.sid) for r in append_with_keys(loaded, new, ["k"], "sid").collect())
+    assert got == [(5, 8), (40, 9)]
+    empty = spark.createDataFrame([], "k int, sid long")
+    got = sorted((r.k, r.sid) for r in append_with_keys(empty, new, ["k"], "sid").collect())
+    assert got == [(5, 1), (40, 2)]
+
+
+def test_per_key_limit_audit(spark):
+    from finmesh.operators.audit import per_key_limit_audit
+    df = spark.range(0, 120).select((F.col("id") % 2).alias("p"))   # 60 rows per key
+    df = df.unionByName(spark.range(0, 3).select(F.lit(7).cast("long").alias("p")))
+    got = sorted(tuple(r) for r in per_key_limit_audit(df, "p", 50, "n_documents").collect())
+    assert got == [(0, 60), (1, 60)]
