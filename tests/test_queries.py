@@ -4,11 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from finmesh.plans import catalog
 from tests.conftest import SF001
 from tools.oracle_check import TABLES, digest
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = {k: q for k, q in E.queries().items() if k in catalog.queries()}
+ORACLE = {k: q for k, q in E.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
