@@ -4,8 +4,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finmesh.llm import bpe, exact_dedup
+from finmesh.llm import bpe, exact_dedup, packing, quality, url_filters, warc
 from finmesh.llm.common import table
+from finmesh.session import scratch_path
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,11 +24,65 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_exact_dedup)}
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write pages as WARC archives and read them back."""
+    folder = scratch_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder).select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every text of documents and the verdict of the rule cascade."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of the fixed host and path rules on every URL of pages."""
+    return url_filters.judge(table(spark, sf_dir, "pages"), url_filters.rules_frame(spark))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack the pieces of all documents into sequences of 2048 tokens."""
+    import public_tokenizers
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        pieces = packing.pieces(table(spark, sf_dir, "documents"), f.read())
+    return packing.pack(pieces)
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_exact_dedup, op5_warc, op6_quality, op8_url_filters, op9_packing)}
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLE = {
-    "op2_exact_dedup": """
-        WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+    "op2_exact_dedup": f"""
+        WITH d AS (SELECT doc_id, translate(coalesce(text, ''), {_LOWER}) AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d""",
+    "op5_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+             g AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS last, strlen(h) AS n FROM p)
+        SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest,
+               CASE WHEN n >= 1000 AND last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND last <> page_id THEN last END AS refers_to FROM g""",
+    "op6_quality": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        v AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d),
+        c AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM v),
+        r AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM c WHERE n > 1) GROUP BY doc_id),
+        x AS (SELECT doc_id, t, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda z: length(z))), 0) AS BIGINT) AS word_chars,
+                     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                     list_filter(string_split(t, chr(10)), lambda z: regexp_matches(z, '[^\x20\x09-\x0D]')) AS l,
+                     length(regexp_replace(t, '[^A-Z]', '', 'g')) AS up, length(regexp_replace(t, '[^a-z]', '', 'g')) AS low FROM d),
+        y AS (SELECT x.*, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+                     n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed FROM x LEFT JOIN r USING (doc_id))
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT (base_failed OR 100 * n_symbols > 25 * n_words OR (up > low AND up > 20) OR 100 * n_dup_lines > 50 * len(l)
+                    OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept FROM y""",
+    "op8_url_filters": f"""
+        WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages),
+        v AS (SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), {_LOWER}) AS host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+        rules(h, p, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+        m AS (SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict FROM v, rules
+              WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM v LEFT JOIN m USING (page_id)""",
 }
