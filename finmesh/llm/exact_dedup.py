@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from finmesh.llm.common import ascii_lower, stored
 from finmesh.session import scratch_path
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; no space is set aside ahead for the many small stores of a wide shuffle.
+STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 def digest_of(text):
@@ -47,9 +49,9 @@ def _stream_groups(records: DataFrame, path: str, max_bytes_per_trigger: str | N
     """Latest state of each digest: (digest, keep, n)."""
     spark = records.sparkSession
     out, checkpoint = scratch_path(spark, "dedup-groups"), scratch_path(spark, "dedup-stream")
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         reader = spark.readStream.schema(records.schema)
         if max_bytes_per_trigger:
@@ -64,7 +66,8 @@ def _stream_groups(records: DataFrame, path: str, max_bytes_per_trigger: str | N
         groups.writeStream.outputMode("update").foreachBatch(save).trigger(availableNow=True).option(
             "checkpointLocation", checkpoint).start().awaitTermination()
     finally:
-        spark.conf.set(provider, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     schema = f"digest binary, keep {records.select(F.struct('doc_id', 'file', 'row')).schema[0].dataType.simpleString()}, n long, batch int"
     batches = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(out)
     return batches.groupBy("digest").agg(F.max_by("keep", "batch").alias("keep"), F.max("n").alias("n"))
