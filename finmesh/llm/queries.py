@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finmesh.llm import bpe, exact_dedup, packing, quality, url_filters, warc
+from finmesh.llm import bpe, exact_dedup, html_main, packing, pii, quality, secrets, url_filters, warc
 from finmesh.llm.common import table
 from finmesh.session import scratch_path
 
@@ -24,6 +24,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text of documents: base spans, and further ones by weak supervision."""
+    return pii.spans_of(table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write pages as WARC archives and read them back."""
     folder = scratch_path(spark, "warc")
@@ -36,6 +41,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, with scores learned from the labelled pages of the table."""
+    return html_main.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of the fixed host and path rules on every URL of pages."""
     return url_filters.judge(table(spark, sf_dir, "pages"), url_filters.rules_frame(spark))
@@ -49,7 +59,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_exact_dedup, op5_warc, op6_quality, op8_url_filters, op9_packing)}
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text of documents: base spans, and credential values by guess cost."""
+    return secrets.spans_of(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_exact_dedup, op3_pii, op5_warc, op6_quality, op7_html_main,
+                                   op8_url_filters, op9_packing, op10_secrets)}
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
