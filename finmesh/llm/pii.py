@@ -166,6 +166,7 @@ def _scan(batches: Iterator) -> Iterator:
                 for m in patterns[kind].finditer(text):
                     if not any(s < m.end() and m.start() < e for s, e in taken):
                         spans.append((kind, m.start(), m.end()))
+                        taken.add((m.start(), m.end()))
             out = []
             for kind, start, end in spans:
                 votes = votes_of(kind, text, start, end)
