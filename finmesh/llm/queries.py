@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finmesh.llm import bpe, exact_dedup, html_main, packing, pii, quality, secrets, url_filters, warc
+from finmesh.llm import bpe, exact_dedup, html_main, jaccard_join, packing, pii, quality, secrets, url_filters, warc
 from finmesh.llm.common import table
 from finmesh.session import scratch_path
 
@@ -29,6 +29,11 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans_of(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of 3-word shingles are at least 90 % alike."""
+    return jaccard_join.components(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write pages as WARC archives and read them back."""
     folder = scratch_path(spark, "warc")
@@ -64,8 +69,14 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.spans_of(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_exact_dedup, op3_pii, op5_warc, op6_quality, op7_html_main,
-                                   op8_url_filters, op9_packing, op10_secrets)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline.py over documents."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_exact_dedup, op3_pii, op4_jaccard_join, op5_warc, op6_quality, op7_html_main,
+                                   op8_url_filters, op9_packing, op10_secrets, pipeline)}
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -74,6 +85,16 @@ ORACLE = {
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), {_LOWER}) AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d""",
+    "op4_jaccard_join": rf"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+                                                  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id),
+        l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 90 * (na.n + nb.n - i)),
+        e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        r(v, c) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.v, e.b FROM r JOIN e ON e.a = r.c)
+        SELECT doc_id, coalesce(n.n, 0) AS n_shingles, min(c) AS component_id FROM d JOIN r ON r.v = d.doc_id LEFT JOIN n USING (doc_id) GROUP BY doc_id, n.n""",
     "op5_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
              g AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS last, strlen(h) AS n FROM p)
