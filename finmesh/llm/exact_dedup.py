@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finmesh.llm.common import ascii_lower, stored
+from finmesh.llm.common import ascii_lower, fresh, stored
 from finmesh.session import scratch_path
 
 #: State on disk; no space is set aside ahead for the many small stores of a wide shuffle.
@@ -45,7 +45,7 @@ def located(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         return take(stored(df.select(id_col, text_col), "dedup-content"))
 
 
-def _stream_groups(records: DataFrame, path: str, max_bytes_per_trigger: str | None) -> DataFrame:
+def _stream_groups(records: DataFrame, path: str, max_bytes_per_trigger: int | None) -> DataFrame:
     """Latest state of each digest: (digest, keep, n)."""
     spark = records.sparkSession
     out, checkpoint = scratch_path(spark, "dedup-groups"), scratch_path(spark, "dedup-stream")
@@ -74,7 +74,7 @@ def _stream_groups(records: DataFrame, path: str, max_bytes_per_trigger: str | N
 
 
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=digest_of,
-          max_bytes_per_trigger: str | None = None) -> DataFrame:
+          max_bytes_per_trigger: int | None = None) -> DataFrame:
     """One row per row of ``df``: doc_id, file, row, keep_id, group_size, kept, text_sha256.
 
     ``digest`` may be any function of the normalised text: a weak one costs checks, not results."""
@@ -113,6 +113,7 @@ def drop_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         df.select("_metadata.row_index")
     except AnalysisException:
         df = stored(df, "dedup-input")
-    gone = dedup(df, id_col, text_col).where(~F.col("kept")).select(F.col("file").alias("__file"), F.col("row").alias("__row"))
-    rows = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    return rows.join(gone, ["__file", "__row"], "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+    file, row = fresh(df, "dedup_file"), fresh(df, "dedup_row")
+    gone = dedup(df, id_col, text_col).where(~F.col("kept")).select(F.col("file").alias(file), F.col("row").alias(row))
+    rows = df.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+    return rows.join(gone, [file, row], "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])

@@ -6,8 +6,8 @@ score.  The scores come from labelled pages: pages that mark their content with
 or <main> say which words and tags lie inside it, and a class (plain word, link word, word in a
 boilerplate element, each tag name) scores by how often it does.
 
-The run is widened to the <article> or <main> element around it, if there is one.  Its text
-is written block by block: boilerplate elements inside it (menus, headers of the page,
+The run is widened to the <article> or <main> element around it or, without one, to the
+innermost <div>, <section> or table cell that holds all of it.  Its text is written block by block: boilerplate elements inside it (menus, headers of the page,
 footers, sidebars, notices, adverts, forms, scripts, styles, comments) are left out,
 character references decoded, white space inside a block made one space, blocks joined by
 one line feed.  <br> is white space.
@@ -68,14 +68,19 @@ def is_boiler(name: str, attributes: str, in_content: bool, patterns) -> bool:
     return False
 
 
-def tokens_of(html: str, patterns) -> list[tuple]:
-    """("word" class, text, content element) and ("tag", name, opens) in page order.
+HOLDERS = frozenset("article main section div td".split())
 
-    ``content element`` numbers the innermost open <article> or <main> (-1: none)."""
+
+def tokens_of(html: str, patterns) -> tuple[list[tuple], list[tuple]]:
+    """(tokens, holders) in page order.
+
+    A token is (word class or "tag", text or tag name, innermost holder or, for tags, whether it opens).
+    A holder is an element that may hold the content: (name, number of the holder around it or -1)."""
     from html import unescape
     out: list[tuple] = []
-    stack: list[tuple[str, bool, int]] = []          # (name, boilerplate, content element)
-    link, n_content, at = False, 0, 0
+    holders: list[tuple] = []
+    stack: list[tuple] = []                           # (name, boilerplate, innermost holder, in content)
+    link, at = False, 0
 
     def put(text):
         if text and not text.isspace():
@@ -90,10 +95,10 @@ def tokens_of(html: str, patterns) -> list[tuple]:
         if m[3] is None:
             continue                                  # comment, raw element, doctype, or a tag that is cut off
         name, closes = m[3].lower(), bool(m[2])
-        boiler, content = (stack[-1][1], stack[-1][2]) if stack else (False, -1)
+        _, boiler, holder, content = stack[-1] if stack else ("", False, -1, False)
         if name == "a":
             link = not closes
-        if name not in LOOSE and name not in VOID:
+        if name == "td" or name not in LOOSE and name not in VOID:
             if closes:
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == name:
@@ -101,12 +106,38 @@ def tokens_of(html: str, patterns) -> list[tuple]:
                         link = False
                         break
             elif not m[4].rstrip().endswith("/"):
-                if name in ("article", "main") and not boiler:
-                    content, n_content = n_content, n_content + 1
-                stack.append((name, boiler or is_boiler(name, m[4], content >= 0, patterns), content))
+                boiler = boiler or is_boiler(name, m[4], content, patterns)
+                if name in HOLDERS and not boiler:
+                    holders.append((name, holder))
+                    holder = len(holders) - 1
+                stack.append((name, boiler, holder, content or name in ("article", "main") and not boiler))
         out.append(("tag", name, not closes))
     put(html[at:])
-    return out
+    return out, holders
+
+
+def widened(tokens: list[tuple], holders: list[tuple], start: int, end: int) -> tuple[int, int]:
+    """The run's bounds, moved out to those of the element that holds it."""
+    paths = {h: _path(h, holders) for h in {t[2] for t in tokens[start:end] if t[0] == "plain"}}
+    common = min(paths.values(), key=len, default=[])
+    for path in paths.values():
+        common = common[:next((i for i, (a, b) in enumerate(zip(common, path)) if a != b), min(len(common), len(path)))]
+    if not common:
+        return start, end
+    own = next((h for h in reversed(common) if holders[h][0] in ("article", "main")), common[-1])
+    held = [False] * len(holders)
+    for h, (_, outer) in enumerate(holders):          # an element comes after the one around it
+        held[h] = h == own or outer >= 0 and held[outer]
+    inside = [i for i, t in enumerate(tokens) if t[0] in ("plain", "link") and t[2] >= 0 and held[t[2]]]
+    return min(start, inside[0]), max(end, inside[-1] + 1)
+
+
+def _path(holder: int, holders: list[tuple]) -> list[int]:
+    path = []
+    while holder >= 0:
+        path.append(holder)
+        holder = holders[holder][1]
+    return path[::-1]
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
@@ -127,12 +158,8 @@ def scores_of(tokens: list[tuple], weights: dict[str, float]) -> list[float]:
 
 
 def main_text(html: str | None, weights: dict[str, float], patterns) -> str:
-    tokens = tokens_of(html or "", patterns)
-    start, end = best_run(scores_of(tokens, weights))
-    around = {t[2] for t in tokens[start:end] if t[0] == "plain"}
-    if len(around) == 1 and (own := around.pop()) >= 0:
-        inside = [i for i, t in enumerate(tokens) if t[0] in ("plain", "link") and t[2] == own]
-        start, end = min(start, inside[0]), max(end, inside[-1] + 1)
+    tokens, holders = tokens_of(html or "", patterns)
+    start, end = widened(tokens, holders, *best_run(scores_of(tokens, weights)))
     blocks, parts = [], []
     for kind, text, _ in tokens[start:end]:
         if kind == "tag":
@@ -160,9 +187,9 @@ def learn(df: DataFrame, id_col: str = "page_id", html_col: str = "html", pages:
         for batch in batches:
             for html in batch.column(0).to_pylist():
                 depth = 0
-                for kind, text, content in tokens_of(html, patterns):
+                for kind, text, opens in tokens_of(html, patterns)[0]:
                     if kind == "tag":
-                        depth = max(0, depth + (1 if content else -1)) if text in ("article", "main") else depth
+                        depth = max(0, depth + (1 if opens else -1)) if text in ("article", "main") else depth
                         seen[f"tag:{text[:16]}", depth > 0] += 1
                     elif kind != "space":
                         seen[kind, depth > 0] += len(text.split())

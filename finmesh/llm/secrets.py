@@ -45,7 +45,7 @@ DATES = (r"(?:19|20)\d\d[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:0?[1-9]|[12]\d|3[01])
          r"(?:19|20)\d\d")
 LEET = str.maketrans("@4301!5$7", "aaeoiisst")
 LONGEST = 32             # characters of a word, repeat or walk; longer ones are several
-SEGMENT_BITS = 1.0       # each further segment doubles what an attacker tries
+SEGMENT_BITS = 1.0       # each segment doubles what an attacker tries
 
 
 def word_ranks(df: DataFrame, text_col: str = "text") -> dict[str, int]:
@@ -92,7 +92,7 @@ def guess_bits(value: str, ranks: dict[str, int]) -> float:
             if value[i].isdigit() and (m := re.compile(pattern).match(value, i)):
                 dates.setdefault(m.end(), []).append(i)
     # best[i]: bits of the first i characters, [0] ended by a segment, [1] within a brute-force run
-    best = [(0.0, 0.0)] + [(math.inf, math.inf)] * len(value)
+    best = [(0.0, math.inf)] + [(math.inf, math.inf)] * len(value)
     for i in range(1, len(value) + 1):
         run = min(best[i - 1][1], min(best[i - 1]) + SEGMENT_BITS) + _char_bits(value[i - 1])
         whole = math.inf

@@ -1,0 +1,101 @@
+"""Base spans against the plain patterns; guess cost against a search over all segmentations."""
+import math
+import re
+from functools import lru_cache
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from finmesh.llm import secrets as S
+
+PATTERNS = S.compiled()
+RANKS = {w: i + 1 for i, w in enumerate(S.COMMON)}
+ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def brute(text):
+    spans = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    spans += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    spans += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(spans, key=lambda s: (s[1], S.KINDS.index(s[0])))
+
+
+PIECES = st.sampled_from(["password", "PassWd", "token", "Api_Key", "ſecret", "\u212aey", "secret", "=", ":", " ", "'", '"', "AKIA", "ABCDEFGH12345678", "0123456789abcdef" * 2, "f", "hunter2x", "é", "\n", "-", "abcd1234"])
+
+
+@settings(max_examples=800, deadline=None)
+@given(st.lists(PIECES, max_size=12).map("".join))
+def test_base_spans(text):
+    base, added = S.scan(text, RANKS, PATTERNS)
+    assert base == brute(text)
+    assert all(not any(s < e2 and s2 < e for _, s2, e2 in base) for _, s, e in added)
+
+
+def slow_bits(value):
+    """All segmentations, without the tables of the fast version."""
+    lower = value.lower()
+
+    def whole(j, i):
+        part, costs = value[j:i], [math.inf]
+        if i - j >= 3:
+            costs.append(S._word_bits(value, lower, lower.translate(S.LEET), j, i, RANKS))
+            if len(set(lower[j:i])) == 1:
+                costs.append(S._char_bits(part[0]) + math.log2(i - j))
+            if S._is_walk(lower, j, i):
+                costs.append(math.log2(94 * 2 * (i - j)))
+            for k, p in enumerate(S.DATES):
+                if (m := re.compile(p).match(value, j)) and m.end() == i:
+                    costs.append(math.log2(120) if i - j == 4 else math.log2(365 * 120 * 6))
+        return min(costs)
+
+    @lru_cache(None)
+    def best(i, brute_run):
+        if i == len(value):
+            return 0.0
+        run = S._char_bits(value[i]) + (0 if brute_run else S.SEGMENT_BITS) + best(i + 1, True)
+        return min([run] + [whole(i, j) + S.SEGMENT_BITS + best(j, False) for j in range(i + 3, len(value) + 1)])
+
+    return best(0, False)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["password", "P4ssw0rd", "qwerty", "aaaa", "1990", "2001-02-03", "x", "K", "9", "$", "é", "test", "4321"]), min_size=1, max_size=4).map("".join))
+def test_guess_cost_is_the_least(value):
+    assert abs(S.guess_bits(value, RANKS) - slow_bits(value)) < 1e-6
+
+
+def test_weak_values_pass_and_strong_ones_are_found():
+    for text in ("pwd: summer2019", "login: qwerty12345", "Kennwort = hunter2", "the password is known", "clave: aaaaaaaa11"):
+        assert S.scan(text, RANKS, PATTERNS)[1] == [], text
+    for text, value in (("pwd: Xk9$vQ2!mZ7.", "Xk9$vQ2!mZ7"), ("mot de passe : 'Tr0ub4dor&3x9'", "Tr0ub4dor&3x9")):
+        (_, s, e), = S.scan(text, RANKS, PATTERNS)[1]
+        assert text[s:e] == value
+
+
+def test_documents(spark, documents):
+    df = documents.unionByName(spark.createDataFrame([(1_000_000, "é pwd: Xk9$vQ2!mZ7 x token = abcdefgh1")], "doc_id long, text string"))
+    texts = {}
+    for r in df.collect():
+        texts.setdefault(r.doc_id, r.text or "")
+    out = S.spans_of(df).collect()
+    assert len(out) == df.count()
+    for r in out:
+        base = brute(texts[r.doc_id])
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(b[0] == k for b in base) for k in S.KINDS[:3])
+        assert r.base_sha256 == S.hex_sha256(S.joined(base).encode())
+        assert set(S.joined(base).split(",")) - {""} <= set(r.spans.split(","))
+        if r.doc_id == 1_000_000:
+            assert r.spans == "guess:7:18,assign:21:38"
+
+
+def test_word_ranks_count_all_documents(documents):
+    ranks = S.word_ranks(documents)
+    assert ranks["the"] == len(S.COMMON) + 1 or ranks["the"] <= len(S.COMMON) + 10
+    assert len(ranks) <= S.DICTIONARY + len(S.COMMON)
+
+
+def test_redaction_empty_table_and_clashing_columns(spark, documents, clashing):
+    df = spark.createDataFrame([(1, "a token = abcdefgh1 b", "x"), (2, None, None), (3, "clean", "y")], "doc_id long, text string, spans string")
+    assert [(r.doc_id, r.text) for r in S.redact(df).orderBy("doc_id").collect()] == [(1, "a [SECRET] b"), (2, None), (3, "clean")]
+    assert S.spans_of(documents.limit(0)).collect() == [] == S.redact(documents.limit(0)).collect()
+    assert S.redact(clashing).columns == clashing.columns
