@@ -30,7 +30,8 @@ MAX_CHUNKS = 600_000     # dictionary size of a task at which it starts anew
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # White space of the tokenizer's own pattern; str.split() also splits at \x1c-\x1f.
 CHUNK = "[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
-APART = "\ue000"         # a private-use character between chunks that are tokenized together
+APART = "\x00"           # between parts that are tokenized together: one id, of its own
+PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"      # ASCII, without the apostrophe of contractions
 
 
 def chunks_of(text: str) -> list[str]:
@@ -46,22 +47,36 @@ def chunks_of(text: str) -> list[str]:
     return text.split()
 
 
-def encode_chunks(tokenizer, chunks: list[str]):
-    """(ids of all chunks one after another, number of ids of each)."""
+def load_tokenizer(content: str):
+    """One tokenizer for all tasks of a Python worker: loading it anew leaves memory behind each time."""
+    import hashlib
+
+    import tokenizers
+    loaded = vars(tokenizers).setdefault("_loaded", {})
+    key = hashlib.sha256(content.encode()).digest()
+    if key not in loaded:
+        loaded[key] = tokenizers.Tokenizer.from_str(content)
+        loaded[key].encode_special_tokens = True     # their strings in a text are ordinary text
+    return loaded[key]
+
+
+def parts_of(chunk: str) -> tuple[str, str]:
+    """A chunk and the punctuation that ends it, where the tokenizer's pattern cuts between the two."""
+    stem = chunk.rstrip(PUNCTUATION)
+    # İ is the letter whose lower case ends with a mark, which goes with the signs after it
+    return (stem, chunk[len(stem):]) if stem and stem[-1].isalnum() and stem[-1] != "İ" else (chunk, "")
+
+
+def encode_parts(tokenizer, parts: list[str]):
+    """(ids of all parts one after another, number of ids of each)."""
     import numpy as np
-    odd = {i for i, c in enumerate(chunks) if APART in c}
-    if odd:
-        own = [np.array(tokenizer.encode(c, add_special_tokens=False).ids, np.int64) for c in chunks]
+    if any(APART in p for p in parts):
+        own = [np.array(tokenizer.encode(p, add_special_tokens=False).ids, np.int64) for p in parts]
         return np.concatenate(own), np.array([len(x) for x in own])
-    mark = np.array(tokenizer.encode(APART, add_special_tokens=False).ids)
-    ids = np.array(tokenizer.encode_batch_fast([f" {APART} ".join(["", *chunks, ""])], add_special_tokens=False)[0].ids)
-    k = len(mark)
-    at = np.flatnonzero(np.logical_and.reduce([ids[i:len(ids) - k + 1 + i] == mark[i] for i in range(k)]))
-    lens = np.diff(at) - k
-    keep = np.ones(len(ids), dtype=bool)
-    for i in range(k):
-        keep[at + i] = False
-    return ids[keep], lens
+    mark, = tokenizer.encode(APART, add_special_tokens=False).ids
+    ids = np.array(tokenizer.encode_batch_fast([f" {APART} ".join(["", *parts, ""])], add_special_tokens=False)[0].ids)
+    at = np.flatnonzero(ids == mark)
+    return np.delete(ids, at), np.diff(at) - 1
 
 
 def pieces(df: DataFrame, tokenizer_json: str, size: int = 2048, closing_id: int = 0,
@@ -72,29 +87,35 @@ def pieces(df: DataFrame, tokenizer_json: str, size: int = 2048, closing_id: int
 
         import numpy as np
         import pyarrow as pa
-        from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(tokenizer_json)
-        tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
-        known, flat, ends, n_flat = _Known(), np.empty(1 << 16, np.int32), np.zeros(1 << 12, np.int64), 0
+        tokenizer = load_tokenizer(tokenizer_json)
+        empty = lambda: (_Known(), _Known(), np.zeros((1 << 12, 2), np.int64), np.empty(1 << 16, np.int32), np.zeros(1 << 12, np.int64), 0)
+        chunks, parts, parts_at, flat, ends, n_flat = empty()
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                if len(known) > MAX_CHUNKS:
-                    known, n_flat = _Known(), 0
-                before, places = len(known), []
+                if len(chunks) > MAX_CHUNKS:
+                    chunks, parts, parts_at, flat, ends, n_flat = empty()
+                before, places = len(chunks), []
                 for text in part.column(1):
                     found = chunks_of(text.as_py())
-                    places.append(np.fromiter(map(known.__getitem__, found), dtype=np.int64, count=len(found)))
-                if known.added:
-                    ids, lens = encode_chunks(tokenizer, known.added)
-                    flat, ends = _room(flat, n_flat, len(ids)), _room(ends, before + 1, len(lens))
+                    places.append(np.fromiter(map(chunks.__getitem__, found), dtype=np.int64, count=len(found)))
+                if chunks.added:
+                    n_parts = len(parts)
+                    pairs = np.array([(parts[a], parts[b]) for a, b in map(parts_of, chunks.added)], np.int64)
+                    parts_at = _room(parts_at, before, len(pairs))
+                    parts_at[before:before + len(pairs)] = pairs
+                    chunks.added.clear()
+                if parts.added:
+                    ids, lens = encode_parts(tokenizer, parts.added)
+                    flat, ends = _room(flat, n_flat, len(ids)), _room(ends, n_parts + 1, len(lens))
                     flat[n_flat:n_flat + len(ids)] = ids
-                    ends[before + 1:before + 1 + len(lens)] = n_flat + np.cumsum(lens)
+                    ends[n_parts + 1:n_parts + 1 + len(lens)] = n_flat + np.cumsum(lens)
                     n_flat += len(ids)
-                    known.added.clear()
+                    parts.added.clear()
                 rows = []
                 for doc_id, own in zip(part.column(0).to_pylist(), places):
+                    own = parts_at[own].ravel()
                     starts, lens = ends[own], ends[own + 1] - ends[own]
                     ids = np.append(flat[np.repeat(starts - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())], closing_id).astype("<u4")
                     rows += [(doc_id, k, at, len(cut), zlib.crc32(cut.tobytes()))
