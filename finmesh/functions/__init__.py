@@ -4,6 +4,6 @@ from finmesh.functions.text import (  # noqa: F401
 )
 from finmesh.functions.coerce import (  # noqa: F401
     parse_date, parse_int_number, parse_decimal, parse_int_id, truthy,
-    allocated_amount, percent_complete_tenths, percent_complete,
+    allocated_amount, percent_complete,
 )
-from finmesh.functions.nested import first_nested_value, json_field  # noqa: F401
+from finmesh.functions.nested import first_nested_value, first_of_nested, json_field  # noqa: F401

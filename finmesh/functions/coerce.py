@@ -9,6 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+# A date, alone or with a time of day and zone; a decimal number.
+_DATE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?( ?(Z|UTC|[+-]\d{2}:?\d{2}))?)?$"
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -16,18 +21,21 @@ def _col(c) -> Column:
 def parse_date(c) -> Column:
     """Date as written, or null.
 
-    Accepts ``YYYY-MM-DD`` and ``YYYY-MM-DDThh:mm:ssZ``.  Cast straight to
-    DATE (never through a timestamp) so ``2026-12-31T23:30:00Z`` is 2026-12-31
+    Accepts ``YYYY-MM-DD``, alone or before a time of day (and zone); anything
+    else after the date makes the value null.  The date part is cast on its
+    own (never through a timestamp) so ``2026-12-31T23:30:00Z`` is 2026-12-31
     in every session time zone.
     """
-    return _col(c).try_cast("date")
+    text = F.trim(_col(c))
+    return F.when(text.rlike(_DATE), F.substring(text, 1, 10).try_cast("date"))
 
 
 def parse_int_number(c) -> Column:
     """Numeric string into an INT column: parsed as a number (``'1.5'`` is
-    1.5, junk is null) and rounded half away from zero on the way into INT."""
-    d = _col(c).try_cast("double")
-    return F.when(F.isnan(d), F.lit(None)).otherwise(F.round(d, 0).try_cast("int"))
+    1.5, junk is null, and so are the JVM's own forms such as ``'3d'``) and
+    rounded half away from zero on the way into INT."""
+    text = F.trim(_col(c).cast("string"))
+    return F.when(text.rlike(_NUMBER), F.round(text.try_cast("double"), 0).try_cast("int"))
 
 
 def parse_decimal(c, precision: int = 20, scale: int = 2) -> Column:
@@ -53,15 +61,8 @@ def allocated_amount(totalamt, sector_percent) -> Column:
     return (amt * pct * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(30,8)")
 
 
-def percent_complete_tenths(landed, total) -> Column:
-    """Percent landed in tenths of a percent, rounded half-up on the exact
-    ratio (integer arithmetic, no binary rounding).  Null when total is 0."""
-    num = _col(landed).cast("long") * 2000 + _col(total).cast("long")
-    den = _col(total).cast("long") * 2
-    exact_multiple = num - (num % den)
-    return F.when(_col(total) > 0, (exact_multiple / den).cast("long"))
-
-
 def percent_complete(landed, total) -> Column:
-    """``round(landed / total * 100, 1)``; null (the source prints '?') when total is 0."""
-    return percent_complete_tenths(landed, total).cast("double") / F.lit(10.0)
+    """``round(landed / total * 100, 1)``, ties to the even tenth (49 of 400 is
+    12.2); null (the source prints '?') when total is 0."""
+    ratio = _col(landed).cast("double") / F.nullif(_col(total), F.lit(0)).cast("double")
+    return F.bround(ratio * 100, 1)

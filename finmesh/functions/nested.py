@@ -20,12 +20,19 @@ def json_field(raw, name: str) -> Column:
     return F.try_element_at(F.from_json(_col(raw), _MAP), F.lit(name))
 
 
-def first_nested_value(raw) -> Column:
-    """``{'0': {k: v, ...}}`` -> ``v`` (first entry); otherwise ``raw``."""
-    raw = _col(raw)
-    is_obj = F.ltrim(raw).startswith("{")
-    zero = F.try_element_at(F.from_json(raw, _MAP), F.lit("0"))
-    inner = F.from_json(zero, _MAP)
-    first = F.try_element_at(F.map_values(inner), F.lit(1))
-    has_inner = is_obj & F.ltrim(zero).startswith("{") & (F.size(inner) > 0)
-    return F.when(has_inner, first).otherwise(raw)
+NESTED = "map<string,map<string,string>>"
+
+
+def first_of_nested(nested, raw) -> Column:
+    """``{'0': {k: v, ...}}`` -> ``v`` (first entry); otherwise ``raw``.
+
+    ``nested`` is the value parsed as a map of maps (null where it is none),
+    ``raw`` the same value as text.  A JSON *string* that looks like a map is
+    no map, which the text alone would not show."""
+    return F.coalesce(F.try_element_at(F.map_values(F.try_element_at(_col(nested), F.lit("0"))), F.lit(1)), _col(raw))
+
+
+def first_nested_value(record, name: str) -> Column:
+    """Field ``name`` of a JSON record held as text, by the rule above."""
+    nested = F.from_json(_col(record), f"`{name}` {NESTED}").getField(name)
+    return first_of_nested(nested, json_field(record, name))

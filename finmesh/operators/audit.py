@@ -28,7 +28,7 @@ def fk_audit(child: DataFrame, parent: DataFrame, child_cols: Sequence[str],
     not_null = F.lit(True)
     for c in child_cols:
         not_null = not_null & F.col(c).isNotNull()
-    p = parent.select(*[F.col(a).alias(b) for a, b in zip(parent_cols, child_cols)]).distinct()
+    p = parent.select(*[F.col(a).alias(b) for a, b in zip(parent_cols, child_cols)])
     return child.filter(not_null).join(p, list(child_cols), "left_anti")
 
 
@@ -44,17 +44,12 @@ def null_audit(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def length_audit(df: DataFrame, widths: Mapping[str, int], keys: Sequence[str]) -> DataFrame:
-    """Values longer than their declared width (K5):
+    """Values longer than their declared width (K5), all columns in one scan:
     ``keys..., column_name, width, value_length``."""
-    parts = []
-    for c, w in widths.items():
-        parts.append(df.select(*keys, F.lit(c).alias("column_name"), F.lit(w).alias("width"),
-                               F.length(F.col(c)).cast("long").alias("value_length"))
-                       .filter(F.col("value_length") > F.lit(w)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    over = F.filter(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(w).alias("width"),
+                                       F.length(F.col(c)).cast("long").alias("value_length"))
+                              for c, w in widths.items()]), lambda x: x["value_length"] > x["width"])
+    return df.select(*keys, F.inline(over))
 
 
 def max_length(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -84,39 +79,39 @@ def load_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
+def column_profile(df: DataFrame, exact: bool = False, rsd: float = 0.01) -> DataFrame:
     """Per column: type, rows, nulls, distinct values, smallest and largest
     value as text (A9).
 
-    Exact distinct counts are one aggregate of ``count_distinct`` only (Spark
-    expands rows once per distinct column); the plain aggregates (nulls,
-    min, max) run in a separate single pass delivered as one struct-valued
-    scalar subquery, so they are not carried through that expansion.
-    ``exact=False`` uses HyperLogLog sketches (``approx_count_distinct``):
-    one pass, a fixed-size state per column, nothing distinct shuffled."""
+    By default one pass with a HyperLogLog sketch per column, a fixed-size
+    state, nothing distinct shuffled.  ``exact=True`` counts column by column
+    (``groupBy`` on the value, combined on the map side), so no row is
+    expanded once per column; give it a stored table, as it scans each column."""
     cols = df.columns
     plain = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):
         plain += [F.count_if(F.col(c).isNull()).alias(f"__n{i}"),
                   F.min(F.col(c)).cast("string").alias(f"__lo{i}"),
                   F.max(F.col(c)).cast("string").alias(f"__hi{i}")]
-    distinct = [(F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c))).alias(f"__d{i}")
-                for i, c in enumerate(cols)]
-    if exact:
-        stats = df.agg(*plain).select(F.struct("*").alias("__s")).scalar()
-        agg = df.agg(*distinct).select("*", stats.alias("__s")).select(
-            *[f"__d{i}" for i in range(len(cols))], "__s.*")
-    else:
-        agg = df.agg(*plain, *distinct)
+        if not exact:
+            plain.append(F.approx_count_distinct(F.col(c), rsd).alias(f"__d{i}"))
+    stats = df.agg(*plain)
     types = dict(df.dtypes)
-    rows = ", ".join(f"'{c}', '{types[c]}', `__n{i}`, `__d{i}`, `__lo{i}`, `__hi{i}`"
+    rows = ", ".join(f"'{c}', '{types[c]}', `__n{i}`, {'null' if exact else f'`__d{i}`'}, `__lo{i}`, `__hi{i}`"
                      for i, c in enumerate(cols))
-    return agg.select(
+    out = stats.select(
         F.expr(f"stack({len(cols)}, {rows}) as "
                "(column_name, data_type, null_count, distinct_count, min_value, max_value)"),
-        F.col("__rows").alias("row_count"),
-    ).select("column_name", "data_type", "row_count", "null_count",
-             F.col("distinct_count").cast("long").alias("distinct_count"), "min_value", "max_value")
+        F.col("__rows").alias("row_count"))
+    if exact:
+        counts = None
+        for c in cols:
+            one = df.select(c).where(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1)).alias("distinct_count")).select(
+                F.lit(c).alias("column_name"), "distinct_count")
+            counts = one if counts is None else counts.unionByName(one)
+        out = out.drop("distinct_count").join(counts, "column_name")
+    return out.select("column_name", "data_type", "row_count", "null_count",
+                      F.col("distinct_count").cast("long").alias("distinct_count"), "min_value", "max_value")
 
 
 def region_checks(country: DataFrame, country_col: str = "countryshortname",

@@ -67,8 +67,15 @@ def explode_sectors(df: DataFrame, raw, keep: Sequence[str] = ()) -> DataFrame:
     The two levels are flattened with higher-order functions into one array
     of ``(ms_pos, major_sector_code, s_pos, sector)`` and exploded once, so no
     intermediate row carries the nested list."""
-    # positions count every entry of the list, as in explode_major_sectors;
-    # an entry without a major sector contributes no sectors
+    x = df.select(*keep, F.inline(sector_items(df, raw)))
+    return x.select(*keep, "ms_pos", "major_sector_code", "s_pos", "sector_code", "sector_name",
+                    "sector_percent")
+
+
+def sector_items(df: DataFrame, raw) -> Column:
+    """The rows of ``explode_sectors`` as one array.  Positions count every
+    entry of the list, as in explode_major_sectors; an entry without a major
+    sector contributes no sectors."""
     per_major = F.transform(_sector_list(df, raw), lambda m, i: F.transform(
         F.coalesce(m["major_sector"]["sectors"], F.array()),
         lambda sec, j: F.struct(i.alias("ms_pos"),
@@ -77,9 +84,7 @@ def explode_sectors(df: DataFrame, raw, keep: Sequence[str] = ()) -> DataFrame:
                                 sec["sector_code"].alias("sector_code"),
                                 sec["sector_name"].alias("sector_name"),
                                 sec["sector_percent"].alias("sector_percent"))))
-    x = df.select(*keep, F.inline(F.flatten(per_major)))
-    return x.select(*keep, "ms_pos", "major_sector_code", "s_pos", "sector_code", "sector_name",
-                    "sector_percent")
+    return F.flatten(per_major)
 
 
 def explode_map_field(df: DataFrame, raw, field: str, out: str,
@@ -94,6 +99,21 @@ def explode_map_field(df: DataFrame, raw, field: str, out: str,
     return x.filter(F.length(out) > 0)
 
 
+def map_items(raw, field: str) -> Column:
+    """The kept values of ``explode_map_field`` as one array."""
+    raw = _col(raw)
+    entries = F.when(F.ltrim(raw).startswith("{"), F.map_values(F.from_json(raw, "map<string,string>")))
+    names = F.transform(entries, lambda e: strip_ws(F.coalesce(json_field(e, field), F.lit(""))))
+    return F.filter(names, lambda x: F.length(x) > 0)
+
+
+def major_sector_items(df: DataFrame, raw) -> Column:
+    """The entries of ``explode_major_sectors`` as one array."""
+    kept = F.filter(_sector_list(df, raw), lambda m: m["major_sector"].isNotNull())
+    return F.transform(kept, lambda m: F.struct(m["major_sector"]["major_sector_code"].alias("major_sector_code"),
+                                                m["major_sector"]["major_sector_name"].alias("major_sector_name")))
+
+
 def explode_keyed_records(df: DataFrame, body, field: str, value_type=None,
                           keep: Sequence[str] = (), extra: Sequence[tuple] = ()) -> DataFrame:
     """``{field: {key: record, ...}, <extra>}`` into ``pos, record_key, record``

@@ -1,12 +1,8 @@
-"""Semi-joins to known parents (J6-J8) and the broadcast policy.
+"""Semi-joins to known parents.
 
-Broadcast policy: an explicit ``broadcast`` hint is only put on frames whose
-size is bounded by their domain, not by the data (countries, regions, the
-partition-count frame of surrogate keys, literal member lists).  Every other
-join is left to Catalyst + AQE, which broadcast a side only after measuring
-it at runtime against ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
-use a shuffled sort-merge or hash join; AQE's skew-join splitting handles hot
-keys.
+No broadcast hints: Catalyst and AQE broadcast a side after measuring it
+against ``spark.sql.autoBroadcastJoinThreshold`` and otherwise use a shuffled
+sort-merge or hash join; AQE's skew-join splitting handles hot keys.
 """
 from __future__ import annotations
 
@@ -16,22 +12,9 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def keep_known(df: DataFrame, known: DataFrame, cols: Sequence[str],
-               known_cols: Sequence[str] | None = None, bounded: bool = False) -> DataFrame:
+               known_cols: Sequence[str] | None = None) -> DataFrame:
     """Rows of ``df`` whose ``cols`` exist in ``known`` (``left_semi``); a
-    null never matches.  ``bounded=True`` marks ``known`` as domain-bounded
-    and broadcasts it."""
+    null never matches."""
     known_cols = list(known_cols or cols)
     k = known.select(*[F.col(a).alias(b) for a, b in zip(known_cols, cols)])
-    if bounded:
-        k = F.broadcast(k)
     return df.join(k, list(cols), "left_semi")
-
-
-def drop_known(df: DataFrame, known: DataFrame, cols: Sequence[str],
-               known_cols: Sequence[str] | None = None, bounded: bool = False) -> DataFrame:
-    """Rows of ``df`` whose ``cols`` are absent from ``known`` (``left_anti``)."""
-    known_cols = list(known_cols or cols)
-    k = known.select(*[F.col(a).alias(b) for a, b in zip(known_cols, cols)])
-    if bounded:
-        k = F.broadcast(k)
-    return df.join(k, list(cols), "left_anti")

@@ -12,10 +12,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from finmesh.session import checkpoint_dir, scratch_path
+from finmesh.session import scratch_path
 
 _PID, _LOCAL, _OFFSET = "__pid", "__local", "__offset"
 
@@ -24,26 +23,28 @@ def _cols(cs) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
+ROWS_PER_PARTITION = 250_000
+
+
+def partitions_for(rows: int) -> int:
+    """Range partitions for so many rows; the offsets frame has one row per partition."""
+    return max(1, -(-rows // ROWS_PER_PARTITION))
+
+
 def with_surrogate_key(df: DataFrame, order: Sequence, name: str, start: int | Column = 1,
-                       num_partitions: int | None = None, persist_input: bool = False) -> DataFrame:
+                       num_partitions: int | None = None) -> DataFrame:
     """Append ``name`` = dense row number (from ``start``) in ``order``.
 
     Equal to ``row_number() OVER (ORDER BY order) + start - 1`` whenever the
     order is total; ties get consecutive numbers in an unspecified order.
     ``start`` may be a Column, e.g. a scalar subquery over an already loaded
-    table (see ``append_with_keys``).  ``num_partitions`` (default: the
-    session's shuffle partitions) should follow the data size, e.g. rows /
-    10 million; the offsets frame has one row per partition.
-    ``persist_input`` keeps the input for the range-bounds sample and the
-    shuffle that follows it: one evaluation of an expensive input (a join)
-    instead of two; not worth it for a cheap input (a scan or an explode).
+    table (see ``append_with_keys``).  ``num_partitions`` follows the row count
+    unless given.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or partitions_for(df.count())
     order_cols = _cols(order)
-    source = df.persist(StorageLevel.MEMORY_AND_DISK) if persist_input else df
-    numbered = (source.repartitionByRange(n, *order_cols)
+    numbered = (df.repartitionByRange(n, *order_cols)
                       .sortWithinPartitions(*order_cols)
                       .withColumn(_PID, F.spark_partition_id())
                       .withColumn(_LOCAL, F.monotonically_increasing_id()
@@ -52,41 +53,64 @@ def with_surrogate_key(df: DataFrame, order: Sequence, name: str, start: int | C
     # compressed); numbering is then fixed even if an executor is lost later.
     path = scratch_path(spark, "surrogate-key")
     numbered.write.mode("overwrite").parquet(path)
-    if persist_input:
-        source.unpersist()
-    numbered = spark.read.parquet(path)
+    numbered = spark.read.schema(numbered.schema).parquet(path)
     counts = numbered.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         _PID,
         (F.sum("__n").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)))
         .alias(_OFFSET))
-    out = numbered.join(F.broadcast(offsets), _PID, "left")
+    out = numbered.join(F.broadcast(offsets), _PID, "left")   # one row per partition
     first = start if isinstance(start, Column) else F.lit(start)
     key = (F.coalesce(F.col(_OFFSET), F.lit(0)) + F.col(_LOCAL) + first).cast("long").alias(name)
     return out.select(*[F.col(c) for c in df.columns], key)
 
 
+def with_list_offsets(df: DataFrame, order: Sequence[str], lists: Sequence[str]) -> DataFrame:
+    """``df`` with ``<list>_before`` for each array column of ``lists``: how many
+    items of that list come in rows before this one.  A bridge table then
+    numbers its rows by ``<list>_before + position + 1`` while it explodes the
+    list: one numbering of the records serves all their bridges, and no
+    exploded row is ever sorted.
+
+    The frame is stored once; only row numbers, order and list sizes are
+    range-partitioned and summed.
+    """
+    spark = df.sparkSession
+
+    def stored(frame: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        frame.write.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
+
+    rows = stored(df.withColumn("__row", F.monotonically_increasing_id()), "list-rows")
+    sizes = rows.select("__row", *order, *[F.coalesce(F.size(c), F.lit(0)).cast("long").alias(f"{c}_before") for c in lists])
+    placed = stored(sizes.repartitionByRange(partitions_for(rows.count()), *order).withColumn(_PID, F.spark_partition_id()), "list-sizes")
+    names = [f"{c}_before" for c in lists]
+    earlier = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)       # one row per partition
+    starts = placed.groupBy(_PID).agg(*[F.sum(c).alias(c) for c in names]).select(
+        _PID, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"__{c}") for c in names])
+    within = Window.partitionBy(_PID).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    running = placed.select("__row", _PID, *[F.coalesce(F.sum(c).over(within), F.lit(0)).alias(c) for c in names])
+    offsets = stored(running.join(starts, _PID).select("__row", *[(F.col(c) + F.col(f"__{c}")).alias(c) for c in names]), "list-offsets")
+    return rows.join(offsets, "__row").drop("__row")
+
+
 def resolve_parent_key(children: DataFrame, parents: DataFrame, keys: Sequence[str],
-                       id_col: str, mode: str = "unique") -> DataFrame:
+                       id_col: str) -> DataFrame:
     """Attach the parent's surrogate ``id_col`` to each child by natural ``keys``
     (left join: children without a parent keep a null id).
 
-    ``mode='unique'``: parents are first reduced to one id per key (the first
-    inserted, i.e. the smallest id), so the result has exactly one row per
-    child.  ``mode='all'`` is the source's many-to-many merge: a child
-    matches every parent row with the same key.  Its output is the product of
-    the two group sizes per key, so use ``fanout_report`` to size it first.
+    Parents are first reduced to one id per key (the first inserted, i.e. the
+    smallest id), so the result has exactly one row per child.  The source's
+    many-to-many merge emits the product of the group sizes per key;
+    ``fanout_report`` gives that number without emitting a pair.
     """
-    if mode not in ("unique", "all"):
-        raise ValueError("mode must be 'unique' or 'all'")
-    p = parents.select(*keys, id_col)
-    if mode == "unique":
-        p = p.groupBy(*keys).agg(F.min(id_col).alias(id_col))
+    p = parents.groupBy(*keys).agg(F.min(id_col).alias(id_col))
     return children.join(p, list(keys), "left")
 
 
 def fanout_report(children: DataFrame, parents: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: how many rows each resolve mode yields, computed from per-key
+    """One row: how many rows a many-to-many merge would yield, computed from per-key
     counts (pre-aggregated on both sides) without emitting any pair."""
     c = children.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
     p = parents.groupBy(*keys).agg(F.count(F.lit(1)).alias("__p"))

@@ -7,20 +7,18 @@ give the same rows.  Column names and types are aligned on both sides.
 """
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finmesh.functions.coerce import (
     parse_date, parse_decimal, parse_int_id, parse_int_number,
 )
 from finmesh.functions.nested import first_nested_value, json_field
-from finmesh.functions.text import WS_CLASS
 from finmesh.operators import audit
 from finmesh.operators.dedup import distinct_values, keep_first, keep_last
 from finmesh.operators.generators import (
     explode_delimited, explode_major_sectors, explode_map_field, explode_sectors,
 )
+from finmesh.operators.filters import exclude_members
 from finmesh.operators.joins import keep_known
 from finmesh.operators.keys import fanout_report, resolve_parent_key, with_surrogate_key
 from finmesh.plans import marts, normalize, pageplan
@@ -30,7 +28,7 @@ from finmesh.plans.standins import DriverTables, percent_of_discount
 from finmesh.session import scratch_path
 from finmesh.sources import pages as P
 from finmesh.sources import sinks
-from finmesh.sources.files import read_typed_csv
+from finmesh.sources.files import read_table, read_typed_csv
 
 # The country of the flagship chart and the sector names hand-excluded
 # from it (driver-table stand-ins for the chart's country filter and exclusion list).
@@ -42,12 +40,13 @@ EXCLUDED_SECTORS = [
 ]
 TOP_K = 10
 # Page geometry for the page-plan stand-in (events per day instead of documents per year).
-PAGE_SIZE, MAX_RECORDS = 100, 10_000
+PAGE_SIZE, SERVED = 100, 1_000
 # Declared text width for the length audit (VARCHAR(255)).
 TEXT_WIDTH = 255
 
-# The white-space set is a fixed value shared with the library (both engines read the class).
-_STRIP = f"^{WS_CLASS}+|{WS_CLASS}+$"
+# White space by Python's str.isspace(), written out for the oracle on its own.
+_WS = "[" + "".join(chr(c) for c in range(0x110000) if chr(c).isspace()) + "]"
+_STRIP = f"^{_WS}+|{_WS}+$"
 
 
 def _sql_list(xs):
@@ -99,9 +98,9 @@ CTE_ALLOC = f"""alloc AS (
   FROM projects_m p JOIN psl_lean ps ON p.project_id = ps.project_id
   JOIN sl_m sl ON ps.sector_code = sl.sector_code)"""
 CTE_COUNTRY_ROWS = """country_rows AS (
-  SELECT o.o_orderkey AS pos, n.n_name AS countryshortname,
-         CASE o.o_orderpriority WHEN '1-URGENT' THEN n.n_name WHEN '2-HIGH' THEN 'Other'
-              WHEN '3-MEDIUM' THEN NULL ELSE r.r_name END AS regionname
+  SELECT o.o_orderkey AS pos, CASE WHEN c.c_custkey % 97 = 0 THEN 'Other' ELSE n.n_name END AS countryshortname,
+         CASE o.o_orderpriority WHEN '1-URGENT' THEN CASE WHEN c.c_custkey % 97 = 0 THEN 'Other' ELSE n.n_name END
+              WHEN '2-HIGH' THEN 'Other' WHEN '3-MEDIUM' THEN NULL ELSE r.r_name END AS regionname
   FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
   LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)"""
@@ -187,7 +186,7 @@ FROM projects_m p JOIN psl_lean ps ON ps.project_id = p.project_id
 JOIN sl_m sl ON sl.sector_code = ps.sector_code""")
 def q_project_sector_percent(spark, sf_dir):
     t = DriverTables(spark, sf_dir)
-    return marts.project_sector_percent(S.projects(t), S.project_sectors_lean(t), S.proj_sector_lookup(t))
+    return marts.project_sector_percent(S.project_ids(t), S.project_sectors_lean(t), S.proj_sector_lookup(t))
 
 
 @query("project_major_sector", _with(CTE_PROJECTS, CTE_PMS, CTE_MSL) + """
@@ -196,22 +195,17 @@ FROM projects_m p JOIN pms_m pms ON pms.project_id = p.project_id
 JOIN msl_m msl ON msl.major_sector_code = pms.major_sector_code""")
 def q_project_major_sector(spark, sf_dir):
     t = DriverTables(spark, sf_dir)
-    return marts.project_major_sector(S.projects(t), S.project_major_sectors(t), S.major_sector_lookup(t))
-
-
-@query("project_sector_detail", _with(CTE_PROJECTS, CTE_PS, CTE_PMS, CTE_PSL, CTE_MSL) + """
-SELECT p.project_id, msl.major_sector_code, msl.major_sector_name, sl.sector_code, sl.sector_name,
-       ps.sector_percent
-FROM projects_m p
-JOIN pms_m pms ON p.project_id = pms.project_id
-JOIN msl_m msl ON pms.major_sector_code = msl.major_sector_code
-JOIN ps_m ps ON pms.project_major_sector_id = ps.project_major_sector_id
-JOIN sl_m sl ON ps.sector_code = sl.sector_code
-ORDER BY p.project_id, msl.major_sector_code, sl.sector_code""")
+    return marts.project_major_sector(S.project_ids(t), S.project_major_sectors(t), S.major_sector_lookup(t))
+
+
+@query("project_sector_detail", f"""
+SELECT l_orderkey AS project_id, p_type AS major_sector_code, lower(p_type) AS major_sector_name,
+       l_partkey AS sector_code, p_name AS sector_name, {PCT.format(c='l_discount')} AS sector_percent
+FROM part, lineitem WHERE p_partkey = l_partkey AND l_orderkey IN (SELECT o_orderkey FROM orders)""")
 def q_project_sector_detail(spark, sf_dir):
     t = DriverTables(spark, sf_dir)
     m = S.model(t)
-    return marts.project_sector_detail(m["projects"], m["project_major_sectors"],
+    return marts.project_sector_detail(S.project_ids(t), m["project_major_sectors"],
                                        m["major_sector_lookup"], m["project_sectors"],
                                        m["proj_sector_lookup"])
 
@@ -226,24 +220,25 @@ def q_sector_mart(spark, sf_dir):
                              m["project_sectors"], m["proj_sector_lookup"])
 
 
-@query("sector_coverage", _with(CTE_PS_LEAN) + """
-SELECT COUNT(DISTINCT project_id) AS projects_with_sector_data,
-       COUNT(DISTINCT CASE WHEN sector_percent != 0 THEN project_id END) AS projects_with_nonzero_percent,
-       COUNT(DISTINCT CASE WHEN sector_percent = 0 THEN project_id END) AS projects_with_zero_percent
-FROM psl_lean""")
+@query("sector_coverage", """
+WITH flags AS (SELECT l_orderkey, bool_or(round(l_discount * 100, 2) <> 0) AS nonzero, bool_or(round(l_discount * 100, 2) = 0) AS zero
+               FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey)
+SELECT count(*) AS projects_with_sector_data,
+       count(*) FILTER (WHERE nonzero) AS projects_with_nonzero_percent,
+       count(*) FILTER (WHERE zero) AS projects_with_zero_percent FROM flags""")
 def q_sector_coverage(spark, sf_dir):
     return marts.sector_coverage(S.project_sectors_lean(DriverTables(spark, sf_dir)))
 
 
-@query("sector_coverage_total", _with(CTE_PROJECTS, CTE_PS_LEAN) + """
-SELECT (SELECT COUNT(*) FROM projects_m) AS total_projects,
-       COUNT(DISTINCT project_id) AS projects_with_sector_data,
-       COUNT(DISTINCT CASE WHEN sector_percent != 0 THEN project_id END) AS projects_with_nonzero_percent,
-       COUNT(DISTINCT CASE WHEN sector_percent = 0 THEN project_id END) AS projects_with_zero_percent
-FROM psl_lean""")
+@query("sector_coverage_total", """
+WITH flags AS (SELECT l_orderkey, bool_or(round(l_discount * 100, 2) <> 0) AS nonzero, bool_or(round(l_discount * 100, 2) = 0) AS zero
+               FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey)
+SELECT (SELECT count(*) FROM orders) AS total_projects, count(*) AS projects_with_sector_data,
+       count(*) FILTER (WHERE nonzero) AS projects_with_nonzero_percent,
+       count(*) FILTER (WHERE zero) AS projects_with_zero_percent FROM flags""")
 def q_sector_coverage_total(spark, sf_dir):
     t = DriverTables(spark, sf_dir)
-    return marts.sector_coverage_total(S.projects(t), S.project_sectors_lean(t))
+    return marts.sector_coverage_total(S.project_ids(t), S.project_sectors_lean(t))
 
 
 # ================================================================== dedup and keys
@@ -318,10 +313,10 @@ SELECT c.l_orderkey AS project_id, c.l_linenumber AS major_sector_code, c.l_part
        pu.pid AS project_major_sector_id
 FROM lineitem c LEFT JOIN pu ON c.l_orderkey = pu.l_orderkey AND c.l_linenumber = pu.l_linenumber""")
 def q_resolve_parent_key(spark, sf_dir):
-    """J5 (unique mode): one parent id per child, parents deduplicated first."""
+    """One parent id per child, parents deduplicated first."""
     parents, children = _parents_children(spark, sf_dir)
     return resolve_parent_key(children, parents, ["project_id", "major_sector_code"],
-                              "project_major_sector_id", mode="unique")
+                              "project_major_sector_id")
 
 
 @query("parent_key_fanout", """
@@ -332,7 +327,7 @@ SELECT CAST(sum(n) AS BIGINT) AS child_rows,
        count(*) FILTER (WHERE n > 1) AS repeated_parent_keys
 FROM c""")
 def q_parent_key_fanout(spark, sf_dir):
-    """J5 (all mode) sized without emitting pairs: rows the many-to-many merge would give."""
+    """The size of a many-to-many merge, without emitting its pairs."""
     t = DriverTables(spark, sf_dir)
     keys = [F.col("l_orderkey").alias("project_id"), F.col("l_linenumber").alias("major_sector_code")]
     parents = t("lineitem", "l_orderkey", "l_linenumber").select(*keys)   # ids are not needed to count
@@ -352,17 +347,22 @@ def q_semi_known_parents(spark, sf_dir):
 
 
 @query("semi_known_countries", """
-SELECT c_custkey, c_name FROM customer c
-WHERE EXISTS (SELECT 1 FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
-              WHERE n.n_nationkey = c.c_nationkey AND r.r_name IN ('AFRICA', 'ASIA'))""")
+SELECT c_custkey, c_name FROM customer WHERE c_nationkey IN (SELECT s_nationkey FROM supplier)""")
 def q_semi_known_countries(spark, sf_dir):
-    """Keep rows whose country is in a known (bounded, broadcast) set."""
+    """Customers of the countries that have a supplier."""
+    t = DriverTables(spark, sf_dir)
+    return keep_known(t("customer", "c_custkey", "c_name", "c_nationkey"), t("supplier", "s_nationkey"),
+                      ["c_nationkey"], ["s_nationkey"]).drop("c_nationkey")
+
+
+@query("exclude_known_members", """
+SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+WHERE l_partkey IS NULL OR l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_type LIKE '%A%' AND p_partkey IS NOT NULL)""")
+def q_exclude_known_members(spark, sf_dir):
+    """P9 with the members as a table: an anti join that keeps nulls."""
     t = DriverTables(spark, sf_dir)
-    known = (t("nation", "n_nationkey", "n_regionkey")
-             .join(t("region", "r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
-             .filter(F.col("r_name").isin("AFRICA", "ASIA")))
-    return keep_known(t("customer", "c_custkey", "c_name", "c_nationkey"), known,
-                      ["c_nationkey"], ["n_nationkey"], bounded=True).drop("c_nationkey")
+    members = t("part", "p_partkey", "p_type").where(F.col("p_type").contains("A")).select("p_partkey")
+    return exclude_members(t("lineitem", "l_orderkey", "l_linenumber", "l_partkey"), "l_partkey", members)
 
 
 # ================================================================== audits K2-K6
@@ -496,8 +496,8 @@ def _sector_records(t: DriverTables) -> DataFrame:
     major = F.when(F.col("l_returnflag") == "R", F.lit('"n/a"')).otherwise(F.to_json(F.array(ms0, ms1)))
     record = F.concat(F.lit('{"id":"'), F.col("l_orderkey").cast("string"),
                       F.lit('","major_sectors":'), major, F.lit("}"))
-    return j.select(F.lit(None).cast("int").alias("page_year"), F.lit(0).alias("page_offset"),
-                    F.lit(0).alias("pos"), record.alias("record"))
+    return j.select(F.lit(0).cast("long").alias("landing_seq"), F.lit(None).cast("int").alias("page_year"),
+                    F.lit(0).cast("long").alias("page_offset"), F.lit(0).alias("pos"), record.alias("record"))
 
 
 _SECTOR_SQL = _with(CTE_SECTOR_JOIN) + ", k AS (SELECT * FROM j WHERE l_returnflag <> 'R')\n"
@@ -559,24 +559,27 @@ def q_explode_map(spark, sf_dir):
 
 
 @query("first_nested_value", """
-SELECT event_id, CASE event_type WHEN 'click' THEN 'user ' || CAST(user_id AS VARCHAR)
-                                 WHEN 'view' THEN 'v' || CAST(event_id AS VARCHAR)
-                                 WHEN 'error' THEN '{"0":"x' || CAST(event_id AS VARCHAR) || '"}'
-                                 ELSE replace(props, ': ', ':') END AS author
+SELECT event_id, CASE WHEN event_id % 7 = 3 THEN '{"0": {"author": "quoted"}}'
+                      WHEN event_type = 'click' THEN 'user ' || CAST(user_id AS VARCHAR)
+                      WHEN event_type = 'view' THEN 'v' || CAST(event_id AS VARCHAR)
+                      WHEN event_type = 'error' THEN '{"0":"x' || CAST(event_id AS VARCHAR) || '"}'
+                      ELSE '{"1":{"author":"u' || CAST(user_id AS VARCHAR) || '"}}' END AS author
 FROM events""")
 def q_first_nested_value(spark, sf_dir):
-    """``{"0": {"author": v}}`` -> v; plain strings and other maps pass through."""
-    e = DriverTables(spark, sf_dir)("events", "event_id", "user_id", "event_type", "props")
-    et = F.col("event_type")
-    value = (F.when(et == "click", F.to_json(F.create_map(F.lit("0"), F.create_map(
-                 F.lit("author"), F.concat(F.lit("user "), F.col("user_id").cast("string"))))))
+    """``{"0": {"author": v}}`` -> v; plain strings, other maps and a
+    string that only looks like a map pass through."""
+    e = DriverTables(spark, sf_dir)("events", "event_id", "user_id", "event_type")
+    et, user = F.col("event_type"), F.concat(F.lit("u"), F.col("user_id").cast("string"))
+    value = (F.when(F.pmod("event_id", F.lit(7)) == 3, F.lit('"{\\"0\\": {\\"author\\": \\"quoted\\"}}"'))
+              .when(et == "click", F.to_json(F.create_map(F.lit("0"), F.create_map(
+                 F.lit("author"), F.concat(F.lit("user "), F.col("user_id").cast("string")), F.lit("more"), F.lit("no")))))
               .when(et == "view", F.concat(F.lit('"v'), F.col("event_id").cast("string"), F.lit('"')))
               .when(et == "error", F.to_json(F.create_map(F.lit("0"), F.concat(
                   F.lit("x"), F.col("event_id").cast("string")))))
-              .otherwise(F.col("props")))
+              .otherwise(F.to_json(F.create_map(F.lit("1"), F.create_map(F.lit("author"), user)))))
     record = F.concat(F.lit('{"authors":'), value, F.lit("}"))
     rec = e.select("event_id", record.alias("record"))
-    return rec.select("event_id", first_nested_value(json_field("record", "authors")).alias("author"))
+    return rec.select("event_id", first_nested_value("record", "authors").alias("author"))
 
 
 def _land_document_pages(spark, sf_dir, page_size: int = PAGE_SIZE) -> str:
@@ -614,9 +617,7 @@ FROM orders"""
 
 
 def _documents_view(kept: DataFrame) -> DataFrame:
-    flat = normalize.flatten_documents(kept)
-    keyed = kept.select("record_key", "first_seen").join(flat, "first_seen")
-    return keyed.select("record_key", F.col("document_id").cast("long").alias("document_id"),
+    return normalize.flatten_documents(kept).select("record_key", F.col("document_id").cast("long").alias("document_id"),
                         "project_id", "document_type", parse_date("docdt").alias("docdt"))
 
 
@@ -636,7 +637,7 @@ def q_raw_jsonl_replay(spark, sf_dir):
     path = _land_document_pages(spark, sf_dir)
     kept = normalize.kept_documents(P.document_records(P.read_pages(spark, path)))
     dump = scratch_path(spark, "raw-dump")
-    sinks.write_raw_dump(kept.select("record_key", "record", "first_seen.*"), dump)
+    sinks.write_raw_dump(kept.select("record_key", "record", "nested", "first_seen.*"), dump)
     replayed = normalize.kept_documents(P.read_raw_dump(spark, dump))
     return _documents_view(replayed)
 
@@ -645,7 +646,8 @@ def q_raw_jsonl_replay(spark, sf_dir):
 SELECT o_orderkey,
        CASE o_orderpriority WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d') || 'T23:30:00Z'
                             WHEN '2-HIGH' THEN strftime(o_orderdate, '%Y-%m-%d')
-                            WHEN '3-MEDIUM' THEN 'not a date' WHEN '4-NOT SPECIFIED' THEN ''
+                            WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%Y-%m-%d') || 'Tjunk'
+                            WHEN '4-NOT SPECIFIED' THEN CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d') || ' xyz' END
                             ELSE NULL END AS raw,
        CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN CAST(o_orderdate AS DATE) END AS parsed
 FROM orders""")
@@ -654,7 +656,8 @@ def q_parse_dates(spark, sf_dir):
     o = DriverTables(spark, sf_dir)("orders", "o_orderkey", "o_orderpriority", "o_orderdate")
     d, pr = F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderpriority")
     raw = (F.when(pr == "1-URGENT", F.concat(d, F.lit("T23:30:00Z"))).when(pr == "2-HIGH", d)
-            .when(pr == "3-MEDIUM", F.lit("not a date")).when(pr == "4-NOT SPECIFIED", F.lit("")))
+            .when(pr == "3-MEDIUM", F.concat(d, F.lit("Tjunk")))
+            .when(pr == "4-NOT SPECIFIED", F.when(F.pmod("o_orderkey", F.lit(2)) == 0, F.lit("")).otherwise(F.concat(d, F.lit(" xyz")))))
     x = o.select("o_orderkey", raw.alias("raw"))
     return x.select("o_orderkey", "raw", parse_date("raw").alias("parsed"))
 
@@ -667,11 +670,11 @@ SELECT l_orderkey, l_linenumber,
        CASE WHEN l_linestatus = 'O' THEN NULL ELSE CAST(l_orderkey AS INTEGER) END AS id_int
 FROM lineitem""")
 def q_parse_numbers(spark, sf_dir):
-    """F7 (number into INT, '2.5' -> 3, junk -> null), F8 (money string into
+    """F7 (number into INT, '2.5' -> 3, junk and '3d' -> null), F8 (money string into
     DECIMAL(20,2)), F9 (id string into INT)."""
     li = DriverTables(spark, sf_dir)("lineitem", "l_orderkey", "l_linenumber", "l_extendedprice",
                                      "l_returnflag", "l_linestatus")
-    vol = F.when(F.col("l_returnflag") == "R", F.lit("x")).otherwise(F.concat(
+    vol = F.when(F.col("l_returnflag") == "R", F.concat(F.col("l_linenumber").cast("string"), F.lit("d"))).otherwise(F.concat(
         F.col("l_linenumber").cast("string"),
         F.when(F.col("l_linestatus") == "O", F.lit(".5")).otherwise(F.lit(""))))
     money = F.when(F.col("l_returnflag") == "A", F.lit("n/a")).otherwise(
@@ -716,14 +719,14 @@ def q_region_checks(spark, sf_dir):
 
 # ================================================================== page plan S13, S14, F13
 _TOTALS_SQL = "totals AS (SELECT CAST(ts AS DATE) AS day, count(*) AS total FROM events GROUP BY 1)"
-_PLAN_SQL = (f"plan AS (SELECT day, total, unnest(generate_series(0, least(total, {MAX_RECORDS}) - 1, "
+_PLAN_SQL = (f"plan AS (SELECT day, total, unnest(generate_series(0, total - 1, "
              f"{PAGE_SIZE})) AS page_offset FROM totals WHERE total > 0)")
 
 
 def _day_plan(spark, sf_dir):
     e = DriverTables(spark, sf_dir)("events", "ts")
     totals = e.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("total"))
-    return pageplan.page_plan(totals, "day", PAGE_SIZE, MAX_RECORDS)
+    return pageplan.page_plan(totals, "day", PAGE_SIZE)
 
 
 @query("page_plan", _with(_TOTALS_SQL, _PLAN_SQL) + "SELECT day, total, page_offset FROM plan")
@@ -739,8 +742,8 @@ def q_page_plan(spark, sf_dir):
                  CAST(coalesce(sum(i.records), 0) AS BIGINT) AS landed_records
           FROM plan p LEFT JOIN inv i ON p.day = i.day AND p.page_offset = i.page_offset GROUP BY p.day)
 SELECT day, total, planned_pages, landed_pages, planned_pages - landed_pages AS failed_pages, landed_records,
-       CAST((landed_records * 2000 + total) // (total * 2) AS DOUBLE) / 10 AS pct_done,
-       greatest(total - {MAX_RECORDS}, 0) AS records_beyond_cap
+       round_even(landed_records / total * 100, 1) AS pct_done,
+       greatest(total - {SERVED}, 0) AS records_beyond_cap
 FROM agg""")
 def q_completeness(spark, sf_dir):
     """S14+F13: landed pages against the plan (first page of each Sunday failed)."""
@@ -748,7 +751,7 @@ def q_completeness(spark, sf_dir):
     inventory = plan.filter(~((F.dayofweek("day") == 1) & (F.col("page_offset") == 0))).select(
         "day", "page_offset", F.least(F.lit(PAGE_SIZE).cast("long"),
                                       F.col("total") - F.col("page_offset")).alias("records"))
-    return pageplan.completeness(plan, inventory, "day", MAX_RECORDS)
+    return pageplan.completeness(plan, inventory, "day", SERVED)
 
 
 # ================================================================== reports S12, A9
@@ -776,34 +779,85 @@ _MART_TYPES = [("project_id", "bigint"), ("countryshortname", "string"), ("total
     f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM mart"
     for c, ty in _MART_TYPES))
 def q_column_profile(spark, sf_dir):
-    """Per column type, rows, nulls, exact distinct values of the mart."""
-    return audit.column_profile(q_sector_mart(spark, sf_dir), exact=True)
+    """Per column type, rows, nulls, exact distinct values of the stored mart."""
+    return audit.column_profile(_stored(q_sector_mart(spark, sf_dir), "mart"), exact=True)
 
 
-@query("column_profile_approx")
+@query("column_profile_approx", _with(CTE_PROJECTS, CTE_PS, CTE_PMS, CTE_PSL, CTE_MSL, CTE_MART) + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, '{ty}' AS data_type, count(*) AS row_count, "
+    f"count(*) - count({c}) AS null_count, true AS within_5_percent, "
+    f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM mart"
+    for c, ty in _MART_TYPES))
 def q_column_profile_approx(spark, sf_dir):
-    """A9 at scale: HyperLogLog distinct estimates (rows-only check)."""
-    return audit.column_profile(q_sector_mart(spark, sf_dir), exact=False)
+    """A9 by HyperLogLog sketches, each estimate held against the exact count."""
+    mart = _stored(q_sector_mart(spark, sf_dir), "mart")
+    sketch, exact = audit.column_profile(mart), audit.column_profile(mart, exact=True)
+    both = sketch.join(exact.select("column_name", F.col("distinct_count").alias("n")), "column_name")
+    return both.select("column_name", "data_type", "row_count", "null_count",
+                       (F.abs(F.col("distinct_count") - F.col("n")) <= 0.05 * F.col("n")).alias("within_5_percent"), "min_value", "max_value")
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    sinks.write_parquet(df, path)
+    return read_table(df.sparkSession, path)
 
 
 # ================================================================== sinks and round trips
+def _csv_and_back(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    sinks.write_csv(df, path)
+    return read_typed_csv(df.sparkSession, path, df.schema)
+
+
 @query("csv_round_trip", _with(CTE_PROJECTS, CTE_PS, CTE_PMS, CTE_PSL, CTE_MSL, CTE_MART)
        + "SELECT * FROM mart")
 def q_csv_round_trip(spark, sf_dir):
     """S8+S9: the mart exported as CSV with header, read back with its schema."""
-    mart = q_sector_mart(spark, sf_dir)
-    path = scratch_path(spark, "mart-csv")
-    sinks.write_csv(mart, path)
-    return read_typed_csv(spark, path, mart.schema)
+    return _csv_and_back(q_sector_mart(spark, sf_dir), "mart-csv")
+
+
+@query("csv_export_documents", """
+SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN text || chr(10) || 'said "so, then"' WHEN 1 THEN '' WHEN 2 THEN NULL
+                               WHEN 3 THEN ' "' || text ELSE text END AS text, lang, source, n_chars FROM documents""")
+def q_csv_export_documents(spark, sf_dir):
+    """S8+S9 on real text: quotes, line breaks, empty and missing values of whole texts survive."""
+    d, no = DriverTables(spark, sf_dir)("documents"), F.pmod("doc_id", F.lit(5))
+    text = (F.when(no == 0, F.concat("text", F.lit('\nsaid "so, then"'))).when(no == 1, F.lit(""))
+             .when(no == 2, F.lit(None).cast("string")).when(no == 3, F.concat(F.lit(' "'), "text")).otherwise(F.col("text")))
+    return _csv_and_back(d.withColumn("text", text), "documents-csv")
+
+
+@query("csv_export_document_dates", ORACLE["project_document_dates"])
+def q_csv_export_document_dates(spark, sf_dir):
+    """S8 of R1."""
+    return _csv_and_back(q_project_document_dates(spark, sf_dir), "r1-csv")
+
+
+@query("csv_export_sector_percent", ORACLE["project_sector_percent"])
+def q_csv_export_sector_percent(spark, sf_dir):
+    """S8 of R2."""
+    return _csv_and_back(q_project_sector_percent(spark, sf_dir), "r2-csv")
+
+
+@query("csv_export_major_sector", ORACLE["project_major_sector"])
+def q_csv_export_major_sector(spark, sf_dir):
+    """S8 of R3."""
+    return _csv_and_back(q_project_major_sector(spark, sf_dir), "r3-csv")
 
 
 @query("parquet_round_trip", "SELECT * FROM documents")
 def q_parquet_round_trip(spark, sf_dir):
-    """S5+S7: whole documents through a Parquet layer."""
-    d = DriverTables(spark, sf_dir)("documents")
+    """Whole documents through a Parquet layer."""
+    return _stored(DriverTables(spark, sf_dir)("documents"), "documents-parquet")
+
+
+@query("column_read_back", "SELECT doc_id, lang FROM documents")
+def q_column_read_back(spark, sf_dir):
+    """Two columns of a stored table; the scan reads no others."""
     path = scratch_path(spark, "documents-parquet")
-    sinks.write_parquet(d, path)
-    return spark.read.parquet(path)
+    sinks.write_parquet(DriverTables(spark, sf_dir)("documents"), path)
+    return read_table(spark, path, ["doc_id", "lang"])
 
 
 @query("append_load", "SELECT * FROM orders")
@@ -817,13 +871,19 @@ def q_append_load(spark, sf_dir):
     return sinks.read_back(spark, base, "orders")
 
 
-@query("full_refresh", "SELECT * FROM orders")
+@query("full_refresh", """
+SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN '4-NOT SPECIFIED' ELSE o_orderpriority END AS o_orderpriority,
+       o_totalprice FROM orders""")
 def q_full_refresh(spark, sf_dir):
-    """S10+S11: a rerun overwrites instead of duplicating."""
-    o = DriverTables(spark, sf_dir)("orders")
+    """S10+S11: a rerun replaces instead of duplicating, and a table may be
+    refreshed from what it holds (as a repair does)."""
+    o = DriverTables(spark, sf_dir)("orders", "o_orderkey", "o_orderpriority", "o_totalprice")
     base = scratch_path(spark, "refresh")
     sinks.full_refresh({"orders": o}, base)
     sinks.full_refresh({"orders": o}, base)
+    held, p = sinks.read_back(spark, base, "orders"), F.col("o_orderpriority")
+    sinks.full_refresh({"orders": held.withColumn("o_orderpriority", F.when(
+        p == "5-LOW", F.lit("4-NOT SPECIFIED")).otherwise(p))}, base)
     return sinks.read_back(spark, base, "orders")
 
 
@@ -836,10 +896,13 @@ def oracle_sql() -> dict:
 
 
 # ================================================================== R10 on landed driver pages
-from finmesh.plans.landed import LANDING_ORDER, land_project_pages  # noqa: E402,F811
+from finmesh.plans.landed import land_project_pages  # noqa: E402,F811
 
+# The total order of line items, written out for the oracle on its own.
+_ORDER_SQL = ("l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_shipdate, l.l_quantity, "
+              "l.l_discount, l.l_tax, l.l_extendedprice, l.l_returnflag, l.l_linestatus")
 _LANDED_SQL = "landed AS (\n  SELECT l.*, o.*, c.c_name, c.c_mktsegment, n.n_name, r.r_name, p.p_name, p.p_type,\n" \
-    f"         row_number() OVER (ORDER BY {', '.join('l.' + c for c in LANDING_ORDER)}) - 1 AS rn\n" \
+    f"         row_number() OVER (ORDER BY {_ORDER_SQL}) - 1 AS rn\n" \
     """  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -867,18 +930,9 @@ _SEC_SQL = f"""sec AS (
   FROM proj WHERE l_returnflag <> 'R')"""
 
 
-_BUILT: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-
-
 def _landed_tables(spark, sf_dir):
-    """The project-side tables built from landed pages, once per session and
-    landed folder (their surrogate keys are checkpointed, so reuse is cheap)."""
-    path = land_project_pages(spark, sf_dir)
-    cache = _BUILT.setdefault(spark, {})
-    if path not in cache:
-        cache[path] = normalize.build_project_tables(
-            P.project_records(P.read_pages(spark, path)), mode="unique")
-    return cache[path]
+    """The project-side tables over freshly landed pages; only what is asked for is built."""
+    return normalize.build_project_tables(P.project_records(P.read_pages(spark, land_project_pages(spark, sf_dir))))
 
 
 @query("normalize_country", _with(_LANDED_SQL, _PROJ_SQL) + """
@@ -959,21 +1013,21 @@ def q_normalize_impagency(spark, sf_dir):
 from finmesh.plans.landed import land_documents_table  # noqa: E402
 
 
+def _landed_documents(spark, sf_dir) -> DataFrame:
+    return P.document_records(P.read_pages(spark, land_documents_table(spark, sf_dir)))
+
+
 def _landed_document_tables(spark, sf_dir):
     proj = _landed_tables(spark, sf_dir)
-    path = land_documents_table(spark, sf_dir)
-    cache = _BUILT.setdefault(spark, {})
-    if path not in cache:
-        recs = P.document_records(P.read_pages(spark, path))
-        cache[path] = normalize.build_document_tables(recs, proj["projects"], proj["country"])
-    return cache[path]
+    return normalize.build_document_tables(_landed_documents(spark, sf_dir), proj["projects"].select("project_id"), proj["country"])
 
 
 _DOCS_SQL = _with(_LANDED_SQL) + """
 , dl AS (SELECT doc_id, text, lang, source, n_chars,
                 CASE lang WHEN 'de' THEN '' WHEN 'es' THEN NULL ELSE 'P' || CAST(doc_id AS VARCHAR) END AS projectid
          FROM documents)
-, kept AS (SELECT * FROM dl WHERE projectid IS NOT NULL AND projectid <> '')
+, truthy AS (SELECT * FROM dl WHERE projectid IS NOT NULL AND projectid <> '')
+, kept AS (SELECT * FROM truthy WHERE doc_id % 53 NOT IN (7, 8))
 , ins AS (SELECT * FROM kept WHERE projectid IN (SELECT DISTINCT 'P' || CAST(l_orderkey AS VARCHAR) FROM landed))
 """
 
@@ -994,16 +1048,47 @@ _SUBSC = "source || ',' || upper(lang) || ',' || lang"
 _COUNT = "'NATION_' || CAST(doc_id % 25 AS VARCHAR) || ',nation_' || CAST(doc_id % 7 AS VARCHAR) || ',Atlantis'"
 
 
-@query("normalize_documents", _DOCS_SQL + """
-SELECT CAST(doc_id AS INTEGER) AS document_id, 'Document ' || CAST(doc_id AS VARCHAR) AS document_name,
-       source AS document_type, source AS author, lang, CAST(n_chars AS INTEGER) AS volnb,
-       projectid AS project_id
-FROM ins""")
+_DAY = "(DATE '2001-02-03' + CAST(doc_id % 3000 AS INTEGER))"
+
+
+def _document_columns(cleaned: bool) -> str:
+    """The 25 columns as landed (text) or cleaned."""
+    day = f"strftime({_DAY}, '%Y-%m-%d')"
+    date = lambda raw, value: f"CAST({value} AS DATE)" if cleaned else raw
+    return f"""{'CAST(doc_id AS INTEGER)' if cleaned else "CASE WHEN doc_id % 53 = 7 THEN NULL WHEN doc_id % 53 = 8 THEN '' ELSE CAST(doc_id AS VARCHAR) END"} AS document_id,
+       'Document ' || doc_id AS document_name, source AS document_type, 'L' || (doc_id % 7) AS prdln,
+       CASE WHEN doc_id % 5 = 0 THEN '{{"0":{{"lndinstr":"x"}}}}' ELSE 'Instrument ' || doc_id END AS lndinstr,
+       {date(f"{day} || 'T23:30:00Z'", _DAY)} AS docdt, {date(day, _DAY)} AS datestored,
+       {date(f"CASE lang WHEN 'fr' THEN {day} || 'Tjunk' ELSE {day} END", f"CASE lang WHEN 'fr' THEN NULL ELSE {_DAY} END")} AS disclosure_date,
+       {date(f"{day} || ' 10:00:00'", _DAY)} AS last_modified_date,
+       'http://docs.example/' || doc_id || '.pdf' AS pdfurl, 'http://docs.example/' || doc_id || '.txt' AS txturl,
+       'http://docs.example/' || doc_id AS url, 'Major ' || source AS maj_document_type,
+       CASE WHEN doc_id % 2 = 0 THEN 'Disclosed' END AS disclstat, 'Final' AS versiontype, source AS author,
+       'Public' AS security_class, lang, 'R' || doc_id AS repnb, {'CAST(n_chars AS INTEGER)' if cleaned else 'CAST(n_chars AS VARCHAR)'} AS volnb,
+       'Title of ' || doc_id AS display_title, 'C' || doc_id AS chronical_docm_id, 'G' || doc_id AS guid,
+       'Owner ' || source AS owner, projectid AS project_id"""
+
+
+@query("normalize_documents", _DOCS_SQL + f"SELECT {_document_columns(True)} FROM ins")
 def q_normalize_documents(spark, sf_dir):
-    """R10 documents from landed pages: truthy project id (P3), nested first
-    values (F6), number coercion (F7, F9), known projects only (J6)."""
-    d = _landed_document_tables(spark, sf_dir)["documents"]
-    return d.select("document_id", "document_name", "document_type", "author", "lang", "volnb", "project_id")
+    """R10 documents from landed pages, all 25 columns: truthy project id (P3), nested first
+    values (F6), dates (F5), number coercion (F7, F9), known projects only (J6)."""
+    return _landed_document_tables(spark, sf_dir)["documents"]
+
+
+@query("flattened_documents", _DOCS_SQL + f"SELECT {_document_columns(False)} FROM truthy")
+def q_flattened_documents(spark, sf_dir):
+    """The 25 columns before cleaning, stored as Parquet and read back."""
+    flat = normalize.flatten_documents(normalize.kept_documents(_landed_documents(spark, sf_dir)))
+    return _stored(flat.drop("first_seen", "record_key"), "documents-flat")
+
+
+@query("normalize_doc_sector_lookup", _DOCS_SQL + f"""
+SELECT DISTINCT {_strip_sql('source')} AS sector_name FROM ins WHERE length({_strip_sql('source')}) > 0
+UNION SELECT DISTINCT lang FROM ins WHERE length(lang) > 0""")
+def q_normalize_doc_sector_lookup(spark, sf_dir):
+    """R10 sector names of documents (A5)."""
+    return _landed_document_tables(spark, sf_dir)["doc_sector_lookup"]
 
 
 @query("normalize_doc_theme", _DOCS_SQL + f"""
@@ -1060,7 +1145,7 @@ from finmesh.streaming import landing as stream_landing  # noqa: E402
 
 
 @query("stream_ingest_pages", _with(_LANDED_SQL) + """
-SELECT CAST(floor(rn / 1000) * 1000 AS INTEGER) AS page_offset, CAST(rn % 1000 AS INTEGER) AS pos,
+SELECT CAST(floor(rn / 1000) * 1000 AS BIGINT) AS page_offset, CAST(rn % 1000 AS INTEGER) AS pos,
        'P' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(rn AS VARCHAR) AS record_key
 FROM landed""")
 def q_stream_ingest_pages(spark, sf_dir):
@@ -1071,24 +1156,6 @@ def q_stream_ingest_pages(spark, sf_dir):
     return stream_landing.read_bronze(spark, bronze, "projects").select("page_offset", "pos", "record_key")
 
 
-# ------------------------------------------------------------------ co-located joins
-@query("bucketed_sector_percent", _with(CTE_PROJECTS, CTE_PS_LEAN, CTE_PSL) + """
-SELECT p.project_id, sl.sector_name, ps.sector_percent
-FROM projects_m p JOIN psl_lean ps ON ps.project_id = p.project_id
-JOIN sl_m sl ON sl.sector_code = ps.sector_code""")
-def q_bucketed_sector_percent(spark, sf_dir):
-    """R2 over projects and the sector bridge stored bucketed by project id:
-    the project join runs without an exchange on either side."""
-    t = DriverTables(spark, sf_dir)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tag = scratch_path(spark, "bucketed").rsplit("-", 1)[-1]
-    p = sinks.save_bucketed(S.projects(t), f"projects_b_{tag}", ["project_id"], n,
-                            scratch_path(spark, "projects-bucketed"))
-    ps = sinks.save_bucketed(S.project_sectors_lean(t), f"project_sectors_b_{tag}", ["project_id"], n,
-                             scratch_path(spark, "project-sectors-bucketed"))
-    return marts.project_sector_percent(p, ps, S.proj_sector_lookup(t))
-
-
 # Fixed value: documents returned by one per-project fetch.
 DOCUMENTS_PER_FETCH = 50
 
@@ -1104,25 +1171,40 @@ def q_document_limit_audit(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ R10 load report and integrity
-from finmesh.schemas import FOREIGN_KEYS, PRIMARY_KEYS  # noqa: E402
+from finmesh.schemas import FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS, TEXT_WIDTHS  # noqa: E402
 
 _TABLE_QUERY = {name: f"normalize_{name}" for name in [
     "country", "projects", "major_sector_lookup", "proj_sector_lookup", "project_major_sectors",
     "project_sectors", "borrower", "impagency", "documents", "doc_theme", "doc_theme_lookup",
-    "doc_sub_sector_lookup", "doc_sub_sector", "doc_sector", "doc_country"]}
+    "doc_sub_sector_lookup", "doc_sub_sector", "doc_sector", "doc_sector_lookup", "doc_country"]}
 
 
 def _table_sql(name: str) -> str:
-    if name == "doc_sector_lookup":
-        return f"SELECT DISTINCT sector_name FROM ({ORACLE['normalize_doc_sector']})"
     return ORACLE[_TABLE_QUERY[name]]
 
 
 def _all_landed_tables(spark, sf_dir) -> dict:
-    return {**_landed_tables(spark, sf_dir), **_landed_document_tables(spark, sf_dir)}
-
-
-_TABLE_ORDER = list(PRIMARY_KEYS)
+    """The 16 tables stored once; what reads them reads the stored ones."""
+    projects = P.project_records(P.read_pages(spark, land_project_pages(spark, sf_dir)))
+    return normalize.store_all(projects, _landed_documents(spark, sf_dir), scratch_path(spark, "tables"))
+
+
+# The tables and their keys, written out for the oracle on its own.
+_KEYS_SQL = {
+    "country": "countryshortname", "projects": "project_id", "major_sector_lookup": "major_sector_code", "proj_sector_lookup": "sector_code",
+    "doc_theme_lookup": "theme_name", "doc_sector_lookup": "sector_name", "doc_sub_sector_lookup": "sub_sector_name",
+    "project_major_sectors": "project_major_sector_id", "project_sectors": "project_sector_id", "impagency": "impagency_id",
+    "borrower": "borrower_id", "documents": "document_id", "doc_country": "doc_country_id", "doc_theme": "doc_theme_id",
+    "doc_sector": "doc_sector_id", "doc_sub_sector": "doc_sub_sector_id"}
+_PARENTS = """project_major_sectors.project_id projects.project_id, project_major_sectors.major_sector_code major_sector_lookup.major_sector_code,
+project_sectors.project_id projects.project_id, project_sectors.project_major_sector_id project_major_sectors.project_major_sector_id,
+project_sectors.sector_code proj_sector_lookup.sector_code, impagency.project_id projects.project_id, borrower.project_id projects.project_id,
+documents.project_id projects.project_id, doc_country.document_id documents.document_id, doc_country.countryshortname country.countryshortname,
+doc_theme.document_id documents.document_id, doc_theme.theme_name doc_theme_lookup.theme_name, doc_sector.document_id documents.document_id,
+doc_sector.sector_name doc_sector_lookup.sector_name, doc_sub_sector.document_id documents.document_id,
+doc_sub_sector.sub_sector_name doc_sub_sector_lookup.sub_sector_name"""
+_FK_SQL = [tuple(x.replace(".", " ").split()) for x in _PARENTS.split(",")]
+_TABLE_ORDER = list(_KEYS_SQL)
 
 
 @query("normalize_load_report", "\nUNION ALL\n".join(
@@ -1133,23 +1215,18 @@ def q_normalize_load_report(spark, sf_dir):
     return audit.load_report({t: tables[t] for t in _TABLE_ORDER})
 
 
-def _pk_sql(t, keys):
-    nulls = " OR ".join(f"{k} IS NULL" for k in keys)
-    return (f"SELECT 'pk:{t}' AS check_name, count(*) AS violations FROM (SELECT {', '.join(keys)} "
-            f"FROM ({_table_sql(t)}) x GROUP BY {', '.join(keys)} HAVING count(*) > 1 OR {nulls}) y")
+def _pk_sql(t, key):
+    return (f"SELECT 'pk:{t}' AS check_name, count(*) AS violations FROM (SELECT {key} "
+            f"FROM ({_table_sql(t)}) x GROUP BY {key} HAVING count(*) > 1 OR {key} IS NULL) y")
 
 
-def _fk_sql(child, ccols, parent, pcols):
-    notnull = " AND ".join(f"c.{c} IS NOT NULL" for c in ccols)
-    match = " AND ".join(f"p.{pc} = c.{cc}" for cc, pc in zip(ccols, pcols))
-    return (f"SELECT 'fk:{child}.{'+'.join(ccols)}' AS check_name, count(*) AS violations "
-            f"FROM ({_table_sql(child)}) c WHERE {notnull} AND NOT EXISTS "
-            f"(SELECT 1 FROM ({_table_sql(parent)}) p WHERE {match})")
+def _fk_sql(child, column, parent, key):
+    return (f"SELECT 'fk:{child}.{column}' AS check_name, count(*) AS violations FROM ({_table_sql(child)}) c "
+            f"WHERE c.{column} IS NOT NULL AND c.{column} NOT IN (SELECT {key} FROM ({_table_sql(parent)}) p WHERE {key} IS NOT NULL)")
 
 
 @query("normalize_integrity", "\nUNION ALL\n".join(
-    [_pk_sql(t, k) for t, k in PRIMARY_KEYS.items()]
-    + [_fk_sql(c, cc, p, pc) for c, cc, p, pc in FOREIGN_KEYS]))
+    [_pk_sql(t, k) for t, k in _KEYS_SQL.items()] + [_fk_sql(*x) for x in _FK_SQL]))
 def q_normalize_integrity(spark, sf_dir):
     """K2+K3 on R10: every primary key and foreign key of the 16 built tables,
     one row per constraint with its violation count (expected 0)."""
@@ -1168,6 +1245,61 @@ def q_normalize_integrity(spark, sf_dir):
     return out
 
 
+def _union(parts: list) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+_REQUIRED_SQL = [(t, k) for t, k in _KEYS_SQL.items()] + [
+    ("project_major_sectors", "project_id"), ("project_major_sectors", "major_sector_code"), ("project_sectors", "project_id"),
+    ("project_sectors", "project_major_sector_id"), ("project_sectors", "sector_code")]
+
+
+@query("normalize_null_audit", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS row_count FROM ({_table_sql(t)}) x"
+    for t, c in _REQUIRED_SQL))
+def q_normalize_null_audit(spark, sf_dir):
+    """K4: the key and NOT NULL columns of the 16 tables."""
+    tables = _all_landed_tables(spark, sf_dir)
+    return _union([audit.null_audit(tables[t], PRIMARY_KEYS[t] + NOT_NULL.get(t, [])).select(F.lit(t).alias("table_name"), "*") for t in _TABLE_ORDER])
+
+
+# Declared widths of the 16 tables' text columns, written out for the oracle on its own.
+_WIDTH_SQL = {
+    "country": "countryshortname regionname", "projects": "project_id project_name countryshortname envassesmentcategorycode:1",
+    "major_sector_lookup": "major_sector_code:3 major_sector_name", "proj_sector_lookup": "sector_code:3 sector_name",
+    "doc_theme_lookup": "theme_name", "doc_sector_lookup": "sector_name", "doc_sub_sector_lookup": "sub_sector_name",
+    "project_major_sectors": "project_id major_sector_code:3", "project_sectors": "project_id sector_code:3", "impagency": "project_id",
+    "borrower": "project_id", "doc_country": "countryshortname", "doc_theme": "theme_name", "doc_sector": "sector_name", "doc_sub_sector": "sub_sector_name",
+    "documents": "document_name document_type prdln lndinstr pdfurl txturl url maj_document_type disclstat versiontype author security_class "
+                 "lang repnb display_title chronical_docm_id guid owner project_id"}
+
+
+@query("normalize_length_audit", "SELECT * FROM (" + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, {w or 255} AS width, count(*) AS n_over, max(length({c})) AS longest "
+    f"FROM ({_table_sql(t)}) x WHERE length({c}) > {w or 255}"
+    for t, cs in _WIDTH_SQL.items() for c, _, w in (x.partition(":") for x in cs.split())) + ") y WHERE n_over > 0")
+def q_normalize_length_audit(spark, sf_dir):
+    """K5: values of the 16 tables over their declared widths, one scan per table."""
+    tables = _all_landed_tables(spark, sf_dir)
+    return _union([audit.length_audit(tables[t], TEXT_WIDTHS[t], []).groupBy("column_name", "width").agg(
+        F.count(F.lit(1)).alias("n_over"), F.max("value_length").alias("longest")).select(F.lit(t).alias("table_name"), "*") for t in _TABLE_ORDER])
+
+
+@query("failed_pages", f"""
+SELECT CAST(y AS INTEGER) AS year, page_offset FROM (SELECT unnest(generate_series(0, (SELECT count(*) FROM orders) - 1, {PAGE_SIZE})) AS page_offset),
+       (VALUES (0), (1)) v(y) WHERE page_offset % 300 = y * 100""")
+def q_failed_pages(spark, sf_dir):
+    """Pages planned from the totals that the landed pages state, against
+    the pages that landed (every third of either year did not)."""
+    pages = P.read_pages(spark, _land_document_pages(spark, sf_dir))
+    landed = P.page_inventory(pages.where(F.pmod("offset", F.lit(300)) != F.col("year") * 100))
+    plan = pageplan.page_plan(landed.groupBy("year").agg(F.max("total").alias("total")), "year", PAGE_SIZE)
+    return pageplan.missing_pages(plan, landed.select("year", F.col("offset").alias("page_offset")))
+
+
 from finmesh.operators.keys import append_with_keys  # noqa: E402
 
 
@@ -1212,7 +1344,7 @@ def _built_mart(spark, sf_dir):
 
 
 @query("normalize_project_document_dates", f"""
-SELECT p.project_id, p.countryshortname, p.boardapprovaldate, CAST(NULL AS DATE) AS docdt,
+SELECT p.project_id, p.countryshortname, p.boardapprovaldate, d.docdt,
        d.document_type, d.document_id
 FROM {_sub('projects')} p JOIN {_sub('documents')} d ON p.project_id = d.project_id""")
 def q_normalize_project_document_dates(spark, sf_dir):

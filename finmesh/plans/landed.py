@@ -9,8 +9,6 @@ landing order; each page is one JSON line under the shared scratch folder.
 """
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finmesh.operators.joins import keep_known
@@ -22,9 +20,6 @@ from finmesh.session import scratch_path
 LANDING_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
                  "l_discount", "l_tax", "l_extendedprice", "l_returnflag", "l_linestatus"]
 
-_LANDED: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-
-
 def project_landing_rows(t: DriverTables) -> DataFrame:
     """Line items numbered ``rn`` (0..n-1) in landing order, with their order,
     customer country and part attributes.  Numbering runs on the narrow line
@@ -37,8 +32,8 @@ def project_landing_rows(t: DriverTables) -> DataFrame:
     o = t("orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus",
           "o_orderpriority")
     c = t("customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey")
-    n = F.broadcast(t("nation", "n_nationkey", "n_name", "n_regionkey"))
-    r = F.broadcast(t("region", "r_regionkey", "r_name"))
+    n = t("nation", "n_nationkey", "n_name", "n_regionkey")
+    r = t("region", "r_regionkey", "r_name")
     p = t("part", "p_partkey", "p_name", "p_type")
     cn = (c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
            .join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
@@ -84,12 +79,7 @@ def _project_record(rows: DataFrame) -> DataFrame:
 
 
 def land_project_pages(spark: SparkSession, sf_dir: str, page_size: int = 1000) -> str:
-    """Write project pages for the whole ``lineitem`` table; return the folder.
-    Landed once per session and table folder."""
-    cache = _LANDED.setdefault(spark, {})
-    key = ("projects", sf_dir, page_size)
-    if key in cache:
-        return cache[key]
+    """Write project pages for the whole ``lineitem`` table; return the folder."""
     t = DriverTables(spark, sf_dir)
     recs = _project_record(project_landing_rows(t))
     entry = F.struct(F.col("rn"), F.concat(
@@ -100,11 +90,10 @@ def land_project_pages(spark: SparkSession, sf_dir: str, page_size: int = 1000)
         F.array_sort(F.collect_list(entry)).alias("entries"))
     body = F.concat(F.lit('{"projects":{'), F.array_join(F.transform("entries", lambda e: e["text"]), ","),
                     F.lit("}}"))
-    line = F.concat(F.lit('{"source":"projects","year":null,"offset":'),
+    line = F.concat(F.lit('{"source":"projects","seq":0,"year":null,"offset":'),
                     (F.col("page") * page_size).cast("string"), F.lit(',"body":'), body, F.lit("}"))
     path = scratch_path(spark, "project-pages")
     pages.select(line.alias("value")).write.mode("overwrite").text(path)
-    cache[key] = path
     return path
 
 
@@ -114,7 +103,7 @@ def write_document_pages(spark: SparkSession, rows: DataFrame, year_col: str, pa
     struct; null fields are left out of the JSON).  Pages of at most
     ``page_size`` records in ``rn`` order, each with the year's ``total`` and
     the ``facets: {}`` pseudo-record."""
-    rows = rows.withColumn("offset", (F.floor(F.col("rn") / page_size) * page_size).cast("int"))
+    rows = rows.withColumn("offset", (F.floor(F.col("rn") / page_size) * page_size).cast("long"))
     totals = rows.groupBy(year_col).agg(F.count(F.lit(1)).cast("string").alias("total"))
     entry = F.struct(F.col("rn"), F.col("key"), F.col("rec").alias("value"))
     # A page holds at most ``page_size`` records: the group is bounded by construction.
@@ -126,7 +115,7 @@ def write_document_pages(spark: SparkSession, rows: DataFrame, year_col: str, pa
         F.transform("entries", lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))),
         F.array(facets)))
     body = F.struct(F.col("total"), docs.alias("documents"))
-    lines = pages.join(F.broadcast(totals), year_col).select(F.to_json(F.struct(
+    lines = pages.join(totals, year_col).select(F.to_json(F.struct(
         F.lit("documents").alias("source"), F.col(year_col).alias("year"), "offset",
         body.alias("body"))).alias("value"))
     path = scratch_path(spark, name)
@@ -135,14 +124,22 @@ def write_document_pages(spark: SparkSession, rows: DataFrame, year_col: str, pa
 
 
 def document_record(d: DataFrame) -> DataFrame:
-    """The driver ``documents`` table as document records: the whole text is
-    the theme list, sub-sectors differ only by case, a sector map, countries
-    known / case-variant / unknown, and planted falsy project ids."""
-    lang = F.col("lang")
+    """The driver ``documents`` table as document records with every field of
+    the payload: the whole text is the theme list, sub-sectors differ only by
+    case, a sector map, countries known / case-variant / unknown, dates in
+    three spellings and junk, a string that looks like a nested map, and
+    planted falsy project ids and ids."""
+    lang, no = F.col("lang"), F.col("doc_id").cast("string")
+    day = F.date_format(F.date_add(F.lit("2001-02-03").cast("date"), F.pmod("doc_id", F.lit(3000)).cast("int")), "yyyy-MM-dd")
+
+    def text(prefix, *more):
+        return F.concat(F.lit(prefix), no, *map(F.lit, more))
+
     projectid = (F.when(lang == "de", F.lit("")).when(lang == "es", F.lit(None).cast("string"))
                   .otherwise(F.concat(F.lit("P"), F.col("doc_id").cast("string"))))
     rec = F.struct(
-        F.col("doc_id").cast("string").alias("id"),
+        F.when(F.pmod("doc_id", F.lit(53)) == 7, F.lit(None).cast("string")).when(
+            F.pmod("doc_id", F.lit(53)) == 8, F.lit("")).otherwise(no).alias("id"),
         projectid.alias("projectid"),
         F.col("source").alias("docty"),
         F.col("lang").alias("lang"),
@@ -150,6 +147,16 @@ def document_record(d: DataFrame) -> DataFrame:
             F.lit("Document "), F.col("doc_id").cast("string")))).alias("docna"),
         F.create_map(F.lit("0"), F.create_map(F.lit("author"), F.col("source"))).alias("authors"),
         F.col("n_chars").cast("string").alias("volnb"),
+        F.concat(F.lit("L"), F.pmod("doc_id", F.lit(7)).cast("string")).alias("prdln"),
+        F.when(F.pmod("doc_id", F.lit(5)) == 0, F.lit('{"0":{"lndinstr":"x"}}')).otherwise(text("Instrument ")).alias("lndinstr"),
+        F.concat(day, F.lit("T23:30:00Z")).alias("docdt"), day.alias("datestored"),
+        F.when(lang == "fr", F.concat(day, F.lit("Tjunk"))).otherwise(day).alias("disclosure_date"),
+        F.concat(day, F.lit(" 10:00:00")).alias("last_modified_date"),
+        text("http://docs.example/", ".pdf").alias("pdfurl"), text("http://docs.example/", ".txt").alias("txturl"),
+        text("http://docs.example/").alias("url"), F.concat(F.lit("Major "), F.col("source")).alias("majdocty"),
+        F.when(F.pmod("doc_id", F.lit(2)) == 0, F.lit("Disclosed")).alias("disclstat"), F.lit("Final").alias("versiontyp"),
+        F.lit("Public").alias("seccl"), text("R").alias("repnb"), text("Title of ").alias("display_title"),
+        text("C").alias("chronical_docm_id"), text("G").alias("guid"), F.concat(F.lit("Owner "), F.col("source")).alias("owner"),
         F.col("text").alias("theme"),
         F.concat_ws(",", F.col("source"), F.upper("lang"), F.col("lang")).alias("subsc"),
         F.create_map(F.lit("0"), F.create_map(F.lit("sector"), F.col("source")),
@@ -163,13 +170,7 @@ def document_record(d: DataFrame) -> DataFrame:
 
 def land_documents_table(spark: SparkSession, sf_dir: str, page_size: int = 100) -> str:
     """Write the whole ``documents`` table as document pages; return the folder."""
-    cache = _LANDED.setdefault(spark, {})
-    key = ("documents", sf_dir, page_size)
-    if key in cache:
-        return cache[key]
     t = DriverTables(spark, sf_dir)
     d = with_surrogate_key(t("documents", "doc_id", "text", "lang", "source", "n_chars"),
                            ["doc_id"], "rn", start=0)
-    path = write_document_pages(spark, document_record(d), "year", page_size, "documents-table-pages")
-    cache[key] = path
-    return path
+    return write_document_pages(spark, document_record(d), "year", page_size, "documents-table-pages")

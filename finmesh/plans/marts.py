@@ -46,16 +46,22 @@ def project_sector_detail(projects: DataFrame, project_major_sectors: DataFrame,
                           major_sector_lookup: DataFrame, project_sectors: DataFrame,
                           proj_sector_lookup: DataFrame, ordered: bool = True) -> DataFrame:
     """Five-table join through the bridge's surrogate key (J4), sorted (O1)."""
-    p = projects.select("project_id")
+    out = _detail(projects.select("project_id"), project_major_sectors, major_sector_lookup,
+                  project_sectors, proj_sector_lookup)
+    return out.orderBy("project_id", "major_sector_code", "sector_code") if ordered else out
+
+
+def _detail(p: DataFrame, project_major_sectors: DataFrame, major_sector_lookup: DataFrame,
+            project_sectors: DataFrame, proj_sector_lookup: DataFrame) -> DataFrame:
+    """The five-table join; columns of ``p`` beyond the id are carried along."""
     pms = project_major_sectors.select("project_major_sector_id", "project_id", "major_sector_code")
     msl = major_sector_lookup.select("major_sector_code", "major_sector_name")
     ps = project_sectors.select("project_major_sector_id", "sector_code", "sector_percent")
     sl = proj_sector_lookup.select("sector_code", "sector_name")
-    out = (p.join(pms, "project_id").join(msl, "major_sector_code")
-            .join(ps, "project_major_sector_id").join(sl, "sector_code")
-            .select("project_id", "major_sector_code", "major_sector_name",
-                    "sector_code", "sector_name", "sector_percent"))
-    return out.orderBy("project_id", "major_sector_code", "sector_code") if ordered else out
+    return (p.join(pms, "project_id").join(msl, "major_sector_code")
+             .join(ps, "project_major_sector_id").join(sl, "sector_code")
+             .select(*p.columns, "major_sector_code", "major_sector_name",
+                     "sector_code", "sector_name", "sector_percent"))
 
 
 def sector_mart(projects: DataFrame, project_major_sectors: DataFrame,
@@ -63,22 +69,26 @@ def sector_mart(projects: DataFrame, project_major_sectors: DataFrame,
                 proj_sector_lookup: DataFrame) -> DataFrame:
     """The 9-column ``project_sector_details`` mart (R4 + country + total +
     allocated amount, F12)."""
-    detail = project_sector_detail(projects, project_major_sectors, major_sector_lookup,
-                                   project_sectors, proj_sector_lookup, ordered=False)
-    p = projects.select("project_id", "countryshortname", "totalamt")
-    return detail.join(p, "project_id").select(
+    detail = _detail(projects.select("project_id", "countryshortname", "totalamt"), project_major_sectors,
+                     major_sector_lookup, project_sectors, proj_sector_lookup)
+    return detail.select(
         "project_id", "countryshortname", "totalamt", "major_sector_code", "major_sector_name",
         "sector_code", "sector_name", "sector_percent",
         allocated_amount("totalamt", "sector_percent").alias("allocated_amount"))
 
 
 def sector_coverage(project_sectors: DataFrame) -> DataFrame:
-    """Projects with sector data, with a non-zero / a zero percent (A1, A2)."""
-    pct, pid = F.col("sector_percent"), F.col("project_id")
-    return project_sectors.agg(
-        F.count_distinct(pid).alias("projects_with_sector_data"),
-        F.count_distinct(F.when(pct != 0, pid)).alias("projects_with_nonzero_percent"),
-        F.count_distinct(F.when(pct == 0, pid)).alias("projects_with_zero_percent"))
+    """Projects with sector data, with a non-zero / a zero percent (A1, A2).
+
+    Two levels: two flags per project (combined on the map side), then counts;
+    three distinct counts would expand every row three times."""
+    pct = F.col("sector_percent")
+    flags = project_sectors.where(F.col("project_id").isNotNull()).groupBy("project_id").agg(
+        F.max(pct != 0).alias("nonzero"), F.max(pct == 0).alias("zero"))
+    return flags.agg(
+        F.count(F.lit(1)).alias("projects_with_sector_data"),
+        F.count_if("nonzero").alias("projects_with_nonzero_percent"),
+        F.count_if("zero").alias("projects_with_zero_percent"))
 
 
 def sector_coverage_total(projects: DataFrame, project_sectors: DataFrame) -> DataFrame:

@@ -11,30 +11,37 @@ Document side (records with a truthy ``projectid``, last write wins per key):
     documents, doc_sector_lookup, doc_sector, doc_theme_lookup, doc_theme,
     doc_sub_sector_lookup, doc_sub_sector, doc_country
 
-Everything is lazy; the only eager steps are the surrogate-key checkpoints.
+Tables are built when asked for; the only eager steps are the numberings that
+surrogate ids need (one for all project bridges, one for the document ones).
 Surrogate ids follow insertion order: page order, position in the page,
 position inside the nested list.
 """
 from __future__ import annotations
 
+from collections import ChainMap
+from collections.abc import Mapping
+from functools import cached_property
+
 from pyspark.sql import DataFrame, functions as F
 
 from finmesh.functions.coerce import (
     parse_date, parse_decimal, parse_int_id, parse_int_number, truthy,
 )
-from finmesh.functions.nested import first_nested_value
+from finmesh.functions.nested import first_of_nested
+from finmesh.functions.text import clean_items, lower_items, split_comma_nospace, split_plain
 from finmesh.operators.dedup import keep_first, last_write_wins
 from finmesh.operators.generators import (
-    explode_delimited, explode_major_sectors, explode_map_field, explode_sectors,
-    parse_major_sectors,
+    explode_delimited, explode_major_sectors, explode_sectors, major_sector_items, map_items,
+    parse_major_sectors, sector_items,
 )
 from finmesh.operators.joins import keep_known
-from finmesh.operators.keys import resolve_parent_key, with_surrogate_key
+from finmesh.operators.keys import resolve_parent_key, with_list_offsets, with_surrogate_key
 from finmesh.schemas import (
-    DOCUMENT_DATE_COLUMNS, DOCUMENT_FIELD_MAP, DOCUMENT_RECORD, MONEY_FIELDS, PROJECT_DATE_FIELDS,
-    PROJECT_FIELDS, PROJECT_RECORD,
+    DOCUMENT_DATE_COLUMNS, DOCUMENT_FIELD_MAP, DOCUMENT_RECORD, MONEY_FIELDS, NESTED_RECORD,
+    PROJECT_DATE_FIELDS, PROJECT_FIELDS, PROJECT_RECORD,
 )
 from finmesh.sources.pages import ORDER
+from finmesh.sources.sinks import append_load, read_back
 
 _PROJECT_EXTRA = ["regionname", "major_sectors", "borrower", "impagency"]
 
@@ -86,21 +93,6 @@ def build_projects(flat: DataFrame) -> DataFrame:
     return p.select(*cols)
 
 
-def _name_list(flat: DataFrame, col: str, out: str, id_name: str) -> DataFrame:
-    rows = explode_delimited(flat, col, out, rule="plain", keep=[*ORDER, "id"], pos="__item")
-    rows = with_surrogate_key(rows, [*ORDER, "__item"], id_name)
-    return rows.select(id_name, out, F.col("id").alias("project_id"))
-
-
-def build_borrower(flat: DataFrame) -> DataFrame:
-    """Plain comma split (F1), stripped, empties dropped."""
-    return _name_list(flat, "borrower", "borrower_name", "borrower_id")
-
-
-def build_impagency(flat: DataFrame) -> DataFrame:
-    return _name_list(flat, "impagency", "impagency_name", "impagency_id")
-
-
 def major_sector_rows(flat: DataFrame) -> DataFrame:
     return explode_major_sectors(flat, "major_sectors", keep=[*ORDER, "id"])
 
@@ -124,135 +116,200 @@ def build_proj_sector_lookup(s_rows: DataFrame) -> DataFrame:
     return first.select("sector_code", "sector_name")
 
 
-def build_project_major_sectors(ms_rows: DataFrame) -> DataFrame:
-    """One row per project x major sector entry, surrogate id in insertion order."""
-    r = with_surrogate_key(ms_rows, [*ORDER, "ms_pos"], "project_major_sector_id")
-    return r.select("project_major_sector_id", F.col("id").alias("project_id"), "major_sector_code")
-
-
-def build_project_sectors(s_rows: DataFrame, pms: DataFrame, mode: str = "unique") -> DataFrame:
-    """Sector bridge with the parent's surrogate id resolved by
-    (project_id, major_sector_code) (J5).  ``mode='all'`` reproduces the
-    source's many-to-many merge; the default resolves to one parent."""
-    children = s_rows.select(*ORDER, "ms_pos", "s_pos", F.col("id").alias("project_id"),
-                             "major_sector_code", "sector_code",
-                             parse_decimal("sector_percent", 5, 2).alias("sector_percent"))
-    r = resolve_parent_key(children, pms, ["project_id", "major_sector_code"],
-                           "project_major_sector_id", mode=mode)
-    r = with_surrogate_key(r, [*ORDER, "ms_pos", "s_pos", "project_major_sector_id"],
-                           "project_sector_id")
-    return r.select("project_sector_id", "project_id", "project_major_sector_id",
-                    "sector_code", "sector_percent")
-
-
-def build_project_tables(records: DataFrame, mode: str = "unique") -> dict[str, DataFrame]:
-    flat = flatten_projects(records).persist()
-    ms = major_sector_rows(flat)
-    s = sector_rows(flat)
-    pms = build_project_major_sectors(ms)
-    return {
-        "country": build_country(flat),
-        "projects": build_projects(flat),
-        "major_sector_lookup": build_major_sector_lookup(ms),
-        "proj_sector_lookup": build_proj_sector_lookup(s),
-        "project_major_sectors": pms,
-        "project_sectors": build_project_sectors(s, pms, mode),
-        "impagency": build_impagency(flat),
-        "borrower": build_borrower(flat),
-    }
+class _Lazy(Mapping):
+    """Tables by name; each is built when first asked for."""
+
+    names: tuple[str, ...] = ()
+
+    def __init__(self):
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.names:
+            raise KeyError(name)
+        if name not in self._built:
+            self._built[name] = getattr(self, f"_{name}")()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self.names)
+
+    def __len__(self):
+        return len(self.names)
+
+
+class ProjectTables(_Lazy):
+    """The project side.  Surrogate ids of all four bridges come from one
+    numbering of the records by their list sizes."""
+
+    names = ("country", "projects", "major_sector_lookup", "proj_sector_lookup",
+             "project_major_sectors", "project_sectors", "impagency", "borrower")
+
+    def __init__(self, records: DataFrame):
+        super().__init__()
+        self.flat = flatten_projects(records)
+
+    @cached_property
+    def lists(self) -> DataFrame:
+        """Records with their four lists and, for each, the items before it."""
+        return with_list_offsets(self.flat.select(
+            *ORDER, "id", clean_items(split_plain("borrower")).alias("borrowers"), clean_items(split_plain("impagency")).alias("agencies"),
+            major_sector_items(self.flat, "major_sectors").alias("majors"), sector_items(self.flat, "major_sectors").alias("sectors")),
+            ORDER, ["borrowers", "agencies", "majors", "sectors"])
+
+    def _names(self, items: str, id_name: str, out: str) -> DataFrame:
+        x = self.lists.select("id", f"{items}_before", F.posexplode(items).alias("at", out))
+        return x.select((F.col(f"{items}_before") + F.col("at") + 1).alias(id_name), out, F.col("id").alias("project_id"))
+
+    def _country(self):
+        return build_country(self.flat)
+
+    def _projects(self):
+        return build_projects(self.flat)
+
+    def _major_sector_lookup(self):
+        return build_major_sector_lookup(major_sector_rows(self.flat))
+
+    def _proj_sector_lookup(self):
+        return build_proj_sector_lookup(sector_rows(self.flat))
+
+    def _borrower(self):
+        """Plain comma split (F1), stripped, empties dropped."""
+        return self._names("borrowers", "borrower_id", "borrower_name")
+
+    def _impagency(self):
+        return self._names("agencies", "impagency_id", "impagency_name")
+
+    def _project_major_sectors(self):
+        """One row per project x major sector entry, surrogate id in insertion order."""
+        x = self.lists.select("id", "majors_before", F.posexplode("majors").alias("at", "m"))
+        return x.select((F.col("majors_before") + F.col("at") + 1).alias("project_major_sector_id"),
+                        F.col("id").alias("project_id"), F.col("m.major_sector_code").alias("major_sector_code"))
+
+    def _project_sectors(self):
+        """Sector bridge with the parent's surrogate id resolved by
+        (project_id, major_sector_code) to one parent (J5)."""
+        x = self.lists.select("id", "sectors_before", F.posexplode("sectors").alias("at", "s"))
+        children = x.select((F.col("sectors_before") + F.col("at") + 1).alias("project_sector_id"), F.col("id").alias("project_id"),
+                            F.col("s.major_sector_code").alias("major_sector_code"), F.col("s.sector_code").alias("sector_code"),
+                            parse_decimal("s.sector_percent", 5, 2).alias("sector_percent"))
+        r = resolve_parent_key(children, self["project_major_sectors"], ["project_id", "major_sector_code"], "project_major_sector_id")
+        return r.select("project_sector_id", "project_id", "project_major_sector_id", "sector_code", "sector_percent")
+
+
+def build_project_tables(records: DataFrame) -> ProjectTables:
+    return ProjectTables(records)
 
 
 # ------------------------------------------------------------------ documents
 def kept_documents(records: DataFrame) -> DataFrame:
     """Records with a truthy ``projectid`` (P3), newest value per record key
-    (A7) at the key's first-seen position: ``first_seen, record_key, record``."""
-    m = as_records(records, DOCUMENT_RECORD).select(*ORDER, "record_key", "record")
-    m = m.filter(truthy(_field("record", "projectid")))
+    (A7) at the key's first-seen position: ``first_seen, record_key, record, nested``."""
+    m = as_records(records, DOCUMENT_RECORD)
+    if dict(m.dtypes).get("nested") == "string":
+        m = m.withColumn("nested", F.from_json("nested", NESTED_RECORD))
+    m = m.select(*ORDER, "record_key", "record", "nested").filter(truthy(_field("record", "projectid")))
     return last_write_wins(m, ["record_key"], ORDER, first_seen_as="first_seen").select(
-        "first_seen", "record_key", "record")
+        "first_seen", "record_key", "record", "nested")
 
 
 def flatten_documents(kept: DataFrame) -> DataFrame:
-    """25 documented columns, uncleaned (the bronze layer, S5)."""
-    m = kept.select("first_seen", "record")
+    """25 documented columns, uncleaned (the bronze layer, S5), beside
+    ``first_seen`` and ``record_key``."""
     cols = []
     for field, name, nested in DOCUMENT_FIELD_MAP:
         raw = _field("record", field)
-        cols.append((first_nested_value(raw) if nested else raw).alias(name))
-    return m.select("first_seen", *cols)
+        cols.append((first_of_nested(_field("nested", field), raw) if nested else raw).alias(name))
+    return kept.select("first_seen", "record_key", *cols)
 
 
 def clean_documents(flat_docs: DataFrame) -> DataFrame:
     """Dates (F5), volume number (F7), integer id."""
-    out = flat_docs
-    for c in DOCUMENT_DATE_COLUMNS:
-        out = out.withColumn(c, parse_date(c))
-    return (out.withColumn("volnb", parse_int_number("volnb"))
-               .withColumn("document_id", parse_int_id("document_id")))
+    typed = {**{c: parse_date(c) for c in DOCUMENT_DATE_COLUMNS},
+             "volnb": parse_int_number("volnb"), "document_id": parse_int_id("document_id")}
+    return flat_docs.withColumns(typed)
 
 
 def build_documents(flat_docs: DataFrame, projects: DataFrame) -> DataFrame:
-    """Cleaned documents whose project exists."""
-    cleaned = clean_documents(flat_docs)
+    """Cleaned documents that have an id and whose project exists."""
+    cleaned = clean_documents(flat_docs.filter(truthy("document_id")))
     kept = keep_known(cleaned, projects, ["project_id"])
-    return kept.drop("first_seen")
-
-
-def _doc_children(kept: DataFrame) -> dict[str, DataFrame]:
-    """Child rows of *all* kept records with a truthy id (P4):
-    ``first_seen, raw_id, entry_pos, <name>``."""
-    m = kept.select("first_seen", _field("record", "id").alias("raw_id"),
-                    _field("record", "sectr").alias("sectr"), _field("record", "theme").alias("theme"),
-                    _field("record", "subsc").alias("subsc"), _field("record", "count").alias("count"))
-    m = m.filter(truthy("raw_id"))
-    keep = ["first_seen", "raw_id"]
-    return {
-        "sector": explode_map_field(m, "sectr", "sector", "sector_name", keep=keep),
-        "theme": explode_delimited(m, "theme", "theme_name", keep=keep, pos="entry_pos"),
-        "sub_sector": explode_delimited(m, "subsc", "sub_sector_name", keep=keep,
-                                        pos="entry_pos", lower=True),
-        "country": explode_delimited(m, "count", "countryshortname", keep=keep, pos="entry_pos"),
-    }
-
-
-def _bridge(rows: DataFrame, kept_ids: DataFrame, name: str, id_name: str) -> DataFrame:
-    r = keep_known(rows, kept_ids, ["raw_id"])
-    r = with_surrogate_key(r, ["first_seen", "entry_pos"], id_name)
-    return r.select(id_name, name, parse_int_id("raw_id").alias("document_id"))
-
-
-def build_document_tables(records: DataFrame, projects: DataFrame,
-                          country: DataFrame) -> dict[str, DataFrame]:
-    kept = kept_documents(records).persist()
-    flat_docs = flatten_documents(kept)
-    documents = build_documents(flat_docs, projects)
-    # Children are kept for inserted documents only, compared on the raw id text.
-    inserted = keep_known(flat_docs.select("document_id", "project_id"), projects, ["project_id"])
-    kept_ids = inserted.select(F.col("document_id").alias("raw_id")).distinct()
-    ch = _doc_children(kept)
-    sector = _bridge(ch["sector"], kept_ids, "sector_name", "doc_sector_id")
-    theme = _bridge(ch["theme"], kept_ids, "theme_name", "doc_theme_id")
-    sub = _bridge(ch["sub_sector"], kept_ids, "sub_sector_name", "doc_sub_sector_id")
-    # Countries: inserted documents only, and only countries already known (J8);
-    # the country dimension is bounded by the number of countries.
-    countries = keep_known(ch["country"], country, ["countryshortname"], bounded=True)
-    doc_country = _bridge(countries, kept_ids, "countryshortname", "doc_country_id")
-    return {
-        "documents": documents,
-        "doc_sector_lookup": sector.select("sector_name").distinct(),
-        "doc_sector": sector,
-        "doc_theme_lookup": theme.select("theme_name").distinct(),
-        "doc_theme": theme,
-        # Sub-sector lookup spans all documents, not only inserted ones.
-        "doc_sub_sector_lookup": ch["sub_sector"].select("sub_sector_name").distinct(),
-        "doc_sub_sector": sub,
-        "doc_country": doc_country.select("doc_country_id", "countryshortname", "document_id"),
-    }
-
-
-def build_all(project_recs: DataFrame, document_recs: DataFrame,
-              mode: str = "unique") -> dict[str, DataFrame]:
-    """All 16 tables."""
-    p = build_project_tables(project_recs, mode)
-    d = build_document_tables(document_recs, p["projects"], p["country"])
-    return {**p, **d}
+    return kept.drop("first_seen", "record_key")
+
+
+class DocumentTables(_Lazy):
+    """The document side.  Children belong to records with a truthy id (P4) whose
+    project exists; their surrogate ids come from one numbering as well."""
+
+    names = ("documents", "doc_sector_lookup", "doc_sector", "doc_theme_lookup", "doc_theme",
+             "doc_sub_sector_lookup", "doc_sub_sector", "doc_country")
+
+    def __init__(self, records: DataFrame, projects: DataFrame, country: DataFrame):
+        super().__init__()
+        self.kept, self.projects, self.country = kept_documents(records), projects, country
+
+    def _with_id(self) -> DataFrame:
+        r = lambda f: _field("record", f)
+        return self.kept.select("first_seen.*", r("id").alias("raw_id"), r("projectid").alias("project_id"), r("sectr").alias("sectr"),
+                                r("theme").alias("theme"), r("subsc").alias("subsc"), r("count").alias("count")).filter(truthy("raw_id"))
+
+    @cached_property
+    def lists(self) -> DataFrame:
+        inserted = keep_known(self._with_id(), self.projects, ["project_id"])
+        return with_list_offsets(inserted.select(
+            *ORDER, "raw_id", "count", map_items("sectr", "sector").alias("sectors"), clean_items(split_comma_nospace("theme")).alias("themes"),
+            lower_items(clean_items(split_comma_nospace("subsc"))).alias("sub_sectors")), ORDER, ["sectors", "themes", "sub_sectors"])
+
+    def _bridge(self, items: str, id_name: str, out: str) -> DataFrame:
+        x = self.lists.select("raw_id", f"{items}_before", F.posexplode(items).alias("at", out))
+        return x.select((F.col(f"{items}_before") + F.col("at") + 1).alias(id_name), out, parse_int_id("raw_id").alias("document_id"))
+
+    def _documents(self):
+        return build_documents(flatten_documents(self.kept), self.projects)
+
+    def _doc_sector(self):
+        return self._bridge("sectors", "doc_sector_id", "sector_name")
+
+    def _doc_theme(self):
+        return self._bridge("themes", "doc_theme_id", "theme_name")
+
+    def _doc_sub_sector(self):
+        return self._bridge("sub_sectors", "doc_sub_sector_id", "sub_sector_name")
+
+    def _doc_sector_lookup(self):
+        return self["doc_sector"].select("sector_name").distinct()
+
+    def _doc_theme_lookup(self):
+        return self["doc_theme"].select("theme_name").distinct()
+
+    def _doc_sub_sector_lookup(self):
+        """Spans all documents with an id, not only inserted ones."""
+        return explode_delimited(self._with_id(), "subsc", "sub_sector_name", lower=True).distinct()
+
+    def _doc_country(self):
+        """Inserted documents only, and only countries already known."""
+        named = explode_delimited(self.lists, "count", "countryshortname", keep=[*ORDER, "raw_id"], pos="entry_pos")
+        known = with_surrogate_key(keep_known(named, self.country, ["countryshortname"]), [*ORDER, "entry_pos"], "doc_country_id")
+        return known.select("doc_country_id", "countryshortname", parse_int_id("raw_id").alias("document_id"))
+
+
+def build_document_tables(records: DataFrame, projects: DataFrame, country: DataFrame) -> DocumentTables:
+    return DocumentTables(records, projects, country)
+
+
+def build_all(project_recs: DataFrame, document_recs: DataFrame) -> Mapping[str, DataFrame]:
+    """All 16 tables, each built when asked for."""
+    p = build_project_tables(project_recs)
+    return ChainMap(p, build_document_tables(document_recs, p["projects"], p["country"]))
+
+
+def store_all(project_recs: DataFrame, document_recs: DataFrame, base: str) -> dict[str, DataFrame]:
+    """All 16 tables stored once below ``base`` and read back: what comes after
+    (audits, counts, marts) reads the stored tables."""
+    spark = project_recs.sparkSession
+    p = build_project_tables(project_recs)
+    append_load(p, base)
+    out = {name: read_back(spark, base, name) for name in p}
+    d = build_document_tables(document_recs, out["projects"], out["country"])
+    append_load(d, base)
+    return out | {name: read_back(spark, base, name) for name in d}

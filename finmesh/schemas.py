@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 PAGE_ENVELOPE = T.StructType([
     T.StructField("source", T.StringType()),   # 'projects' | 'documents'
     T.StructField("year", T.IntegerType()),    # document pages are fetched per year
-    T.StructField("offset", T.IntegerType()),  # page offset within its year
+    T.StructField("offset", T.LongType()),     # page offset within its year
+    T.StructField("seq", T.LongType()),        # landing sequence: a page fetched again has a greater one
     T.StructField("body", T.StringType()),     # raw API response object
 ])
 
@@ -165,3 +166,9 @@ def _strings(names) -> T.StructType:
 # nulls its siblings.  Unknown fields are ignored.
 PROJECT_RECORD = _strings(PROJECT_FIELDS + ["regionname", "major_sectors", "borrower", "impagency"])
 DOCUMENT_RECORD = _strings([f for f, _, _ in DOCUMENT_FIELD_MAP] + ["sectr", "theme", "subsc", "count"])
+
+# The fields that may hold {'0': {name: value}}, parsed as such: null where the
+# value is of another kind, e.g. a string that looks like a map.
+NESTED_RECORD = T.StructType([
+    T.StructField(f, T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType())))
+    for f, _, nested in DOCUMENT_FIELD_MAP if nested])

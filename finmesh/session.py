@@ -6,9 +6,10 @@ local runs and tests, and only fills settings that are still unset.
 """
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -45,13 +46,8 @@ def get_session(master: str | None = None, app: str = "finmesh",
 def configure(spark: SparkSession) -> SparkSession:
     """Apply runtime SQL defaults that are unset, and make sure a checkpoint dir exists."""
     for k, v in _DEFAULTS.items():
-        if k == "spark.ui.enabled":
-            continue
-        try:
-            if spark.conf.get(k, None) is None:
-                spark.conf.set(k, v)
-        except Exception:  # static conf on some deployments
-            pass
+        if spark.conf.get(k, None) is None and spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
     checkpoint_dir(spark)
     return spark
 
@@ -59,7 +55,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when nothing is configured (local tests) do we create our own.
+    Only a local session without that setting gets a folder of its own; on a
+    cluster a machine-local folder would not be seen by the executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,6 +64,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="finmesh-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -77,29 +76,46 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for os-level checks in tests."""
-    return path[5:] if path.startswith("file:") else path
+def scratch_root(spark: SparkSession) -> str:
+    return getattr(spark, "_finmesh_scratch", None) or f"{checkpoint_dir(spark).rstrip('/')}/finmesh-scratch"
 
 
-def exists(path: str) -> bool:
-    return os.path.exists(local_path(path))
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def scratch_root(spark: SparkSession) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/finmesh-scratch"
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the Hadoop FileSystem API (any shared file system)."""
+    p, fs = _file_system(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """``source`` takes the place of ``target`` (which may not exist)."""
+    p, fs = _file_system(spark, source)
+    old, _ = _file_system(spark, target)
+    if fs.exists(old):
+        fs.delete(old, True)
+    if not fs.rename(p, old):
+        raise RuntimeError(f"{source} could not take the place of {target}")
 
 
 def cleanup_scratch(spark: SparkSession) -> None:
     """Delete this session's scratch folder (landed pages, round trips,
-    surrogate-key tables) through the Hadoop FileSystem API, so it works on
-    any shared file system, and drop the per-session caches that point into
-    it.  Call when the session's results are no longer needed."""
-    from finmesh.plans import catalog, landed, standins
-    for cache in (landed._LANDED, catalog._BUILT, standins._BASE):
-        cache.pop(spark, None)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(path):
-        fs.delete(path, True)
+    surrogate-key tables).  Results are lazy and may read it, so the caller
+    says when they are no longer needed; ``scratch`` does so for a block."""
+    delete_folder(spark, scratch_root(spark))
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Scratch tables made inside the block are deleted at its end."""
+    before = getattr(spark, "_finmesh_scratch", None)
+    spark._finmesh_scratch = f"{scratch_root(spark)}/{uuid.uuid4().hex}"
+    try:
+        yield
+    finally:
+        done, spark._finmesh_scratch = spark._finmesh_scratch, before
+        delete_folder(spark, done)

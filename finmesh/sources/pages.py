@@ -2,7 +2,10 @@
 
 Landing format: JSON lines, one fetched page per line::
 
-    {"source": "documents", "year": 2003, "offset": 2000, "body": {...API response...}}
+    {"source": "documents", "seq": 7, "year": 2003, "offset": 2000, "body": {...API response...}}
+
+``seq`` counts fetches: of a page fetched twice the greater one is the newer
+(absent: 0, pages in order of year and offset).
 
 Line-delimited JSON is splittable, so a directory of pages is read in
 parallel; ``body`` is declared as a string so Spark keeps its raw text and
@@ -12,7 +15,7 @@ accumulated collection (U1); batches loaded apart are combined with
 
 The raw document dump (S3/S4) is JSON lines of single records::
 
-    {"record_key": "D123", "year": 2003, "offset": 2000, "pos": 5, "record": {...}}
+    {"record_key": "D123", "seq": 7, "year": 2003, "offset": 2000, "pos": 5, "record": {...}}
 
 and yields the same record frame as the pages, so one code path builds the
 tables from either.
@@ -22,17 +25,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from finmesh.operators.generators import explode_keyed_records
-from finmesh.schemas import DOCUMENT_RECORD, PAGE_ENVELOPE, PROJECT_RECORD
+from finmesh.schemas import DOCUMENT_RECORD, NESTED_RECORD, PAGE_ENVELOPE, PROJECT_RECORD
 
 # Record frame: ordering columns + key + raw record text.
-ORDER = ["page_year", "page_offset", "pos"]
+ORDER = ["landing_seq", "page_year", "page_offset", "pos"]
 
 RAW_DUMP = T.StructType([
     T.StructField("record_key", T.StringType()),
+    T.StructField("seq", T.LongType()),
     T.StructField("year", T.IntegerType()),
-    T.StructField("offset", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
     T.StructField("pos", T.IntegerType()),
     T.StructField("record", DOCUMENT_RECORD),
+    T.StructField("nested", NESTED_RECORD),
 ])
 
 
@@ -41,31 +46,37 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGE_ENVELOPE).json(path)
 
 
-def _records(pages: DataFrame, source: str, field: str, value_type, extra=()) -> DataFrame:
-    p = pages.filter(F.col("source") == F.lit(source)).select(
-        F.col("year").alias("page_year"), F.col("offset").alias("page_offset"), "body")
-    return explode_keyed_records(p, "body", field, value_type,
-                                 keep=["page_year", "page_offset"], extra=extra)
-
-
 def project_records(pages: DataFrame) -> DataFrame:
-    """``page_year, page_offset, pos, record_key, record`` for project pages (S1);
+    """``landing_seq, page_year, page_offset, pos, record_key, record`` for project pages (S1);
     ``record`` is a struct of strings parsed with the page."""
-    return _records(pages, "projects", "projects", PROJECT_RECORD)
+    p = pages.filter(F.col("source") == F.lit("projects")).select(
+        F.coalesce("seq", F.lit(0)).alias("landing_seq"), F.col("year").alias("page_year"),
+        F.col("offset").alias("page_offset"), "body")
+    return explode_keyed_records(p, "body", "projects", PROJECT_RECORD,
+                                 keep=["landing_seq", "page_year", "page_offset"])
 
 
 def document_records(pages: DataFrame) -> DataFrame:
-    """Same for document pages, plus the year's ``total``."""
-    r = _records(pages, "documents", "documents", DOCUMENT_RECORD, extra=[("total", T.StringType())])
-    return r.select("page_year", "page_offset", "pos", "record_key", "record",
-                    F.col("total").try_cast("long").alias("total"))
+    """Same for document pages, plus the year's ``total`` (S2) and ``nested``:
+    the fields that may hold nested maps, parsed as such (the page is parsed
+    once for either kind, as text alone does not tell a map from a string)."""
+    parsed = pages.filter(F.col("source") == F.lit("documents")).select(
+        F.coalesce("seq", F.lit(0)).alias("landing_seq"), F.col("year").alias("page_year"), F.col("offset").alias("page_offset"),
+        F.from_json("body", T.StructType([T.StructField("total", T.StringType()),
+                                          T.StructField("documents", T.MapType(T.StringType(), DOCUMENT_RECORD))])).alias("__b"),
+        F.from_json("body", T.StructType([T.StructField("documents", T.MapType(T.StringType(), NESTED_RECORD))])).alias("__n"))
+    both = F.arrays_zip(F.map_entries("__b.documents").alias("b"), F.map_values("__n.documents").alias("n"))
+    return parsed.select("landing_seq", "page_year", "page_offset", F.col("__b.total").alias("total"),
+                         F.posexplode(both).alias("pos", "__e")).select(
+        *ORDER, F.col("__e.b.key").alias("record_key"), F.col("__e.b.value").alias("record"), F.col("__e.n").alias("nested"),
+        F.col("total").try_cast("long").alias("total"))
 
 
 def read_raw_dump(spark: SparkSession, path: str) -> DataFrame:
     """Replay the raw document dump (S3) as a record frame."""
     d = spark.read.schema(RAW_DUMP).json(path)
-    return d.select(F.col("year").alias("page_year"), F.col("offset").alias("page_offset"),
-                    "pos", "record_key", "record", F.lit(None).cast("long").alias("total"))
+    return d.select(F.coalesce("seq", F.lit(0)).alias("landing_seq"), F.col("year").alias("page_year"), F.col("offset").alias("page_offset"),
+                    "pos", "record_key", "record", "nested", F.lit(None).cast("long").alias("total"))
 
 
 def page_inventory(pages: DataFrame) -> DataFrame:
@@ -73,5 +84,5 @@ def page_inventory(pages: DataFrame) -> DataFrame:
     b = F.from_json("body", "total string, documents map<string,string>, projects map<string,string>")
     x = pages.select("source", "year", "offset", b.alias("__b"))
     return x.select("source", "year", "offset",
-                    F.coalesce(F.size("__b.documents"), F.size("__b.projects")).cast("long").alias("records"),
+                    F.size(F.map_filter(F.coalesce("__b.documents", "__b.projects"), lambda k, _: k != "facets")).cast("long").alias("records"),
                     F.col("__b.total").try_cast("long").alias("total"))

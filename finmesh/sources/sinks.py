@@ -6,10 +6,14 @@ readers: parents are written before children.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from finmesh.session import delete_folder, replace_folder
+from finmesh.sources.files import read_table
+
 # Parents before children (foreign keys point up).
 LOAD_ORDER = [
     "country", "projects", "major_sector_lookup", "proj_sector_lookup",
@@ -22,8 +26,8 @@ LOAD_ORDER = [
 def write_raw_dump(records: DataFrame, path: str) -> None:
     """Kept records as JSON lines, before any cleaning."""
     out = records.select(
-        "record_key", F.col("page_year").alias("year"), F.col("page_offset").alias("offset"),
-        "pos", "record")
+        "record_key", F.col("landing_seq").alias("seq"), F.col("page_year").alias("year"), F.col("page_offset").alias("offset"),
+        "pos", "record", "nested")
     out.write.mode("overwrite").json(path)
 
 
@@ -36,13 +40,20 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV export with header, no index (S8).  Values are written as they are:
-    Spark's writer would otherwise trim leading/trailing spaces (some sector
-    names end with one)."""
+# Rows of a CSV part file: a value may hold line breaks, so a file is read by one task.
+CSV_ROWS_PER_FILE = 200_000
+# A null in CSV; an empty value is the empty string.
+CSV_NULL = "\\N"
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = CSV_ROWS_PER_FILE) -> None:
+    """CSV export with header, no index (S8).  Every value comes back as it
+    was: quotes are doubled, line breaks stay inside quotes, spaces are kept,
+    null is ``\\N``.  Part files are bounded in rows, as each is one unit of reading."""
     (df.write.mode(mode).option("header", True).option("encoding", "UTF-8")
+       .option("escape", '"').option("nullValue", CSV_NULL)
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-       .csv(path))
+       .option("maxRecordsPerFile", rows_per_file).csv(path))
 
 
 def append_load(tables: Mapping[str, DataFrame], base: str) -> None:
@@ -52,55 +63,22 @@ def append_load(tables: Mapping[str, DataFrame], base: str) -> None:
 
 
 def full_refresh(tables: Mapping[str, DataFrame], base: str) -> None:
-    """Overwrite every table (S10): children and parents rebuilt from one input,
-    so a rerun never duplicates bridge rows."""
-    for name in [t for t in LOAD_ORDER if t in tables] + [t for t in tables if t not in LOAD_ORDER]:
-        tables[name].write.mode("overwrite").parquet(f"{base}/{name}")
+    """Replace every table (S10): children and parents rebuilt from one input,
+    so a rerun never duplicates bridge rows.
+
+    All tables are written beside the old ones first and only then take their
+    names, so a table may be refreshed from what it now holds, and a failed
+    run leaves the old tables as they were."""
+    staging = f"{base}/_staging-{uuid.uuid4().hex}"
+    names = [t for t in LOAD_ORDER if t in tables] + [t for t in tables if t not in LOAD_ORDER]
+    for name in names:
+        tables[name].write.parquet(f"{staging}/{name}")
+    for name in names:
+        replace_folder(tables[name].sparkSession, f"{staging}/{name}", f"{base}/{name}")
+    if names:
+        delete_folder(tables[names[0]].sparkSession, staging)
 
 
 def read_back(spark: SparkSession, base: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A loaded table, optionally a few columns."""
-    df = spark.read.parquet(f"{base}/{name}")
-    return df.select(*columns) if columns else df
-
-
-def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str) -> DataFrame:
-    """Write ``df`` as an external table bucketed and sorted by ``keys`` at
-    ``path`` and return it read back.  Two tables bucketed the same way on
-    their join key are joined without shuffling either side (co-located join):
-    the load pays the shuffle once, every later mart reuses it."""
-    (df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
-       .option("path", path).saveAsTable(table))
-    return df.sparkSession.table(table)
-
-
-# Join keys the marts use: tables bucketed on the same key and bucket count
-# are joined without a shuffle.
-BUCKET_KEYS = {
-    "projects": ["project_id"],
-    "project_major_sectors": ["project_id"],
-    "project_sectors": ["project_id"],
-    "documents": ["project_id"],
-    "impagency": ["project_id"],
-    "borrower": ["project_id"],
-    "doc_theme": ["document_id"],
-    "doc_sector": ["document_id"],
-    "doc_sub_sector": ["document_id"],
-    "doc_country": ["document_id"],
-}
-
-
-def full_refresh_bucketed(tables: Mapping[str, DataFrame], base: str, buckets: int,
-                          prefix: str = "finmesh") -> dict[str, DataFrame]:
-    """Full refresh (S10) that stores fact and bridge tables bucketed on their
-    join keys (lookups stay plain: they are small or joined on other keys).
-    Returns the tables read back from the catalog."""
-    out = {}
-    for name in [t for t in LOAD_ORDER if t in tables] + [t for t in tables if t not in LOAD_ORDER]:
-        table = f"{prefix}_{name}"
-        if name in BUCKET_KEYS:
-            out[name] = save_bucketed(tables[name], table, BUCKET_KEYS[name], buckets, f"{base}/{name}")
-        else:
-            tables[name].write.mode("overwrite").option("path", f"{base}/{name}").saveAsTable(table)
-            out[name] = tables[name].sparkSession.table(table)
-    return out
+    return read_table(spark, f"{base}/{name}", columns)

@@ -4,7 +4,7 @@ The source fetches pages over hours; here each landed page file is picked up
 once by a file-source stream and its records are appended to a bronze
 Parquet table partitioned by source.  The transformation is stateless (parse
 and explode), the file sink is exactly-once through the stream's checkpoint,
-and the checkpoint lives in the shared checkpoint folder, so a restarted or
+and the checkpoint lies inside the bronze table's folder, so a restarted or
 re-run job resumes where it stopped.  Deduplication (last write wins, first
 row per key) happens in batch over the bronze table, where the order of
 pages is known.
@@ -14,20 +14,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finmesh.schemas import PAGE_ENVELOPE
-from finmesh.session import scratch_path
 from finmesh.sources.pages import document_records, project_records
 
-RECORD_COLUMNS = ["source", "page_year", "page_offset", "pos", "record_key", "record", "total"]
-
 
 def page_records(pages: DataFrame) -> DataFrame:
     """Records of both page kinds in one frame (works on batch and streaming
     frames); records are kept as JSON text, which the builders accept."""
-    p = project_records(pages).select(F.lit("projects").alias("source"), "page_year", "page_offset",
+    p = project_records(pages).select(F.lit("projects").alias("source"), "landing_seq", "page_year", "page_offset",
                                       "pos", "record_key", F.to_json("record").alias("record"),
-                                      F.lit(None).cast("long").alias("total"))
-    d = document_records(pages).select(F.lit("documents").alias("source"), "page_year", "page_offset",
-                                       "pos", "record_key", F.to_json("record").alias("record"), "total")
+                                      F.lit(None).cast("string").alias("nested"), F.lit(None).cast("long").alias("total"))
+    d = document_records(pages).select(F.lit("documents").alias("source"), "landing_seq", "page_year", "page_offset",
+                                       "pos", "record_key", F.to_json("record").alias("record"), F.to_json("nested").alias("nested"), "total")
     return p.unionByName(d)
 
 
@@ -35,7 +32,8 @@ def ingest_pages(spark: SparkSession, landing_dir: str, bronze_dir: str,
                  checkpoint: str | None = None, max_files_per_trigger: int = 1000) -> None:
     """Append the records of every page file not yet ingested, then stop
     (available-now trigger: all files present at start, in bounded batches)."""
-    checkpoint = checkpoint or scratch_path(spark, "ingest-checkpoint")
+    # One checkpoint per table: the file sink counts a new query's batches as already written.
+    checkpoint = checkpoint or f"{bronze_dir.rstrip('/')}/_ingest-checkpoint"
     pages = (spark.readStream.schema(PAGE_ENVELOPE)
              .option("maxFilesPerTrigger", max_files_per_trigger).json(landing_dir))
     q = (page_records(pages).writeStream.format("parquet")

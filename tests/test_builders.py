@@ -50,7 +50,7 @@ def test_sector_lookups(tables):
         ("WWA", "Sanitation "), ("WWC", "Water Supply")]
 
 
-def test_bridges_unique_mode(tables):
+def test_bridges(tables):
     assert rows(tables, "project_major_sectors", "project_major_sector_id", "project_id",
                 "major_sector_code") == [(1, "P1", "WWX"), (2, "P1", "EEX"), (3, "P1", "WWX"),
                                          (4, "P1", "EEX"), (5, "P6", "WWX")]
@@ -61,14 +61,42 @@ def test_bridges_unique_mode(tables):
         (5, "P6", 5, "WWA", None)]
 
 
-def test_bridges_all_mode(spark, tmp_path):
+def test_building_one_table_numbers_nothing(spark, tmp_path):
+    """The country table is built without a surrogate-key write."""
+    import os
+    from finmesh.session import scratch, scratch_root
     path = write_pages(str(tmp_path / "pages.jsonl"))
-    t = normalize.build_project_tables(P.project_records(P.read_pages(spark, path)), mode="all")
-    got = sorted((r.project_sector_id, r.project_major_sector_id, r.sector_code)
-                 for r in t["project_sectors"].collect())
-    # every P1 sector row matches both P1/WWX parents (ids 1 and 3)
-    assert got == [(1, 1, "WWA"), (2, 3, "WWA"), (3, 1, "WWC"), (4, 3, "WWC"),
-                   (5, 1, "WWA"), (6, 3, "WWA"), (7, 1, "WWC"), (8, 3, "WWC"), (9, 5, "WWA")]
+    with scratch(spark):
+        t = normalize.build_project_tables(P.project_records(P.read_pages(spark, path)))
+        assert t["country"].count() == 4
+        assert not os.path.exists(scratch_root(spark).replace("file:", ""))
+        assert t["borrower"].count() == 4 and t["impagency"].count() == 4
+        made = os.listdir(scratch_root(spark).replace("file:", ""))
+        assert sorted(m.rsplit("-", 1)[0] for m in made) == ["list-offsets", "list-rows", "list-sizes"]
+    assert not os.path.exists(scratch_root(spark).replace("file:", "") + "/" + made[0])
+
+
+def test_refetched_page_wins(spark, tmp_path):
+    """A page fetched again replaces what it had, whatever the order of files; its
+    first-seen rows and offsets beyond 2^31 keep their order."""
+    import json
+    rec = lambda v: {"total": "1", "documents": {"D1": {"id": "1", "projectid": "P1", "docty": v}}}
+    lines = [{"source": "documents", "seq": 9, "year": 2020, "offset": 3_000_000_000, "body": rec("new")},
+             {"source": "documents", "seq": 2, "year": 2020, "offset": 3_000_000_000, "body": rec("old")}]
+    for name, order in (("a", lines), ("b", lines[::-1])):
+        path = tmp_path / f"{name}.jsonl"
+        path.write_text("".join(json.dumps(x) + "\n" for x in order))
+        kept = normalize.kept_documents(P.document_records(P.read_pages(spark, str(path)))).collect()
+        assert [(r.record.docty, r.first_seen.landing_seq, r.first_seen.page_offset) for r in kept] == [("new", 2, 3_000_000_000)]
+
+
+def test_string_that_looks_like_a_map(spark, tmp_path):
+    import json
+    body = {"documents": {"D1": {"id": "1", "projectid": "P1", "authors": '{"0": {"author": "x"}}', "docna": {"0": {"docna": "real"}}}}}
+    path = tmp_path / "p.jsonl"
+    path.write_text(json.dumps({"source": "documents", "year": 1, "offset": 0, "body": body}) + "\n")
+    row = normalize.flatten_documents(normalize.kept_documents(P.document_records(P.read_pages(spark, str(path))))).first()
+    assert (row.author, row.document_name) == ('{"0": {"author": "x"}}', "real")
 
 
 def test_name_lists(tables):
@@ -130,14 +158,12 @@ def test_case_variants_of_sub_sectors(spark, tmp_path):
     assert got == [("other industry", 2, 2)]
 
 
-def test_bucketed_load_and_colocated_mart(spark, tmp_path):
-    import uuid
+def test_store_all(spark, tmp_path):
     from finmesh.plans import marts
-    from finmesh.sources import sinks
     path = write_pages(str(tmp_path / "pages.jsonl"))
     pages = P.read_pages(spark, path)
     built = normalize.build_all(P.project_records(pages), P.document_records(pages))
-    loaded = sinks.full_refresh_bucketed(built, str(tmp_path / "db"), 4, prefix=f"t{uuid.uuid4().hex[:8]}")
+    loaded = normalize.store_all(P.project_records(pages), P.document_records(pages), str(tmp_path / "db"))
     assert {k: v.count() for k, v in loaded.items()} == {k: v.count() for k, v in built.items()}
     detail = marts.project_sector_detail(loaded["projects"], loaded["project_major_sectors"],
                                          loaded["major_sector_lookup"], loaded["project_sectors"],
@@ -150,6 +176,6 @@ def test_bucketed_load_and_colocated_mart(spark, tmp_path):
 def test_page_inventory(spark, tmp_path):
     path = write_pages(str(tmp_path / "pages.jsonl"))
     inv = sorted(tuple(r) for r in P.page_inventory(P.read_pages(spark, path)).collect())
-    assert inv == [("documents", 2020, 0, 4, 1500), ("documents", 2020, 1000, 3, 1500),
+    assert inv == [("documents", 2020, 0, 3, 1500), ("documents", 2020, 1000, 2, 1500),
                    ("documents", 2021, 0, 1, 1), ("projects", None, 0, 5, None),
                    ("projects", None, 1000, 2, None)]

@@ -51,12 +51,14 @@ def test_parse_date_in_any_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
     try:
         df = spark.createDataFrame([("2026-12-31T23:30:00Z",), ("2026-12-31T05:00:00Z",),
-                                    ("2032-07-31",), ("junk",), ("",), (None,)], "s string")
+                                    ("2032-07-31",), ("junk",), ("",), (None,), ("2032-07-31Tjunk",),
+                                    ("2032-07-31 xyz",), ("2032-07-31 10:00:00",), ("2032-13-31",), ("2032",)], "s string")
         got = [r[0] for r in df.select(parse_date("s")).collect()]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     import datetime as dt
-    assert got == [dt.date(2026, 12, 31), dt.date(2026, 12, 31), dt.date(2032, 7, 31), None, None, None]
+    assert got == [dt.date(2026, 12, 31), dt.date(2026, 12, 31), dt.date(2032, 7, 31), None, None, None,
+                   None, None, dt.date(2032, 7, 31), None, None]
 
 
 def test_numbers(spark):
@@ -67,17 +69,21 @@ def test_numbers(spark):
     assert [r.i for r in got] == [1, 2, 3, None, None, 1]
     assert [r.d for r in got] == [Decimal("1.00"), Decimal("1.50"), Decimal("2.50"), None, None, Decimal("1.01")]
     assert [r.k for r in got] == [1, None, None, None, None, None]
+    odd = spark.createDataFrame([(v,) for v in ("3d", "2f", "0x1p3", "1e2", " 7 ", "-.5", "NaN", "Infinity", "99999999999", "1,5")], "s string")
+    assert [r.i for r in odd.select(parse_int_number("s").alias("i")).collect()] == [None, None, None, 100, 7, -1, None, None, None, None]
 
 
 def test_first_nested_value(spark):
     vals = ['{"0":{"docna":"A"}}', '{"0":{"a":"B","b":"C"}}', "plain", '{"1":{"x":"y"}}',
             '{"0":"scalar"}', '{"0":{}}', None]
-    df = spark.createDataFrame([(v,) for v in vals], "s string")
-    got = [r[0] for r in df.select(first_nested_value("s")).collect()]
-    assert got == ["A", "B", "plain", '{"1":{"x":"y"}}', '{"0":"scalar"}', '{"0":{}}', None]
+    records = ["{}" if v is None else '{"f":' + (v if v.startswith("{") else f'"{v}"') + "}" for v in vals]
+    records.append(r'''{"f": "{\"0\": {\"a\": \"b\"}}"}''')        # a string, not a map
+    df = spark.createDataFrame([(v,) for v in records], "s string")
+    got = [r[0] for r in df.select(first_nested_value("s", "f")).collect()]
+    assert got == ["A", "B", "plain", '{"1":{"x":"y"}}', '{"0":"scalar"}', '{"0":{}}', None, '{"0": {"a": "b"}}']
 
 
 def test_percent_complete(spark):
-    df = spark.createDataFrame([(1, 3), (2, 3), (1, 8), (0, 5), (5, 0), (7, 7)], "l long, t long")
+    df = spark.createDataFrame([(1, 3), (2, 3), (1, 8), (0, 5), (5, 0), (7, 7), (49, 400), (51, 400)], "l long, t long")
     got = [r[0] for r in df.select(percent_complete("l", "t")).collect()]
-    assert got == [33.3, 66.7, 12.5, 0.0, None, 100.0]
+    assert got == [33.3, 66.7, 12.5, 0.0, None, 100.0, 12.2, 12.8]

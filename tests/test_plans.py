@@ -12,17 +12,32 @@ def _formatted(spark, df):
     return buf.getvalue()
 
 
-def test_bucketed_join_has_no_exchange_on_the_project_key(spark):
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # as at scale: nothing small
-    try:
-        df = E.queries()["bucketed_sector_percent"](spark, SF001)
-        text = _formatted(spark, df)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "SortMergeJoin" in text
-    assert "Bucketed: true" in text
-    assert "hashpartitioning(project_id" not in text
+def test_id_only_marts_do_not_read_customers(spark):
+    for name in ("project_sector_percent", "project_major_sector"):
+        text = _formatted(spark, E.queries()[name](spark, SF001))
+        assert "customer.parquet" not in text and "nation.parquet" not in text
+
+
+def test_coverage_has_no_expand(spark):
+    assert "Expand" not in _formatted(spark, E.queries()["sector_coverage"](spark, SF001))
+
+
+def test_mart_joins_projects_once(spark):
+    text = _formatted(spark, E.queries()["sector_mart"](spark, SF001))
+    assert text.count("orders.parquet") == 1
+
+
+def test_keyed_records_parse_pages_once_without_self_join(spark):
+    text = _formatted(spark, E.queries()["keyed_records"](spark, SF001))
+    assert "Join" not in text
+
+
+def test_column_read_back_prunes(spark):
+    assert "ReadSchema: struct<doc_id:bigint,lang:string>" in _formatted(spark, E.queries()["column_read_back"](spark, SF001))
+
+
+def test_length_audit_scans_once(spark):
+    assert _formatted(spark, E.queries()["length_audit"](spark, SF001)).count("Scan parquet") <= 2      # listed in the tree and below it
 
 
 def test_flagship_pushes_filter_and_prunes_columns(spark):

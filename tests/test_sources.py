@@ -48,3 +48,26 @@ def test_resolve_parent_key_with_a_hot_key(spark):
     assert out.count() == 30000
     assert out.filter("project_id = 'HOT'").agg(F.countDistinct("pid")).first()[0] == 1
     assert out.filter("project_id = 'HOT'").first().pid == 1
+
+
+def test_csv_keeps_line_breaks_quotes_and_empties(spark, tmp_path):
+    rows = [(1, "two\nlines"), (2, 'said "so, then"'), (3, ""), (4, None), (5, " spaced "), (6, '"'), (7, "\r\n"), (8, "a\\b"), (9, "é,ü")]
+    df = spark.createDataFrame(rows, "k int, s string").repartition(2)
+    sinks.write_csv(df, str(tmp_path / "c"), rows_per_file=2)
+    assert sorted((r.k, r.s) for r in read_typed_csv(spark, str(tmp_path / "c"), df.schema).collect()) == rows
+    assert len(list((tmp_path / "c").glob("part-*.csv"))) >= 5
+
+
+def test_typed_scan_of_another_tools_export(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text('k,s\n1,"a ""b"", c"\n2,\n3,"x\ny"\n')
+    got = read_typed_csv(spark, str(path), spark.createDataFrame([], "k int, s string").schema, null="").collect()
+    assert [(r.k, r.s) for r in got] == [(1, 'a "b", c'), (2, None), (3, "x\ny")]
+
+
+def test_full_refresh_from_itself_keeps_the_rows(spark, tmp_path):
+    base = str(tmp_path / "db")
+    sinks.full_refresh({"t": spark.range(5)}, base)
+    sinks.full_refresh({"t": sinks.read_back(spark, base, "t").withColumn("id", F.col("id") + 10)}, base)
+    assert sorted(r.id for r in sinks.read_back(spark, base, "t").collect()) == [10, 11, 12, 13, 14]
+    assert [p.name for p in (tmp_path / "db").iterdir()] == ["t"]

@@ -30,3 +30,14 @@ def test_ingest_is_incremental_and_exactly_once(spark, tmp_path):
     assert sorted(r.record_key for r in p.filter(F.col("page_offset") == 1000).collect()) == ["P1", "P6"]
     d = read_bronze(spark, bronze, "documents").collect()
     assert [(r.record_key, r.total, r.page_year) for r in d] == [("D14", 1, 2021)]
+
+
+def test_default_settings_resume(spark, tmp_path):
+    """Without an explicit checkpoint a second run still adds what landed since."""
+    landing, bronze = str(tmp_path / "landing"), str(tmp_path / "bronze")
+    _land(landing, "p0.json", {"source": "projects", "year": None, "offset": 0, "body": PROJECT_PAGE_0})
+    ingest_pages(spark, landing, bronze)
+    _land(landing, "p1.json", {"source": "projects", "year": None, "offset": 1000, "body": PROJECT_PAGE_1})
+    ingest_pages(spark, landing, bronze)
+    ingest_pages(spark, landing, bronze)
+    assert read_bronze(spark, bronze, "projects").count() == 7
