@@ -29,7 +29,8 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document of the least doc_id (rows without an id stay)."""
     own = fresh(docs, "near_id")
-    gone = jaccard_join.components(docs, NEAR_WORDS, NEAR_PERCENT).where("doc_id <> component_id").select(F.col("doc_id").alias(own)).distinct()
+    # stored, so that its size is known before the join is planned: a short list leaves the texts where they are
+    gone = stored(jaccard_join.components(docs, NEAR_WORDS, NEAR_PERCENT).where("doc_id <> component_id").select(F.col("doc_id").alias(own)).distinct(), "near-gone")
     return docs.join(gone, docs["doc_id"].cast("long") == gone[own], "left_anti")
 
 

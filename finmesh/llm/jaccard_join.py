@@ -13,14 +13,21 @@ is set, which toggles just as the bits do.  A chunk without shingles would be a
 share; K exceeds D by so much that a document hardly ever has K - D empty chunks, and
 only such a document uses its empty chunks as keys as well, so no link is lost.
 
+Shingles that many documents have (license lines, quoted passages) are left out of the
+sketches: without them two sets differ in no more shingles, so the bound holds, and no key is made
+of nothing but such a passage.  A document with too few other shingles for that uses the
+sketch of its whole set as well.
+
 Hot groups: each task keeps one document of equal sets and, for each key, hands on only its
 least document and links the others to it, so a key reaches the shuffle once per block of a
-task, whatever share of the rows has it.  After the shuffle the rows of a key are linked in
-a chain.  These links (linear in the rows) are verified on the full sets and joined into
-components.  A key whose documents then still lie in several components has its densest
-document compared with the others, round by round while that merges components; at last all
-pairs of such a key that still lie in different components are verified.  Pairs within a component cannot
-change the result and are not listed, so copies are never expanded into all pairs.
+task, whatever share of the rows has it.  After the shuffle the rows of a key are linked to
+its least document.  These links (linear in the rows) are verified on the full sets and joined into
+components.  Documents that share keys form clusters.  Of a cluster that still holds several
+components, those documents drop out that their own shingles alone keep from any link; in each
+key the densest document is compared with the others, round by round while that merges components;
+at last all pairs that share a key and still lie in different components are verified.  Pairs
+within a component cannot change the result and are not listed, so copies are never expanded
+into all pairs.
 
 The result is exact but for collisions of 64-bit shingle hashes within a pair (odds below 1e-9 for
 documents of 100,000 words) and of 128-bit set digests.
@@ -38,13 +45,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from finmesh.llm.common import ASCII_LOWER, stored
-from finmesh.llm.components import connected
+from finmesh.llm.components import component_of, connected, joined
 
 BLOCK = 1 << 20          # sketch rows a task gathers before it links the documents of equal keys
 MEMO = 400_000           # word hashes a task remembers
 FILTER_BITS = 26         # size of the bitmap of candidate documents (8 MB), whatever the input
-MAX_ROUNDS = 8           # of comparing with the densest document before all pairs of a key are listed
-ROW = "kind byte, key long, a long, b long"
+SAMPLE = 8_000           # documents in which common shingles are looked for, about
+OFTEN, MAX_COMMON = 4, 500_000
+SKETCH = 2048            # bits of the sketch that pairs are first compared by
+MAX_ROUNDS = 4           # of comparing with the densest document before all pairs of a key are listed
+ROW = "key long, a long, kind byte, b long"
 DOC, SAME, TREE, LEADER = 0, 1, 2, 3
 
 
@@ -121,38 +131,76 @@ def shingle_hashes(text: str | None, width: int, memo: dict):
     return np.unique(total + np.uint64(k))
 
 
-def sketch_keys(hashes, bands: Bands):
-    """Join keys (as signed longs) of a set."""
+def sketch_keys(hashes, bands: Bands, common=None):
+    """Join keys (as signed longs) of a set; ``common``: sorted shingles left out of the sketches."""
     import numpy as np
+    rare = hashes
+    if common is not None and len(common):
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        rare = hashes[common[at] != hashes]
     keys = []
     for scheme in bands.schemes(len(hashes)):
         chunks, bound = bands.prepare(scheme)
-        chunk = (hashes >> np.uint64(32)) % np.uint64(chunks)
-        bit = _mix((hashes & np.uint64(0xFFFFFFFF)) + (chunk << np.uint64(32)) + np.uint64(scheme << 56))
-        order = np.argsort(chunk, kind="stable")
-        own, starts = np.unique(chunk[order], return_index=True)
-        value = np.bitwise_xor.reduceat(bit[order], starts)
-        keys.append(_mix(value + (own + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((scheme + 1) * 0xD6E8FEB86659FD93 % (1 << 64))))
+        own, found = _chunk_keys(rare, chunks, scheme)
+        keys.append(found)
+        if chunks - len(own) < chunks - bound:
+            continue
+        if len(rare) < len(hashes):                 # too few rare shingles: the whole set's sketch as well
+            own, found = _chunk_keys(hashes, chunks, scheme + 100)
+            keys.append(found)
         if chunks - len(own) >= chunks - bound:
             absent = np.setdiff1d(np.arange(chunks, dtype=np.uint64), own)
             keys.append(_mix(absent + np.uint64(scheme + 1 << 40) + np.uint64(0xA0761D6478BD642F)))
     return np.concatenate(keys).view(np.int64)
 
 
-def _scan(width: int, percent: int):
+def _chunk_keys(hashes, chunks: int, scheme: int):
+    """The chunks that have shingles, and the key of each."""
+    import numpy as np
+    if not len(hashes):
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    chunk = (hashes >> np.uint64(32)) % np.uint64(chunks)
+    bit = _mix((hashes & np.uint64(0xFFFFFFFF)) + (chunk << np.uint64(32)) + np.uint64(scheme << 56))
+    order = np.argsort(chunk, kind="stable")
+    own, starts = np.unique(chunk[order], return_index=True)
+    value = np.bitwise_xor.reduceat(bit[order], starts)
+    return own, _mix(value + (own + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((scheme + 1) * 0xD6E8FEB86659FD93 % (1 << 64)))
+
+
+def _common(texts: DataFrame, width: int):
+    """Shingles that many documents of a sample have, sorted (at most ``MAX_COMMON``).  Which they are changes
+    no result: sketches without some shingles differ in no more bits."""
+    import numpy as np
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        memo = _Hashes()
+        for batch in batches:
+            found = [shingle_hashes(t.as_py(), width, memo) for t in batch.column(0)]
+            shingle, n = np.unique(np.concatenate(found or [np.empty(0, np.uint64)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(shingle.view(np.int64)), pa.array(n.astype(np.int64))], names=["shingle", "n"])
+
+    sample = texts.select("text").sample(fraction=min(1.0, SAMPLE / max(1, texts.count())), seed=11)
+    often = sample.mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(f"n >= {OFTEN}")
+    rows = often.orderBy(F.desc("n"), "shingle").limit(MAX_COMMON).select("shingle").toArrow()
+    return np.sort(rows.column(0).to_numpy().view(np.uint64))
+
+
+def _scan(width: int, percent: int, common):
     """Rows (kind, key, a, b): DOC (id in a, set size in b), SAME (equal sets), TREE (key, least, other), LEADER (key, least)."""
     def run(batches: Iterator) -> Iterator:
         import hashlib
 
         import numpy as np
         import pyarrow as pa
-        bands, memo, first = Bands(percent), _Hashes(), {}
-        names = ["kind", "key", "a", "b"]
+        bands, memo, first, often = Bands(percent), _Hashes(), {}, np.frombuffer(common.value, np.uint64)
+        names = ["key", "a", "kind", "b"]
         held: list = []
         count = 0
 
         def rows(kind, key, a, b):
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(key, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(a, pa.int64()), pa.array(np.full(len(a), kind, np.int8)), pa.array(b, pa.int64())], names=names)
 
         def flush():
             nonlocal held, count
@@ -164,7 +212,7 @@ def _scan(width: int, percent: int):
             head = np.r_[True, keys[1:] != keys[:-1]]
             least = ids[head][np.cumsum(head) - 1]
             other = ~head & (ids != least)
-            return rows(LEADER, keys[head], ids[head], ids[head]), rows(TREE, keys[other], least[other], ids[other])
+            return rows(LEADER, keys[head], ids[head], np.zeros(head.sum(), np.int64)), rows(TREE, keys[other], least[other], ids[other])
 
         for batch in batches:
             docs: list = []
@@ -180,7 +228,7 @@ def _scan(width: int, percent: int):
                 if known != doc_id:
                     same.append((known, doc_id))
                     continue
-                held.append((sketch_keys(hashes, bands), doc_id))
+                held.append((sketch_keys(hashes, bands, often), doc_id))
                 count += len(held[-1][0])
                 if count >= BLOCK:
                     yield from flush()
@@ -198,22 +246,21 @@ def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b, linked) for each of ``pairs``, on the full sets.
+def _sets(ids: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(id, n, sketch, hashes) of the documents ``ids``: shingle sets made anew, and a parity sketch of ``SKETCH`` bits.
 
-    Sets are made anew for the documents of a bounded bitmap of candidates, then joined by id."""
-    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    Texts are not shuffled: a bitmap of bounded size passes the candidates (and a few
+    others by collision, more of them the larger the input), and the join by id is exact."""
     place = F.expr(f"shiftrightunsigned(xxhash64(id), {64 - FILTER_BITS})")
-    bits = ends.select(place.alias("place")).groupBy(F.shiftright("place", 15).alias("block")).agg(
+    bits = ids.select(place.alias("place")).groupBy(F.shiftright("place", 15).alias("block")).agg(
         F.expr("bitmap_construct_agg(place & 32767)").alias("bits"))
     # at most 2^11 rows of 4 KB reach the driver, whatever the input
     bitmap = bytearray(1 << FILTER_BITS - 3)
     for row in bits.toLocalIterator():
         bitmap[row.block << 12:row.block + 1 << 12] = row.bits
     candidates = texts.sparkSession.sparkContext.broadcast(bytes(bitmap))
-    hashed = texts.select("id", "text", place.alias("place")).where("id is not null")
 
-    def sets(batches: Iterator) -> Iterator:
+    def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
         bits, memo = np.frombuffer(candidates.value, dtype=np.uint8), _Hashes()
@@ -222,10 +269,33 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
             keep = np.flatnonzero(bits[at >> 3] >> (at & 7) & 1)
             for lo in range(0, len(keep), 256):
                 own = keep[lo:lo + 256]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), pa.array(
-                    [shingle_hashes(batch.column(1)[int(i)].as_py(), width, memo).tobytes() for i in own], pa.binary())], names=["id", "hashes"])
+                found = [shingle_hashes(batch.column(1)[int(i)].as_py(), width, memo) for i in own]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).take(pa.array(own)), pa.array([len(x) for x in found], pa.int64()),
+                    pa.array([_sketch(x) for x in found], pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())],
+                    names=["id", "n", "sketch", "hashes"])
+
+    hashed = texts.select("id", "text", place.alias("place")).where("id is not null")
+    return stored(hashed.mapInArrow(run, "id long, n long, sketch binary, hashes binary").join(ids, "id", "left_semi"), "jaccard-sets")
 
-    found = stored(hashed.mapInArrow(sets, "id long, hashes binary").join(ends, "id", "left_semi"), "jaccard-sets")
+
+def _sketch(hashes) -> bytes:
+    import numpy as np
+    return np.packbits(np.bincount(hashes >> np.uint64(64 - SKETCH.bit_length() + 1), minlength=SKETCH).astype(np.uint8) & 1).tobytes()
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, linked) for each of ``pairs``: first by the Hamming distance of the sketches, which is at
+    most the symmetric difference, then on the full sets of the pairs that it lets pass."""
+    def near(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(batch.num_rows, SKETCH // 8) for c in (batch.column(4), batch.column(5)))
+            n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            distance = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            passes = (distance * (100 + percent) <= (100 - percent) * (n + m)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(passes, pa.bool_())], names=["a", "b", "near"])
 
     def compare(batches: Iterator) -> Iterator:
         import numpy as np
@@ -234,70 +304,110 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
             linked = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                small, large = sorted((len(x), len(y)))
-                if not small or 100 * small < percent * large:
-                    linked.append(False)
-                    continue
-                both = small + large - len(np.unique(np.concatenate([x, y])))
-                linked.append(100 * both >= percent * (small + large - both))
+                both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+                linked.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
-    left = found.select(F.col("id").alias("a"), F.col("hashes").alias("x"))
-    right = found.select(F.col("id").alias("b"), F.col("hashes").alias("y"))
-    result = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long, linked boolean")
-    return stored(result.groupBy("a", "b").agg(F.max("linked").alias("linked")), "jaccard-verified")
+    def with_both(rows, *columns):
+        left, right = (sets.select(F.col("id").alias(v), *[F.col(c).alias(f"{c}_{v}") for c in columns]) for v in "ab")
+        return rows.join(left, "a").join(right, "b").select("a", "b", *[f"{c}_{v}" for c in columns for v in "ab"])
 
+    first = stored(with_both(pairs, "n", "sketch").mapInArrow(near, "a long, b long, near boolean"), "jaccard-near")
+    result = with_both(first.where("near").select("a", "b").distinct(), "hashes").mapInArrow(compare, "a long, b long, linked boolean")
+    return stored(result.unionByName(first.where("not near").select("a", "b", F.lit(False).alias("linked"))).groupBy("a", "b").agg(
+        F.max("linked").alias("linked")), "jaccard-verified")
 
-def _with_components(rows: DataFrame, comp: DataFrame, vertex: str, name: str) -> DataFrame:
-    return rows.join(comp.select(F.col("v").alias(vertex), F.col("c").alias(name)), vertex, "left").withColumn(name, F.coalesce(name, vertex))
+
+def _open(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of ``docs`` (v, c, cluster) those that may still link with a document of their cluster in another
+    component: (v, c, cluster, n, u).
+
+    A shingle that only one component has is in no intersection with another's.  With u such
+    shingles of n, a link to a document of m shingles needs n - u >= percent * (n + m) /
+    (100 + percent); m is at least the least size in the cluster.  Copies with many changes of
+    their own drop out here, each by itself, before any pair is listed."""
+    def each(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                found = [np.frombuffer(h.as_buffer(), np.int64) for h in part.column(2)]
+                lens = [len(x) for x in found]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(k).to_numpy(), lens), pa.int64()) for k in (0, 1)]
+                                                 + [pa.array(np.concatenate(found))], names=["v", "c", "shingle"])
+
+    own = sets.join(docs.select(F.col("v").alias("id"), "c"), "id")
+    only = own.select("id", "c", "hashes").mapInArrow(each, "v long, c long, shingle long").groupBy("shingle").agg(
+        F.min("c").alias("c"), F.max("c").alias("other"), F.min("v").alias("v"), F.max("v").alias("w")).where("c = other")
+    # counted for two documents of the component; for more the count is less, which keeps them in
+    count = only.select("v").unionByName(only.where("v <> w").select(F.col("w").alias("v"))).groupBy("v").agg(F.count(F.lit(1)).alias("u"))
+    sizes = own.groupBy(F.col("id").alias("v")).agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("rows"))
+    shaped = stored(docs.join(sizes, "v").join(count, "v", "left").select("v", "c", "cluster", "n", F.when(
+        F.col("rows") == 1, F.coalesce("u", F.lit(0))).otherwise(0).alias("u")), "jaccard-shapes")       # repeated ids: no bound
+    least = shaped.groupBy("cluster").agg(F.min("n").alias("m"))
+    kept = shaped.join(least, "cluster").where(f"{100 + percent} * (n - u) >= {percent} * (n + m)")
+    return stored(_mixed(kept.select("v", "c", "cluster", "n", "u")), "jaccard-open")
+
+
+def _mixed(docs: DataFrame) -> DataFrame:
+    """The rows of clusters that hold several components."""
+    several = docs.groupBy("cluster").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("cluster")
+    return docs.join(several, "cluster", "left_semi")
 
 
 def components(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row."""
     texts = _texts(df, id_col, text_col)
-    order = Window.partitionBy("key").orderBy("kind", "a", "b")
-    chained = texts.mapInArrow(_scan(width, percent), ROW).withColumn("last_kind", F.lag("kind").over(order)).withColumn("last", F.lag("a").over(order))
-    rows = stored(chained.where(f"kind <> {LEADER} or last_kind = {LEADER} and last <> a").select(
+    common = texts.sparkSession.sparkContext.broadcast(_common(texts, width).tobytes())
+    least = F.first("a").over(Window.partitionBy("key", "kind").orderBy("a").rowsBetween(Window.unboundedPreceding, 0))
+    starred = texts.mapInArrow(_scan(width, percent, common), ROW).withColumn("least", least)
+    rows = stored(starred.where(f"kind <> {LEADER} or least <> a").select(
         F.when(F.col("kind") == LEADER, TREE).otherwise(F.col("kind")).cast("byte").alias("kind"), "key",
-        F.when(F.col("kind") == LEADER, F.col("last")).otherwise(F.col("a")).alias("a"),
+        F.when(F.col("kind") == LEADER, F.col("least")).otherwise(F.col("a")).alias("a"),
         F.when(F.col("kind") == LEADER, F.col("a")).otherwise(F.col("b")).alias("b")), "jaccard-rows")
     tree = rows.where(f"kind = {TREE}")
     same = rows.where(f"kind = {SAME}").select("a", "b")
-    checked = _verify(tree.select("a", "b").distinct(), texts, width, percent)
-    links = same.unionByName(checked.where("linked").select("a", "b"))
-    comp = stored(connected(links), "jaccard-components")
+    pairs = stored(tree.select("a", "b").distinct(), "jaccard-pairs")
+    sets = _sets(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), texts, width)
+    digests = sets.select("id", F.md5("hashes").alias("digest"))
+    same = stored(same.unionByName(digests.join(digests.groupBy("digest").agg(F.min("id").alias("a")), "digest").where("a <> id").select(
+        "a", F.col("id").alias("b"))).distinct(), "jaccard-same")
+    checked = _verify(pairs, sets, percent)
+    comp = stored(connected(same.unionByName(checked.where("linked").select("a", "b"))), "jaccard-components")
+    # documents that share keys, directly or through others, form a cluster; a link lies inside one
+    cluster = connected(pairs).select("v", F.col("c").alias("cluster"))
+    docs = stored(_mixed(component_of(cluster, comp, "v", "c")), "jaccard-docs")
+    docs, helps = _open(docs, sets, percent), True
     for round_no in range(MAX_ROUNDS + 1):
-        ends = _with_components(_with_components(tree, comp, "a", "ca"), comp, "b", "cb")
-        mixed = ends.where("ca <> cb").select("key").distinct()
-        inside = ends.join(mixed, "key", "left_semi")
-        members = stored(inside.select("key", F.col("a").alias("v"), F.col("ca").alias("c")).unionByName(
-            inside.select("key", F.col("b").alias("v"), F.col("cb").alias("c"))).distinct(), "jaccard-mixed")
+        if docs.isEmpty():
+            break
+        members = stored(tree.select("key", F.col("a").alias("v")).unionByName(tree.select("key", F.col("b").alias("v"))).join(
+            docs.drop("cluster"), "v").distinct(), "jaccard-members")
         per_key = members.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-        size = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.lit(0.0)).alias("cross")).first()
-        if not size.n:
+            F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("own"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+        total = per_key.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n"), F.coalesce(F.sum((F.col("size") * F.col("size") - F.col("own")) / 2), F.lit(0.0)).alias("cross")).first()
+        if not total.n:
             break
-        last = round_no == MAX_ROUNDS or size.cross <= 8 * size.n
+        members = members.join(per_key.select("key", "size"), "key")
+        last = round_no == MAX_ROUNDS or not helps or total.cross <= 8 * total.n
         if last:
-            x, y = members.select("key", F.col("v").alias("a"), F.col("c").alias("ca")), members.select("key", F.col("v").alias("b"), F.col("c").alias("cb"))
-            pairs = x.join(y, "key").where("a < b and ca <> cb").select("a", "b")
+            x, y = (members.select("key", *[F.col(k).alias(f"{k}{v}") for k in ("v", "c", "n", "u")]) for v in "12")
+            could = [f"{100 + percent} * (n{i} - u{i}) >= {percent} * (n1 + n2)" for i in (1, 2)]
+            pairs = x.join(y, "key").where(" and ".join(["v1 < v2", "c1 <> c2", *could])).select(F.col("v1").alias("a"), F.col("v2").alias("b"))
         else:
-            weight = members.join(per_key.select("key", F.col("n").alias("size")), "key").groupBy("v").agg(F.sum("size").alias("weight"))
+            weight = members.groupBy("v").agg(F.sum("size").alias("weight"))
             densest = members.join(weight, "v").groupBy("key").agg(F.max_by(F.struct("v", "c"), F.struct("weight", F.xxhash64("v", F.lit(round_no)))).alias("d"))
             pairs = members.join(densest, "key").where("c <> d.c").select(F.least("v", "d.v").alias("a"), F.greatest("v", "d.v").alias("b"))
-        known = checked.select("a", "b")
-        new = stored(pairs.distinct().join(known, ["a", "b"], "left_anti"), "jaccard-pairs")
-        if new.isEmpty():
-            if last:
-                break
-            continue
-        verified = _verify(new, texts, width, percent)
+        new = stored(pairs.distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-pairs")
+        verified = _verify(new, sets, percent)
+        helps = not verified.where("linked").isEmpty()
         checked = stored(checked.unionByName(verified), "jaccard-checked")
-        merged = not verified.where("linked").isEmpty()
-        if merged:
-            comp = stored(connected(same.unionByName(checked.where("linked").select("a", "b"))), "jaccard-components")
+        if helps:
+            comp = stored(joined(comp, verified.where("linked").select("a", "b")), "jaccard-components")
         if last:
             break
+        docs = stored(_mixed(component_of(docs.drop("c"), comp, "v", "c")), "jaccard-docs")
     docs = rows.where(f"kind = {DOC}").select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"))
     out = docs.join(comp.select(F.col("v").alias("doc_id"), F.col("c").alias("component_id")), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

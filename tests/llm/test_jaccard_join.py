@@ -50,7 +50,7 @@ def test_documents(documents, width, percent):
     assert got == want
 
 
-def near_copies(seed, groups=6, per_group=40, words=120):
+def near_copies(seed, groups=3, per_group=40, words=120):
     """Groups around a base text with a few words changed: chains and stars, with pairs on either side of the threshold."""
     rng, rows = random.Random(seed), []
     for g in range(groups):
@@ -64,16 +64,39 @@ def near_copies(seed, groups=6, per_group=40, words=120):
     return rows
 
 
-@pytest.mark.parametrize("seed, width, percent", [(1, 3, 90), (2, 5, 80), (3, 3, 80)])
-def test_near_copies(spark, seed, width, percent, monkeypatch):
-    """Small blocks make keys meet across blocks and tasks; few rounds reach the listing of pairs."""
+@pytest.mark.parametrize("seed, width, percent, rounds", [(1, 3, 90, 4), (2, 5, 80, 0), (3, 3, 80, 4), (4, 3, 80, 0)])
+def test_near_copies(spark, seed, width, percent, rounds, monkeypatch):
+    """Keys meet across tasks; without rounds all pairs left are listed at once."""
     rows = near_copies(seed)
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    assert found(df, width, percent) == brute(rows, width, percent)
-    monkeypatch.setattr(J, "MAX_ROUNDS", 0)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(J, "MAX_ROUNDS", rounds)
     assert found(df, width, percent) == brute(rows, width, percent)
 
 
+def test_shared_passages(spark):
+    """Documents that share little but a passage do not link; a common passage inside copies does no harm."""
+    rng, passage, rows = random.Random(6), " ".join(f"p{i}" for i in range(60)), []
+    for i in range(300):
+        own = [f"{i // 3}w{k}" for k in range(80)]
+        own[rng.randrange(80)] = f"x{i}"
+        rows.append((i, " ".join(own) + " " + passage))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(df, 3, 90) == brute(rows, 3, 90)
+
+
+def test_sparse_edits_in_a_large_group(spark):
+    """Copies of one base with up to eight changes each: those with many changes drop out by themselves."""
+    rng, base = random.Random(9), [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(400):
+        text = list(base)
+        for _ in range(rng.randrange(0, 9)):
+            text[rng.randrange(150)] = f"x{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert found(df, 3, 90) == brute(rows, 3, 90)
+
+
 @pytest.mark.parametrize("percent", [80, 90])
 def test_linked_sets_share_a_key(percent):
     """No link is lost: sets at the threshold share a key, whatever their sizes."""
@@ -92,7 +115,9 @@ def test_linked_sets_share_a_key(percent):
             b = np.unique(np.concatenate([a[:keep], pool[size:size + max(0, extra)]]))
             both = len(np.intersect1d(a, b))
             if 100 * both >= percent * (len(a) + len(b) - both) and len(b):
-                assert len(np.intersect1d(J.sketch_keys(a, bands), J.sketch_keys(b, bands)))
+                for share in (0, 0.3, 0.9, 1):
+                    common = np.sort(rng.permutation(np.union1d(a, b))[:int(share * len(a))])
+                    assert len(np.intersect1d(J.sketch_keys(a, bands, common), J.sketch_keys(b, bands, common)))
 
 
 def test_components_of_a_path_and_a_star(spark):
