@@ -4,16 +4,19 @@ Merging is done by Spark higher-order functions over the byte arrays of distinct
 words, with the rank map as an array literal; decoding concatenates the binary
 pieces of the ids.
 
-One narrow stage, no shuffle: every document row carries the positions of its words
-in a dictionary that grows along the task, plus the byte arrays of the words it is
-the first to use (dictionary encoding, as in a Parquet page).  Spark folds only those
-new words; the next step appends their ids to the same dictionary and gathers the
-document's ids.  A dictionary holds ``MAX_WORDS`` words at most and then starts anew,
-so memory is bounded whatever a task reads.
+Two passes, and text is never shuffled:
+
+1. Each task hands on the distinct words of its documents; the words that most tasks have,
+   ``FREQUENT`` at most, are folded once and broadcast (a bounded dictionary, a few tens of MB).
+2. Every document row carries the positions of its words in that dictionary, which goes
+   on growing along the task, plus the byte arrays of the words it is the first to use
+   (dictionary encoding, as in a Parquet page).  Spark folds only those rarer words; the next
+   step appends their ids to the same dictionary and gathers the document's ids.  A task's own
+   part of the dictionary holds ``MAX_WORDS`` words at most and then starts anew, so memory is
+   bounded whatever a task reads.
 
 The rank map is keyed by a pair of ids.  Spark looks a map literal up by scanning it,
-so the literal is laid out as a perfect hash table (bucket displacement): two array
-reads for a pair, checked against the stored key.
+so the literal is laid out as a table of displaced rows: two array reads for a pair.
 
 Nulls count as the empty text; an empty text gives no ids; repeated rows are kept.
 """
@@ -26,12 +29,21 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finmesh.llm.common import hex_sha256
+from finmesh.llm.common import hex_sha256, stored
 
-MAX_WORDS = 1_000_000      # dictionary size of a task at which it starts anew
+FREQUENT = 800_000         # words folded once for all tasks and broadcast, at most
+SHORT_WORD = 64            # bytes; longer words are not broadcast
+MAX_WORDS = 600_000        # further words of a task at which its own part starts anew
 LONG_WORD = 1024           # bytes; folding costs the square of a word's length, longer words use a heap
 NONE = 65536               # "no such pair" (ids are below)
 EDGE = 65535               # guard at either end of a word
+ID_BITS = 17
+
+# The public tokenizers' pattern, and the same over the characters below U+0100
+# (letters, numbers and white space of Latin-1 written out; the first alternatives exclude each other).
+PUBLIC = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+LATIN_1 = f" ?[{_L}]+| ?[{_N}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -53,59 +65,42 @@ def merge_pairs(ranks: dict[bytes, int]) -> dict[int, int]:
 
 
 class RankTable:
-    """Perfect hash of the pairs: slot = (hash(key) + displacement[key % buckets]) % slots."""
-
-    SHIFT = 16
+    """All pairs in one array: the row of a left id is laid into free slots at a displacement,
+    so that slot = displacement[left] + right, and an entry holds its left id and the joined id."""
 
     def __init__(self, pairs: dict[int, int]):
         import numpy as np
-        keys = np.fromiter(pairs, dtype=np.int64, count=len(pairs))
-        self.slots = 1 << max(4, int(len(pairs) * 1.7).bit_length())
-        self.buckets = len(pairs) // 3 * 2 + 1
-        for factor in range(40503, 40503 + 400, 2):     # another factor if two keys of a bucket share a hash
-            if self._place(keys, factor):
-                break
-        else:
-            raise ValueError("no displacement found")
-        self.entries = np.zeros(self.slots, dtype=np.int64)
-        for key, slot in zip(keys.tolist(), self._slot(keys).tolist()):
-            self.entries[slot] = key << 16 | pairs[key]
-
-    def _slot(self, keys):
-        return ((keys * self.factor >> self.SHIFT) + self.displacement[keys % self.buckets]) % self.slots
-
-    def _place(self, keys, factor: int) -> bool:
-        import numpy as np
-        self.factor, self.displacement = factor, np.zeros(self.buckets, dtype=np.int64)
-        hashes, bucket = (keys * factor >> self.SHIFT) % self.slots, keys % self.buckets
-        order = np.argsort(bucket, kind="stable")
-        starts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0])
-        groups = sorted(zip(bucket[order][starts].tolist(), np.split(hashes[order], starts[1:])),
-                        key=lambda g: -len(g[1]))
-        used, free, mix = np.zeros(self.slots, dtype=bool), None, np.random.default_rng(factor)
-        for b, own in groups:
-            if len(own) == 1:
-                if free is None:
-                    free = iter(np.flatnonzero(~used).tolist())
-                self.displacement[b] = (next(free) - own[0]) % self.slots
-                continue
-            if len(np.unique(own)) < len(own):
-                return False
-            for d in mix.integers(0, self.slots, 20_000):
-                at = (own + d) % self.slots
-                if not used[at].any():
-                    used[at] = True
-                    self.displacement[b] = d
+        keys = np.sort(np.fromiter(pairs, dtype=np.int64, count=len(pairs)))
+        lefts, starts = np.unique(keys >> 16, return_index=True)
+        rows = sorted(zip(lefts.tolist(), np.split(keys & 65535, starts[1:])), key=lambda r: -len(r[1]))
+        self.displacement = np.zeros(NONE, dtype=np.int64)
+        entries = np.full(4 * NONE + 2 * len(pairs), NONE << 16, dtype=np.int64)       # no left id's
+        used, low = np.zeros(len(entries), dtype=bool), 0
+        for left, rights in rows:
+            first = int(rights[0])
+            while used[low]:
+                low += 1
+            for lo in range(max(low, first), len(entries), 4096):      # the first free slots where the whole row fits
+                at = np.flatnonzero(~used[lo:lo + 4096]) + lo - first
+                at = at[(at >= 0) & (at + rights[-1] < len(entries))]
+                for right in rights[1:]:
+                    if not len(at):
+                        break
+                    at = at[~used[at + right]]
+                if len(at):
+                    self.displacement[left] = at[0]
+                    used[at[0] + rights] = True
+                    for right in rights.tolist():
+                        entries[at[0] + right] = left << 16 | pairs[left << 16 | right]
                     break
             else:
-                return False
-        return True
+                raise ValueError("the pairs do not fit")
+        self.entries = entries[:int(self.displacement.max()) + NONE]
 
     def rank(self, t: Column, left: Column, right: Column) -> Column:
-        """The joined id, or NONE and more where the stored key is another (its bits then differ above the lowest 16)."""
-        key = left * 65536 + right
-        slot = (F.shiftright(key * self.factor, self.SHIFT) + F.get(t["displacement"], (key % self.buckets).cast("int"))) % self.slots
-        return F.get(t["entries"], slot.cast("int")).bitwiseXOR(F.shiftleft(key, 16))
+        """The joined id, or NONE and more where the entry is of another left id (its bits then differ above the lowest 16)."""
+        slot = F.get(t["displacement"], left.cast("int")) + right
+        return F.get(t["entries"], slot.cast("int")).bitwiseXOR(F.shiftleft(left, 16))
 
 
 def _longs(values) -> Column:
@@ -120,40 +115,64 @@ def _let(value: Column, body) -> Column:
 def fold_words(words: Column, ranks: dict[bytes, int], table: RankTable | None = None) -> Column:
     """array<array<smallint>> (byte arrays of words) -> array<array<int>> (ids of each).
 
-    A word's state is its ids between two guards, the rank of each adjacent pair, and the
-    place of the pair to merge next (0: to be found).  Steps alternate: one finds the
-    leftmost pair of least rank, the next merges it and ranks its two new neighbours."""
+    A word's state is an array with an entry for each id between two guards (the rank of the
+    pair it begins above ``ID_BITS``, the id below), and the place of the pair to merge next
+    (0: to be found).  Steps alternate: one finds the leftmost pair of least rank, the next
+    merges it and ranks its two new neighbours."""
     table = table or RankTable(merge_pairs(ranks))
     edge = F.array(F.lit(EDGE).cast("bigint"))
     of_byte = F.split(F.lit(",".join(str(ranks[bytes([b])]) for b in range(256))), ",").cast("array<bigint>")
 
-    def state(ids, pair_ranks, at):
-        return F.struct(ids.alias("ids"), pair_ranks.alias("ranks"), at.alias("at"))
+    def entry(rank, own):
+        return F.shiftleft(rank, ID_BITS) + own
+
+    def own(entries, at):
+        return F.get(entries, at).bitwiseAND((1 << ID_BITS) - 1)
 
     def start(t, word):
         ids = F.concat(edge, F.transform(word, lambda b: F.get(t["of_byte"], b.cast("int"))), edge)
-        return _let(ids, lambda x: state(x, F.zip_with(x, F.slice(x, 2, F.size(x)), lambda a, b: F.coalesce(
-            table.rank(t, a, b), F.lit(1 << 60))), F.lit(0)))    # the last id has no neighbour
+        return _let(ids, lambda x: F.struct(F.zip_with(x, F.slice(x, 2, F.size(x)), lambda a, b: entry(
+            F.coalesce(table.rank(t, a, b), F.lit(NONE).cast("bigint")), a)).alias("x"), F.lit(0).alias("at")))    # the last id has no neighbour
 
     def step(t, s):
-        ids, pair_ranks, at = s["ids"], s["ranks"], s["at"]
-        least = F.get(pair_ranks, at - 1)
-        find = state(ids, pair_ranks, F.array_position(pair_ranks, F.array_min(pair_ranks)).cast("int"))
-        merge = state(F.concat(F.slice(ids, 1, at - 1), F.array(least), F.slice(ids, at + 2, LONG_WORD + 2)),
-                      F.concat(F.slice(pair_ranks, 1, at - 2),
-                               F.array(table.rank(t, F.get(ids, at - 2), least), table.rank(t, least, F.get(ids, at + 1))),
-                               F.slice(pair_ranks, at + 2, LONG_WORD + 2)), F.lit(0))
-        return F.when(at == 0, find).when(least < NONE, merge).otherwise(s)
+        x, at = s["x"], s["at"]
+        joined = F.shiftright(F.get(x, at - 1), ID_BITS)
+        left = own(x, at - 2)
+        find = F.struct(x.alias("x"), F.array_position(x, F.array_min(x)).cast("int").alias("at"))
+        merge = F.struct(F.concat(F.slice(x, 1, at - 2), F.array(entry(table.rank(t, left, joined), left),
+                                                                entry(table.rank(t, joined, own(x, at + 1)), joined)),
+                                  F.slice(x, at + 2, LONG_WORD + 2)).alias("x"), F.lit(0).alias("at"))
+        return F.when(at == 0, find).when(joined < NONE, merge).otherwise(s)
 
     def fold(t, word):
         steps = F.when(F.size(word) > 1, F.sequence(F.lit(3), F.size(word) * 2)).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(steps, start(t, word), lambda s, _: step(t, s),
-                           lambda s: F.slice(s["ids"], 2, F.size(s["ids"]) - 2).cast("array<int>"))
+        return F.aggregate(steps, start(t, word), lambda s, _: step(t, s), lambda s: F.transform(
+            F.slice(s["x"], 2, F.size(s["x"]) - 2), lambda e: e.bitwiseAND((1 << ID_BITS) - 1).cast("int")))
 
     literal = F.struct(_longs(table.displacement).alias("displacement"), _longs(table.entries).alias("entries"), of_byte.alias("of_byte"))
     return _let(literal, lambda t: F.transform(words, lambda w: fold(t, w)))
 
 
+def splitter(pattern: str):
+    """The function that splits a text by ``pattern``.  For the public pattern, texts of Latin-1 characters
+    take the same pattern with its classes written out, which the standard library matches faster."""
+    import re
+
+    import regex
+    find = regex.compile(pattern).findall
+    if pattern != PUBLIC:
+        return find
+    latin = re.compile(LATIN_1).findall
+
+    def split(text):
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return find(text)
+        return latin(text)
+    return split
+
+
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of a long word: merges off a heap over a linked list (n log n)."""
     parts: list = [word[i:i + 1] for i in range(len(word))]
@@ -180,12 +199,69 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p is not None]
 
 
-def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", id_col: str = "doc_id",
+           frequent: int = FREQUENT) -> DataFrame:
     """Rows (id, ids array<int>, ids_sha256), one for each row of ``df``."""
-    words = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(
-        _words(pattern, ranks), "doc_id long, fresh boolean, places binary, words array<array<smallint>>, merged array<array<int>>")
-    folded = words.select("doc_id", "fresh", "places", "merged", fold_words(F.col("words"), ranks).alias("folded"))
-    return folded.mapInArrow(_gather, "doc_id long, ids array<int>, ids_sha256 string")
+    texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    table = RankTable(merge_pairs(ranks))
+    base = texts.sparkSession.sparkContext.broadcast(_frequent_words(texts, ranks, table, pattern, frequent))
+    words = texts.mapInArrow(_words(pattern, ranks, base), "doc_id long, fresh boolean, places binary, words array<array<smallint>>, merged array<array<int>>")
+    folded = words.select("doc_id", "fresh", "places", "merged", fold_words(F.col("words"), ranks, table).alias("folded"))
+    return folded.mapInArrow(_gather(base), "doc_id long, ids array<int>, ids_sha256 string")
+
+
+def _frequent_words(texts: DataFrame, ranks: dict[bytes, int], table: RankTable, pattern: str, most: int) -> tuple[list[str], bytes, bytes]:
+    """(words, their ids as int32, ids of each as int32) of the words that most tasks have."""
+    import numpy as np
+
+    def distinct(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        find, seen = splitter(pattern), set()
+        for batch in batches:
+            for text in batch.column(0):
+                seen.update(find(text.as_py()))
+                if len(seen) > MAX_WORDS:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], names=["word"])
+                    seen = set()
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], names=["word"])
+
+    counted = stored(texts.select("text").mapInArrow(distinct, "word string").groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(
+        f"n > 1 and octet_length(word) <= {SHORT_WORD}"), "bpe-words")
+    by_n = {r.n: r.words for r in counted.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect()}     # a row for each number of tasks
+    total, least = 0, None
+    for n in sorted(by_n, reverse=True):
+        if total + by_n[n] > most:
+            break
+        total, least = total + by_n[n], n
+    if least is None:
+        return [], b"", b""
+    folded = counted.where(F.col("n") >= least).select("word").mapInArrow(_byte_arrays, "words array<string>, bytes array<array<smallint>>").select(
+        "words", fold_words(F.col("bytes"), ranks, table).alias("ids")).toArrow()
+    words, ids, lens = [], [], []
+    for batch in folded.to_batches():
+        words += batch.column(0).flatten().to_pylist()
+        each = batch.column(1).flatten()
+        ids.append(each.flatten().to_numpy())
+        lens.append(each.value_lengths().to_numpy())
+    return words, np.concatenate(ids).astype(np.int32).tobytes(), np.concatenate(lens).astype(np.int32).tobytes()
+
+
+def _byte_arrays(batches: Iterator) -> Iterator:
+    """Words in rows of up to 512, with their byte arrays."""
+    import numpy as np
+    import pyarrow as pa
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 512):
+            words = batch.column(0).slice(lo, 512).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(np.array([0, len(words)], np.int32), pa.array(words, pa.string())),
+                                              pa.ListArray.from_arrays(np.array([0, len(words)], np.int32), _bytes_of([w.encode() for w in words]))], names=["words", "bytes"])
+
+
+def _bytes_of(words: list[bytes]):
+    import numpy as np
+    import pyarrow as pa
+    ends = np.r_[0, np.cumsum([len(w) for w in words])].astype(np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(words), dtype=np.uint8).astype(np.int16)))
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
@@ -195,22 +271,22 @@ def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
     return F.unhex(_let(pieces, lambda p: F.array_join(F.transform(ids, lambda i: F.get(p, i)), "")))
 
 
-def _words(pattern: str, ranks: dict[bytes, int]):
+def _words(pattern: str, ranks: dict[bytes, int], base):
     """Step 1: split each text; positions of its words in the task's dictionary, and the words new to it."""
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
-        import regex
 
-        find = regex.compile(pattern).findall
-        known, renew = _Known(), False
+        find = splitter(pattern)
+        frequent = {w: i for i, w in enumerate(base.value[0])}
+        known = _Known(frequent)
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
                 fresh, places, counts, words = [], [], [], []
                 for text in part.column(1):
-                    if renew := len(known) > MAX_WORDS:
-                        known = _Known()
+                    if renew := len(known) > len(frequent) + MAX_WORDS:
+                        known = _Known(frequent)
                     fresh.append(renew)
                     found = find(text.as_py())
                     places.append(np.fromiter(map(known.__getitem__, found), dtype=np.int32, count=len(found)).tobytes())
@@ -219,12 +295,10 @@ def _words(pattern: str, ranks: dict[bytes, int]):
                     known.added.clear()
                 merged = [merge_long(w, ranks) if len(w) > LONG_WORD else None for w in words]
                 words = [b"" if len(w) > LONG_WORD else w for w in words]
-                ends = np.r_[0, np.cumsum([len(w) for w in words])].astype(np.int32)
                 rows = np.r_[0, np.cumsum(counts)].astype(np.int32)
-                byte_values = pa.array(np.frombuffer(b"".join(words), dtype=np.uint8).astype(np.int16))
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array(fresh, pa.bool_()), pa.array(places, pa.binary()),
-                    pa.ListArray.from_arrays(rows, pa.ListArray.from_arrays(ends, byte_values)),
+                    pa.ListArray.from_arrays(rows, _bytes_of(words)),
                     pa.ListArray.from_arrays(rows, pa.array(merged, pa.list_(pa.int32())))],
                     names=["doc_id", "fresh", "places", "words", "merged"])
     return run
@@ -233,8 +307,8 @@ def _words(pattern: str, ranks: dict[bytes, int]):
 class _Known(dict):
     """word -> place; ``added`` has the words that came since it was last cleared."""
 
-    def __init__(self):
-        super().__init__()
+    def __init__(self, known: dict[str, int] | None = None):
+        super().__init__(known or {})
         self.added: list[str] = []
 
     def __missing__(self, word):
@@ -243,43 +317,47 @@ class _Known(dict):
         return place
 
 
-def _gather(batches: Iterator) -> Iterator:
+def _gather(base):
     """Step 2: the same dictionary, now with ids, and each document's ids."""
-    import numpy as np
-    import pyarrow as pa
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
 
-    flat, ends, n_flat, n = np.empty(1 << 16, np.int32), np.zeros(1 << 12, np.int64), 0, 0
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 64):
-            part = batch.slice(lo, 64)
-            docs, shas = [], []
-            for row in range(part.num_rows):
-                if part.column(1)[row].as_py():
-                    n_flat = n = 0
-                folded, merged = part.column(4)[row].values, part.column(3)[row].values
-                if folded is not None and len(folded):
-                    lens, values = folded.value_lengths().to_numpy(zero_copy_only=False), folded.flatten().to_numpy()
-                    if merged.null_count < len(merged):
-                        own = [m if (m := merged[i].as_py()) is not None else folded[i].as_py() for i in range(len(folded))]
-                        lens, values = np.array([len(x) for x in own]), np.array([y for x in own for y in x], np.int32)
-                    flat = _room(flat, n_flat, len(values))
-                    ends = _room(ends, n + 1, len(lens))
-                    flat[n_flat:n_flat + len(values)] = values
-                    ends[n + 1:n + 1 + len(lens)] = n_flat + np.cumsum(lens)
-                    n_flat, n = n_flat + len(values), n + len(lens)
-                places = np.frombuffer(part.column(2)[row].as_py(), dtype=np.int32)
-                starts, lens = ends[places], ends[places + 1] - ends[places]
-                ids = flat[np.repeat(starts - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())]
-                docs.append(ids)
-                shas.append(hex_sha256(ids.astype("<u4").tobytes()))
-            offsets = np.r_[0, np.cumsum([len(x) for x in docs])].astype(np.int32)
-            yield pa.RecordBatch.from_arrays([
-                part.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(docs).astype(np.int32))),
-                pa.array(shas, pa.string())], names=["doc_id", "ids", "ids_sha256"])
+        _, flat, lens = base.value
+        flat, ends = np.frombuffer(flat, np.int32), np.r_[0, np.cumsum(np.frombuffer(lens, np.int32))].astype(np.int64)
+        n_flat, n = start = len(flat), len(ends) - 1
+        flat, ends = _room(flat, n_flat, 1 << 16), _room(ends, n + 1, 1 << 12)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                docs, shas = [], []
+                for row in range(part.num_rows):
+                    if part.column(1)[row].as_py():
+                        n_flat, n = start
+                    folded, merged = part.column(4)[row].values, part.column(3)[row].values
+                    if folded is not None and len(folded):
+                        lens, values = folded.value_lengths().to_numpy(zero_copy_only=False), folded.flatten().to_numpy()
+                        if merged.null_count < len(merged):
+                            own = [m if (m := merged[i].as_py()) is not None else folded[i].as_py() for i in range(len(folded))]
+                            lens, values = np.array([len(x) for x in own]), np.array([y for x in own for y in x], np.int32)
+                        flat, ends = _room(flat, n_flat, len(values)), _room(ends, n + 1, len(lens))
+                        flat[n_flat:n_flat + len(values)] = values
+                        ends[n + 1:n + 1 + len(lens)] = n_flat + np.cumsum(lens)
+                        n_flat, n = n_flat + len(values), n + len(lens)
+                    places = np.frombuffer(part.column(2)[row].as_py(), dtype=np.int32)
+                    starts, lens = ends[places], ends[places + 1] - ends[places]
+                    ids = flat[np.repeat(starts - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())]
+                    docs.append(ids)
+                    shas.append(hex_sha256(ids.astype("<u4").tobytes()))
+                offsets = np.r_[0, np.cumsum([len(x) for x in docs])].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(docs).astype(np.int32))),
+                    pa.array(shas, pa.string())], names=["doc_id", "ids", "ids_sha256"])
+    return run
 
 
 def _room(buffer, used: int, more: int):
     import numpy as np
     while used + more > len(buffer):
-        buffer = np.concatenate([buffer, np.empty_like(buffer)])
+        buffer = np.concatenate([buffer, np.empty((max(len(buffer), more), *buffer.shape[1:]), buffer.dtype)])
     return buffer

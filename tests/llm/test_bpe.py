@@ -29,6 +29,13 @@ def test_ids_and_round_trip(documents):
         assert sha == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
 
 
+def test_few_frequent_words(documents):
+    """Words beyond the broadcast dictionary are folded where they are used."""
+    for frequent in (0, 300):
+        ids = bpe.encode(documents, RANKS, public_tokenizers.PATTERN, frequent=frequent).select("ids", bpe.decode(F.col("ids"), RANKS).alias("bytes"))
+        assert all(r.ids == LIBRARY.encode_ordinary(bytes(r["bytes"]).decode()) for r in ids.collect())
+
+
 def test_dictionary_starts_anew(documents, monkeypatch):
     monkeypatch.setattr(bpe, "MAX_WORDS", 50)
     assert all(r.ids == LIBRARY.encode_ordinary(bytes(r["bytes"]).decode()) for r in encoded(documents.limit(60)))
@@ -47,10 +54,19 @@ def test_long_words_merge_as_the_library(text):
         assert bpe.merge_long(word.encode(), RANKS) == ids
 
 
+@settings(max_examples=1500, deadline=None)
+@given(st.text(alphabet=st.characters(max_codepoint=255, categories=None, exclude_categories=["Cs"]) | st.sampled_from(" '\n\tstremvldA1"), max_size=16))
+def test_latin_1_texts_split_alike(text):
+    import regex
+    assert bpe.PUBLIC == public_tokenizers.PATTERN
+    assert bpe.splitter(bpe.PUBLIC)(text) == regex.findall(public_tokenizers.PATTERN, text)
+
+
 def test_rank_table_knows_its_pairs_only():
-    pairs = {1 << 16 | 2: 5, 2 << 16 | 1: 6, 7 << 16 | 7: 9} | {i << 16 | i + 1: i for i in range(100, 3000)}
+    pairs = {1 << 16 | 2: 5, 2 << 16 | 1: 6, 7 << 16 | 7: 9, 300 << 16 | 50_000: 11} | {i << 16 | i + 1: i for i in range(100, 3000)}
     table = bpe.RankTable(pairs)
-    slots = table._slot(np.array(list(pairs)))
-    assert len(set(slots.tolist())) == len(pairs)
+    look = lambda left, right: int(table.entries[table.displacement[left] + right]) ^ left << 16
+    assert all(look(k >> 16, k & 65535) == v for k, v in pairs.items())
+    assert all(look(left, right) >= bpe.NONE for left in (0, 1, 2, 7, 300, 65535) for right in range(65536) if left << 16 | right not in pairs)
     with pytest.raises(ValueError):
         bpe.merge_pairs({b"a": 65535})
