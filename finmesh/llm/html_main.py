@@ -41,8 +41,9 @@ DEFAULT = {"plain": 1.0, "link": -0.5, "boiler": -3.0, "tag": -1.5}
 def compiled():
     import re
     raw = "|".join(RAW_TAGS)
-    return {
-        "token": re.compile(rf"<!--.*?(?:-->|\Z)|<({raw})\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?(?:</\1\s*>|\Z)"
+    attributes = r"(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+"
+    return {                                          # a self-closed svg is empty; of HTML's own elements the slash closes none
+        "token": re.compile(rf"<!--.*?(?:-->|\Z)|<svg(?=[\s/]){attributes}(?<=/)>|<({raw})(?=[\s/>]){attributes}>.*?(?:</\1\s*>|\Z)"
                             r"|<(/?)([A-Za-z][^\s/>]*+)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<[/!?A-Za-z][^>]*+(?:>|\Z)", re.S | re.I),
         "marks": re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I),
         "hidden": re.compile(r"\bhidden(?=[\s=/]|\Z)|display\s*:\s*none", re.I),

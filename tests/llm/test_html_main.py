@@ -50,3 +50,12 @@ def test_odd_pages(spark):
     assert [texts[i] for i in (0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, -1)] == ["", "", "", "just text & more", "a", "a", "", "x", "deep", "deep", "", "null id"]
     assert len(texts[11]) == 200_000 * 5 - 1
     assert H.extract(df.limit(0)).collect() == []
+
+
+def test_raw_tags_end_at_their_name():
+    for inner, want in (('<svg class="i"/>', "one two\nthree four"), ("<svg/>", "one two\nthree four"), ('<svg-icon name="x"></svg-icon>', "one two\nthree four"),
+                        ("<title-bar>bar</title-bar>", "one two\nbar\nthree four"), ("<template-card>card</template-card>", "one two\ncard\nthree four"),
+                        ('<svg viewBox="0 0 1 1"><title>no</title></svg>', "one two\nthree four"), ("<SCRIPT>no</SCRIPT >", "one two\nthree four")):
+        for page in (f"<article><p>one two</p>{inner}<p>three four</p></article>", f"{inner}<article><p>one two</p><p>three four</p></article>"):
+            assert H.main_text(page, H.DEFAULT, PATTERNS) == (want if page.startswith("<article>") else "one two\nthree four"), page
+    assert H.main_text('<article><p>one <svg class="i"/> two</p></article>', H.DEFAULT, PATTERNS) == "one two"
