@@ -34,6 +34,14 @@ breadcrumbs footer cookie cookies consent gdpr popup modal comment comments disq
 recommended newsletter subscribe signup pagination pager toolbar copyright masthead""".split())
 WEAK = frozenset("header banner side notice alert search widget login legal tags skip links".split())
 CONTENT = frozenset("article post entry content story main body text".split())
+LAYOUT = frozenset("""ads advert adverts advertisement sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs footer
+gdpr popup modal disqus newsletter subscribe signup pagination pager toolbar masthead""".split())      # words of STRONG that are seldom a text's subject
+FURNITURE = frozenset("""box boxes bar list lists container wrapper wrap inner outer holder area block section panel pane column col row grid item items
+button buttons btn icon icons post posts article articles story stories entry content main body site page global primary secondary fixed sticky mobile
+desktop small large big mini top bottom left right center form input title heading count counter counts toggle open close closed overlay layer slot unit
+zone thread save wide leaderboard skyscraper google logo info message text tools trail trigger""".split())      # what stands beside them in known compounds
+NEGATED = frozenset("has no not with without".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 DEFAULT = {"plain": 1.0, "link": -0.5, "boiler": -3.0, "tag": -1.5}
 
@@ -45,7 +53,7 @@ def compiled():
     return {                                          # a self-closed svg is empty; of HTML's own elements the slash closes none
         "token": re.compile(rf"<!--.*?(?:-->|\Z)|<svg(?=[\s/]){attributes}(?<=/)>|<({raw})(?=[\s/>]){attributes}>.*?(?:</\1\s*>|\Z)"
                             r"|<(/?)([A-Za-z][^\s/>]*+)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<[/!?A-Za-z][^>]*+(?:>|\Z)", re.S | re.I),
-        "marks": re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I),
+        "marks": re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I),
         "hidden": re.compile(r"\bhidden(?=[\s=/]|\Z)|display\s*:\s*none", re.I),
         "parts": re.compile(r"[A-Za-z][a-z]*|\d+"),
     }
@@ -60,15 +68,30 @@ def is_boiler(name: str, attributes: str, in_content: bool, patterns) -> bool:
         return True
     for m in patterns["marks"].finditer(attributes):
         value = m[1] or m[2] or m[3] or ""
-        parts = {p.lower() for p in patterns["parts"].findall(value)}
         if m[0][:4].lower() == "role":
             if value.strip().lower() in ROLES:
                 return True
-        elif parts & STRONG or parts & WEAK and not parts & CONTENT:
-            return True
+        elif name not in HEADINGS or m[0][:2].lower() != "id":      # ids of headings are made from their text
+            weak = not any(p.lower() in CONTENT for p in patterns["parts"].findall(value))
+            if any(names_boiler(token, weak, in_content, patterns) for token in value.split()):
+                return True
     return False
 
 
+def names_boiler(token: str, weak: bool, in_content: bool, patterns) -> bool:
+    """Does this one token of a class or id name boilerplate?
+
+    Inside <article> or <main> all its words must (top-menu, share-buttons, but not related-work); elsewhere a word of
+    LAYOUT is enough, or any other as long as the last word, which says what the thing is, is one or FURNITURE."""
+    words = [p.lower() for p in patterns["parts"].findall(token)]
+    if NEGATED.intersection(words):
+        return False                                  # has-sidebar, no-comments: said of what is beside the element
+    words = [w for w in words if w in STRONG or len(w) > 2 and not w.isdigit()]      # not js-, wp-, 300x250
+    named = [w in STRONG or weak and w in WEAK for w in words]
+    fits = [n or w in FURNITURE or w in WEAK for n, w in zip(named, words)]
+    return any(named) and (all(fits) if in_content else fits[-1] or not LAYOUT.isdisjoint(words))
+
+
 HOLDERS = frozenset("article main section div td".split())
 
 

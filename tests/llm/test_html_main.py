@@ -59,3 +59,25 @@ def test_raw_tags_end_at_their_name():
         for page in (f"<article><p>one two</p>{inner}<p>three four</p></article>", f"{inner}<article><p>one two</p><p>three four</p></article>"):
             assert H.main_text(page, H.DEFAULT, PATTERNS) == (want if page.startswith("<article>") else "one two\nthree four"), page
     assert H.main_text('<article><p>one <svg class="i"/> two</p></article>', H.DEFAULT, PATTERNS) == "one two"
+
+
+def test_one_word_of_an_id_or_class_removes_nothing():
+    def text(tag, marks, around=("<article><p>one two three</p>", "</article>")):
+        return H.main_text(f"{around[0]}<{tag} {marks}>Four five six.</{tag}>{around[1]}", H.DEFAULT, PATTERNS)
+
+    bare = ("<div><p>one two three</p>", "</div>")
+    for name in ("sharing-data", "related-work", "social-history", "advertising-law", "search-methods", "legal-basis", "comment-on-smith-2001", "how-to-share"):
+        for tag, mark in (("h2", "id"), ("section", "id"), ("div", "id"), ("section", "class")):
+            assert text(tag, f'{mark}="{name}"') == "one two three\nFour five six.", (tag, mark, name)
+    for name in ("sharing-data", "related-work", "social-history", "advertising-law", "search-methods", "legal-basis"):
+        assert text("section", f'id="{name}"', bare) == "one two three\nFour five six.", name
+    for marks in ('id="comments"', 'id="menu"', 'id="sharing"'):
+        assert text("h2", marks) == text("h3", marks, bare) == "one two three\nFour five six.", marks
+    for marks in ('data-id="share"', 'class="has-sidebar"', 'class="post-header"'):
+        assert text("div", marks) == text("div", marks, bare) == "one two three\nFour five six.", marks
+    for name in ("ad", "ads", "related-posts", "share-buttons", "relatedPosts", "js-share", "comments", "entry comments-list", "top-menu", "ad-300x250",
+                 "cookie-notice", "newsletter-signup-form", "share__buttons--large", "search-box", "sidebar"):
+        for mark in ("id", "class"):
+            assert text("div", f'{mark}="{name}"') == text("div", f'{mark}="{name}"', bare) == "one two three", name
+    for name in ("cookie-law-info-bar", "menu-home", "footer-address"):
+        assert text("div", f'class="{name}"', bare) == "one two three", name
