@@ -4,7 +4,7 @@ Base spans come from three fixed patterns (assign, access, hex).  The method add
 kind ``guess``: the value in a credential context ("pwd: ...", "Kennwort = ...") is cut
 into words, dates, repeats, keyboard walks and brute-force runs so that the number of
 guesses an attacker needs is smallest; a value that still needs ``MIN_BITS`` bits is a
-secret.  Words cost the logarithm of their rank in the corpus: ranks are counted over all
+secret; the whole value is judged, and what base spans leave of it is added.  Words cost the logarithm of their rank in the corpus: ranks are counted over all
 documents, and the ``DICTIONARY`` most frequent words are kept.
 
 Nulls count as empty; spans are in code points, end exclusive; repeated rows are judged
@@ -36,6 +36,8 @@ CONTEXT = ("password", "passwd", "passphrase", "passcode", "pwd", "passwort", "k
            "private_key", "client_secret", "credential", "auth", "bearer", "login")
 HINTS = ("passw", "passp", "passc", "pwd", "kennwort", "contrase", "clave", "mot de passe", "mdp", "secret", "token", "api", "key",
          "credential", "auth", "bearer", "login")
+# Of these, words that prose too puts before a colon: a value of one kind of character after them is no credential.
+PROSE = ("secret", "token", "credential", "auth", "bearer", "login", "clave")
 # Words that are guessed first, whatever the corpus has.
 COMMON = ("password", "admin", "welcome", "letmein", "login", "dragon", "monkey", "master", "secret", "iloveyou", "sunshine",
           "princess", "football", "baseball", "shadow", "superman", "hello", "freedom", "whatever", "trustno", "changeme", "test",
@@ -79,8 +81,8 @@ def word_ranks(df: DataFrame, text_col: str = "text") -> dict[str, int]:
     return ranks
 
 
-def guess_bits(value: str, ranks: dict[str, int]) -> float:
-    """log2 of the guesses that the cheapest segmentation of ``value`` needs."""
+def guess_bits(value: str, ranks: dict[str, int], enough: float = math.inf) -> float:
+    """log2 of the guesses that the cheapest segmentation of ``value`` needs; a lower bound of it once that reaches ``enough``."""
     import re
     lower = value.lower()
     if len(lower) != len(value):
@@ -107,6 +109,9 @@ def guess_bits(value: str, ranks: dict[str, int]) -> float:
         for j in dates.get(i, ()):
             whole = min(whole, min(best[j]) + (math.log2(120) if i - j == 4 else math.log2(365 * 120 * 6)) + SEGMENT_BITS)
         best[i] = (whole, run)
+        # no segment but a brute-force run is longer than LONGEST, so every segmentation passes one of the last positions
+        if i % LONGEST == 0 and (least := min(map(min, best[max(0, i - LONGEST):i + 1]))) >= enough:
+            return least
     return min(best[-1])
 
 
@@ -154,17 +159,27 @@ def scan(text: str, ranks: dict[str, int], patterns: dict) -> tuple[list, list]:
             value = text[start:end].rstrip(".,;:!?)]}")
             end = start + len(value)
             at = max(at, end)
-            if len(value) < MIN_VALUE or any(s < end and start < e for _, s, e in base):
+            if len(value) < MIN_VALUE or not (rest := _outside(start, end, base)):
                 continue
             # plain prose after "login:" is no credential: two kinds of character, not only a capital in front
             kinds = sum((any(c.isdigit() for c in value), any(c.islower() for c in value), any(c.isupper() for c in value[1:]),
                          any(not c.isalnum() for c in value)))
-            if kinds >= 2 and guess_bits(value, ranks) >= MIN_BITS:
-                added.append(("guess", start, end))
+            if (kinds >= 2 or not m[1].lower().startswith(PROSE)) and guess_bits(value, ranks, MIN_BITS) >= MIN_BITS:
+                added += [("guess", s, e) for s, e in rest]
     order = {k: i for i, k in enumerate(KINDS)}
     return sorted(base, key=lambda s: (s[1], order[s[0]])), added
 
 
+def _outside(start: int, end: int, base: list[tuple]) -> list[tuple[int, int]]:
+    """The parts of a value that no base span covers."""
+    parts = []
+    for s, e in sorted((s, e) for _, s, e in base if s < end and start < e):
+        if s > start:
+            parts.append((start, s))
+        start = max(start, e)
+    return parts + [(start, end)] if start < end else parts
+
+
 def compiled() -> dict:
     import re
     words = "|".join(sorted((re.escape(w).replace(r"\ ", "[ _-]?") for w in CONTEXT), key=len, reverse=True))
@@ -210,8 +225,8 @@ def redact(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]", ranks:
             for text in batch.column(place).to_pylist():
                 base, added = scan(text, ranks, patterns) if text else ([], [])
                 parts, at = [], 0
-                for _, start, end in sorted(base + added, key=lambda s: s[1]):
-                    if start >= at:
+                for kind, start, end in sorted(base + added, key=lambda s: s[1]):
+                    if start > at or start == at and not (parts and kind == "guess"):      # the rest of a value is one with its base span
                         parts += [text[at:start], mark]
                     at = max(at, end)
                 texts.append("".join([*parts, text[at:]]) if parts else text)
