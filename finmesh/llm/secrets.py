@@ -5,7 +5,7 @@ kind ``guess``: the value in a credential context ("pwd: ...", "Kennwort = ...")
 into words, dates, repeats, keyboard walks and brute-force runs so that the number of
 guesses an attacker needs is smallest; a value that still needs ``MIN_BITS`` bits is a
 secret; the whole value is judged, and what base spans leave of it is added.  Words cost the logarithm of their rank in the corpus: ranks are counted over all
-documents, and the ``DICTIONARY`` most frequent words are kept.
+documents, and those of all words that are part of a value are used, however rare.
 
 Nulls count as empty; spans are in code points, end exclusive; repeated rows are judged
 each on its own.
@@ -18,11 +18,11 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finmesh.llm.common import hex_sha256
+from finmesh.llm.common import hex_sha256, stored
 
 KINDS = ("assign", "access", "hex", "guess")
-DICTIONARY = 20_000      # words kept, by falling count
-COUNTED = 400_000        # distinct words a task holds before it hands on its partial counts
+DICTIONARY = 20_000      # most frequent words that are known beside those of the values
+COUNTED = 400_000        # distinct words and parts of values a task holds before it hands on its partial counts
 MIN_BITS = 40.0
 MIN_VALUE = 8            # characters of a credential value
 
@@ -51,36 +51,68 @@ SEGMENT_BITS = 1.0       # each segment doubles what an attacker tries
 
 
 def word_ranks(df: DataFrame, text_col: str = "text") -> dict[str, int]:
-    """Rank of the most frequent words of all documents (ties by spelling)."""
+    """Ranks of all words that the values in ``df`` may hold, and of the most frequent ones.
+
+    A word's rank is the number of words more frequent than it and half of those as frequent, in all documents.
+    Values themselves do not count: a secret in many copies is no word.  What comes to the driver is the words
+    that are part of a value, DICTIONARY more, and how many words there are of each count."""
     def run(batches: Iterator) -> Iterator:
         from collections import Counter
 
         import pyarrow as pa
         letters = bytes(b if chr(b).isalpha() or b > 127 else 32 for b in range(256))
-        counts: Counter = Counter()
+        patterns, counts, asked = compiled(), Counter(), set()
 
         def flush():
             own = [w for w in counts if 3 <= len(w) <= LONGEST]
-            table = pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "ignore") for w in own], pa.string()),
-                                                pa.array([counts[w] for w in own], pa.int64())], names=["word", "n"])
+            words = [w.decode("utf-8", "ignore") for w in own] + list(asked)
+            table = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([counts[w] for w in own] + [0] * len(asked), pa.int64()),
+                                                pa.array([False] * len(own) + [True] * len(asked), pa.bool_())], names=["word", "n", "asked"])
             counts.clear()
+            asked.clear()
             return table
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                counts.update(text.encode().lower().translate(letters).split())
-                if len(counts) > COUNTED:
+                parts, at = [], 0
+                for _, start, end in context_values(text, patterns):
+                    parts.append(text[at:start])
+                    at = end
+                    asked.update(_substrings(text[start:end]))
+                counts.update(" ".join([*parts, text[at:]]).encode().lower().translate(letters).split())
+                if len(counts) + len(asked) > COUNTED:
                     yield flush()
         yield flush()
 
-    counts = df.select(F.col(text_col).alias("text")).where("text is not null").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(DICTIONARY).collect()
+    counts = stored(df.select(F.col(text_col).alias("text")).where("text is not null").mapInArrow(run, "word string, n long, asked boolean").groupBy("word").agg(
+        F.sum("n").alias("n"), F.max("asked").alias("asked")).where("n > 1"), "word-counts")
+    above, middle = len(COMMON), {}
+    for n, words in sorted(counts.groupBy("n").count().collect(), reverse=True):
+        middle[n] = above + (words + 1) // 2
+        above += words
     ranks = {w: i + 1 for i, w in enumerate(COMMON)}
-    for i, row in enumerate(top):
-        ranks.setdefault(row.word, i + 1 + len(COMMON))
+    for frame in (counts.orderBy(F.desc("n"), "word").limit(DICTIONARY), counts.where("asked")):
+        for row in frame.select("word", "n").collect():
+            ranks.setdefault(row.word, middle[row.n])
     return ranks
 
 
+def _substrings(value: str) -> set[str]:
+    """The parts of a value that may be words, as they are and with look-alike signs read as letters."""
+    if len(value) < MIN_VALUE or len(value) > LONGEST * MIN_BITS / SEGMENT_BITS:      # each segment costs that at least, so a longer one is a secret
+        return set()
+    lower = value.lower()
+    found = set()
+    for spelt in {lower, lower.translate(LEET)}:
+        for i in range(len(spelt)):
+            for j in range(i, min(len(spelt), i + LONGEST)):
+                if spelt[j].isascii() and not spelt[j].isalpha():
+                    break
+                if j - i >= 2:
+                    found.add(spelt[i:j + 1])
+    return found
+
+
 def guess_bits(value: str, ranks: dict[str, int], enough: float = math.inf) -> float:
     """log2 of the guesses that the cheapest segmentation of ``value`` needs; a lower bound of it once that reaches ``enough``."""
     import re
@@ -151,25 +183,31 @@ def scan(text: str, ranks: dict[str, int], patterns: dict) -> tuple[list, list]:
     if "AKIA" in text:
         base += [("access", m.start(), m.end()) for m in patterns["access"].finditer(text) if len(m[0]) >= 16]
     base += [("hex", m.start(), m.end()) for m in patterns["hex"].finditer(text)]
-    if hinted:
-        at = 0
-        while m := patterns["context"].search(text, at):
-            at = m.end(1)
-            start, end = m.span(2)
-            value = text[start:end].rstrip(".,;:!?)]}")
-            end = start + len(value)
-            at = max(at, end)
-            if len(value) < MIN_VALUE or not (rest := _outside(start, end, base)):
-                continue
-            # plain prose after "login:" is no credential: two kinds of character, not only a capital in front
-            kinds = sum((any(c.isdigit() for c in value), any(c.islower() for c in value), any(c.isupper() for c in value[1:]),
-                         any(not c.isalnum() for c in value)))
-            if (kinds >= 2 or not m[1].lower().startswith(PROSE)) and guess_bits(value, ranks, MIN_BITS) >= MIN_BITS:
-                added += [("guess", s, e) for s, e in rest]
+    for word, start, end in context_values(text, patterns) if hinted else ():
+        value = text[start:end]
+        if len(value) < MIN_VALUE or not (rest := _outside(start, end, base)):
+            continue
+        # plain prose after "login:" is no credential: two kinds of character, not only a capital in front
+        kinds = sum((any(c.isdigit() for c in value), any(c.islower() for c in value), any(c.isupper() for c in value[1:]),
+                     any(not c.isalnum() for c in value)))
+        if (kinds >= 2 or not word.lower().startswith(PROSE)) and guess_bits(value, ranks, MIN_BITS) >= MIN_BITS:
+            added += [("guess", s, e) for s, e in rest]
     order = {k: i for i, k in enumerate(KINDS)}
     return sorted(base, key=lambda s: (s[1], order[s[0]])), added
 
 
+def context_values(text: str, patterns: dict) -> Iterator[tuple[str, int, int]]:
+    """(announcing word, start, end) of each value in a credential context."""
+    low, at = text.lower(), 0
+    if not any(h in low for h in HINTS):
+        return
+    while m := patterns["context"].search(text, at):
+        start, end = m.span(2)
+        end = start + len(text[start:end].rstrip(".,;:!?)]}"))
+        at = max(m.end(1), end)
+        yield m[1], start, end
+
+
 def _outside(start: int, end: int, base: list[tuple]) -> list[tuple[int, int]]:
     """The parts of a value that no base span covers."""
     parts = []

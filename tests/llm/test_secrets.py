@@ -118,3 +118,15 @@ def test_whole_values_are_scored(spark):
 @given(st.lists(st.sampled_from(["password", "P4ssw0rd", "qwerty", "aaaa" * 9, "1990", "x", "K", "9$", "é", "4321" * 5]), min_size=1, max_size=20).map("".join))
 def test_stopping_early_keeps_the_verdict(value):
     assert (S.guess_bits(value, RANKS, S.MIN_BITS) >= S.MIN_BITS) == (S.guess_bits(value, RANKS) >= S.MIN_BITS)
+
+
+def test_rare_words_of_values_are_words(spark, monkeypatch):
+    monkeypatch.setattr(S, "DICTIONARY", 2)
+    rows = [(i, "the the the and and for for") for i in range(20)] + [(30 + i, "zweckverband zweckverband umlaufvermögen") for i in range(3)]
+    rows += [(50 + i, "Kennwort: zweckverband.Umlaufvermögen pwd: qzxvkwjhtrbnmp") for i in range(4)] + [(60, "mdp: " + "q7" * 2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    ranks, full = S.word_ranks(df), len(S.COMMON)
+    assert (ranks["the"], ranks["zweckverband"], ranks["umlaufvermögen"]) == (full + 1, full + 4, full + 7)
+    assert ranks["and"] == full + 2 and "qzxvkwjhtrbnmp" not in ranks      # copies of a secret make it no word
+    assert {r.spans for r in S.spans_of(df).where("doc_id between 50 and 59").collect()} == {"guess:43:57"}
+    assert S.spans_of(df).where("doc_id = 60").first().spans == "guess:5:4005"
