@@ -201,7 +201,8 @@ def main_text(html: str | None, weights: dict[str, float], patterns) -> str:
 
 def learn(df: DataFrame, id_col: str = "page_id", html_col: str = "html", pages: int = TRAIN_PAGES) -> dict[str, float]:
     """Scores of the token classes from labelled pages (the defaults where there are none)."""
-    n = df.count()
+    labelled = df.where(F.col(html_col).rlike(r"(?i)<(article|main)[\s>]"))
+    n = labelled.count()
 
     def count(batches: Iterator) -> Iterator:
         from collections import Counter
@@ -221,9 +222,8 @@ def learn(df: DataFrame, id_col: str = "page_id", html_col: str = "html", pages:
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in keys], pa.string()), pa.array([i for _, i in keys], pa.bool_()),
                                           pa.array([seen[k] for k in keys], pa.int64())], names=["class", "inside", "n"])
 
-    labelled = df.where(F.col(html_col).rlike(r"(?i)<(article|main)[\s>]")).where(
-        F.pmod(F.xxhash64(id_col), F.lit(max(1, n // max(1, pages)))) == 0)
-    counts = labelled.select(F.col(html_col).alias("html")).mapInArrow(count, "class string, inside boolean, n long").groupBy("class").agg(
+    sample = labelled.where(F.pmod(F.xxhash64(id_col), F.lit(max(1, n // max(1, pages)))) == 0)
+    counts = sample.select(F.col(html_col).alias("html")).mapInArrow(count, "class string, inside boolean, n long").groupBy("class").agg(
         F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("a"), F.sum("n").alias("n")).orderBy(F.desc("n"), "class").limit(500).collect()
     return weights_of({r["class"]: (r.a, r.n) for r in counts})
 

@@ -81,3 +81,9 @@ def test_one_word_of_an_id_or_class_removes_nothing():
             assert text("div", f'{mark}="{name}"') == text("div", f'{mark}="{name}"', bare) == "one two three", name
     for name in ("cookie-law-info-bar", "menu-home", "footer-address"):
         assert text("div", f'class="{name}"', bare) == "one two three", name
+
+
+def test_sparse_labels_are_all_used(spark):
+    plain, marked = "<p>some words</p>", "<nav>menu</nav><article><p>one two three</p></article>"
+    df = spark.createDataFrame([(i, marked if i % 250 == 0 else plain) for i in range(1000)], "page_id long, html string")
+    assert H.learn(df, pages=4) == H.learn(df.where("page_id % 250 = 0")) != H.DEFAULT
