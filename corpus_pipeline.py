@@ -7,6 +7,7 @@ tests/llm/test_pipeline.py runs it against a brute-force version.
 """
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,11 +28,25 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of the least doc_id (rows without an id stay)."""
-    own = fresh(docs, "near_id")
+    """Of each group of near duplicates the row of the least doc_id, of equal ids the first in file and row (rows
+    without an id stay).  Rows are told apart by file and row, so rows that repeat an id are judged each by its text."""
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        docs = stored(docs, "near-input")
+    own, file, index = (fresh(docs, name) for name in ("near_row", "near_file", "near_index"))
+    names = sorted(r[0] for r in docs.select("_metadata.file_path").distinct().collect())
+    files = spark.createDataFrame(list(enumerate(names)), f"{own} long, {file} string")
+    # file number and row number in one long; files are few, so their table goes to every task
+    rows = docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(index)).join(files, file, "left").withColumn(
+        own, F.when(F.col("doc_id").cast("long").isNotNull(), F.shiftleft(F.col(own), 40) + F.col(index))).drop(file, index)
+    ids = rows.where(F.col(own).isNotNull()).select(F.col(own).alias("doc_id"), F.col("doc_id").cast("long").alias("id"))
+    near = jaccard_join.components(rows, NEAR_WORDS, NEAR_PERCENT, id_col=own).where("doc_id is not null")
+    near = stored(near.join(ids, "doc_id").select("component_id", F.struct("id", "doc_id").alias("row")), "near-groups")
+    stay = near.groupBy("component_id").agg(F.min("row").alias("row")).select("row.doc_id")
     # stored, so that its size is known before the join is planned: a short list leaves the texts where they are
-    gone = stored(jaccard_join.components(docs, NEAR_WORDS, NEAR_PERCENT).where("doc_id <> component_id").select(F.col("doc_id").alias(own)).distinct(), "near-gone")
-    return docs.join(gone, docs["doc_id"].cast("long") == gone[own], "left_anti")
+    gone = stored(near.select("row.doc_id").join(stay, "doc_id", "left_anti").select(F.col("doc_id").alias(own)), "near-gone")
+    return rows.join(gone, own, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,3 +49,13 @@ def test_run_and_odd_rows(spark, documents, clashing, tmp_path):
     for docs in (documents, clashing, documents.limit(0)):
         for name, stage in P.STAGES:
             docs = stored(stage(spark, docs, SF001), f"odd-{name}")
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    words = [f"w{i}" for i in range(200)]
+    x, y = " ".join(words), " ".join(f"v{i}" for i in range(200))
+    rows = [(7, x + " end"), (7, y), (3, x), (None, x + " tail"), (9, y + " z"), (9, y + " q"), (None, x + " tail")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for frame in (docs, stored(docs.repartition(3), "test-near")):
+        got = sorted((r.doc_id or 0, r.text) for r in P.near_duplicates(spark, frame, SF001).collect())
+        assert got == sorted([(0, x + " tail"), (0, x + " tail"), (3, x), (7, y)])
