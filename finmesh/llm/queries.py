@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finmesh.llm import bpe, exact_dedup, html_main, jaccard_join, packing, pii, quality, secrets, url_filters, warc
+from finmesh.llm import bpe, exact_dedup, html_main, jaccard_join, packing, periodic, pii, quality, secrets, simhash, spelling, url_filters, warc
 from finmesh.llm.common import table
 from finmesh.session import scratch_path
 
@@ -69,6 +69,21 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.spans_of(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, one letter less where the contract says so, with their near words, forms and roots."""
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents"), rewrite=spelling.misspelt))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, and their components under a distance of at most two bits."""
+    return simhash.components(table(spark, sf_dir, "documents"), width=3, distance=2)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every text of documents, after the repetitions that the contract plants."""
+    return periodic.digests(periodic.detect(table(spark, sf_dir, "documents"), min_length=12, rewrite=periodic.repeated_stretch))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over documents."""
     import corpus_pipeline
@@ -76,7 +91,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_exact_dedup, op3_pii, op4_jaccard_join, op5_warc, op6_quality, op7_html_main,
-                                   op8_url_filters, op9_packing, op10_secrets, pipeline)}
+                                   op8_url_filters, op9_packing, op10_secrets, op11_spelling_variants, op12_simhash, op13_periodic_runs, pipeline)}
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 

@@ -21,7 +21,7 @@ def con():
 
 def test_all_are_registered():
     names = set(E.queries())
-    assert {re.match(r"op\d+_", n)[0] for n in names if n.startswith("op")} >= {f"op{i}_" for i in range(1, 11)}
+    assert {re.match(r"op\d+_", n)[0] for n in names if n.startswith("op")} >= {f"op{i}_" for i in range(1, 14)}
     assert "pipeline" in names and set(queries.ORACLE) <= names
 
 
@@ -35,7 +35,7 @@ def test_oracle(spark, con, name):
     assert digest(rows, df.columns) == digest(res.fetchall(), columns)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLE) - {"pipeline", "op9_packing"}))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLE) - {"pipeline", "op9_packing", "op11_spelling_variants"}))
 def test_one_row_per_row(spark, name):
     """The others are compared with brute force in the test of their operator."""
     source = "pages" if name == "op7_html_main" else "documents"
