@@ -26,6 +26,7 @@ NESTED = "map<string,map<string,string>>"
 def first_of_nested(nested, raw) -> Column:
     """``{'0': {k: v, ...}}`` -> ``v`` (first entry); otherwise ``raw``.
 
+    Of several entries under ``'0'`` the first as they stand in the text (in records that come from a page: by name).
     ``nested`` is the value parsed as a map of maps (null where it is none),
     ``raw`` the same value as text.  A JSON *string* that looks like a map is
     no map, which the text alone would not show."""

@@ -6,7 +6,7 @@ Positions are kept so "first"/insertion order stays deterministic.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -87,23 +87,27 @@ def sector_items(df: DataFrame, raw) -> Column:
     return F.flatten(per_major)
 
 
+def _map_values(raw) -> Column:
+    """The values of a JSON object held as text, null for anything else: numbered keys ("0", "1", ..., "10") in the
+    order of their numbers, others after them as they stand (objects have no order of their own)."""
+    raw = _col(raw)
+    entries = F.when(F.ltrim(raw).startswith("{"), F.map_entries(F.from_json(raw, "map<string,string>")))
+    numbered = F.transform(entries, lambda e, i: F.struct(F.coalesce(e["key"].try_cast("long"), F.lit(2 ** 62)).alias("n"), i.alias("i"), e["value"].alias("v")))
+    return F.transform(F.array_sort(numbered), lambda e: e["v"])
+
+
 def explode_map_field(df: DataFrame, raw, field: str, out: str,
                       keep: Sequence[str] = (), pos: str = "entry_pos") -> DataFrame:
     """Values of a ``{"0": {field: v}, "1": {...}}`` map into rows (G3):
     ``v`` stripped, blanks dropped.  Only used when the raw value is a map."""
-    raw = _col(raw)
-    entries = F.when(F.ltrim(raw).startswith("{"),
-                     F.map_values(F.from_json(raw, "map<string,string>")))
-    x = df.select(*keep, F.posexplode(entries).alias(pos, "__entry"))
+    x = df.select(*keep, F.posexplode(_map_values(raw)).alias(pos, "__entry"))
     x = x.select(*keep, pos, strip_ws(F.coalesce(json_field("__entry", field), F.lit(""))).alias(out))
     return x.filter(F.length(out) > 0)
 
 
 def map_items(raw, field: str) -> Column:
     """The kept values of ``explode_map_field`` as one array."""
-    raw = _col(raw)
-    entries = F.when(F.ltrim(raw).startswith("{"), F.map_values(F.from_json(raw, "map<string,string>")))
-    names = F.transform(entries, lambda e: strip_ws(F.coalesce(json_field(e, field), F.lit(""))))
+    names = F.transform(_map_values(raw), lambda e: strip_ws(F.coalesce(json_field(e, field), F.lit(""))))
     return F.filter(names, lambda x: F.length(x) > 0)
 
 
@@ -114,17 +118,34 @@ def major_sector_items(df: DataFrame, raw) -> Column:
                                                 m["major_sector"]["major_sector_name"].alias("major_sector_name")))
 
 
-def explode_keyed_records(df: DataFrame, body, field: str, value_type=None,
-                          keep: Sequence[str] = (), extra: Sequence[tuple] = ()) -> DataFrame:
-    """``{field: {key: record, ...}, <extra>}`` into ``pos, record_key, record``
-    rows (G5), in page order.  ``value_type`` is the record type (a struct of
-    strings parses every record in the same pass as the page; default: raw
-    JSON text); ``extra`` are ``(name, type)`` top-level fields kept beside."""
-    value_type = value_type or T.StringType()
-    schema = T.StructType([T.StructField(field, T.MapType(T.StringType(), value_type))]
+def is_object(value) -> Column:
+    """Whether a VARIANT holds a JSON object."""
+    return F.try_variant_get(_col(value), "$", "struct<>").isNotNull()
+
+
+def keyed_entries(df: DataFrame, body, held: Mapping[str, Column], keep: Sequence[str] = (), extra: Sequence[tuple] = ()) -> DataFrame:
+    """``{field: {key: value, ...}, <extra>}`` -> ``keep..., <extra>, pos, entry_key, entry, unread``: one row per
+    entry, in page order, its value a VARIANT (G5).
+
+    The body is parsed once, whatever fields of it are taken (``held``: field -> condition under which the
+    rows of ``df`` hold it).  Values stand by themselves, so one that is no record costs its neighbours nothing.
+    A body that cannot be read, or without the field, gives one row without an entry and with its text in ``unread``."""
+    schema = T.StructType([T.StructField(field, T.MapType(T.StringType(), T.VariantType())) for field in held]
                           + [T.StructField(n, t) for n, t in extra])
-    parsed = df.select(*keep, F.from_json(_col(body), schema).alias("__b"))
-    x = parsed.select(*keep, *[F.col(f"__b.{n}").alias(n) for n, _ in extra],
-                      F.posexplode(F.map_entries(F.col(f"__b.{field}"))).alias("pos", "__e"))
-    return x.select(*keep, *[n for n, _ in extra], "pos",
-                    F.col("__e.key").alias("record_key"), F.col("__e.value").alias("record"))
+    parsed = df.select(*keep, _col(body).alias("__body"), F.from_json(_col(body), schema).alias("__b"),
+                       F.coalesce(*[F.when(cond, F.lit(field)) for field, cond in held.items()]).alias("__field"))
+    entries = F.coalesce(*[F.when(F.col("__field") == field, F.col(f"__b.{field}")) for field in held])
+    x = parsed.select(*keep, *[F.col(f"__b.{n}").alias(n) for n, _ in extra], entries.alias("__m"),
+                      F.when(entries.isNull(), F.coalesce("__body", F.lit(""))).alias("unread"))
+    return x.select(*keep, *[n for n, _ in extra], "unread", F.posexplode_outer(F.map_entries("__m")).alias("pos", "__e")).select(
+        *keep, *[n for n, _ in extra], "pos", F.col("__e.key").alias("entry_key"), F.col("__e.value").alias("entry"), "unread")
+
+
+def explode_keyed_records(df: DataFrame, body, field: str, value_type: T.DataType,
+                          keep: Sequence[str] = (), extra: Sequence[tuple] = ()) -> DataFrame:
+    """``{field: {key: record, ...}, <extra>}`` into ``pos, record_key, record`` rows (G5), in page order.
+
+    ``value_type`` is the record type; entries that are no objects are left out (``keyed_entries`` has them)."""
+    rows = keyed_entries(df, body, {field: F.lit(True)}, keep, extra).where(is_object("entry"))
+    return rows.select(*keep, *[n for n, _ in extra], "pos", F.col("entry_key").alias("record_key"),
+                       F.try_variant_get("entry", "$", value_type.simpleString()).alias("record"))

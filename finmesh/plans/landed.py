@@ -9,7 +9,7 @@ landing order; each page is one JSON line under the shared scratch folder.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from finmesh.operators.joins import keep_known
 from finmesh.operators.keys import with_surrogate_key
@@ -78,6 +78,22 @@ def _project_record(rows: DataFrame) -> DataFrame:
                                                    F.col("l_orderkey").alias("__ok"))
 
 
+# What is planted beside the records of a page: values that are no records.
+BAD_ENTRIES = ['"oops"', "17", "null", '["a",1]', "true"]
+
+
+def _with_bad_entry(body: Column, number: Column) -> Column:
+    """A body whose map of records, its last field, gains an entry that is no record: on every third page."""
+    bad = F.element_at(F.array(*map(F.lit, BAD_ENTRIES)), (F.floor(number / 3) % len(BAD_ENTRIES) + 1).cast("int"))
+    entry = F.concat(F.lit(',"bad-'), number.cast("string"), F.lit('":'), bad, F.lit("}}"))
+    return F.when(number % 3 == 0, F.concat(body.substr(F.lit(1), F.length(body) - 2), entry)).otherwise(body)
+
+
+def _torn(source: str, year: Column, offset: Column) -> Column:
+    """The beginning of a page's line, as a fetch that broke off leaves it."""
+    return F.concat(F.lit(f'{{"source":"{source}","year":'), F.coalesce(year.cast("string"), F.lit("null")), F.lit(',"offset":'), offset.cast("string"), F.lit(',"body":{"'))
+
+
 def land_project_pages(spark: SparkSession, sf_dir: str, page_size: int = 1000) -> str:
     """Write project pages for the whole ``lineitem`` table; return the folder."""
     t = DriverTables(spark, sf_dir)
@@ -91,9 +107,10 @@ def land_project_pages(spark: SparkSession, sf_dir: str, page_size: int = 1000)
     body = F.concat(F.lit('{"projects":{'), F.array_join(F.transform("entries", lambda e: e["text"]), ","),
                     F.lit("}}"))
     line = F.concat(F.lit('{"source":"projects","seq":0,"year":null,"offset":'),
-                    (F.col("page") * page_size).cast("string"), F.lit(',"body":'), body, F.lit("}"))
+                    (F.col("page") * page_size).cast("string"), F.lit(',"body":'), _with_bad_entry(body, F.col("page")), F.lit("}"))
+    torn = F.when(F.col("page") % 5 == 2, _torn("projects", F.lit(None), F.col("page") * page_size))
     path = scratch_path(spark, "project-pages")
-    pages.select(line.alias("value")).write.mode("overwrite").text(path)
+    pages.select(F.explode(F.array_compact(F.array(line, torn))).alias("value")).write.mode("overwrite").text(path)
     return path
 
 
@@ -102,7 +119,8 @@ def write_document_pages(spark: SparkSession, rows: DataFrame, year_col: str, pa
     """Write document API pages from ``rn, <year_col>, key, rec`` rows (``rec`` a
     struct; null fields are left out of the JSON).  Pages of at most
     ``page_size`` records in ``rn`` order, each with the year's ``total`` and
-    the ``facets: {}`` pseudo-record."""
+    the ``facets: {}`` pseudo-record; some with an entry that is no record, and
+    some that left a torn line when they were first fetched."""
     rows = rows.withColumn("offset", (F.floor(F.col("rn") / page_size) * page_size).cast("long"))
     totals = rows.groupBy(year_col).agg(F.count(F.lit(1)).cast("string").alias("total"))
     entry = F.struct(F.col("rn"), F.col("key"), F.col("rec").alias("value"))
@@ -115,11 +133,12 @@ def write_document_pages(spark: SparkSession, rows: DataFrame, year_col: str, pa
         F.transform("entries", lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))),
         F.array(facets)))
     body = F.struct(F.col("total"), docs.alias("documents"))
-    lines = pages.join(totals, year_col).select(F.to_json(F.struct(
-        F.lit("documents").alias("source"), F.col(year_col).alias("year"), "offset",
-        body.alias("body"))).alias("value"))
+    number = F.col("offset") / page_size
+    line = F.concat(F.lit('{"source":"documents","year":'), F.col(year_col).cast("string"), F.lit(',"offset":'), F.col("offset").cast("string"),
+                    F.lit(',"body":'), _with_bad_entry(F.to_json(body), number.cast("long")), F.lit("}"))
+    torn = F.when(number % 5 == 2, _torn("documents", F.col(year_col), F.col("offset")))
     path = scratch_path(spark, name)
-    lines.write.mode("overwrite").text(path)
+    pages.join(totals, year_col).select(F.explode(F.array_compact(F.array(line, torn))).alias("value")).write.mode("overwrite").text(path)
     return path
 
 

@@ -13,7 +13,11 @@ PAGE_ENVELOPE = T.StructType([
     T.StructField("offset", T.LongType()),     # page offset within its year
     T.StructField("seq", T.LongType()),        # landing sequence: a page fetched again has a greater one
     T.StructField("body", T.StringType()),     # raw API response object
+    T.StructField("broken_line", T.StringType()),   # the whole line where it is no such envelope
 ])
+BROKEN_LINE = "broken_line"
+# Fixed value: a key beside the records of a page.
+NOT_RECORDS = ["facets"]
 
 
 # Nested sector payload of a project record (guarded: only parsed when the

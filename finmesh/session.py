@@ -22,6 +22,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a record that repeats a field keeps the last, as a dict does
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -13,19 +13,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from finmesh.schemas import PAGE_ENVELOPE
-from finmesh.sources.pages import document_records, project_records
+from finmesh.operators.generators import is_object
+from finmesh.schemas import BROKEN_LINE, DOCUMENT_RECORD, NESTED_RECORD, PAGE_ENVELOPE, PROJECT_RECORD
+from finmesh.sources.pages import page_entries, record_of
+
+
+REJECTED = "rejected"
 
 
 def page_records(pages: DataFrame) -> DataFrame:
-    """Records of both page kinds in one frame (works on batch and streaming
-    frames); records are kept as JSON text, which the builders accept."""
-    p = project_records(pages).select(F.lit("projects").alias("source"), "landing_seq", "page_year", "page_offset",
-                                      "pos", "record_key", F.to_json("record").alias("record"),
-                                      F.lit(None).cast("string").alias("nested"), F.lit(None).cast("long").alias("total"))
-    d = document_records(pages).select(F.lit("documents").alias("source"), "landing_seq", "page_year", "page_offset",
-                                       "pos", "record_key", F.to_json("record").alias("record"), F.to_json("nested").alias("nested"), "total")
-    return p.unionByName(d)
+    """Records of both page kinds in one frame and one pass (works on batch and streaming frames), kept as JSON text,
+    which the builders accept.  What is no record has source ``rejected``, a reason, and its raw text in ``record``."""
+    e, document = page_entries(pages).where(is_object("entry") | F.col("reason").isNotNull()), F.col("source") == "documents"
+    record = (F.when(F.col("reason").isNotNull(), F.coalesce("unread", F.to_json("entry")))
+               .when(document, F.to_json(record_of(DOCUMENT_RECORD))).otherwise(F.to_json(record_of(PROJECT_RECORD))))
+    return e.select(F.when(F.col("reason").isNotNull(), F.lit(REJECTED)).otherwise(F.col("source")).alias("source"),
+                    "landing_seq", "page_year", "page_offset", "pos", F.col("entry_key").alias("record_key"), record.alias("record"),
+                    F.when(document & F.col("reason").isNull(), F.to_json(record_of(NESTED_RECORD))).alias("nested"),
+                    F.when(document, F.col("total").try_cast("long")).alias("total"), "reason")
 
 
 def ingest_pages(spark: SparkSession, landing_dir: str, bronze_dir: str,
@@ -34,7 +39,7 @@ def ingest_pages(spark: SparkSession, landing_dir: str, bronze_dir: str,
     (available-now trigger: all files present at start, in bounded batches)."""
     # One checkpoint per table: the file sink counts a new query's batches as already written.
     checkpoint = checkpoint or f"{bronze_dir.rstrip('/')}/_ingest-checkpoint"
-    pages = (spark.readStream.schema(PAGE_ENVELOPE)
+    pages = (spark.readStream.schema(PAGE_ENVELOPE).option("columnNameOfCorruptRecord", BROKEN_LINE)
              .option("maxFilesPerTrigger", max_files_per_trigger).json(landing_dir))
     q = (page_records(pages).writeStream.format("parquet")
          .option("path", bronze_dir).option("checkpointLocation", checkpoint)
@@ -43,5 +48,5 @@ def ingest_pages(spark: SparkSession, landing_dir: str, bronze_dir: str,
 
 
 def read_bronze(spark: SparkSession, bronze_dir: str, source: str) -> DataFrame:
-    """The bronze records of one source (partition-pruned)."""
+    """The bronze records of one source (partition-pruned); ``rejected``: the quarantine."""
     return spark.read.parquet(bronze_dir).filter(F.col("source") == F.lit(source))

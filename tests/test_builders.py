@@ -176,6 +176,6 @@ def test_store_all(spark, tmp_path):
 def test_page_inventory(spark, tmp_path):
     path = write_pages(str(tmp_path / "pages.jsonl"))
     inv = sorted(tuple(r) for r in P.page_inventory(P.read_pages(spark, path)).collect())
-    assert inv == [("documents", 2020, 0, 3, 1500), ("documents", 2020, 1000, 2, 1500),
-                   ("documents", 2021, 0, 1, 1), ("projects", None, 0, 5, None),
-                   ("projects", None, 1000, 2, None)]
+    assert inv == [("documents", 2020, 0, 3, 1500, 0), ("documents", 2020, 1000, 2, 1500, 0),
+                   ("documents", 2021, 0, 1, 1, 0), ("projects", None, 0, 5, None, 0),
+                   ("projects", None, 1000, 2, None, 0)]
