@@ -12,24 +12,43 @@ from pyspark.sql import DataFrame, functions as F
 from finmesh.operators.filters import OTHER_REGION
 
 
-def pk_audit(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Key values that repeat, or contain a null (K2): ``keys..., n``."""
+def pk_audit(df: DataFrame, keys: Sequence[str], collation: str | None = None) -> DataFrame:
+    """Key values that repeat, or contain a null (K2): ``keys..., n``.
+
+    Under a ``collation`` (``UTF8_LCASE``, ``UNICODE_CI``, ``UNICODE_CI_AI``: names that a database with such a
+    collation holds equal) also ``n_spellings``; the keys are then the least spelling.  Spellings are
+    counted before they are folded, so the collated step sees each of them once."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
-    return counted.filter((F.col("n") > 1) | any_null)
+    if collation is None:
+        return counted.filter((F.col("n") > 1) | any_null)
+    folded = counted.groupBy(*[_collated(df, k, collation).alias(f"__{k}") for k in keys]).agg(
+        F.min(F.struct(*keys)).alias("__least"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_spellings"))
+    return folded.select(*[F.col(f"__least.{k}").alias(k) for k in keys], "n", "n_spellings").filter((F.col("n") > 1) | any_null)
+
+
+def _collated(df: DataFrame, column: str, collation: str):
+    """Text columns under the collation, others as they are."""
+    return F.collate(column, collation) if dict(df.dtypes)[column].startswith("string") else F.col(column)
 
 
 def fk_audit(child: DataFrame, parent: DataFrame, child_cols: Sequence[str],
-             parent_cols: Sequence[str]) -> DataFrame:
-    """Child rows whose key has no parent (K3).  A child key with a null
-    column passes, as in SQL foreign keys."""
+             parent_cols: Sequence[str], collation: str | None = None) -> DataFrame:
+    """Child rows whose key has no parent (K3), under a ``collation`` none that it holds equal.  A child key
+    with a null column passes, as in SQL foreign keys."""
     not_null = F.lit(True)
     for c in child_cols:
         not_null = not_null & F.col(c).isNotNull()
-    p = parent.select(*[F.col(a).alias(b) for a, b in zip(parent_cols, child_cols)])
-    return child.filter(not_null).join(p, list(child_cols), "left_anti")
+    if collation is None:
+        p = parent.select(*[F.col(a).alias(b) for a, b in zip(parent_cols, child_cols)])
+        return child.filter(not_null).join(p, list(child_cols), "left_anti")
+    p = parent.select(*parent_cols).distinct().select(*[_collated(parent, a, collation).alias(f"__p{i}") for i, a in enumerate(parent_cols)])
+    equal = F.lit(True)
+    for i, c in enumerate(child_cols):
+        equal = equal & (_collated(child, c, collation) == F.col(f"__p{i}"))
+    return child.filter(not_null).join(p, equal, "left_anti")
 
 
 def null_audit(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -114,6 +133,46 @@ def column_profile(df: DataFrame, exact: bool = False, rsd: float = 0.01) -> Dat
                       F.col("distinct_count").cast("long").alias("distinct_count"), "min_value", "max_value")
 
 
+# log2 of the registers of a profile's sketches: an error of about 0.8 % (two thirds of the time), 16 KB a column.
+SKETCH_SIZE = 14
+
+
+def profile_state(df: DataFrame) -> DataFrame:
+    """One row that holds what ``column_profile`` needs of ``df`` and that can be merged: rows, and per column (``c0``,
+    ``c1``, ... in order) nulls, a HyperLogLog sketch of its values as text, smallest and largest value."""
+    aggregates = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(df.columns):
+        aggregates += [F.count_if(F.col(c).isNull()).alias(f"c{i}_nulls"), F.hll_sketch_agg(F.col(c).cast("string"), SKETCH_SIZE).alias(f"c{i}_sketch"),
+                       F.min(c).alias(f"c{i}_min"), F.max(c).alias(f"c{i}_max")]
+    return df.agg(*aggregates)
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """The state of all the rows that ``states`` stand for; no row of them is read again."""
+    merge = {"rows": F.sum, "nulls": F.sum, "sketch": lambda c: F.hll_union_agg(c), "min": F.min, "max": F.max}
+    return states.agg(*[merge[c.rsplit("_", 1)[-1]](c).alias(c) for c in states.columns])
+
+
+def profile_of_state(state: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
+    """The profile (as ``column_profile``) of a state; ``columns``: names and types of the profiled frame."""
+    rows = ", ".join(f"'{c}', '{t}', c{i}_nulls, hll_sketch_estimate(c{i}_sketch), cast(c{i}_min AS string), cast(c{i}_max AS string)"
+                     for i, (c, t) in enumerate(columns))
+    out = state.select(F.expr(f"stack({len(columns)}, {rows}) as (column_name, data_type, null_count, distinct_count, min_value, max_value)"),
+                       F.coalesce("rows", F.lit(0)).alias("row_count"))
+    return out.select("column_name", "data_type", "row_count", F.coalesce("null_count", F.lit(0)).cast("long").alias("null_count"),
+                      F.coalesce("distinct_count", F.lit(0)).cast("long").alias("distinct_count"), "min_value", "max_value")
+
+
+def append_profile(df: DataFrame, path: str, batch: str) -> None:
+    """Store the state of one load batch below ``path``; a batch that is loaded again replaces its state."""
+    profile_state(df).write.mode("overwrite").parquet(f"{path}/load_batch={batch}")
+
+
+def stored_profile(spark, path: str, columns: Sequence[tuple[str, str]]) -> DataFrame:
+    """The profile of all batches stored below ``path``, from their states alone."""
+    return profile_of_state(merge_states(spark.read.parquet(path).drop("load_batch")), columns)
+
+
 def region_checks(country: DataFrame, country_col: str = "countryshortname",
                   region_col: str = "regionname", placeholder: str = OTHER_REGION) -> DataFrame:
     """The two checks after region repair (P10, P12), one row:

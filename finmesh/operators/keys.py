@@ -1,12 +1,13 @@
 """Surrogate keys (K1) and parent-key resolution.
 
 ``with_surrogate_key`` numbers rows 1..n in a total order without a global
-single-partition window: range-partition and sort on the order, number rows
+single-partition window: store the rows (their count and the sample for the ranges
+come from the stored table, so the input is evaluated once), range-partition and sort on the order, number rows
 inside each partition, write the numbered rows as a parquet table in the
 shared checkpoint folder (cuts lineage, so a lost executor does not renumber
 anything), then add the prefix sum of the per-partition counts.  Only the counts frame, one row per
 partition, sees a global window; it is broadcast because its size is bounded
-by the partition count.
+by the partition count, which is at most ``MAX_PARTITIONS``: beyond that partitions grow with the input.
 """
 from __future__ import annotations
 
@@ -24,11 +25,19 @@ def _cols(cs) -> list[Column]:
 
 
 ROWS_PER_PARTITION = 250_000
+MAX_PARTITIONS = 20_000
 
 
 def partitions_for(rows: int) -> int:
     """Range partitions for so many rows; the offsets frame has one row per partition."""
-    return max(1, -(-rows // ROWS_PER_PARTITION))
+    return max(1, min(MAX_PARTITIONS, -(-rows // ROWS_PER_PARTITION)))
+
+
+def _stored(frame: DataFrame, name: str) -> DataFrame:
+    """The frame written into the shared scratch folder and read back."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 def with_surrogate_key(df: DataFrame, order: Sequence, name: str, start: int | Column = 1,
@@ -41,19 +50,17 @@ def with_surrogate_key(df: DataFrame, order: Sequence, name: str, start: int | C
     table (see ``append_with_keys``).  ``num_partitions`` follows the row count
     unless given.
     """
-    spark = df.sparkSession
-    n = num_partitions or partitions_for(df.count())
+    rows = _stored(df, "key-rows")
+    n = num_partitions or partitions_for(rows.count())
     order_cols = _cols(order)
-    numbered = (df.repartitionByRange(n, *order_cols)
-                      .sortWithinPartitions(*order_cols)
-                      .withColumn(_PID, F.spark_partition_id())
-                      .withColumn(_LOCAL, F.monotonically_increasing_id()
-                                  - F.shiftleft(F.col(_PID).cast("long"), 33)))
+    numbered = (rows.repartitionByRange(n, *order_cols)
+                    .sortWithinPartitions(*order_cols)
+                    .withColumn(_PID, F.spark_partition_id())
+                    .withColumn(_LOCAL, F.monotonically_increasing_id()
+                                - F.shiftleft(F.col(_PID).cast("long"), 33)))
     # Cut lineage with a table written to the shared checkpoint folder (columnar,
     # compressed); numbering is then fixed even if an executor is lost later.
-    path = scratch_path(spark, "surrogate-key")
-    numbered.write.mode("overwrite").parquet(path)
-    numbered = spark.read.schema(numbered.schema).parquet(path)
+    numbered = _stored(numbered, "surrogate-key")
     counts = numbered.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         _PID,
@@ -65,33 +72,26 @@ def with_surrogate_key(df: DataFrame, order: Sequence, name: str, start: int | C
     return out.select(*[F.col(c) for c in df.columns], key)
 
 
-def with_list_offsets(df: DataFrame, order: Sequence[str], lists: Sequence[str]) -> DataFrame:
+def with_list_offsets(df: DataFrame, order: Sequence[str], lists: Sequence[str], row: str | None = None) -> DataFrame:
     """``df`` with ``<list>_before`` for each array column of ``lists``: how many
     items of that list come in rows before this one.  A bridge table then
     numbers its rows by ``<list>_before + position + 1`` while it explodes the
     list: one numbering of the records serves all their bridges, and no
     exploded row is ever sorted.
 
-    The frame is stored once; only row numbers, order and list sizes are
-    range-partitioned and summed.
+    Only row numbers, order and list sizes are range-partitioned and summed.  ``row`` names a column that tells
+    the rows of ``df`` apart and stays the same whenever it is read; without one the frame is stored first.
     """
-    spark = df.sparkSession
-
-    def stored(frame: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(spark, name)
-        frame.write.parquet(path)
-        return spark.read.schema(frame.schema).parquet(path)
-
-    rows = stored(df.withColumn("__row", F.monotonically_increasing_id()), "list-rows")
+    rows = df.withColumnRenamed(row, "__row") if row else _stored(df.withColumn("__row", F.monotonically_increasing_id()), "list-rows")
     sizes = rows.select("__row", *order, *[F.coalesce(F.size(c), F.lit(0)).cast("long").alias(f"{c}_before") for c in lists])
-    placed = stored(sizes.repartitionByRange(partitions_for(rows.count()), *order).withColumn(_PID, F.spark_partition_id()), "list-sizes")
+    placed = _stored(sizes.repartitionByRange(partitions_for(rows.count()), *order).withColumn(_PID, F.spark_partition_id()), "list-sizes")
     names = [f"{c}_before" for c in lists]
     earlier = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)       # one row per partition
     starts = placed.groupBy(_PID).agg(*[F.sum(c).alias(c) for c in names]).select(
         _PID, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"__{c}") for c in names])
     within = Window.partitionBy(_PID).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     running = placed.select("__row", _PID, *[F.coalesce(F.sum(c).over(within), F.lit(0)).alias(c) for c in names])
-    offsets = stored(running.join(starts, _PID).select("__row", *[(F.col(c) + F.col(f"__{c}")).alias(c) for c in names]), "list-offsets")
+    offsets = _stored(running.join(starts, _PID).select("__row", *[(F.col(c) + F.col(f"__{c}")).alias(c) for c in names]), "list-offsets")
     return rows.join(offsets, "__row").drop("__row")
 
 

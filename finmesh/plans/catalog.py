@@ -20,6 +20,7 @@ from finmesh.operators.generators import (
 )
 from finmesh.operators.filters import exclude_members
 from finmesh.operators.joins import keep_known
+from finmesh.operators.merge import merge_by_key, read_merged
 from finmesh.operators.keys import fanout_report, resolve_parent_key, with_surrogate_key
 from finmesh.plans import marts, normalize, pageplan
 from finmesh.plans.landed import write_document_pages
@@ -448,6 +449,35 @@ def q_case_variants(spark, sf_dir):
     return audit.case_variant_audit(tokens, "token")
 
 
+# ================================================================== audits under a collation that ignores case
+_NAMES_SQL = """names AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN upper(p_name) WHEN 1 THEN p_name
+  ELSE upper(substr(p_name, 1, 1)) || substr(p_name, 2) END AS name, p_size FROM part)"""
+
+
+def _named_parts(spark, sf_dir) -> DataFrame:
+    """Parts with their names in three spellings: the rows of a lookup keyed by name."""
+    at, name = F.pmod("p_partkey", F.lit(3)), F.col("p_name")
+    spelt = F.when(at == 0, F.upper(name)).when(at == 1, name).otherwise(F.concat(F.upper(name.substr(1, 1)), F.expr("substr(p_name, 2)")))
+    return DriverTables(spark, sf_dir)("part", "p_partkey", "p_name", "p_size").select("p_partkey", spelt.alias("name"), "p_size")
+
+
+@query("pk_audit_collated", _with(_NAMES_SQL) + """
+, lookup AS (SELECT DISTINCT name FROM names)
+SELECT min(name) AS name, count(*) AS n, count(*) AS n_spellings FROM lookup GROUP BY lower(name) HAVING count(*) > 1""")
+def q_pk_audit_collated(spark, sf_dir):
+    """K2 as a database with a collation that ignores case sees it: names of a lookup that are distinct only by case."""
+    lookup = distinct_values(_named_parts(spark, sf_dir), ["name"])
+    return audit.pk_audit(lookup, ["name"], collation="UTF8_LCASE")
+
+
+@query("fk_audit_collated", _with(_NAMES_SQL) + """
+SELECT p_partkey, name FROM names WHERE lower(name) NOT IN (SELECT lower(name) FROM names WHERE p_size <= 3)""")
+def q_fk_audit_collated(spark, sf_dir):
+    """K3 under the same collation: names that no spelling in the lookup (the names of the smallest parts) matches."""
+    names = _named_parts(spark, sf_dir)
+    return audit.fk_audit(names.select("p_partkey", "name"), names.where("p_size <= 3"), ["name"], ["name"], collation="UTF8_LCASE")
+
+
 # ================================================================== delimited text F1-F3, G4
 @query("split_plain", f"""
 SELECT doc_id, {_strip_sql('piece')} AS item FROM (
@@ -838,6 +868,23 @@ def q_column_profile_approx(spark, sf_dir):
                        (F.abs(F.col("distinct_count") - F.col("n")) <= 0.05 * F.col("n")).alias("within_5_percent"), "min_value", "max_value")
 
 
+@query("column_profile_merged", _with(CTE_PROJECTS, CTE_PS, CTE_PMS, CTE_PSL, CTE_MSL, CTE_MART) + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, '{ty}' AS data_type, count(*) AS row_count, "
+    f"count(*) - count({c}) AS null_count, true AS within_5_percent, "
+    f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM mart"
+    for c, ty in _MART_TYPES))
+def q_column_profile_merged(spark, sf_dir):
+    """A9 kept up to date batch by batch: each batch's sketches are stored, the profile of all is made of them
+    alone, and held against the exact count."""
+    mart, path = _stored(q_sector_mart(spark, sf_dir), "mart"), scratch_path(spark, "profile")
+    for batch in range(3):
+        audit.append_profile(mart.where(F.pmod("project_id", F.lit(3)) == batch), path, str(batch))
+    sketch, exact = audit.stored_profile(spark, path, mart.dtypes), audit.column_profile(mart, exact=True)
+    both = sketch.join(exact.select("column_name", F.col("distinct_count").alias("n")), "column_name")
+    return both.select("column_name", "data_type", "row_count", "null_count",
+                       (F.abs(F.col("distinct_count") - F.col("n")) <= 0.05 * F.col("n")).alias("within_5_percent"), "min_value", "max_value")
+
+
 def _stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     sinks.write_parquet(df, path)
@@ -903,13 +950,50 @@ def q_column_read_back(spark, sf_dir):
 
 @query("append_load", "SELECT * FROM orders")
 def q_append_load(spark, sf_dir):
-    """A table loaded in two appended batches reads back whole."""
+    """A table loaded in two batches, the second one run twice, reads back whole and once."""
+    return sinks.read_back(spark, _two_batches(spark, sf_dir), "orders")
+
+
+def _two_batches(spark, sf_dir) -> str:
     o = DriverTables(spark, sf_dir)("orders")
     first = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
     base = scratch_path(spark, "append")
-    sinks.append_load({"orders": o.filter(first)}, base)
-    sinks.append_load({"orders": o.filter(~first)}, base)
-    return sinks.read_back(spark, base, "orders")
+    sinks.append_load({"orders": o.filter(first)}, base, "final")
+    for _ in range(2):
+        sinks.append_load({"orders": o.filter(~first)}, base, "open")
+    return base
+
+
+@query("load_ledger", """
+SELECT CASE WHEN o_orderstatus = 'F' THEN 'final' ELSE 'open' END AS batch, 'orders' AS table_name, count(*) AS row_count
+FROM orders GROUP BY 1""")
+def q_load_ledger(spark, sf_dir):
+    """S6+S12: the committed loads and their rows, counted while they were written."""
+    return sinks.load_ledger(spark, _two_batches(spark, sf_dir))
+
+
+@query("merge_by_key", """
+SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 3 WHEN o_orderkey % 7 = 3 THEN 2 ELSE 1 END AS landing,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'third' WHEN o_orderkey % 7 = 3 THEN 'second' ELSE o_orderstatus END AS status, 1 AS first_landing
+FROM orders""")
+def q_merge_by_key(spark, sf_dir):
+    """A7+U1: three landings of one table merged by key, the newest last or not; the table is not rebuilt."""
+    o = DriverTables(spark, sf_dir)("orders", "o_orderkey", "o_orderstatus", "o_orderpriority")
+    path = scratch_path(spark, "merged")
+    landings = [(1, o, F.col("o_orderstatus")), (3, o.where("o_orderpriority = '1-URGENT'"), F.lit("third")),
+                (2, o.where("o_orderkey % 7 = 3"), F.lit("second"))]
+    for landing, rows, status in landings:
+        merge_by_key(rows.select("o_orderkey", F.lit(landing).alias("landing"), status.alias("status")), path, ["o_orderkey"], ["landing"], buckets=16)
+    return read_merged(spark, path).select("o_orderkey", F.col("newest.landing").alias("landing"), "status", F.col("first_seen.landing").alias("first_landing"))
+
+
+@query("merge_documents", _KEYED_SQL)
+def q_merge_documents(spark, sf_dir):
+    """A7+U1 on landed pages: the records of one fetch merged into those of the one before, equal to building from all pages."""
+    pages, path = P.read_pages(spark, _land_document_pages(spark, sf_dir)), scratch_path(spark, "merged-documents")
+    for year in (0, 1):
+        normalize.merge_documents(P.document_records(pages.where(F.col("year") == year)), path)
+    return _documents_view(normalize.merged_documents(spark, path))
 
 
 @query("full_refresh", """
@@ -1224,10 +1308,10 @@ def _table_sql(name: str) -> str:
     return ORACLE[_TABLE_QUERY[name]]
 
 
-def _all_landed_tables(spark, sf_dir) -> dict:
+def _all_landed_tables(spark, sf_dir, base: str | None = None) -> dict:
     """The 16 tables stored once; what reads them reads the stored ones."""
     projects = P.project_records(P.read_pages(spark, land_project_pages(spark, sf_dir)))
-    return normalize.store_all(projects, _landed_documents(spark, sf_dir), scratch_path(spark, "tables"))
+    return normalize.store_all(projects, _landed_documents(spark, sf_dir), base or scratch_path(spark, "tables"))
 
 
 # The tables and their keys, written out for the oracle on its own.
@@ -1251,9 +1335,10 @@ _TABLE_ORDER = list(_KEYS_SQL)
 @query("normalize_load_report", "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM ({_table_sql(t)}) x" for t in _TABLE_ORDER))
 def q_normalize_load_report(spark, sf_dir):
-    """S12 over the 16 tables built from landed pages."""
-    tables = _all_landed_tables(spark, sf_dir)
-    return audit.load_report({t: tables[t] for t in _TABLE_ORDER})
+    """S12 over the 16 tables built from landed pages: rows counted while they were written, no table is scanned."""
+    base = scratch_path(spark, "tables")
+    _all_landed_tables(spark, sf_dir, base)
+    return sinks.load_ledger(spark, base).groupBy("table_name").agg(F.sum("row_count").alias("row_count"))
 
 
 def _pk_sql(t, key):

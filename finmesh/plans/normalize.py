@@ -11,7 +11,8 @@ Document side (records with a truthy ``projectid``, last write wins per key):
     documents, doc_sector_lookup, doc_sector, doc_theme_lookup, doc_theme,
     doc_sub_sector_lookup, doc_sub_sector, doc_country
 
-Tables are built when asked for; the only eager steps are the numberings that
+Tables are built when asked for.  Each side is parsed once: its flat (or kept) records are stored when the
+first table asks for them, and every table reads the stored frame.  The other eager steps are the numberings that
 surrogate ids need (one for all project bridges, one for the document ones).
 Surrogate ids follow insertion order: page order, position in the page,
 position inside the nested list.
@@ -22,7 +23,7 @@ from collections import ChainMap
 from collections.abc import Mapping
 from functools import cached_property
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finmesh.functions.coerce import (
     parse_date, parse_decimal, parse_int_id, parse_int_number, truthy,
@@ -35,11 +36,13 @@ from finmesh.operators.generators import (
     parse_major_sectors, sector_items,
 )
 from finmesh.operators.joins import keep_known
+from finmesh.operators.merge import merge_by_key, read_merged
 from finmesh.operators.keys import resolve_parent_key, with_list_offsets, with_surrogate_key
 from finmesh.schemas import (
     DOCUMENT_DATE_COLUMNS, DOCUMENT_FIELD_MAP, DOCUMENT_RECORD, MONEY_FIELDS, NESTED_RECORD,
     PROJECT_DATE_FIELDS, PROJECT_FIELDS, PROJECT_RECORD,
 )
+from finmesh.session import scratch_path
 from finmesh.sources.pages import ORDER
 from finmesh.sources.sinks import append_load, read_back
 
@@ -116,6 +119,13 @@ def build_proj_sector_lookup(s_rows: DataFrame) -> DataFrame:
     return first.select("sector_code", "sector_name")
 
 
+def _stored_rows(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored in the shared scratch folder, with ``row_no`` to tell its rows apart."""
+    path = scratch_path(df.sparkSession, name)
+    df.withColumn("row_no", F.monotonically_increasing_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 class _Lazy(Mapping):
     """Tables by name; each is built when first asked for."""
 
@@ -147,15 +157,20 @@ class ProjectTables(_Lazy):
 
     def __init__(self, records: DataFrame):
         super().__init__()
-        self.flat = flatten_projects(records)
+        self.records = records
+
+    @cached_property
+    def flat(self) -> DataFrame:
+        """One row per landed record, parsed once and stored."""
+        return _stored_rows(flatten_projects(self.records), "project-flat")
 
     @cached_property
     def lists(self) -> DataFrame:
         """Records with their four lists and, for each, the items before it."""
         return with_list_offsets(self.flat.select(
-            *ORDER, "id", clean_items(split_plain("borrower")).alias("borrowers"), clean_items(split_plain("impagency")).alias("agencies"),
+            "row_no", *ORDER, "id", clean_items(split_plain("borrower")).alias("borrowers"), clean_items(split_plain("impagency")).alias("agencies"),
             major_sector_items(self.flat, "major_sectors").alias("majors"), sector_items(self.flat, "major_sectors").alias("sectors")),
-            ORDER, ["borrowers", "agencies", "majors", "sectors"])
+            ORDER, ["borrowers", "agencies", "majors", "sectors"], row="row_no")
 
     def _names(self, items: str, id_name: str, out: str) -> DataFrame:
         x = self.lists.select("id", f"{items}_before", F.posexplode(items).alias("at", out))
@@ -213,6 +228,17 @@ def kept_documents(records: DataFrame) -> DataFrame:
         "first_seen", "record_key", "record", "nested")
 
 
+def merge_documents(records: DataFrame, path: str) -> int:
+    """Merge newly landed document records into the kept ones stored at ``path``: only the buckets
+    of their keys are written.  ``merged_documents`` then equals ``kept_documents`` of all records so far."""
+    m = as_records(records, DOCUMENT_RECORD).select(*ORDER, "record_key", "record", "nested").filter(truthy(_field("record", "projectid")))
+    return merge_by_key(m, path, ["record_key"], ORDER)
+
+
+def merged_documents(spark: SparkSession, path: str) -> DataFrame:
+    return read_merged(spark, path).select("first_seen", "record_key", "record", "nested")
+
+
 def flatten_documents(kept: DataFrame) -> DataFrame:
     """25 documented columns, uncleaned (the bronze layer, S5), beside
     ``first_seen`` and ``record_key``."""
@@ -246,19 +272,24 @@ class DocumentTables(_Lazy):
 
     def __init__(self, records: DataFrame, projects: DataFrame, country: DataFrame):
         super().__init__()
-        self.kept, self.projects, self.country = kept_documents(records), projects, country
+        self.records, self.projects, self.country = records, projects, country
+
+    @cached_property
+    def kept(self) -> DataFrame:
+        """The newest record of each key, parsed once and stored."""
+        return _stored_rows(kept_documents(self.records), "document-kept")
 
     def _with_id(self) -> DataFrame:
         r = lambda f: _field("record", f)
-        return self.kept.select("first_seen.*", r("id").alias("raw_id"), r("projectid").alias("project_id"), r("sectr").alias("sectr"),
+        return self.kept.select("row_no", "first_seen.*", r("id").alias("raw_id"), r("projectid").alias("project_id"), r("sectr").alias("sectr"),
                                 r("theme").alias("theme"), r("subsc").alias("subsc"), r("count").alias("count")).filter(truthy("raw_id"))
 
     @cached_property
     def lists(self) -> DataFrame:
         inserted = keep_known(self._with_id(), self.projects, ["project_id"])
         return with_list_offsets(inserted.select(
-            *ORDER, "raw_id", "count", map_items("sectr", "sector").alias("sectors"), clean_items(split_comma_nospace("theme")).alias("themes"),
-            lower_items(clean_items(split_comma_nospace("subsc"))).alias("sub_sectors")), ORDER, ["sectors", "themes", "sub_sectors"])
+            "row_no", *ORDER, "raw_id", "count", map_items("sectr", "sector").alias("sectors"), clean_items(split_comma_nospace("theme")).alias("themes"),
+            lower_items(clean_items(split_comma_nospace("subsc"))).alias("sub_sectors")), ORDER, ["sectors", "themes", "sub_sectors"], row="row_no")
 
     def _bridge(self, items: str, id_name: str, out: str) -> DataFrame:
         x = self.lists.select("raw_id", f"{items}_before", F.posexplode(items).alias("at", out))
@@ -303,13 +334,13 @@ def build_all(project_recs: DataFrame, document_recs: DataFrame) -> Mapping[str,
     return ChainMap(p, build_document_tables(document_recs, p["projects"], p["country"]))
 
 
-def store_all(project_recs: DataFrame, document_recs: DataFrame, base: str) -> dict[str, DataFrame]:
-    """All 16 tables stored once below ``base`` and read back: what comes after
-    (audits, counts, marts) reads the stored tables."""
+def store_all(project_recs: DataFrame, document_recs: DataFrame, base: str, batch: str = "all") -> dict[str, DataFrame]:
+    """All 16 tables stored once below ``base`` and read back: what comes after (audits, counts, marts) reads the stored
+    tables.  A ``batch`` that is stored already is not stored again."""
     spark = project_recs.sparkSession
     p = build_project_tables(project_recs)
-    append_load(p, base)
+    append_load(p, base, f"{batch}-projects")
     out = {name: read_back(spark, base, name) for name in p}
     d = build_document_tables(document_recs, out["projects"], out["country"])
-    append_load(d, base)
+    append_load(d, base, f"{batch}-documents")
     return out | {name: read_back(spark, base, name) for name in d}

@@ -94,16 +94,6 @@ def delete_folder(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def replace_folder(spark: SparkSession, source: str, target: str) -> None:
-    """``source`` takes the place of ``target`` (which may not exist)."""
-    p, fs = _file_system(spark, source)
-    old, _ = _file_system(spark, target)
-    if fs.exists(old):
-        fs.delete(old, True)
-    if not fs.rename(p, old):
-        raise RuntimeError(f"{source} could not take the place of {target}")
-
-
 def cleanup_scratch(spark: SparkSession) -> None:
     """Delete this session's scratch folder (landed pages, round trips,
     surrogate-key tables).  Results are lazy and may read it, so the caller

@@ -94,3 +94,19 @@ def test_list_offsets_match_running_sums(spark, monkeypatch):
         assert (r.a_before, r.b_before) == (a, b)
         a, b = a + len(r.a), b + len(r.b or [])
     assert len(got) == 300
+
+
+def test_surrogate_key_evaluates_its_input_once(spark):
+    """Rows that a task makes are counted where they are made; the partition count is bounded."""
+    from finmesh.operators import keys
+    seen = spark.sparkContext.accumulator(0)
+
+    def each(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+    df = spark.range(1000).mapInArrow(each, "id long")
+    out = keys.with_surrogate_key(df, [F.desc("id")], "k").collect()
+    assert sorted((r.k, r.id) for r in out) == [(i + 1, 999 - i) for i in range(1000)]
+    assert seen.value == 1000
+    assert keys.partitions_for(0) == 1 and keys.partitions_for(10 ** 12) == keys.MAX_PARTITIONS
