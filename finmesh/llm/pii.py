@@ -96,7 +96,7 @@ def base_spans(text: str, patterns: dict) -> list[tuple[str, int, int]]:
         at = text.find("@", last)
     if patterns["digit"].search(text):
         found += [("ip", m.start(), m.end()) for m in patterns["ip"].finditer(text)
-                  if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))]
+                  if all(len(p := part.lstrip("0")) < 4 and int(p or 0) <= 255 for part in m[0].split("."))]
         for m in patterns["card"].finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
             if 16 <= len(digits) <= 19 and luhn(digits):
@@ -147,6 +147,28 @@ def features_of(kind: str, text: str, start: int, end: int, votes: list[int]) ->
                float(before in (" ", "\n", "", ":", "(", "<")), float(after in (" ", "\n", "", ".", ",", ")", ">"))])
 
 
+def _merged(spans) -> list[tuple[int, int]]:
+    """The stretches that spans cover, in order."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def _apart(spans: list, taken: list) -> list[tuple[int, int]]:
+    """Those of ``spans`` that touch nothing ``taken``; both in order, one walk."""
+    out, at = [], 0
+    for start, end in spans:
+        while at < len(taken) and taken[at][1] <= start:
+            at += 1
+        if at == len(taken) or taken[at][0] >= end:
+            out.append((start, end))
+    return out
+
+
 def _scan(batches: Iterator) -> Iterator:
     import pyarrow as pa
     patterns = compiled()
@@ -154,19 +176,16 @@ def _scan(batches: Iterator) -> Iterator:
     for batch in batches:
         rows = []
         for text in batch.column(1).to_pylist():
-            spans, taken = [], set()
-            base = base_spans(text, patterns)
-            for kind, start, end in base:
-                spans.append((kind, start, end))
-                taken.add((start, end))
+            spans = base_spans(text, patterns)
+            taken = _merged((start, end) for _, start, end in spans)
             digits = bool(patterns["digit"].search(text))
             for kind in EXTRA:
                 if not digits and kind not in ("name", "address", "spelt_email") or kind == "spelt_email" and "dot" not in text or kind == "ipv6" and ":" not in text:
                     continue
-                for m in patterns[kind].finditer(text):
-                    if not any(s < m.end() and m.start() < e for s, e in taken):
-                        spans.append((kind, m.start(), m.end()))
-                        taken.add((m.start(), m.end()))
+                own = _apart([m.span() for m in patterns[kind].finditer(text)], taken)
+                if own:
+                    spans += [(kind, start, end) for start, end in own]
+                    taken = _merged(taken + own)
             out = []
             for kind, start, end in spans:
                 votes = votes_of(kind, text, start, end)

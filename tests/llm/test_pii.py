@@ -64,3 +64,30 @@ def test_query_keeps_base_and_adds(spark, documents):
 
 def test_empty_table(documents):
     assert pii.spans_of(documents.limit(0)).collect() == []
+
+
+def test_long_digit_runs():
+    """Parts of an address with thousands of digits: no limit of int() is met."""
+    zeros, ones = "0" * 5000, "1" * 5000
+    patterns = pii.compiled()
+    assert [s[0] for s in pii.base_spans(f"{zeros}.{zeros}7.1.2", patterns)] == ["ip"]
+    assert pii.base_spans(f"{ones}.1.1.1", patterns) == [] == pii.base_spans(f"1.2.3.{ones}", patterns)
+
+
+def test_many_candidates_in_one_text(spark):
+    """A text of a megabyte full of candidates is swept once per kind; spans do not overlap."""
+    import time
+    text = "Dear Mr John Smith, call (030) 1234 567 or 123-45-6789, mail a.b@c.example or x at y dot com; " * 11_000
+    df = spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")
+    start = time.time()
+    rows = {r.doc_id: r for r in pii.spans_of(df).collect()}
+    assert time.time() - start < 120
+    assert rows[1].n_email == 11_000 and rows[2].spans == ""
+    spans = sorted(tuple(map(int, s.split(":")[1:])) for s in rows[1].spans.split(","))
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "mail a@b.example", "x", 5, None), (None, None, None, None, None)],
+                               "doc_id long, text string, spans string, n_email long, votes string")
+    assert {(r.doc_id, r.n_email) for r in pii.spans_of(df).collect()} == {(1, 1), (None, 0)}
