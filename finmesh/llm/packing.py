@@ -34,11 +34,14 @@ APART = "\x00"           # between parts that are tokenized together: one id, of
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"      # ASCII, without the apostrophe of contractions
 
 
-def chunks_of(text: str) -> list[str]:
-    """White-space chunks, lower-cased where that provably changes no id."""
+def chunks_of(text: str, specials: tuple = (), folds: bool = True) -> list[str]:
+    """White-space chunks, lower-cased where that provably changes no id: ``folds`` says that the tokenizer lower-cases.
+    A text with the string of one of the ``specials``, in any case, stays whole."""
     import re
     import unicodedata
-    if unicodedata.is_normalized("NFC", text) and "Σ" not in text:
+    if specials and (low := text.lower()) and any(s in low for s in specials):
+        return [text]
+    if folds and unicodedata.is_normalized("NFC", text) and "Σ" not in text:
         lower = text.lower()
         if unicodedata.is_normalized("NFC", lower):
             text = lower
@@ -47,6 +50,14 @@ def chunks_of(text: str) -> list[str]:
     return text.split()
 
 
+def rules_of(tokenizer) -> tuple[tuple, bool]:
+    """(lower-cased strings of the special tokens, whether the normaliser lower-cases).  A special token's string in a
+    text is that token, as the library has it by default."""
+    import json
+    specials = tuple(t.content.lower() for t in tokenizer.get_added_tokens_decoder().values())
+    return specials, '"Lowercase"' in json.dumps(json.loads(tokenizer.to_str())["normalizer"])
+
+
 def load_tokenizer(content: str):
     """One tokenizer for all tasks of a Python worker: loading it anew leaves memory behind each time."""
     import hashlib
@@ -56,12 +67,13 @@ def load_tokenizer(content: str):
     key = hashlib.sha256(content.encode()).digest()
     if key not in loaded:
         loaded[key] = tokenizers.Tokenizer.from_str(content)
-        loaded[key].encode_special_tokens = True     # their strings in a text are ordinary text
     return loaded[key]
 
 
 def parts_of(chunk: str) -> tuple[str, str]:
-    """A chunk and the punctuation that ends it, where the tokenizer's pattern cuts between the two."""
+    """A chunk and the punctuation that ends it, where the tokenizer's pattern cuts between the two.  A whole text stays whole."""
+    if any(c.isspace() for c in chunk) or "<" in chunk:
+        return chunk, ""
     stem = chunk.rstrip(PUNCTUATION)
     # İ is the letter whose lower case ends with a mark, which goes with the signs after it
     return (stem, chunk[len(stem):]) if stem and stem[-1].isalnum() and stem[-1] != "İ" else (chunk, "")
@@ -89,6 +101,7 @@ def pieces(df: DataFrame, tokenizer_json: str, size: int = 2048, closing_id: int
         import pyarrow as pa
 
         tokenizer = load_tokenizer(tokenizer_json)
+        specials, folds = rules_of(tokenizer)
         empty = lambda: (_Known(), _Known(), np.zeros((1 << 12, 2), np.int64), np.empty(1 << 16, np.int32), np.zeros(1 << 12, np.int64), 0)
         chunks, parts, parts_at, flat, ends, n_flat = empty()
         for batch in batches:
@@ -98,7 +111,7 @@ def pieces(df: DataFrame, tokenizer_json: str, size: int = 2048, closing_id: int
                     chunks, parts, parts_at, flat, ends, n_flat = empty()
                 before, places = len(chunks), []
                 for text in part.column(1):
-                    found = chunks_of(text.as_py())
+                    found = chunks_of(text.as_py(), specials, folds)
                     places.append(np.fromiter(map(chunks.__getitem__, found), dtype=np.int64, count=len(found)))
                 if chunks.added:
                     n_parts = len(parts)

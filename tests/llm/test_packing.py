@@ -11,7 +11,7 @@ from finmesh.llm import packing
 
 JSON = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
 LIBRARY = Tokenizer.from_str(JSON)
-LIBRARY.encode_special_tokens = True
+SPECIALS, FOLDS = packing.rules_of(LIBRARY)
 
 
 def ids_of(text):
@@ -19,7 +19,7 @@ def ids_of(text):
 
 
 def via_parts(text):
-    chunks = packing.chunks_of(text)
+    chunks = packing.chunks_of(text, SPECIALS, FOLDS)
     parts = [p for c in chunks for p in packing.parts_of(c)]
     return packing.encode_parts(LIBRARY, parts)[0].tolist() if parts else []
 
@@ -30,6 +30,20 @@ def test_parts_are_tokenized_as_the_whole(text):
     assert via_parts(text) == ids_of(text)
 
 
+PIECES = st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "endoftext", " ", "\n", "x", "It's", "É", "<", ">", "a.", "\x00", "\x1c"])
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(PIECES, max_size=8).map("".join))
+def test_strings_of_special_tokens(text):
+    """By default the library takes them as the tokens."""
+    assert via_parts(text) == ids_of(text)
+
+
+def test_contract_of_a_special_string():
+    assert len(ids_of("x <|endoftext|> y")) == 3 and via_parts("x <|endoftext|> y") == ids_of("x <|endoftext|> y")
+
+
 def check(rows, size):
     fill = {}
     for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
