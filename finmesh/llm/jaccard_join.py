@@ -15,7 +15,7 @@ only such a document uses its empty chunks as keys as well, so no link is lost.
 
 Shingles that many documents have (license lines, quoted passages) are left out of the
 sketches: without them two sets differ in no more shingles, so the bound holds, and no key is made
-of nothing but such a passage.  A document with too few other shingles for that uses the
+of nothing but such a passage.  A document with at most D chunks of other shingles uses the
 sketch of its whole set as well.
 
 Hot groups: each task keeps one document of equal sets and, for each key, hands on only its
@@ -77,13 +77,7 @@ class Bands:
         low = self.edges[-1]
         top = max(low + 1, math.ceil(low * (100 / self.percent) ** 2))
         d = 2 * (top - 1) * (100 - self.percent) // (100 + self.percent)
-        least = max(1, math.ceil(low * self.percent / 100))           # the smallest guest
-        k = d + 1
-        while d:                                                      # room for empty chunks: four deviations
-            empty = k * math.exp(-least / k)
-            if k - d > empty + 4 * math.sqrt(empty) or k >= 3 * (d + 1):
-                break
-            k += 1
+        k = 3 * (d + 1) if d else 1
         self.edges.append(top)
         self.chunks.append(k)
         self.bound.append(d)
@@ -131,29 +125,47 @@ def shingle_hashes(text: str | None, width: int, memo: dict):
     return np.unique(total + np.uint64(k))
 
 
-def sketch_keys(hashes, bands: Bands, common=None):
-    """Join keys (as signed longs) of a set; ``common``: sorted shingles left out of the sketches."""
+def sketch_keys(hashes, bands: Bands, common=None, frequent=None):
+    """Join keys (as signed longs) of a set; ``common``: sorted shingles left out of the sketches, ``frequent``: sorted
+    keys that come last in the order of keys."""
     import numpy as np
     rare = hashes
     if common is not None and len(common):
-        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
-        rare = hashes[common[at] != hashes]
+        rare = hashes[~_among(hashes, common)]
     keys = []
     for scheme in bands.schemes(len(hashes)):
         chunks, bound = bands.prepare(scheme)
-        own, found = _chunk_keys(rare, chunks, scheme)
-        keys.append(found)
-        if chunks - len(own) < chunks - bound:
+        found = _ordered(_chunk_keys(rare, chunks, scheme)[1], frequent)
+        keys.append(found[:bound + 1])
+        if len(found) > bound:
             continue
-        if len(rare) < len(hashes):                 # too few rare shingles: the whole set's sketch as well
-            own, found = _chunk_keys(hashes, chunks, scheme + 100)
-            keys.append(found)
-        if chunks - len(own) >= chunks - bound:
+        # Too few chunks of rare shingles.  With a partner that has enough of them it shares one of these; a
+        # partner that has too few as well has, like this set, the sketch of its whole set, empty chunks last.
+        own, found = _chunk_keys(hashes, chunks, scheme + 100)
+        found = _ordered(found, frequent)[:bound + 1]
+        keys.append(found)
+        if len(found) <= bound:
             absent = np.setdiff1d(np.arange(chunks, dtype=np.uint64), own)
-            keys.append(_mix(absent + np.uint64(scheme + 1 << 40) + np.uint64(0xA0761D6478BD642F)))
+            keys.append(np.sort(_mix(absent + np.uint64(scheme + 1 << 40) + np.uint64(0xA0761D6478BD642F)))[:bound + 1 - len(found)])
     return np.concatenate(keys).view(np.int64)
 
 
+def _among(values, known):
+    """Which of the values are in a sorted array."""
+    import numpy as np
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def _ordered(keys, frequent):
+    """The keys in the order that all sets share: by value, frequent ones last."""
+    import numpy as np
+    keys = np.sort(keys)
+    if frequent is None or not len(frequent):
+        return keys
+    last = _among(keys, frequent)
+    return np.concatenate([keys[~last], keys[last]])
+
+
 def _chunk_keys(hashes, chunks: int, scheme: int):
     """The chunks that have shingles, and the key of each."""
     import numpy as np
@@ -167,9 +179,9 @@ def _chunk_keys(hashes, chunks: int, scheme: int):
     return own, _mix(value + (own + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((scheme + 1) * 0xD6E8FEB86659FD93 % (1 << 64)))
 
 
-def _common(texts: DataFrame, width: int):
-    """Shingles that many documents of a sample have, sorted (at most ``MAX_COMMON``).  Which they are changes
-    no result: sketches without some shingles differ in no more bits."""
+def _often(texts: DataFrame, width: int, made) -> "np.ndarray":  # noqa: F821
+    """Values of ``made(hashes)`` that many documents of a sample have, sorted (at most ``MAX_COMMON``).  Which they
+    are changes no result, only the order of keys and what sketches leave out."""
     import numpy as np
 
     def run(batches: Iterator) -> Iterator:
@@ -177,24 +189,39 @@ def _common(texts: DataFrame, width: int):
         import pyarrow as pa
         memo = _Hashes()
         for batch in batches:
-            found = [shingle_hashes(t.as_py(), width, memo) for t in batch.column(0)]
-            shingle, n = np.unique(np.concatenate(found or [np.empty(0, np.uint64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(shingle.view(np.int64)), pa.array(n.astype(np.int64))], names=["shingle", "n"])
+            found = [np.unique(made(shingle_hashes(t.as_py(), width, memo))) for t in batch.column(0)]
+            value, n = np.unique(np.concatenate(found or [np.empty(0, np.uint64)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n.astype(np.int64))], names=["value", "n"])
 
-    sample = texts.select("text").sample(fraction=min(1.0, SAMPLE / max(1, texts.count())), seed=11)
-    often = sample.mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(f"n >= {OFTEN}")
-    rows = often.orderBy(F.desc("n"), "shingle").limit(MAX_COMMON).select("shingle").toArrow()
+    often = texts.select("text").mapInArrow(run, "value long, n long").groupBy("value").agg(F.sum("n").alias("n")).where(f"n >= {OFTEN}")
+    rows = often.orderBy(F.desc("n"), "value").limit(MAX_COMMON).select("value").toArrow()
     return np.sort(rows.column(0).to_numpy().view(np.uint64))
 
 
-def _scan(width: int, percent: int, common):
+def _common(texts: DataFrame, width: int, percent: int):
+    """Of a sample of the documents: shingles that many have, and join keys (made without those) that many have."""
+    sample = stored(texts.select("text").sample(fraction=min(1.0, SAMPLE / max(1, texts.count())), seed=11), "jaccard-sample")
+    common = _often(sample, width, lambda hashes: hashes)
+
+    def keys(hashes):
+        import numpy as np
+        bands = Bands(percent)
+        rare = hashes[~_among(hashes, common)] if len(common) else hashes
+        made = [_chunk_keys(part, bands.prepare(scheme)[0], scheme + extra)[1] for scheme in (bands.schemes(len(hashes)) if len(hashes) else [])
+                for part, extra in ((rare, 0), (hashes, 100))]
+        return np.concatenate(made) if made else np.empty(0, np.uint64)
+    return common, _often(sample, width, keys)
+
+
+def _scan(width: int, percent: int, common, frequent):
     """Rows (kind, key, a, b): DOC (id in a, set size in b), SAME (equal sets), TREE (key, least, other), LEADER (key, least)."""
     def run(batches: Iterator) -> Iterator:
         import hashlib
 
         import numpy as np
         import pyarrow as pa
-        bands, memo, first, often = Bands(percent), _Hashes(), {}, np.frombuffer(common.value, np.uint64)
+        bands, memo, first = Bands(percent), _Hashes(), {}
+        often, last = np.frombuffer(common.value, np.uint64), np.frombuffer(frequent.value, np.uint64)
         names = ["key", "a", "kind", "b"]
         held: list = []
         count = 0
@@ -228,7 +255,7 @@ def _scan(width: int, percent: int, common):
                 if known != doc_id:
                     same.append((known, doc_id))
                     continue
-                held.append((sketch_keys(hashes, bands, often), doc_id))
+                held.append((np.unique(sketch_keys(hashes, bands, often, last)), doc_id))
                 count += len(held[-1][0])
                 if count >= BLOCK:
                     yield from flush()
@@ -359,9 +386,11 @@ def _mixed(docs: DataFrame) -> DataFrame:
 def components(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row."""
     texts = _texts(df, id_col, text_col)
-    common = texts.sparkSession.sparkContext.broadcast(_common(texts, width).tobytes())
-    least = F.first("a").over(Window.partitionBy("key", "kind").orderBy("a").rowsBetween(Window.unboundedPreceding, 0))
-    starred = texts.mapInArrow(_scan(width, percent, common), ROW).withColumn("least", least)
+    common, frequent = (texts.sparkSession.sparkContext.broadcast(found.tobytes()) for found in _common(texts, width, percent))
+    # only the leaders of a key have to meet; links already made within a task are spread
+    place = F.when(F.col("kind") == TREE, F.xxhash64("key", "b")).otherwise(F.col("key"))
+    least = F.first("a").over(Window.partitionBy(place, "kind").orderBy("a").rowsBetween(Window.unboundedPreceding, 0))
+    starred = texts.mapInArrow(_scan(width, percent, common, frequent), ROW).withColumn("least", least)
     rows = stored(starred.where(f"kind <> {LEADER} or least <> a").select(
         F.when(F.col("kind") == LEADER, TREE).otherwise(F.col("kind")).cast("byte").alias("kind"), "key",
         F.when(F.col("kind") == LEADER, F.col("least")).otherwise(F.col("a")).alias("a"),

@@ -117,7 +117,31 @@ def test_linked_sets_share_a_key(percent):
             if 100 * both >= percent * (len(a) + len(b) - both) and len(b):
                 for share in (0, 0.3, 0.9, 1):
                     common = np.sort(rng.permutation(np.union1d(a, b))[:int(share * len(a))])
-                    assert len(np.intersect1d(J.sketch_keys(a, bands, common), J.sketch_keys(b, bands, common)))
+                    whole = [J.sketch_keys(x, bands, common).view(np.uint64) for x in (a, b)]
+                    assert len(np.intersect1d(*whole))
+                    # whichever keys come last, the prefixes still meet
+                    for part in (0.2, 0.7, 1):
+                        every = np.union1d(*[all_keys(x, bands, common) for x in (a, b)])
+                        frequent = np.sort(rng.permutation(every)[:int(part * len(every))])
+                        prefix = [J.sketch_keys(x, bands, common, frequent) for x in (a, b)]
+                        assert len(np.intersect1d(*prefix))
+                        assert all(len(x) <= sum(3 * (bands.prepare(s)[1] + 1) for s in bands.schemes(len(y))) for x, y in zip(prefix, (a, b)))
+
+
+def all_keys(hashes, bands, common):
+    rare = hashes[~np.isin(hashes, common)]
+    return np.concatenate([J._chunk_keys(part, bands.prepare(s)[0], s + extra)[1] for s in bands.schemes(len(hashes)) for part, extra in ((rare, 0), (hashes, 100))])
+
+
+def test_copies_with_many_changes_of_their_own_meet_nobody():
+    """Keys that a group shares come last: a copy with more than D own changes emits only keys of its own."""
+    rng, bands = np.random.default_rng(7), J.Bands(90)
+    base = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    group = [np.unique(np.r_[base[rng.permutation(200)[:150]], rng.integers(0, 1 << 63, 50, dtype=np.uint64)]) for _ in range(60)]
+    every, n = np.unique(np.concatenate([np.unique(all_keys(x, bands, np.empty(0, np.uint64))) for x in group]), return_counts=True)
+    plain = np.unique(np.concatenate([J.sketch_keys(x, bands) for x in group]), return_counts=True)[1]
+    last = np.unique(np.concatenate([J.sketch_keys(x, bands, None, every[n > 1]) for x in group]), return_counts=True)[1]
+    assert plain.max() > 5 and last.max() <= 2
 
 
 def test_components_of_a_path_and_a_star(spark):
