@@ -25,7 +25,8 @@ its least document.  These links (linear in the rows) are verified on the full s
 components.  Documents that share keys form clusters.  Of a cluster that still holds several
 components, those documents drop out that their own shingles alone keep from any link; in each
 key the densest document is compared with the others, round by round while that merges components;
-at last all pairs that share a key and still lie in different components are verified.  Pairs
+at last the pairs that share a key, still lie in different components and whose short sketches (``SHORT`` words
+of 64 bits, compared within the join) differ little enough are verified.  Pairs
 within a component cannot change the result and are not listed, so copies are never expanded
 into all pairs.
 
@@ -53,6 +54,7 @@ FILTER_BITS = 26         # size of the bitmap of candidate documents (8 MB), wha
 SAMPLE = 8_000           # documents in which common shingles are looked for, about
 OFTEN, MAX_COMMON = 4, 500_000
 SKETCH = 2048            # bits of the sketch that pairs are first compared by
+SHORT = 8                # 64-bit words of the sketch that the last join compares
 MAX_ROUNDS = 4           # of comparing with the densest document before all pairs of a key are listed
 ROW = "key long, a long, kind byte, b long"
 DOC, SAME, TREE, LEADER = 0, 1, 2, 3
@@ -77,7 +79,13 @@ class Bands:
         low = self.edges[-1]
         top = max(low + 1, math.ceil(low * (100 / self.percent) ** 2))
         d = 2 * (top - 1) * (100 - self.percent) // (100 + self.percent)
-        k = 3 * (d + 1) if d else 1
+        least = max(1, math.ceil(low * self.percent / 100))           # the smallest guest
+        k = d + 1
+        while d:                                                      # room for empty chunks: four deviations
+            empty = k * math.exp(-least / k)
+            if k - d > empty + 4 * math.sqrt(empty) or k >= 3 * (d + 1):
+                break
+            k += 1
         self.edges.append(top)
         self.chunks.append(k)
         self.bound.append(d)
@@ -274,7 +282,8 @@ def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _sets(ids: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """(id, n, sketch, hashes) of the documents ``ids``: shingle sets made anew, and a parity sketch of ``SKETCH`` bits.
+    """(id, n, sketch, hashes, s0, s1, ...) of the documents ``ids``: shingle sets made anew, and parity sketches of
+    ``SKETCH`` bits and of ``SHORT`` longs.
 
     Texts are not shuffled: a bitmap of bounded size passes the candidates (and a few
     others by collision, more of them the larger the input), and the join by id is exact."""
@@ -299,16 +308,18 @@ def _sets(ids: DataFrame, texts: DataFrame, width: int) -> DataFrame:
                 found = [shingle_hashes(batch.column(1)[int(i)].as_py(), width, memo) for i in own]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).take(pa.array(own)), pa.array([len(x) for x in found], pa.int64()),
-                    pa.array([_sketch(x) for x in found], pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())],
-                    names=["id", "n", "sketch", "hashes"])
+                    pa.array([_sketch(x) for x in found], pa.binary()), pa.array([x.tobytes() for x in found], pa.binary()),
+                    *map(pa.array, np.frombuffer(b"".join(_sketch(x, 64 * SHORT) for x in found), np.int64).reshape(-1, SHORT).T)],
+                    names=["id", "n", "sketch", "hashes", *words])
 
     hashed = texts.select("id", "text", place.alias("place")).where("id is not null")
-    return stored(hashed.mapInArrow(run, "id long, n long, sketch binary, hashes binary").join(ids, "id", "left_semi"), "jaccard-sets")
+    words = [f"s{i}" for i in range(SHORT)]
+    return stored(hashed.mapInArrow(run, "id long, n long, sketch binary, hashes binary, " + ", ".join(f"{w} long" for w in words)).join(ids, "id", "left_semi"), "jaccard-sets")
 
 
-def _sketch(hashes) -> bytes:
+def _sketch(hashes, bits: int = SKETCH) -> bytes:
     import numpy as np
-    return np.packbits(np.bincount(hashes >> np.uint64(64 - SKETCH.bit_length() + 1), minlength=SKETCH).astype(np.uint8) & 1).tobytes()
+    return np.packbits(np.bincount(hashes >> np.uint64(64 - bits.bit_length() + 1), minlength=bits).astype(np.uint8) & 1).tobytes()
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -421,8 +432,16 @@ def components(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "
         members = members.join(per_key.select("key", "size"), "key")
         last = round_no == MAX_ROUNDS or not helps or total.cross <= 8 * total.n
         if last:
-            x, y = (members.select("key", *[F.col(k).alias(f"{k}{v}") for k in ("v", "c", "n", "u")]) for v in "12")
+            # repeated ids have no sketch of their own and are compared without
+            words = [f"s{i}" for i in range(SHORT)]
+            short = sets.groupBy(F.col("id").alias("v")).agg(F.count(F.lit(1)).alias("rows"), *[F.min(w).alias(w) for w in words]).select(
+                "v", *[F.when(F.col("rows") == 1, F.col(w)).alias(w) for w in words])
+            sketched = stored(members.join(short, "v"), "jaccard-sketched")
+            x, y = (sketched.select("key", *[F.col(k).alias(f"{k}_{v}") for k in ("v", "c", "n", "u", *words)]) for v in "12")
+            x, y = (t.withColumnsRenamed({f"{k}_{v}": f"{k}{v}" for k in "vcnu"}) for t, v in ((x, 1), (y, 2)))
+            differ = " + ".join(f"bit_count({w}_1 ^ {w}_2)" for w in words)
             could = [f"{100 + percent} * (n{i} - u{i}) >= {percent} * (n1 + n2)" for i in (1, 2)]
+            could.append(f"coalesce({100 + percent} * ({differ}) <= {100 - percent} * (n1 + n2), true)")
             pairs = x.join(y, "key").where(" and ".join(["v1 < v2", "c1 <> c2", *could])).select(F.col("v1").alias("a"), F.col("v2").alias("b"))
         else:
             weight = members.groupBy("v").agg(F.sum("size").alias("weight"))

@@ -133,17 +133,6 @@ def all_keys(hashes, bands, common):
     return np.concatenate([J._chunk_keys(part, bands.prepare(s)[0], s + extra)[1] for s in bands.schemes(len(hashes)) for part, extra in ((rare, 0), (hashes, 100))])
 
 
-def test_copies_with_many_changes_of_their_own_meet_nobody():
-    """Keys that a group shares come last: a copy with more than D own changes emits only keys of its own."""
-    rng, bands = np.random.default_rng(7), J.Bands(90)
-    base = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
-    group = [np.unique(np.r_[base[rng.permutation(200)[:150]], rng.integers(0, 1 << 63, 50, dtype=np.uint64)]) for _ in range(60)]
-    every, n = np.unique(np.concatenate([np.unique(all_keys(x, bands, np.empty(0, np.uint64))) for x in group]), return_counts=True)
-    plain = np.unique(np.concatenate([J.sketch_keys(x, bands) for x in group]), return_counts=True)[1]
-    last = np.unique(np.concatenate([J.sketch_keys(x, bands, None, every[n > 1]) for x in group]), return_counts=True)[1]
-    assert plain.max() > 5 and last.max() <= 2
-
-
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, 200 + i) for i in range(300)] + [(7, 7)]
     got = {r.v: r.c for r in connected(spark.createDataFrame(links, "a long, b long")).collect()}
