@@ -399,7 +399,7 @@ def components(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "
     texts = _texts(df, id_col, text_col)
     common, frequent = (texts.sparkSession.sparkContext.broadcast(found.tobytes()) for found in _common(texts, width, percent))
     # only the leaders of a key have to meet; links already made within a task are spread
-    place = F.when(F.col("kind") == TREE, F.xxhash64("key", "b")).otherwise(F.col("key"))
+    place = F.when(F.col("kind") == TREE, F.col("b")).otherwise(F.col("key"))
     least = F.first("a").over(Window.partitionBy(place, "kind").orderBy("a").rowsBetween(Window.unboundedPreceding, 0))
     starred = texts.mapInArrow(_scan(width, percent, common, frequent), ROW).withColumn("least", least)
     rows = stored(starred.where(f"kind <> {LEADER} or least <> a").select(
