@@ -15,8 +15,9 @@ shuffled once.
 
 Reader: the manifest's files as binary rows, one record per gzip member.
 
-Null payloads are empty, a null URL has no target header, control characters in a URL are
-percent-encoded.  Null ids sort first.  Of rows that repeat an id and a payload, one is the response.
+Null payloads are empty, a null URL has no target header.  Characters of a URL that a header cannot hold are
+percent-encoded; then one more header keeps the URL itself (its % encoded too), so every URL comes back as it was.
+Null ids sort first.  Of rows that repeat an id and a payload, one is the response.
 """
 from __future__ import annotations
 
@@ -54,7 +55,10 @@ def warc_record(row_id: int | None, url: str | None, payload: bytes, refers_to:
     fields = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", record_id(row_id, digest, copy)),
               ("WARC-Date", WARC_DATE)]
     if url is not None:
-        fields.append(("WARC-Target-URI", quote(url, safe="".join(map(chr, range(33, 127))))))
+        target = quote(url, safe="".join(map(chr, range(33, 127))))
+        fields.append(("WARC-Target-URI", target))
+        if target != url:
+            fields.append(("X-Row-URL", quote(url, safe="")))
     if row_id is not None:
         fields.append(("X-Row-ID", str(row_id)))
     if revisit:
@@ -82,8 +86,10 @@ def parse_record(data: bytes):
     if not revisit and (len(payload) != length or hashlib.sha1(payload).hexdigest() != digest):
         raise ValueError(f"payload digest differs in {fields['WARC-Record-ID']}")
     own, other, url = fields.get("X-Row-ID"), fields.get("X-Refers-To-Row-ID"), fields.get("WARC-Target-URI")
+    if "X-Row-URL" in fields:
+        url = unquote(fields["X-Row-URL"])
     return (None if own is None else int(own), length, digest, fields["WARC-Type"],
-            None if other in (None, "None") else int(other), None if url is None else unquote(url), None if revisit else payload)
+            None if other in (None, "None") else int(other), url, None if revisit else payload)
 
 
 def write(df: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",

@@ -31,6 +31,19 @@ def test_round_trip(spark):
     assert {(r.id, r.refers_to) for r in got if r.record_type == "revisit"} == {(None, 9), (1, 9), (2, 9), (9, 9), (10, 11)}
 
 
+def test_urls_come_back_as_they_were(spark):
+    urls = ["http://x/a%20b?q=%41", "http://x/a b", "http://x/\u00e9%C3%A9", "http://x/%", "\r\nWARC-Type: response", "", " http://x/ ", None]
+    _, folder = written(spark, [(i, u, "page") for i, u in enumerate(urls)])
+    assert [r.url for r in warc.read(spark, folder).orderBy("id").collect()] == urls
+
+
+def test_clashing_columns(spark, clashing):
+    folder = scratch_path(spark, "warc-clash")
+    warc.write(clashing, folder, "doc_id", "digest", "text")
+    assert sorted((r.id, r.url, bytes(r.payload)) for r in warc.read(spark, folder).collect()) == [
+        (1, "k", b"Some text here"), (2, "k", b"some TEXT here"), (3, None, b"")]
+
+
 def test_rolls_by_compressed_size(spark):
     rng = random.Random(1)
     rows = [(i, "u", "".join(rng.choices("abcdefgh ", k=3000))) for i in range(60)]
