@@ -100,10 +100,12 @@ def tokens_of(html: str, patterns) -> tuple[list[tuple], list[tuple]]:
 
     A token is (word class or "tag", text or tag name, innermost holder or, for tags, whether it opens).
     A holder is an element that may hold the content: (name, number of the holder around it or -1)."""
+    from collections import Counter
     from html import unescape
     out: list[tuple] = []
     holders: list[tuple] = []
     stack: list[tuple] = []                           # (name, boilerplate, innermost holder, in content)
+    opened = Counter()                                # names on the stack: a stray closing tag is not searched for
     link, at = False, 0
 
     def put(text):
@@ -124,46 +126,53 @@ def tokens_of(html: str, patterns) -> tuple[list[tuple], list[tuple]]:
             link = not closes
         if name == "td" or name not in LOOSE and name not in VOID:
             if closes:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
-                        link = False
-                        break
+                if opened[name]:
+                    link = False
+                    while (ended := stack.pop()[0]) != name:
+                        opened[ended] -= 1
+                    opened[name] -= 1
             elif not m[4].rstrip().endswith("/"):
                 boiler = boiler or is_boiler(name, m[4], content, patterns)
                 if name in HOLDERS and not boiler:
                     holders.append((name, holder))
                     holder = len(holders) - 1
                 stack.append((name, boiler, holder, content or name in ("article", "main") and not boiler))
+                opened[name] += 1
         out.append(("tag", name, not closes))
     put(html[at:])
     return out, holders
 
 
 def widened(tokens: list[tuple], holders: list[tuple], start: int, end: int) -> tuple[int, int]:
-    """The run's bounds, moved out to those of the element that holds it."""
-    paths = {h: _path(h, holders) for h in {t[2] for t in tokens[start:end] if t[0] == "plain"}}
-    common = min(paths.values(), key=len, default=[])
-    for path in paths.values():
-        common = common[:next((i for i, (a, b) in enumerate(zip(common, path)) if a != b), min(len(common), len(path)))]
-    if not common:
+    """The run's bounds, moved out to those of the element that holds it.
+
+    Two things need this: a heading or closing line of fewer words than its tags cost, and a block
+    of boilerplate inside the content that costs more than the text beyond it scores."""
+    from heapq import heapify, heappop, heappush
+    around = {t[2] for t in tokens[start:end] if t[0] == "plain"}
+    latest = [-h for h in around]
+    heapify(latest)
+    while len(latest) > 1:                            # an element comes after the one around it: the last gives way to its outer one
+        outer = holders[-heappop(latest)][1]
+        if outer < 0:
+            return start, end
+        if outer not in around:
+            around.add(outer)
+            heappush(latest, -outer)
+    common = -latest[0] if latest else -1
+    if common < 0:
         return start, end
-    own = next((h for h in reversed(common) if holders[h][0] in ("article", "main")), common[-1])
+    own = common
+    while own >= 0 and holders[own][0] not in ("article", "main"):
+        own = holders[own][1]
+    own = common if own < 0 else own
     held = [False] * len(holders)
-    for h, (_, outer) in enumerate(holders):          # an element comes after the one around it
+    for h, (_, outer) in enumerate(holders):
         held[h] = h == own or outer >= 0 and held[outer]
     inside = [i for i, t in enumerate(tokens) if t[0] in ("plain", "link") and t[2] >= 0 and held[t[2]]]
     return min(start, inside[0]), max(end, inside[-1] + 1)
 
 
-def _path(holder: int, holders: list[tuple]) -> list[int]:
-    path = []
-    while holder >= 0:
-        path.append(holder)
-        holder = holders[holder][1]
-    return path[::-1]
-
-
 def best_run(scores: list[float]) -> tuple[int, int]:
     """Start and end (exclusive) of the contiguous run of highest positive sum; the first of ties, (0, 0) if none."""
     best, best_at, total, start = 0.0, (0, 0), 0.0, 0
@@ -224,7 +233,7 @@ def learn(df: DataFrame, id_col: str = "page_id", html_col: str = "html", pages:
 
     sample = labelled.where(F.pmod(F.xxhash64(id_col), F.lit(max(1, n // max(1, pages)))) == 0)
     counts = sample.select(F.col(html_col).alias("html")).mapInArrow(count, "class string, inside boolean, n long").groupBy("class").agg(
-        F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("a"), F.sum("n").alias("n")).orderBy(F.desc("n"), "class").limit(500).collect()
+        F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("a"), F.sum("n").alias("n")).collect()      # classes of the sample's pages
     return weights_of({r["class"]: (r.a, r.n) for r in counts})
 
 

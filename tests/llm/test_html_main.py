@@ -83,6 +83,32 @@ def test_one_word_of_an_id_or_class_removes_nothing():
         assert text("div", f'class="{name}"', bare) == "one two three", name
 
 
+def test_many_open_and_stray_tags_take_linear_time():
+    n = 60_000
+    page = "<div>" * n + "deep words here" + "</span></section></nav>" * n + "</div>" * n + "<p>end"
+    assert H.main_text(page, H.DEFAULT, PATTERNS) == "deep words here"
+    stray = "<div>one two three four five</b></section>" * n
+    assert H.main_text(stray, H.DEFAULT, PATTERNS).count("\n") in (n - 1, 0)
+
+
+def test_the_run_decides_and_its_element_completes_it():
+    teaser, story = "<div><p>read this other thing now</p></div>", "<div><h1>Head</h1><p>one two three four five six seven eight</p></div>"
+    for page in (teaser + story, story + teaser):      # neither is marked: the run says which of the two it is
+        assert H.main_text(page, H.DEFAULT, PATTERNS) == "Head\none two three four five six seven eight"
+    ad = "<div class='ad'><p>" + "buy cheap pills " * 30 + "</p></div>"
+    page = f"<div><p>one two three four five six seven</p>{ad}<p>eight nine ten eleven twelve</p></div>{teaser}"
+    tokens, holders = H.tokens_of(page, PATTERNS)
+    start, end = H.best_run(H.scores_of(tokens, H.DEFAULT))
+    assert [t for k, t, _ in tokens[start:end] if k == "plain"] == ["one two three four five six seven"]      # the scan alone stops at the advert
+    assert H.main_text(page, H.DEFAULT, PATTERNS) == "one two three four five six seven\neight nine ten eleven twelve"
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "u", "<p>some words here</p>", "x", 3)], "page_id long, url string, html string, text string, n_chars int")
+    (r,) = H.extract(df).collect()
+    assert r.asDict() == {"page_id": 1, "url": "u", "text": "some words here", "n_chars": 15}
+
+
 def test_sparse_labels_are_all_used(spark):
     plain, marked = "<p>some words</p>", "<nav>menu</nav><article><p>one two three</p></article>"
     df = spark.createDataFrame([(i, marked if i % 250 == 0 else plain) for i in range(1000)], "page_id long, html string")
