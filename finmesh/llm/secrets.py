@@ -57,9 +57,11 @@ def word_ranks(df: DataFrame, text_col: str = "text") -> dict[str, int]:
     Values themselves do not count: a secret in many copies is no word.  What comes to the driver is the words
     that are part of a value, DICTIONARY more, and how many words there are of each count."""
     def run(batches: Iterator) -> Iterator:
+        import re
         from collections import Counter
 
         import pyarrow as pa
+        signs = re.compile("[\u00a0-\u00bf\u2010-\u205e]+")      # quotes, dashes and the like beyond ASCII
         letters = bytes(b if chr(b).isalpha() or b > 127 else 32 for b in range(256))
         patterns, counts, asked = compiled(), Counter(), set()
 
@@ -79,13 +81,14 @@ def word_ranks(df: DataFrame, text_col: str = "text") -> dict[str, int]:
                     parts.append(text[at:start])
                     at = end
                     asked.update(_substrings(text[start:end]))
-                counts.update(" ".join([*parts, text[at:]]).encode().lower().translate(letters).split())
+                rest = " ".join([*parts, text[at:]]).lower()
+                counts.update((rest if rest.isascii() else signs.sub(" ", rest)).encode().translate(letters).split())
                 if len(counts) + len(asked) > COUNTED:
                     yield flush()
         yield flush()
 
     counts = stored(df.select(F.col(text_col).alias("text")).where("text is not null").mapInArrow(run, "word string, n long, asked boolean").groupBy("word").agg(
-        F.sum("n").alias("n"), F.max("asked").alias("asked")).where("n > 1"), "word-counts")
+        F.sum("n").alias("n"), F.max("asked").alias("asked")).where("n > 0"), "word-counts")
     above, middle = len(COMMON), {}
     for n, words in sorted(counts.groupBy("n").count().collect(), reverse=True):
         middle[n] = above + (words + 1) // 2
@@ -183,9 +186,12 @@ def scan(text: str, ranks: dict[str, int], patterns: dict) -> tuple[list, list]:
     if "AKIA" in text:
         base += [("access", m.start(), m.end()) for m in patterns["access"].finditer(text) if len(m[0]) >= 16]
     base += [("hex", m.start(), m.end()) for m in patterns["hex"].finditer(text)]
-    for word, start, end in context_values(text, patterns) if hinted else ():
+    covered, at = _united(base), 0
+    for word, start, end in context_values(text, patterns) if hinted else ():      # in order of start, none overlaps the next
         value = text[start:end]
-        if len(value) < MIN_VALUE or not (rest := _outside(start, end, base)):
+        while at < len(covered) and covered[at][1] <= start:
+            at += 1
+        if len(value) < MIN_VALUE or not (rest := _outside(start, end, covered, at)):
             continue
         # plain prose after "login:" is no credential: two kinds of character, not only a capital in front
         kinds = sum((any(c.isdigit() for c in value), any(c.islower() for c in value), any(c.isupper() for c in value[1:]),
@@ -208,13 +214,25 @@ def context_values(text: str, patterns: dict) -> Iterator[tuple[str, int, int]]:
         yield m[1], start, end
 
 
-def _outside(start: int, end: int, base: list[tuple]) -> list[tuple[int, int]]:
-    """The parts of a value that no base span covers."""
+def _united(spans: list[tuple]) -> list[tuple[int, int]]:
+    """What (kind, start, end) spans cover, as disjoint stretches in order."""
+    out: list[tuple[int, int]] = []
+    for _, s, e in sorted(spans, key=lambda s: s[1]):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
+def _outside(start: int, end: int, covered: list[tuple[int, int]], at: int) -> list[tuple[int, int]]:
+    """The parts of a value that no stretch of ``covered`` covers; those before ``at`` end before the value."""
     parts = []
-    for s, e in sorted((s, e) for _, s, e in base if s < end and start < e):
+    while at < len(covered) and covered[at][0] < end:
+        s, e = covered[at]
         if s > start:
             parts.append((start, s))
-        start = max(start, e)
+        start, at = max(start, e), at + 1
     return parts + [(start, end)] if start < end else parts
 
 

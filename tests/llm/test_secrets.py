@@ -130,3 +130,25 @@ def test_rare_words_of_values_are_words(spark, monkeypatch):
     assert ranks["and"] == full + 2 and "qzxvkwjhtrbnmp" not in ranks      # copies of a secret make it no word
     assert {r.spans for r in S.spans_of(df).where("doc_id between 50 and 59").collect()} == {"guess:43:57"}
     assert S.spans_of(df).where("doc_id = 60").first().spans == "guess:5:4005"
+
+
+def test_words_found_once_and_words_beside_signs_have_ranks(spark):
+    rows = [(1, "the the the \u201eGrundbuchamt\u201c and \u00abÉcole\u00bb once: Liegenschaft"), (2, "Kennwort: grundbuchamt.Liegenschaft"), (3, "mdp: école.Grundbuchamt")]
+    ranks = S.word_ranks(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {"grundbuchamt", "liegenschaft", "école"} <= set(ranks)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(1, 8)), max_size=8), st.integers(0, 30), st.integers(1, 10))
+def test_rest_of_a_value(spans, start, length):
+    base = sorted((("hex", s, s + n) for s, n in spans), key=lambda s: s[1])
+    covered = S._united(base)
+    at = sum(e <= start for _, e in covered)
+    free = [i for i in range(start, start + length) if not any(s <= i < e for _, s, e in base)]
+    assert [i for s, e in S._outside(start, start + length, covered, at) for i in range(s, e)] == free
+
+
+def test_many_values_beside_many_base_spans():
+    text = 'token = "abcd1234$Zq!x9Kv" ' * 20_000
+    base, added = S.scan(text, RANKS, PATTERNS)
+    assert len(base) == 20_000 and len(added) in (0, 20_000)
