@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-from array import array
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
@@ -35,8 +34,6 @@ from finmesh.llm.common import hex_sha256, stored
 FREQUENT = 800_000         # words folded once for all tasks and broadcast, at most
 SHORT_WORD = 64            # bytes; longer words are not broadcast
 MAX_WORDS = 600_000        # further words of a task at which its own part starts anew
-MAX_PARTS = 100_000        # parts of texts between single spaces that a task remembers at a time
-SHORT_PART = 64            # characters; longer parts are split anew
 LONG_WORD = 1024           # bytes; folding costs the square of a word's length, longer words use a heap
 NONE = 65536               # "no such pair" (ids are below)
 EDGE = 65535               # guard at either end of a word
@@ -176,73 +173,6 @@ def splitter(pattern: str):
     return split
 
 
-def parts_of(text: str) -> list[str] | None:
-    """The text cut at its spaces if its first and last part show no other white space beside theirs (else None).
-
-    Where a single space stands between other characters the public pattern cuts in front of it, whatever lies
-    further off.  So the words of a text are those of its first part and of each further part behind a space,
-    unless a part is empty or has white space at an edge (``at_edge``)."""
-    parts = text.split(" ")
-    return None if len(parts) < 3 or not parts[0] or not parts[-1] or parts[0][-1].isspace() or parts[-1][0].isspace() else parts
-
-
-def at_edge(part: str) -> bool:
-    return not part or part[0].isspace() or part[-1].isspace()
-
-
-class _Words:
-    """Distinct words of texts; parts of texts met lately are not split again."""
-
-    def __init__(self, pattern: str):
-        self.find, self.parted, self.met = splitter(pattern), pattern == PUBLIC, set()
-
-    def __call__(self, text: str) -> set[str] | list[str]:
-        parts = parts_of(text) if self.parted else None
-        new = set(parts[1:-1]) - self.met if parts else ()
-        if parts is None or any(map(at_edge, new)):
-            return self.find(text)
-        words = set(self.find(parts[0])).union(self.find(" " + parts[-1]))
-        for part in new:
-            words.update(self.find(" " + part))
-        if len(self.met) + len(new) > MAX_PARTS:
-            self.met.clear()
-        self.met.update(part for part in new if len(part) <= SHORT_PART)
-        return words
-
-    def forget(self) -> None:
-        self.met.clear()
-
-
-class _Places(dict):
-    """part of a text -> the places of its words (int32 as bytes)."""
-
-    def __init__(self, pattern: str, known):
-        super().__init__()
-        self.find, self.parted, self.known = splitter(pattern), pattern == PUBLIC, known
-
-    def own(self, text: str) -> bytes:
-        return array("i", map(self.known.__getitem__, self.find(text))).tobytes()
-
-    def __missing__(self, part: str) -> bytes:
-        if at_edge(part):
-            raise LookupError(part)
-        places = self.own(" " + part)
-        if len(part) <= SHORT_PART:
-            if len(self) >= MAX_PARTS:
-                self.clear()
-            self[part] = places
-        return places
-
-    def of(self, text: str) -> bytes:
-        parts = parts_of(text) if self.parted else None
-        if parts is None:
-            return self.own(text)
-        try:
-            return b"".join([self.own(parts[0]), *map(self.__getitem__, parts[1:-1]), self.own(" " + parts[-1])])
-        except LookupError:                            # words met so far are known now, which does no harm
-            return self.own(text)
-
-
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of a long word: merges off a heap over a linked list (n log n)."""
     parts: list = [word[i:i + 1] for i in range(len(word))]
@@ -287,14 +217,13 @@ def _frequent_words(texts: DataFrame, ranks: dict[bytes, int], table: RankTable,
 
     def distinct(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        words, seen = _Words(pattern), set()
+        find, seen = splitter(pattern), set()
         for batch in batches:
             for text in batch.column(0):
-                seen.update(words(text.as_py()))
+                seen.update(find(text.as_py()))
                 if len(seen) > MAX_WORDS:
                     yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], names=["word"])
                     seen = set()
-                    words.forget()
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], names=["word"])
 
     counted = stored(texts.select("text").mapInArrow(distinct, "word string").groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(
@@ -349,8 +278,8 @@ def _words(pattern: str, ranks: dict[bytes, int], base):
         import numpy as np
         import pyarrow as pa
 
-        known = _Known(base.value)
-        placed, n_frequent = _Places(pattern, known), len(known)
+        find, known = splitter(pattern), _Known(base.value)
+        n_frequent = len(known)
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
@@ -358,9 +287,9 @@ def _words(pattern: str, ranks: dict[bytes, int], base):
                 for text in part.column(1):
                     if renew := len(known) > n_frequent + MAX_WORDS:
                         known = _Known(base.value)
-                        placed = _Places(pattern, known)
                     fresh.append(renew)
-                    places.append(placed.of(text.as_py()))
+                    found = find(text.as_py())
+                    places.append(np.fromiter(map(known.__getitem__, found), dtype=np.int32, count=len(found)).tobytes())
                     counts.append(len(known.added))
                     words += [w.encode() for w in known.added]
                     known.added.clear()

@@ -62,28 +62,6 @@ def test_latin_1_texts_split_alike(text):
     assert bpe.splitter(bpe.PUBLIC)(text) == regex.findall(public_tokenizers.PATTERN, text)
 
 
-@settings(max_examples=3000, deadline=None)
-@given(st.lists(st.lists(st.sampled_from(["it's", "a", "'s", " ", "  ", "\n", "\t", "x1", "\u00a0", "\u2003", "\x1c", "\u3000", "日本", "...", "é", "'", "3", "🙂"]), max_size=14).map("".join)
-                | st.lists(st.sampled_from(["it's", "a", "'ll", "x1", "日本", "...", "é!", "a\nb"]), max_size=9).map(" ".join), max_size=5))
-def test_texts_split_part_by_part_alike(texts):
-    import regex
-    known = bpe._Known()
-    placed, words, seen = bpe._Places(bpe.PUBLIC, known), bpe._Words(bpe.PUBLIC), set()
-    for text in texts:
-        want = regex.findall(public_tokenizers.PATTERN, text)
-        places = np.frombuffer(placed.of(text), np.int32).tolist()
-        by_place = {p: w for w, p in known.items()}
-        assert [by_place[p] for p in places] == want
-        seen.update(words(text))
-        assert set(want) <= seen
-    assert seen == {w for t in texts for w in regex.findall(public_tokenizers.PATTERN, t)}
-
-
-def test_few_parts_remembered(documents, monkeypatch):
-    monkeypatch.setattr(bpe, "MAX_PARTS", 3)
-    assert all(r.ids == LIBRARY.encode_ordinary(bytes(r["bytes"]).decode()) for r in encoded(documents.limit(60)))
-
-
 def test_rank_table_knows_its_pairs_only():
     pairs = {1 << 16 | 2: 5, 2 << 16 | 1: 6, 7 << 16 | 7: 9, 300 << 16 | 50_000: 11} | {i << 16 | i + 1: i for i in range(100, 3000)}
     table = bpe.RankTable(pairs)
