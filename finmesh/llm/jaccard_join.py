@@ -20,8 +20,10 @@ sketch of its whole set as well.
 
 Hot groups: each task keeps one document of equal sets and, for each key, hands on only its
 least document and links the others to it, so a key reaches the shuffle once per block of a
-task, whatever share of the rows has it.  After the shuffle the rows of a key are linked to
-its least document.  These links (linear in the rows) are verified on the full sets and joined into
+task, whatever share of the rows has it.  A block's keys travel sorted and packed, one row per slice
+of the key space (``KEY_BITS`` bits of a key; two keys that are equal in those only cost a comparison).
+Slices hold about ``SLICE`` keys, so their number grows with the input.  After the shuffle the
+documents of a key are linked to its least document.  These links (linear in the rows) are verified on the full sets and joined into
 components.  Documents that share keys form clusters.  Of a cluster that still holds several
 components, those documents drop out that their own shingles alone keep from any link; in each
 key the densest document is compared with the others, round by round while that merges components;
@@ -43,13 +45,14 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from finmesh.llm.common import ASCII_LOWER, stored
 from finmesh.llm.components import component_of, connected, joined
 
 BLOCK = 1 << 20          # sketch rows a task gathers before it links the documents of equal keys
 MEMO = 400_000           # word hashes a task remembers
+SLICE = 1 << 20          # packed rows of a slice, about
+KEY_BITS = 56            # bits of a key that are shuffled
 FILTER_BITS = 26         # size of the bitmap of candidate documents (8 MB), whatever the input
 SAMPLE = 8_000           # documents in which common shingles are looked for, about
 OFTEN, MAX_COMMON = 4, 500_000
@@ -57,6 +60,7 @@ SKETCH = 2048            # bits of the sketch that pairs are first compared by
 SHORT = 8                # 64-bit words of the sketch that the last join compares
 MAX_ROUNDS = 4           # of comparing with the densest document before all pairs of a key are listed
 ROW = "key long, a long, kind byte, b long"
+PACKED = f"place long, {ROW}, keys binary, ids binary"
 DOC, SAME, TREE, LEADER = 0, 1, 2, 3
 
 
@@ -187,6 +191,57 @@ def _chunk_keys(hashes, chunks: int, scheme: int):
     return own, _mix(value + (own + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((scheme + 1) * 0xD6E8FEB86659FD93 % (1 << 64)))
 
 
+def _planes(values) -> bytes:
+    """Unsigned longs as planes of bytes, as many planes as the greatest needs."""
+    import numpy as np
+    width = max(1, (int(values.max()).bit_length() + 7) // 8)
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _from_planes(data, n: int):
+    import numpy as np
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :len(data) // n] = np.frombuffer(data, np.uint8).reshape(-1, n).T
+    return out.view(np.uint64).ravel()
+
+
+def _packed(keys, values, shift: int):
+    """(slice, [base of values], number of rows, packed columns) for each slice of sorted keys (unsigned, ``KEY_BITS`` bits)
+    with columns of ``values`` (signed longs); a slice is ``key >> shift``."""
+    import numpy as np
+    place = keys >> np.uint64(shift)
+    edges = np.flatnonzero(np.r_[True, place[1:] != place[:-1], True]) if len(keys) else np.zeros(1, int)
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        first = place[lo] << np.uint64(shift)
+        bases = [int(v[lo:hi].min()) for v in values]
+        planes = [_planes(np.diff(keys[lo:hi], prepend=first))]
+        planes += [_planes(v[lo:hi].view(np.uint64) - np.int64(base).view(np.uint64)) for v, base in zip(values, bases)]
+        yield int(place[lo]), bases, hi - lo, planes
+
+
+def _unpacked(place: int, bases, n: int, planes, shift: int):
+    """The keys and columns of a row of ``_packed``."""
+    import numpy as np
+    first = np.uint64(place) << np.uint64(shift)
+    return [np.cumsum(_from_planes(planes[0], n)) + first] + [
+        (_from_planes(data, n) + np.int64(base).view(np.uint64)).view(np.int64) for base, data in zip(bases, planes[1:])]
+
+
+def _shift(rows: float) -> int:
+    """The shift from a key to its slice, for so many packed rows: 16 slices at least."""
+    return KEY_BITS - max(4, int(rows / SLICE).bit_length())
+
+
+def _led(keys, ids):
+    """Rows of keys in order: (keys, ids, first of its key, least id of its key, another than the least)."""
+    import numpy as np
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    head = np.r_[True, keys[1:] != keys[:-1]] if len(keys) else np.zeros(0, bool)
+    least = ids[head][np.cumsum(head) - 1]
+    return keys, ids, head, least, ids != least
+
+
 def _often(texts: DataFrame, width: int, made) -> "np.ndarray":  # noqa: F821
     """Values of ``made(hashes)`` that many documents of a sample have, sorted (at most ``MAX_COMMON``).  Which they
     are changes no result, only the order of keys and what sketches leave out."""
@@ -207,8 +262,11 @@ def _often(texts: DataFrame, width: int, made) -> "np.ndarray":  # noqa: F821
 
 
 def _common(texts: DataFrame, width: int, percent: int):
-    """Of a sample of the documents: shingles that many have, and join keys (made without those) that many have."""
-    sample = stored(texts.select("text").sample(fraction=min(1.0, SAMPLE / max(1, texts.count())), seed=11), "jaccard-sample")
+    """Of a sample of the documents: shingles that many have, and join keys (made without those) that many have; and
+    about how many keys all documents have (a key for eight bytes; it only sets the number of slices)."""
+    fraction = min(1.0, SAMPLE / max(1, texts.count()))
+    sample = stored(texts.select("text").sample(fraction=fraction, seed=11), "jaccard-sample")
+    size = sample.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     common = _often(sample, width, lambda hashes: hashes)
 
     def keys(hashes):
@@ -218,11 +276,13 @@ def _common(texts: DataFrame, width: int, percent: int):
         made = [_chunk_keys(part, bands.prepare(scheme)[0], scheme + extra)[1] for scheme in (bands.schemes(len(hashes)) if len(hashes) else [])
                 for part, extra in ((rare, 0), (hashes, 100))]
         return np.concatenate(made) if made else np.empty(0, np.uint64)
-    return common, _often(sample, width, keys)
+    return common, _often(sample, width, keys), size / 8 / fraction
 
 
-def _scan(width: int, percent: int, common, frequent):
-    """Rows (kind, key, a, b): DOC (id in a, set size in b), SAME (equal sets), TREE (key, least, other), LEADER (key, least)."""
+def _scan(width: int, percent: int, common, frequent, shift: int):
+    """Rows (kind, key, a, b, keys, ids): DOC (id in a, set size in b), SAME (equal sets), TREE (key, least, other), and
+    LEADER: the keys of a block that lie in a slice with the least document of each.  ``place`` is the slice of LEADER
+    rows and spreads the others."""
     def run(batches: Iterator) -> Iterator:
         import hashlib
 
@@ -230,24 +290,29 @@ def _scan(width: int, percent: int, common, frequent):
         import pyarrow as pa
         bands, memo, first = Bands(percent), _Hashes(), {}
         often, last = np.frombuffer(common.value, np.uint64), np.frombuffer(frequent.value, np.uint64)
-        names = ["key", "a", "kind", "b"]
         held: list = []
-        count = 0
-
-        def rows(kind, key, a, b):
-            return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(a, pa.int64()), pa.array(np.full(len(a), kind, np.int8)), pa.array(b, pa.int64())], names=names)
+        count = seen = 0
+
+        def rows(kind, key, a, b, place=None, keys=None, ids=None):
+            nonlocal seen
+            n = len(a)
+            if place is None:
+                place = (np.arange(seen, seen + n) * 0x9E3779B1 & (1 << KEY_BITS) - 1) >> shift
+                seen += n
+            none = [None] * n
+            return pa.RecordBatch.from_arrays([
+                pa.array(place, pa.int64()), pa.array(key, pa.int64()), pa.array(a, pa.int64()), pa.array(np.full(n, kind, np.int8)), pa.array(b, pa.int64()),
+                pa.array(keys or none, pa.binary()), pa.array(ids or none, pa.binary())], names=["place", "key", "a", "kind", "b", "keys", "ids"])
 
         def flush():
             nonlocal held, count
-            keys = np.concatenate([k for k, _ in held])
-            ids = np.repeat(np.array([i for _, i in held], np.int64), [len(k) for k, _ in held])
+            keys, ids, head, least, other = _led(np.concatenate([k for k, _ in held]), np.repeat(np.array([i for _, i in held], np.int64), [len(k) for k, _ in held]))
             held, count = [], 0
-            order = np.lexsort((ids, keys))
-            keys, ids = keys[order], ids[order]
-            head = np.r_[True, keys[1:] != keys[:-1]]
-            least = ids[head][np.cumsum(head) - 1]
-            other = ~head & (ids != least)
-            return rows(LEADER, keys[head], ids[head], np.zeros(head.sum(), np.int64)), rows(TREE, keys[other], least[other], ids[other])
+            yield rows(TREE, keys[other].view(np.int64), least[other], ids[other])
+            parts = list(_packed(keys[head], [ids[head]], shift))
+            for lo in range(0, len(parts), 256):
+                place, bases, sizes, planes = zip(*parts[lo:lo + 256])
+                yield rows(LEADER, place, [x for x, in bases], sizes, place, [x for x, _ in planes], [y for _, y in planes])
 
         for batch in batches:
             docs: list = []
@@ -263,20 +328,36 @@ def _scan(width: int, percent: int, common, frequent):
                 if known != doc_id:
                     same.append((known, doc_id))
                     continue
-                held.append((np.unique(sketch_keys(hashes, bands, often, last)), doc_id))
+                held.append((np.unique(sketch_keys(hashes, bands, often, last).view(np.uint64) >> np.uint64(64 - KEY_BITS)), doc_id))
                 count += len(held[-1][0])
                 if count >= BLOCK:
                     yield from flush()
             if docs:
-                spread = [0 if d is None else d * 0x9E3779B1 % (1 << 62) for d, _ in docs]
-                yield rows(DOC, spread, [d for d, _ in docs], [n for _, n in docs])
+                yield rows(DOC, [0] * len(docs), [d for d, _ in docs], [n for _, n in docs])
             if same:
-                yield rows(SAME, [b * 0x9E3779B1 % (1 << 62) for _, b in same], [a for a, _ in same], [b for _, b in same])
+                yield rows(SAME, [0] * len(same), [a for a, _ in same], [b for _, b in same])
         if held:
             yield from flush()
     return run
 
 
+def _met(shift: int):
+    """The rows of a slice (``ROW``): keys of all blocks meet, and each document of a key is linked to its least."""
+    def run(rows):
+        import numpy as np
+        import pyarrow as pa
+        packed = rows.column("kind").to_numpy() == LEADER
+        others = rows.filter(pa.array(~packed)).select(["key", "a", "kind", "b"])
+        found = [_unpacked(r["key"], [r["a"]], r["b"], (r["keys"], r["ids"]), shift) for r in rows.filter(pa.array(packed)).to_pylist()]
+        if not found:
+            return others
+        keys, ids, _, least, other = _led(*map(np.concatenate, zip(*found)))
+        tree = pa.table([pa.array(keys[other].view(np.int64)), pa.array(least[other]), pa.array(np.full(other.sum(), TREE, np.int8)), pa.array(ids[other])],
+                        names=["key", "a", "kind", "b"])
+        return pa.concat_tables([others, tree])
+    return run
+
+
 def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
@@ -362,29 +443,66 @@ def _open(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     A shingle that only one component has is in no intersection with another's.  With u such
     shingles of n, a link to a document of m shingles needs n - u >= percent * (n + m) /
-    (100 + percent); m is at least the least size in the cluster.  Copies with many changes of
-    their own drop out here, each by itself, before any pair is listed."""
-    def each(batches: Iterator) -> Iterator:
+    (100 + percent); m is at least the least size in the cluster, and percent of n.  Copies with many changes of
+    their own drop out here, each by itself, before any pair is listed.  First half of the shingles are looked at, which
+    finds no more than u; all of them only for the documents that stay, the only ones that can still link."""
+    docs = _narrowed(docs, sets, percent, 2)
+    return docs if docs.isEmpty() else _narrowed(docs, sets, percent, 1)
+
+
+def _narrowed(docs: DataFrame, sets: DataFrame, percent: int, share: int) -> DataFrame:
+    """One pass of ``_open`` over the shingles divisible by ``share``."""
+    own = sets.join(docs.select(F.col("v").alias("id"), "c"), "id")
+    shift = _shift((own.agg(F.sum("n")).first()[0] or 0) / share)
+    names, row = ["place", "v", "c", "n", "shingles", "vs", "cs"], "place long, v long, c long, n long, shingles binary, vs binary, cs binary"
+
+    def pack(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        held: list = []
+
+        def flush():
+            shingles = np.concatenate([x for _, _, x in held])
+            v, c = (np.repeat(np.array([h[k] for h in held], np.int64), [len(x) for _, _, x in held]) for k in (0, 1))
+            order = np.argsort(shingles)
+            parts = list(_packed(shingles[order], [v[order], c[order]], shift))
+            held.clear()
+            for lo in range(0, len(parts), 256):
+                place, bases, sizes, planes = zip(*parts[lo:lo + 256])
+                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (place, *zip(*bases), sizes)), *(pa.array(x, pa.binary()) for x in zip(*planes))], names=names)
+
+        count = 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                found = [np.frombuffer(h.as_buffer(), np.int64) for h in part.column(2)]
-                lens = [len(x) for x in found]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(k).to_numpy(), lens), pa.int64()) for k in (0, 1)]
-                                                 + [pa.array(np.concatenate(found))], names=["v", "c", "shingle"])
+            for v, c, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                shingles = np.frombuffer(data.as_buffer(), np.uint64)
+                shingles = shingles[shingles % np.uint64(share) == 0] >> np.uint64(64 - KEY_BITS)
+                if len(shingles):
+                    held.append((v, c, shingles))
+                    count += len(shingles)
+                if count >= BLOCK:
+                    yield from flush()
+                    count = 0
+        if held:
+            yield from flush()
 
-    own = sets.join(docs.select(F.col("v").alias("id"), "c"), "id")
-    only = own.select("id", "c", "hashes").mapInArrow(each, "v long, c long, shingle long").groupBy("shingle").agg(
-        F.min("c").alias("c"), F.max("c").alias("other"), F.min("v").alias("v"), F.max("v").alias("w")).where("c = other")
-    # counted for two documents of the component; for more the count is less, which keeps them in
-    count = only.select("v").unionByName(only.where("v <> w").select(F.col("w").alias("v"))).groupBy("v").agg(F.count(F.lit(1)).alias("u"))
-    sizes = own.groupBy(F.col("id").alias("v")).agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("rows"))
-    shaped = stored(docs.join(sizes, "v").join(count, "v", "left").select("v", "c", "cluster", "n", F.when(
+    def alone(rows):
+        import numpy as np
+        import pyarrow as pa
+        found = [_unpacked(r["place"], [r["v"], r["c"]], r["n"], (r["shingles"], r["vs"], r["cs"]), shift) for r in rows.to_pylist()]
+        shingles, v, c = map(np.concatenate, zip(*found))
+        order = np.argsort(shingles)
+        shingles, v, c = shingles[order], v[order], c[order]
+        starts = np.flatnonzero(np.r_[True, shingles[1:] != shingles[:-1]])
+        single = np.repeat(np.minimum.reduceat(c, starts) == np.maximum.reduceat(c, starts), np.diff(np.r_[starts, len(c)]))
+        v, u = np.unique(v[single], return_counts=True)
+        return pa.table([pa.array(v), pa.array(u.astype(np.int64))], names=["v", "u"])
+
+    count = own.select("id", "c", "hashes").mapInArrow(pack, row).groupBy("place").applyInArrow(alone, "v long, u long").groupBy("v").agg(F.sum("u").alias("u"))
+    sizes = own.groupBy(F.col("id").alias("v")).agg(F.max("n").alias("n"), F.min("n").alias("low"), F.count(F.lit(1)).alias("rows"))
+    shaped = stored(docs.select("v", "c", "cluster").join(sizes, "v").join(count, "v", "left").select("v", "c", "cluster", "n", "low", F.when(
         F.col("rows") == 1, F.coalesce("u", F.lit(0))).otherwise(0).alias("u")), "jaccard-shapes")       # repeated ids: no bound
-    least = shaped.groupBy("cluster").agg(F.min("n").alias("m"))
-    kept = shaped.join(least, "cluster").where(f"{100 + percent} * (n - u) >= {percent} * (n + m)")
+    least = shaped.groupBy("cluster").agg(F.min("low").alias("m"))
+    kept = shaped.join(least, "cluster").where(f"{100 * (100 + percent)} * (n - u) >= {percent} * (100 * n + greatest(100 * m, {percent} * n))")
     return stored(_mixed(kept.select("v", "c", "cluster", "n", "u")), "jaccard-open")
 
 
@@ -397,15 +515,10 @@ def _mixed(docs: DataFrame) -> DataFrame:
 def components(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row."""
     texts = _texts(df, id_col, text_col)
-    common, frequent = (texts.sparkSession.sparkContext.broadcast(found.tobytes()) for found in _common(texts, width, percent))
-    # only the leaders of a key have to meet; links already made within a task are spread
-    place = F.when(F.col("kind") == TREE, F.col("b")).otherwise(F.col("key"))
-    least = F.first("a").over(Window.partitionBy(place, "kind").orderBy("a").rowsBetween(Window.unboundedPreceding, 0))
-    starred = texts.mapInArrow(_scan(width, percent, common, frequent), ROW).withColumn("least", least)
-    rows = stored(starred.where(f"kind <> {LEADER} or least <> a").select(
-        F.when(F.col("kind") == LEADER, TREE).otherwise(F.col("kind")).cast("byte").alias("kind"), "key",
-        F.when(F.col("kind") == LEADER, F.col("least")).otherwise(F.col("a")).alias("a"),
-        F.when(F.col("kind") == LEADER, F.col("a")).otherwise(F.col("b")).alias("b")), "jaccard-rows")
+    *often, size = _common(texts, width, percent)
+    common, frequent = (texts.sparkSession.sparkContext.broadcast(found.tobytes()) for found in often)
+    shift = _shift(size)
+    rows = stored(texts.mapInArrow(_scan(width, percent, common, frequent, shift), PACKED).groupBy("place").applyInArrow(_met(shift), ROW), "jaccard-rows")
     tree = rows.where(f"kind = {TREE}")
     same = rows.where(f"kind = {SAME}").select("a", "b")
     pairs = stored(tree.select("a", "b").distinct(), "jaccard-pairs")
@@ -432,15 +545,15 @@ def components(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "
         members = members.join(per_key.select("key", "size"), "key")
         last = round_no == MAX_ROUNDS or not helps or total.cross <= 8 * total.n
         if last:
-            # repeated ids have no sketch of their own and are compared without
+            # repeated ids have no size or sketch of their own and are compared without
             words = [f"s{i}" for i in range(SHORT)]
             short = sets.groupBy(F.col("id").alias("v")).agg(F.count(F.lit(1)).alias("rows"), *[F.min(w).alias(w) for w in words]).select(
-                "v", *[F.when(F.col("rows") == 1, F.col(w)).alias(w) for w in words])
-            sketched = stored(members.join(short, "v"), "jaccard-sketched")
+                "v", "rows", *[F.when(F.col("rows") == 1, F.col(w)).alias(w) for w in words])
+            sketched = stored(members.join(short, "v").withColumn("n", F.when(F.col("rows") == 1, F.col("n"))).drop("rows"), "jaccard-sketched")
             x, y = (sketched.select("key", *[F.col(k).alias(f"{k}_{v}") for k in ("v", "c", "n", "u", *words)]) for v in "12")
             x, y = (t.withColumnsRenamed({f"{k}_{v}": f"{k}{v}" for k in "vcnu"}) for t, v in ((x, 1), (y, 2)))
             differ = " + ".join(f"bit_count({w}_1 ^ {w}_2)" for w in words)
-            could = [f"{100 + percent} * (n{i} - u{i}) >= {percent} * (n1 + n2)" for i in (1, 2)]
+            could = [f"coalesce({100 + percent} * (n{i} - u{i}) >= {percent} * (n1 + n2), true)" for i in (1, 2)]
             could.append(f"coalesce({100 + percent} * ({differ}) <= {100 - percent} * (n1 + n2), true)")
             pairs = x.join(y, "key").where(" and ".join(["v1 < v2", "c1 <> c2", *could])).select(F.col("v1").alias("a"), F.col("v2").alias("b"))
         else:

@@ -142,3 +142,49 @@ def test_components_of_a_path_and_a_star(spark):
 def test_empty_table_and_clashing_columns(documents, clashing):
     assert found(documents.limit(0), 3, 90) == {}
     assert found(clashing, 3, 90) == {1: (1, 1), 2: (1, 1), 3: (0, 3)}
+
+
+def test_packed_keys_come_back():
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 3000):
+        for shift in (J.KEY_BITS - 4, J.KEY_BITS - 9):
+            keys = np.sort(rng.integers(0, 1 << J.KEY_BITS, n, dtype=np.uint64))
+            keys[-1] = (1 << J.KEY_BITS) - 1
+            ids = rng.integers(-(1 << 63), (1 << 63) - 1, n, dtype=np.int64)
+            ids[0] = -(1 << 63)
+            small = rng.integers(5, 9, n, dtype=np.int64)
+            parts = list(J._packed(keys, [ids, small], shift))
+            back = [J._unpacked(place, bases, count, planes, shift) for place, bases, count, planes in parts]
+            assert [p for p, *_ in parts] == sorted({int(k) >> shift for k in keys})
+            for want, got in zip((keys, ids, small), map(np.concatenate, zip(*back))):
+                assert np.array_equal(want, got)
+    assert list(J._packed(np.empty(0, np.uint64), [np.empty(0, np.int64)], 40)) == []
+
+
+@pytest.mark.parametrize("slice_rows, block", [(64, 500), (1 << 20, 1 << 20)])
+def test_many_slices_and_blocks(spark, slice_rows, block, monkeypatch):
+    """Neither the number of slices nor where blocks end changes the result."""
+    rows = near_copies(12, groups=4, per_group=25)
+    monkeypatch.setattr(J, "SLICE", slice_rows)
+    monkeypatch.setattr(J, "BLOCK", block)
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), 5, 80) == brute(rows, 5, 80)
+
+
+def test_an_id_with_a_long_and_a_short_text(spark):
+    """An id that repeats is one node: its short text still links, whatever the size of its long one."""
+    rng, passage = random.Random(4), [f"p{i}" for i in range(40)]
+    rows = [(1, " ".join(passage)), (1, " ".join(f"l{i}" for i in range(900)))]
+    for i in range(2, 40):
+        text = list(passage)
+        for _ in range(rng.randrange(1, 4)):
+            text[rng.randrange(40)] = f"x{i}y{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(text)))
+    parent = {i: i for i, _ in rows}
+    sets = [(i, shingles(t, 3)) for i, t in rows]
+    for _ in range(len(rows)):
+        for i, x in sets:
+            for j, y in sets:
+                if 100 * len(x & y) >= 80 * len(x | y):
+                    parent[i] = parent[j] = min(parent[i], parent[j])
+    got = {(r.doc_id, r.component_id) for r in J.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 80).collect()}
+    assert got == set(parent.items())
