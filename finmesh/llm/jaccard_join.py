@@ -60,6 +60,7 @@ SKETCH = 2048            # bits of the sketch that pairs are first compared by
 SHORT = 8                # 64-bit words of the sketch that the last join compares
 MAX_ROUNDS = 4           # of comparing with the densest document before all pairs of a key are listed
 ROW = "key long, a long, kind byte, b long"
+PLACE = f"shiftrightunsigned(xxhash64(id), {64 - FILTER_BITS})"
 PACKED = f"place long, {ROW}, keys binary, ids binary"
 DOC, SAME, TREE, LEADER = 0, 1, 2, 3
 
@@ -362,20 +363,39 @@ def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
 
-def _sets(ids: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """(id, n, sketch, hashes, s0, s1, ...) of the documents ``ids``: shingle sets made anew, and parity sketches of
-    ``SKETCH`` bits and of ``SHORT`` longs.
-
-    Texts are not shuffled: a bitmap of bounded size passes the candidates (and a few
-    others by collision, more of them the larger the input), and the join by id is exact."""
-    place = F.expr(f"shiftrightunsigned(xxhash64(id), {64 - FILTER_BITS})")
-    bits = ids.select(place.alias("place")).groupBy(F.shiftright("place", 15).alias("block")).agg(
+def _bitmap(ids: DataFrame):
+    """A broadcast bitmap of the places of ``ids``, of the same size whatever the input."""
+    bits = ids.select(F.expr(PLACE).alias("place")).groupBy(F.shiftright("place", 15).alias("block")).agg(
         F.expr("bitmap_construct_agg(place & 32767)").alias("bits"))
-    # at most 2^11 rows of 4 KB reach the driver, whatever the input
+    # at most 2^11 rows of 4 KB reach the driver
     bitmap = bytearray(1 << FILTER_BITS - 3)
     for row in bits.toLocalIterator():
         bitmap[row.block << 12:row.block + 1 << 12] = row.bits
-    candidates = texts.sparkSession.sparkContext.broadcast(bytes(bitmap))
+    return ids.sparkSession.sparkContext.broadcast(bytes(bitmap))
+
+
+def _marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id is among ``ids``, and a few others by collision (more of them the larger the input): what a
+    join by id would drop stays out of its shuffle."""
+    candidates, names = _bitmap(ids), rows.columns
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        bits = np.frombuffer(candidates.value, dtype=np.uint8)
+        for batch in batches:
+            at = batch.column(batch.num_columns - 1).to_numpy().astype(np.int64)
+            yield batch.take(pa.array(np.flatnonzero(bits[at >> 3] >> (at & 7) & 1))).select(names)
+    return rows.withColumn("place", F.expr(PLACE)).mapInArrow(run, rows.schema)
+
+
+def _sets(ids: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(id, n, sketch, hashes, s0, s1, ...) of the documents ``ids``: shingle sets made anew, and parity sketches of
+    ``SKETCH`` bits and of ``SHORT`` longs.
+
+    Nothing is shuffled: a bitmap of bounded size passes the candidates, and a few others by collision (more of them the
+    larger the input), which later joins by id leave aside."""
+    candidates = _bitmap(ids)
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -393,9 +413,9 @@ def _sets(ids: DataFrame, texts: DataFrame, width: int) -> DataFrame:
                     *map(pa.array, np.frombuffer(b"".join(_sketch(x, 64 * SHORT) for x in found), np.int64).reshape(-1, SHORT).T)],
                     names=["id", "n", "sketch", "hashes", *words])
 
-    hashed = texts.select("id", "text", place.alias("place")).where("id is not null")
+    hashed = texts.select("id", "text", F.expr(PLACE).alias("place")).where("id is not null")
     words = [f"s{i}" for i in range(SHORT)]
-    return stored(hashed.mapInArrow(run, "id long, n long, sketch binary, hashes binary, " + ", ".join(f"{w} long" for w in words)).join(ids, "id", "left_semi"), "jaccard-sets")
+    return stored(hashed.mapInArrow(run, "id long, n long, sketch binary, hashes binary, " + ", ".join(f"{w} long" for w in words)), "jaccard-sets")
 
 
 def _sketch(hashes, bits: int = SKETCH) -> bytes:
@@ -427,12 +447,14 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 linked.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
-    def with_both(rows, *columns):
+    def with_both(rows, sets, *columns):
         left, right = (sets.select(F.col("id").alias(v), *[F.col(c).alias(f"{c}_{v}") for c in columns]) for v in "ab")
         return rows.join(left, "a").join(right, "b").select("a", "b", *[f"{c}_{v}" for c in columns for v in "ab"])
 
-    first = stored(with_both(pairs, "n", "sketch").mapInArrow(near, "a long, b long, near boolean"), "jaccard-near")
-    result = with_both(first.where("near").select("a", "b").distinct(), "hashes").mapInArrow(compare, "a long, b long, linked boolean")
+    first = stored(with_both(pairs, sets, "n", "sketch").mapInArrow(near, "a long, b long, near boolean"), "jaccard-near")
+    passed = first.where("near").select("a", "b").distinct()
+    full = _marked(sets.select("id", "hashes"), passed.select(F.explode(F.array("a", "b")).alias("id")))
+    result = with_both(passed, full, "hashes").mapInArrow(compare, "a long, b long, linked boolean")
     return stored(result.unionByName(first.where("not near").select("a", "b", F.lit(False).alias("linked"))).groupBy("a", "b").agg(
         F.max("linked").alias("linked")), "jaccard-verified")
 
@@ -452,7 +474,8 @@ def _open(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _narrowed(docs: DataFrame, sets: DataFrame, percent: int, share: int) -> DataFrame:
     """One pass of ``_open`` over the shingles divisible by ``share``."""
-    own = sets.join(docs.select(F.col("v").alias("id"), "c"), "id")
+    ids = docs.select(F.col("v").alias("id"), "c")
+    own = sets.select("id", "n").join(ids, "id")
     shift = _shift((own.agg(F.sum("n")).first()[0] or 0) / share)
     names, row = ["place", "v", "c", "n", "shingles", "vs", "cs"], "place long, v long, c long, n long, shingles binary, vs binary, cs binary"
 
@@ -497,7 +520,8 @@ def _narrowed(docs: DataFrame, sets: DataFrame, percent: int, share: int) -> Dat
         v, u = np.unique(v[single], return_counts=True)
         return pa.table([pa.array(v), pa.array(u.astype(np.int64))], names=["v", "u"])
 
-    count = own.select("id", "c", "hashes").mapInArrow(pack, row).groupBy("place").applyInArrow(alone, "v long, u long").groupBy("v").agg(F.sum("u").alias("u"))
+    full = _marked(sets.select("id", "hashes"), ids).join(ids, "id").select("id", "c", "hashes")
+    count = full.mapInArrow(pack, row).groupBy("place").applyInArrow(alone, "v long, u long").groupBy("v").agg(F.sum("u").alias("u"))
     sizes = own.groupBy(F.col("id").alias("v")).agg(F.max("n").alias("n"), F.min("n").alias("low"), F.count(F.lit(1)).alias("rows"))
     shaped = stored(docs.select("v", "c", "cluster").join(sizes, "v").join(count, "v", "left").select("v", "c", "cluster", "n", "low", F.when(
         F.col("rows") == 1, F.coalesce("u", F.lit(0))).otherwise(0).alias("u")), "jaccard-shapes")       # repeated ids: no bound
@@ -523,7 +547,7 @@ def components(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "
     same = rows.where(f"kind = {SAME}").select("a", "b")
     pairs = stored(tree.select("a", "b").distinct(), "jaccard-pairs")
     sets = _sets(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), texts, width)
-    digests = sets.select("id", F.md5("hashes").alias("digest"))
+    digests = sets.where("n > 0").select("id", F.md5("hashes").alias("digest"))       # empty sets link with nothing
     same = stored(same.unionByName(digests.join(digests.groupBy("digest").agg(F.min("id").alias("a")), "digest").where("a <> id").select(
         "a", F.col("id").alias("b"))).distinct(), "jaccard-same")
     checked = _verify(pairs, sets, percent)

@@ -188,3 +188,10 @@ def test_an_id_with_a_long_and_a_short_text(spark):
                     parent[i] = parent[j] = min(parent[i], parent[j])
     got = {(r.doc_id, r.component_id) for r in J.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 80).collect()}
     assert got == set(parent.items())
+
+
+def test_a_full_bitmap_changes_nothing(spark, monkeypatch):
+    """Documents that pass the bitmap by collision, empty ones included, get no link from that."""
+    rows = near_copies(21, groups=2, per_group=20) + [(9001, ""), (9002, None), (9003, " "), (9004, "one two"), (9005, "three")]
+    monkeypatch.setattr(J, "_bitmap", lambda ids: ids.sparkSession.sparkContext.broadcast(b"\xff" * (1 << J.FILTER_BITS - 3)))
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), 5, 80) == brute(rows, 5, 80)
