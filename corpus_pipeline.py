@@ -36,8 +36,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         docs = stored(docs, "near-input")
     own, file, index = (fresh(docs, name) for name in ("near_row", "near_file", "near_index"))
     names = sorted(r[0] for r in docs.select("_metadata.file_path").distinct().collect())
-    files = spark.createDataFrame(list(enumerate(names)), f"{own} long, {file} string")
-    # file number and row number in one long; files are few, so their table goes to every task
+    # file number and row number in one long; the files' table is stored, so that its size is known before the joins are
+    # planned: while it is short it goes to every task, and texts stay where they are
+    files = stored(spark.createDataFrame(list(enumerate(names)), f"{own} long, {file} string"), "near-files")
     rows = docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(index)).join(files, file, "left").withColumn(
         own, F.when(F.col("doc_id").cast("long").isNotNull(), F.shiftleft(F.col(own), 40) + F.col(index))).drop(file, index)
     ids = rows.where(F.col(own).isNotNull()).select(F.col(own).alias("doc_id"), F.col("doc_id").cast("long").alias("id"))
