@@ -110,3 +110,28 @@ def test_surrogate_key_evaluates_its_input_once(spark):
     assert sorted((r.k, r.id) for r in out) == [(i + 1, 999 - i) for i in range(1000)]
     assert seen.value == 1000
     assert keys.partitions_for(0) == 1 and keys.partitions_for(10 ** 12) == keys.MAX_PARTITIONS
+
+
+def test_item_numbers_follow_rows_and_positions(spark, monkeypatch):
+    from finmesh.operators import keys
+    monkeypatch.setattr(keys, "ROWS_PER_PARTITION", 40)
+    rows = [(i * 7919 % 503, i, None if i % 5 == 0 else [f"{i}.{j}" for j in range(i % 4)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, v long, a array<string>").repartition(5)
+    got = keys.with_item_numbers(df, ["k", "v"], "a", "n", "item", ["v"]).collect()
+    expected = [(v, x) for _, v, a in sorted(rows, key=lambda r: r[:2]) for x in a or []]
+    assert [(r.v, r.item) for r in sorted(got, key=lambda r: r.n)] == expected
+    assert sorted(r.n for r in got) == list(range(1, len(expected) + 1))
+
+
+def test_totals_before(spark, monkeypatch):
+    from finmesh.operators import keys
+    monkeypatch.setattr(keys, "ROWS_PER_PARTITION", 10)
+    df = spark.createDataFrame([(i * 37 % 101, i % 4) for i in range(100)], "k long, n long").repartition(4)
+    out, total = keys.with_totals_before(df, ["k"], ["n"])
+    before = 0
+    for r in sorted(out.collect(), key=lambda r: r.k):
+        assert r.n_before == before
+        before += r.n
+    assert before == total == sum(i % 4 for i in range(100))
+    empty, none = keys.with_totals_before(df.limit(0), ["k"], ["n"])
+    assert (empty.count(), none) == (0, 0)
