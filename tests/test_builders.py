@@ -1,5 +1,6 @@
 """The 16 normalised tables on hand-made pages (R10), with expected rows."""
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
@@ -180,3 +181,46 @@ def test_page_inventory(spark, tmp_path):
     assert inv == [("documents", 2020, 0, 3, 1500, 0), ("documents", 2020, 1000, 2, 1500, 0),
                    ("documents", 2021, 0, 1, 1, 0), ("projects", None, 0, 5, None, 0),
                    ("projects", None, 1000, 2, None, 0)]
+
+
+def test_landed_project_pages_are_compressed_and_leave_no_numbering(spark, tmp_path):
+    """Repeated parents repeat a record under its one number, a line item without a parent has none; pages lie compressed
+    and what numbered them is gone."""
+    import glob
+    from finmesh.plans.landed import land_project_pages
+    from finmesh.session import scratch, scratch_root
+    day = dt.datetime(2001, 2, 3)
+    write = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    line = lambda o, no, p, flag="N": (o, p, 3, no, 1.0, 2.0, 0.05, 0.0, flag, "O", day)
+    write("lineitem", [line(1, 1, 7), line(1, 2, 8), line(2, 1, 7), line(2, 1, 7), line(3, 1, 7), line(4, 1, 99), line(None, 1, 7)],
+          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+          "l_returnflag string, l_linestatus string, l_shipdate timestamp")
+    write("orders", [(1, 5, "O", 10.0, day, "5-LOW"), (2, 6, "O", 20.0, day, "5-LOW"), (2, None, "F", 21.0, day, "5-LOW"), (4, 5, "O", 1.0, day, "5-LOW")],
+          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string")
+    write("customer", [(5, "C5", "M", 0)], "c_custkey long, c_name string, c_mktsegment string, c_nationkey int")
+    write("nation", [(0, "N0", 0)], "n_nationkey int, n_name string, n_regionkey int")
+    write("region", [(0, "R0")], "r_regionkey int, r_name string")
+    write("part", [(7, "seven", "T"), (8, "eight", "T")], "p_partkey long, p_name string, p_type string")
+    with scratch(spark):
+        path = land_project_pages(spark, str(tmp_path), page_size=2)
+        made = os.listdir(scratch_root(spark).replace("file:", ""))
+        assert [m.rsplit("-", 1)[0] for m in made if not m.startswith(".")][0] == "project-pages" and len(made) == 1
+        parts = glob.glob(path.replace("file:", "") + "/part-*")
+        assert parts and all(p.endswith(".gz") for p in parts)
+        records = P.project_records(P.read_pages(spark, path)).collect()
+    assert sorted((r.page_offset, r.record_key, r.record.totalamt) for r in records) == [
+        (0, "P1-0", "10.00"), (0, "P1-1", "10.00"), (2, "P2-2", "20.00"), (2, "P2-2", "21.00"), (2, "P2-3", "20.00"), (2, "P2-3", "21.00")]
+
+
+def test_a_table_by_itself_stores_no_flat_records(spark, tmp_path):
+    from finmesh.session import scratch, scratch_root
+    path = tmp_path / "pages"
+    path.mkdir()
+    (path / "p.json").write_text('{"source":"projects","seq":0,"offset":0,"body":{"projects":{"a":{"id":"P1","countryshortname":"X","borrower":"b, c"}}}}\n')
+    with scratch(spark):
+        t = normalize.build_project_tables(P.project_records(P.read_pages(spark, str(path))), shared=False)
+        assert [tuple(r) for r in t["country"].collect()] == [("X", None)]
+        folder = scratch_root(spark).replace("file:", "")
+        assert not os.path.exists(folder) or not os.listdir(folder)
+        assert sorted(tuple(r) for r in t["borrower"].collect()) == [(1, "b", "P1"), (2, "c", "P1")]
+        assert not [m for m in os.listdir(folder) if m.startswith("project-flat")]
