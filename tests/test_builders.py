@@ -224,3 +224,35 @@ def test_a_table_by_itself_stores_no_flat_records(spark, tmp_path):
         assert not os.path.exists(folder) or not os.listdir(folder)
         assert sorted(tuple(r) for r in t["borrower"].collect()) == [(1, "b", "P1"), (2, "c", "P1")]
         assert not [m for m in os.listdir(folder) if m.startswith("project-flat")]
+
+
+def test_known_ids_and_country_come_from_one_stored_parse(spark, tmp_path):
+    """Each id once, whatever records repeat it; what documents look up is read from the stored frames, not from the pages."""
+    from finmesh.session import scratch
+    path = tmp_path / "pages"
+    path.mkdir()
+    record = lambda key, pid, land: f'"{key}":{{"id":{pid},"countryshortname":"{land}","regionname":"R"}}'
+    (path / "p.json").write_text('{"source":"projects","seq":0,"offset":0,"body":{"projects":{%s}}}\n' % ",".join(
+        [record("a", '"P1"', "X"), record("b", '"P1"', "Y"), record("c", '"P2"', "X"), record("d", "null", "Z")]))
+    with scratch(spark):
+        t = normalize.build_project_tables(P.project_records(P.read_pages(spark, str(path))), shared=False)
+        ids, country = t.known_ids, t["country"]
+        assert not any("pages" in f for frame in (ids, country) for f in frame.inputFiles())
+        assert sorted((r[0] or "") for r in ids.collect()) == ["", "P1", "P2"]
+        assert sorted(tuple(r) for r in country.collect()) == [("X", "R"), ("Y", "R"), ("Z", "R")]
+
+
+def test_major_sectors_by_themselves_store_no_sectors(spark, tmp_path):
+    from finmesh.session import scratch, scratch_root
+    path = tmp_path / "pages"
+    path.mkdir()
+    majors = '[{"major_sector":{"major_sector_code":"A","major_sector_name":"a","sectors":[{"sector_code":"s","sector_percent":"5"}]}}]'
+    (path / "p.json").write_text('{"source":"projects","seq":0,"offset":0,"body":{"projects":{"a":{"id":"P1","major_sectors":%s}}}}\n' % majors)
+    for name, rows, columns in (("project_major_sectors", [(1, "P1", "A")], [{"majors"}]),
+                                ("project_sectors", [(1, "P1", 1, "s", 5)], [{"majors", "sectors"}])):
+        with scratch(spark):
+            t = normalize.build_project_tables(P.project_records(P.read_pages(spark, str(path))), shared=False)
+            assert [tuple(r) for r in t[name].collect()] == rows
+            folder = scratch_root(spark).replace("file:", "")
+            lists = [spark.read.parquet(f"{folder}/{m}").columns for m in os.listdir(folder) if m.startswith("project-lists")]
+            assert [set(c) & {"majors", "sectors"} for c in lists] == columns
