@@ -72,7 +72,7 @@ def load_tokenizer(content: str):
 
 def parts_of(chunk: str) -> tuple[str, str]:
     """A chunk and the punctuation that ends it, where the tokenizer's pattern cuts between the two.  A whole text stays whole."""
-    if any(c.isspace() for c in chunk) or "<" in chunk:
+    if chunk.split() != [chunk] or "<" in chunk:
         return chunk, ""
     stem = chunk.rstrip(PUNCTUATION)
     # İ is the letter whose lower case ends with a mark, which goes with the signs after it
@@ -104,6 +104,7 @@ def pieces(df: DataFrame, tokenizer_json: str, size: int = 2048, closing_id: int
         specials, folds = rules_of(tokenizer)
         empty = lambda: (_Known(), _Known(), np.zeros((1 << 12, 2), np.int64), np.empty(1 << 16, np.int32), np.zeros(1 << 12, np.int64), 0)
         chunks, parts, parts_at, flat, ends, n_flat = empty()
+        steps, closing = np.arange(1 << 15), np.uint32(closing_id).astype("<u4").tobytes()
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
@@ -129,10 +130,16 @@ def pieces(df: DataFrame, tokenizer_json: str, size: int = 2048, closing_id: int
                 rows = []
                 for doc_id, own in zip(part.column(0).to_pylist(), places):
                     own = parts_at[own].ravel()
-                    starts, lens = ends[own], ends[own + 1] - ends[own]
-                    ids = np.append(flat[np.repeat(starts - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())], closing_id).astype("<u4")
-                    rows += [(doc_id, k, at, len(cut), zlib.crc32(cut.tobytes()))
-                             for k, at in enumerate(range(0, len(ids), size)) for cut in [ids[at:at + size]]]
+                    starts = ends[own]
+                    lens = ends[own + 1] - starts
+                    stops = np.cumsum(lens)
+                    n = int(stops[-1]) if len(stops) else 0
+                    at = np.repeat(starts - stops + lens, lens)
+                    at += steps[:n] if n <= len(steps) else np.arange(n)
+                    ids = flat[at].astype("<u4", copy=False)
+                    for k, at in enumerate(range(0, n + 1, size)):          # the closing id is the last
+                        crc = zlib.crc32(ids[at:at + size])
+                        rows.append((doc_id, k, at, size, crc) if at + size <= n else (doc_id, k, at, n + 1 - at, zlib.crc32(closing, crc)))
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(
                     zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])

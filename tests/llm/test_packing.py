@@ -30,6 +30,20 @@ def test_parts_are_tokenized_as_the_whole(text):
     assert via_parts(text) == ids_of(text)
 
 
+def test_parts_of_chunks():
+    """A chunk with white space of any kind is a whole text and stays whole; finding that out takes no pass in Python over its characters."""
+    import sys
+    for c in filter(str.isspace, map(chr, range(sys.maxunicode + 1))):
+        assert all(packing.parts_of(chunk) == (chunk, "") for chunk in (c, f"a{c}b.", f"{c}a.", f"a.{c}"))
+    assert [packing.parts_of(c) for c in ("", "a.", "a.).", "...", "<a.", "İ.", "a.b")] == [
+        ("", ""), ("a", "."), ("a", ".)."), ("...", ""), ("<a.", ""), ("İ.", ""), ("a.b", "")]
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event.endswith("call") else None)
+    packing.parts_of("a" * 500)
+    sys.setprofile(None)
+    assert len(calls) < 20
+
+
 PIECES = st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "endoftext", " ", "\n", "x", "It's", "É", "<", ">", "a.", "\x00", "\x1c"])
 
 
