@@ -49,8 +49,8 @@ from pyspark.sql import functions as F
 from finmesh.llm.common import ASCII_LOWER, stored
 from finmesh.llm.components import component_of, connected, joined
 
-BLOCK = 1 << 20          # sketch rows a task gathers before it links the documents of equal keys
-MEMO = 400_000           # word hashes a task remembers
+BLOCK = 1 << 19          # sketch rows a task gathers before it links the documents of equal keys
+MEMO = 1 << 17           # word hashes a task remembers
 SLICE = 1 << 20          # packed rows of a slice, about
 KEY_BITS = 56            # bits of a key that are shuffled
 FILTER_BITS = 26         # size of the bitmap of candidate documents (8 MB), whatever the input

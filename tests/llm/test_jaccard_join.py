@@ -195,3 +195,13 @@ def test_a_full_bitmap_changes_nothing(spark, monkeypatch):
     rows = near_copies(21, groups=2, per_group=20) + [(9001, ""), (9002, None), (9003, " "), (9004, "one two"), (9005, "three")]
     monkeypatch.setattr(J, "_bitmap", lambda ids: ids.sparkSession.sparkContext.broadcast(b"\xff" * (1 << J.FILTER_BITS - 3)))
     assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), 5, 80) == brute(rows, 5, 80)
+
+
+def test_what_a_task_holds_in_memory():
+    """Word hashes start anew, the frequent among them come back at once; hashes do not depend on what is remembered."""
+    memo = J._Hashes()
+    first = memo[b"word 1"]
+    for i in range(200_000):
+        memo[b"word %d" % i]
+    assert len(memo) <= 1 << 17 and memo[b"word 1"] == first
+    assert J.BLOCK <= 1 << 19
