@@ -212,6 +212,36 @@ def test_landed_project_pages_are_compressed_and_leave_no_numbering(spark, tmp_p
         (0, "P1-0", "10.00"), (0, "P1-1", "10.00"), (2, "P2-2", "20.00"), (2, "P2-2", "21.00"), (2, "P2-3", "20.00"), (2, "P2-3", "21.00")]
 
 
+def test_pages_are_gathered_by_few_per_task(spark, tmp_path):
+    """A task gathers fewer pages than Spark gathers without sorting (and spilling) their texts; an order that repeats repeats
+    its lines under their numbers."""
+    import glob
+    import gzip
+    from finmesh.plans.landed import land_project_pages
+    from finmesh.session import scratch
+    write = lambda name, df: df.write.parquet(f"{tmp_path}/{name}.parquet")
+    day = "timestamp'2001-02-03' AS"
+    write("lineitem", spark.range(600).selectExpr(
+        "id div 2 AS l_orderkey", "7L AS l_partkey", "3L AS l_suppkey", "int(id % 2) AS l_linenumber", "1d AS l_quantity", "2d AS l_extendedprice",
+        "0.05d AS l_discount", "0d AS l_tax", "'N' AS l_returnflag", "'O' AS l_linestatus", f"{day} l_shipdate"))
+    write("orders", spark.range(301).selectExpr("least(id, 299L) AS o_orderkey", "5L AS o_custkey", "'O' AS o_orderstatus", "double(id) AS o_totalprice",
+                                                f"{day} o_orderdate", "'5-LOW' AS o_orderpriority"))
+    write("customer", spark.sql("SELECT 5L AS c_custkey, 'C5' AS c_name, 'M' AS c_mktsegment, 0 AS c_nationkey"))
+    write("nation", spark.sql("SELECT 0 AS n_nationkey, 'N0' AS n_name, 0 AS n_regionkey"))
+    write("region", spark.sql("SELECT 0 AS r_regionkey, 'R0' AS r_name"))
+    write("part", spark.sql("SELECT 7L AS p_partkey, 'seven' AS p_name, 'T' AS p_type"))
+    with scratch(spark):
+        path = land_project_pages(spark, str(tmp_path), page_size=1)
+        offsets = []
+        for part in glob.glob(path.replace("file:", "") + "/part-*"):
+            with gzip.open(part, "rt") as f:
+                offsets.append(len({line.split('"offset":')[1].split(",")[0] for line in f}))
+        assert sum(offsets) == 600 and max(offsets) <= 128
+        records = P.project_records(P.read_pages(spark, path)).collect()
+    assert sorted((r.page_offset, r.record_key, r.record.totalamt) for r in records) == [
+        (n, f"P{n // 2}-{n}", f"{n // 2}.00") for n in range(598)] + [(n, f"P299-{n}", t) for n in (598, 599) for t in ("299.00", "300.00")]
+
+
 def test_a_table_by_itself_stores_no_flat_records(spark, tmp_path):
     from finmesh.session import scratch, scratch_root
     path = tmp_path / "pages"
