@@ -286,3 +286,16 @@ def test_major_sectors_by_themselves_store_no_sectors(spark, tmp_path):
             folder = scratch_root(spark).replace("file:", "")
             lists = [spark.read.parquet(f"{folder}/{m}").columns for m in os.listdir(folder) if m.startswith("project-lists")]
             assert [set(c) & {"majors", "sectors"} for c in lists] == columns
+
+
+def test_a_list_of_major_sectors_is_parsed_once(spark):
+    """Exploding a parsed list puts no filters below it that parse it again; entries without a major sector keep their place."""
+    from finmesh.operators.generators import explode_major_sectors
+    rows = [("P1", '{"id":"P1","major_sectors":[{"x":1},{"major_sector":{"major_sector_code":"A","major_sector_name":"a"}},null]}'),
+            ("P2", '{"id":"P2","major_sectors":"n/a"}'), ("P3", '{"id":"P3","major_sectors":[]}'), ("P4", '{"id":"P4"}')]
+    records = spark.createDataFrame(rows, "key string, record string").selectExpr(
+        "0L AS landing_seq", "int(null) AS page_year", "0L AS page_offset", "0 AS pos", "record")
+    out = explode_major_sectors(normalize.flatten_projects(records), "major_sectors", keep=["id"])
+    assert [tuple(r) for r in out.collect()] == [("P1", 1, "A", "a")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(ArrayType") == 1
