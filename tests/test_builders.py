@@ -175,6 +175,27 @@ def test_store_all(spark, tmp_path):
         ("P6", "WWX", "WWA")]
 
 
+def test_bridges_of_one_build_read_their_lists_as_stored(spark, tmp_path):
+    """The records are shuffled once for all bridges, by page: none of them joins or shuffles a record again."""
+    path = write_pages(str(tmp_path / "pages.jsonl"))
+    t = normalize.build_project_tables(P.project_records(P.read_pages(spark, path)))
+    for name in ("borrower", "impagency", "project_major_sectors"):
+        plan = t[name]._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan, name
+
+
+def test_stored_tables_leave_no_pages_behind(spark):
+    """What was landed and stored on the way is gone, the 16 tables stay."""
+    from finmesh.plans import catalog
+    from finmesh.session import scratch, scratch_root
+    from tests.conftest import SF001
+    with scratch(spark):
+        loaded = catalog._all_landed_tables(spark, SF001)
+        made = [m for m in os.listdir(scratch_root(spark).replace("file:", "")) if not m.startswith(".")]
+        assert len(made) == 1 and made[0].startswith("tables-")
+        assert loaded["projects"].count() > 0 and loaded["documents"].count() > 0
+
+
 def test_page_inventory(spark, tmp_path):
     path = write_pages(str(tmp_path / "pages.jsonl"))
     inv = sorted(tuple(r) for r in P.page_inventory(P.read_pages(spark, path)).collect())

@@ -96,6 +96,20 @@ def test_list_offsets_match_running_sums(spark, monkeypatch):
     assert len(got) == 300
 
 
+def test_list_offsets_by_page_match_running_sums(spark):
+    """Pages out of order, some with null columns, and a list that is null."""
+    from finmesh.operators import keys
+    rows = [(i * 7 % 3, None if i % 2 else 2000 + i % 5, i * 7919 % 503, i, ["x"] * (i % 4), None if i % 5 == 0 else ["y"] * (i % 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "seq long, year int, pos long, v long, a array<string>, b array<string>").repartition(5)
+    got = keys.with_list_offsets_by_page(df, ["seq", "year"], ["pos", "v"], ["a", "b"])
+    assert got.columns == [*df.columns, "a_before", "b_before"]
+    a = b = 0
+    for r in sorted(got.collect(), key=lambda r: (r.seq, r.year is not None, r.year, r.pos, r.v)):
+        assert (r.a_before, r.b_before) == (a, b)
+        a, b = a + len(r.a), b + len(r.b or [])
+    assert a == sum(len(r[4]) for r in rows) and b == sum(len(r[5] or []) for r in rows)
+
+
 def test_surrogate_key_evaluates_its_input_once(spark):
     """Rows that a task makes are counted where they are made; the partition count is bounded."""
     from finmesh.operators import keys
