@@ -7,12 +7,15 @@ tests/llm/test_pipeline.py runs it against a brute-force version.
 """
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finmesh.llm import exact_dedup, jaccard_join, packing, quality, secrets
 from finmesh.llm.common import fresh, stored, table
+from finmesh.session import configure
 
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
@@ -65,8 +68,17 @@ def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         return packing.pack(packing.pieces(docs, f.read()))
 
 
-STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_duplicates), ("near_duplicates", near_duplicates),
-          ("secret_scan", secret_scan), ("packing", sequence_packing)]
+def _configured(stage):
+    """A stage may be called by itself: the session's defaults hold there as well."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(configure(spark), docs, sf_dir)
+    return run_stage
+
+
+STAGES = [(name, _configured(stage)) for name, stage in (
+    ("quality_rules", quality_rules), ("exact_dedup", exact_duplicates), ("near_duplicates", near_duplicates),
+    ("secret_scan", secret_scan), ("packing", sequence_packing))]
 ORACLE_SQL = None
 
 

@@ -153,13 +153,15 @@ def judge(df: DataFrame, order: list[str] | None = None, id_col: str = "doc_id",
 def keep(df: DataFrame, order: list[str] | None = None, text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that no rule rejects; only the statistics the cascade asks for are computed."""
     rules = [RULES[name] for name in order or cascade_order(df, text_col)]
+    # the text goes to the worker once if it is a column as it stands
+    own = df if text_col in df.columns else df.select("*", F.col(text_col).alias(fresh(df, "judged_text")))
+    at, n_columns = own.columns.index(text_col) if own is df else len(df.columns), len(df.columns)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            good = [not any(rejects(t) for rejects in rules) for t in map(Text, texts)]
-            yield batch.filter(pa.array(good, pa.bool_())).select(range(batch.num_columns - 1))
+            # a text is a string in Python only while it is judged
+            good = [not any(rejects(t) for rejects in rules) for t in (Text(x.as_py()) for x in batch.column(at))]
+            yield batch.select(range(n_columns)).filter(pa.array(good, pa.bool_()))
 
-    judged = fresh(df, "judged_text")
-    return df.select("*", F.col(text_col).alias(judged)).mapInArrow(run, df.schema)
+    return own.mapInArrow(run, df.schema)

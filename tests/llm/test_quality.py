@@ -69,3 +69,18 @@ def test_labelled_documents(spark):
 def test_empty_table_and_clashing_columns(documents, clashing):
     assert quality.judge(documents.limit(0)).collect() == [] == quality.keep(documents.limit(0)).collect()
     assert quality.keep(clashing).columns == clashing.columns
+
+
+def test_keep_takes_texts_in_modest_batches(spark):
+    """The text goes to the workers once, in batches of a bounded number of rows; the stage sets that by itself."""
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.unset(key)
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.transform(
+        F.sequence(F.lit(1), F.lit(60)), lambda i: F.concat(F.lit("word"), i.cast("string")))).alias("text"))
+    kept = dict(corpus_pipeline.STAGES)["quality_rules"](spark, docs, "")
+    assert int(spark.conf.get(key)) <= 1024
+    assert kept.count() == 40 and kept.columns == ["doc_id", "text"]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "judged_text" not in plan
