@@ -205,6 +205,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str =
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     table = RankTable(merge_pairs(ranks))
     known, *ids = _frequent_words(texts, ranks, table, pattern, frequent)
+    known = dict(zip(known, range(len(known))))                    # made once for a worker, not for each of its tasks
     known, ids = (texts.sparkSession.sparkContext.broadcast(x) for x in (known, ids))      # a step's workers load what it needs
     words = texts.mapInArrow(_words(pattern, ranks, known), "doc_id long, fresh boolean, places binary, words array<array<smallint>>, merged array<array<int>>")
     folded = words.select("doc_id", "fresh", "places", "merged", fold_words(F.col("words"), ranks, table).alias("folded"))
@@ -278,15 +279,14 @@ def _words(pattern: str, ranks: dict[bytes, int], base):
         import numpy as np
         import pyarrow as pa
 
-        find, known = splitter(pattern), _Known(base.value)
-        n_frequent = len(known)
+        find, known = splitter(pattern), _KnownAfter(base.value)
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
                 fresh, places, counts, words = [], [], [], []
                 for text in part.column(1):
-                    if renew := len(known) > n_frequent + MAX_WORDS:
-                        known = _Known(base.value)
+                    if renew := known.own > MAX_WORDS:
+                        known = _KnownAfter(base.value)
                     fresh.append(renew)
                     found = find(text.as_py())
                     places.append(np.fromiter(map(known.__getitem__, found), dtype=np.int32, count=len(found)).tobytes())
@@ -307,8 +307,8 @@ def _words(pattern: str, ranks: dict[bytes, int], base):
 class _Known(dict):
     """word -> place; ``added`` has the words that came since it was last cleared."""
 
-    def __init__(self, known: list[str] | tuple = ()):
-        super().__init__(zip(known, range(len(known))))
+    def __init__(self):
+        super().__init__()
         self.added: list[str] = []
 
     def __missing__(self, word):
@@ -317,6 +317,24 @@ class _Known(dict):
         return place
 
 
+class _KnownAfter(_Known):
+    """The same after the words of ``base``, which keep their places.  A word of ``base`` is looked up there once, so ``base`` is
+    never copied; ``own`` counts the others."""
+
+    def __init__(self, base: dict[str, int]):
+        super().__init__()
+        self.base, self.own = base, 0
+
+    def __missing__(self, word):
+        place = self.base.get(word)
+        if place is None:
+            place = len(self.base) + self.own
+            self.own += 1
+            self.added.append(word)
+        self[word] = place
+        return place
+
+
 def _gather(base):
     """Step 2: the same dictionary, now with ids, and each document's ids."""
     def run(batches: Iterator) -> Iterator:
@@ -327,6 +345,7 @@ def _gather(base):
         flat, ends = np.frombuffer(flat, np.int32), np.r_[0, np.cumsum(np.frombuffer(lens, np.int32))].astype(np.int64)
         n_flat, n = start = len(flat), len(ends) - 1
         flat, ends = _room(flat, n_flat, 1 << 16), _room(ends, n + 1, 1 << 12)
+        steps = np.arange(1 << 15)
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
@@ -344,14 +363,19 @@ def _gather(base):
                         flat[n_flat:n_flat + len(values)] = values
                         ends[n + 1:n + 1 + len(lens)] = n_flat + np.cumsum(lens)
                         n_flat, n = n_flat + len(values), n + len(lens)
-                    places = np.frombuffer(part.column(2)[row].as_py(), dtype=np.int32)
-                    starts, lens = ends[places], ends[places + 1] - ends[places]
-                    ids = flat[np.repeat(starts - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())]
+                    places = np.frombuffer(part.column(2)[row].as_buffer(), dtype=np.int32).astype(np.int64)
+                    starts = ends[places]
+                    lens = ends[places + 1] - starts
+                    stops = np.cumsum(lens)
+                    size = int(stops[-1]) if len(stops) else 0
+                    at = np.repeat(starts - stops + lens, lens)
+                    at += steps[:size] if size <= len(steps) else np.arange(size)
+                    ids = flat[at]
                     docs.append(ids)
-                    shas.append(hex_sha256(ids.astype("<u4").tobytes()))
+                    shas.append(hex_sha256(ids.astype("<u4", copy=False)))
                 offsets = np.r_[0, np.cumsum([len(x) for x in docs])].astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(docs).astype(np.int32))),
+                    part.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(docs).astype(np.int32, copy=False))),
                     pa.array(shas, pa.string())], names=["doc_id", "ids", "ids_sha256"])
     return run
 
