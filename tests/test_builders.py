@@ -320,3 +320,43 @@ def test_a_list_of_major_sectors_is_parsed_once(spark):
     assert [tuple(r) for r in out.collect()] == [("P1", 1, "A", "a")]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(ArrayType") == 1
+
+
+def test_documents_are_stored_on_their_pages_only(spark, tmp_path):
+    """What numbered the documents is gone, texts and all; pages are whole and in order of the ids."""
+    from finmesh.plans.landed import land_documents_table
+    from finmesh.session import scratch, scratch_root
+    spark.range(250).selectExpr("id * 3 AS doc_id", "'a,b' AS text", "'en' AS lang", "'s' AS source", "3L AS n_chars").repartition(3).write.parquet(
+        f"{tmp_path}/documents.parquet")
+    with scratch(spark):
+        path = land_documents_table(spark, str(tmp_path), page_size=2)
+        made = [m for m in os.listdir(scratch_root(spark).replace("file:", "")) if not m.startswith(".")]
+        assert len(made) == 1 and made[0].startswith("documents-table-pages")
+        records = P.document_records(P.read_pages(spark, path)).collect()
+    assert sorted((r.page_offset, r.record_key) for r in records) == sorted((i // 2 * 2, f"D{3 * i}") for i in range(250))
+    assert {r.total for r in records} == {250}
+
+
+def test_document_tables_by_themselves_equal_those_built_together(spark, tmp_path):
+    """Each takes the fields that it needs: no whole record is stored, and the rows are those of one build."""
+    from finmesh.session import scratch, scratch_root
+    pages = P.read_pages(spark, write_pages(str(tmp_path / "pages.jsonl")))
+    projects = normalize.build_project_tables(P.project_records(pages))
+    with scratch(spark):
+        build = lambda shared: normalize.build_document_tables(P.document_records(pages), projects["projects"], projects["country"], shared)
+        for name in normalize.DocumentTables.names:
+            alone, rows = build(False), lambda df: sorted(tuple(map(str, r)) for r in df.collect())
+            got = rows(alone[name])
+            folder = scratch_root(spark).replace("file:", "")
+            assert not os.path.exists(folder) or not [m for m in os.listdir(folder) if m.startswith("document-kept")], name
+            with scratch(spark):
+                assert got == rows(build(True)[name]), name
+
+
+def test_only_used_fields_of_an_entry_are_got(spark, tmp_path):
+    """Of a struct with more than one field taken, Spark gets every field."""
+    flat = normalize.flatten_projects(P.project_entries(P.read_pages(spark, write_pages(str(tmp_path / "pages.jsonl")))))
+    plan = flat.select("id", "countryshortname")._jdf.queryExecution().optimizedPlan().toString()
+    assert "$.countryshortname" in plan and "$.project_name" not in plan
+    whole = normalize.flatten_projects(P.project_records(P.read_pages(spark, str(tmp_path / "pages.jsonl"))))
+    assert sorted(map(str, flat.collect())) == sorted(map(str, whole.collect()))

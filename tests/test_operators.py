@@ -149,3 +149,30 @@ def test_totals_before(spark, monkeypatch):
     assert before == total == sum(i % 4 for i in range(100))
     empty, none = keys.with_totals_before(df.limit(0), ["k"], ["n"])
     assert (empty.count(), none) == (0, 0)
+
+
+def test_blocks_hold_whole_pages(spark):
+    """A block begins where a key's rows begin a page; keys with many rows and gaps between keys move none of that."""
+    from finmesh.operators import keys
+    counts = {k * k - 50: [1, 2, 3, 40][k % 4] for k in range(200)}
+    df = spark.createDataFrame(list(counts.items()), "k long, n long").repartition(4)
+    totals, _ = keys.with_totals_before(df, ["k"], ["n"])
+    blocks = keys.blocks_of(totals, "k", "n_before", 10, 100)
+    got = totals.select("k", "n_before", blocks.of(F.col("k")).alias("block"), blocks.before(blocks.of(F.col("k"))).alias("first")).collect()
+    rows = sorted((r.n_before, r.k, r.block, r["first"]) for r in got)
+    assert [r[2] for r in rows] == sorted(r[2] for r in rows) and {r[2] for r in rows} == set(range(len(blocks))) and len(blocks) > 5
+    for block in range(len(blocks)):
+        first = next(r for r in rows if r[2] == block)
+        assert first[0] == first[3] and first[0] % 10 == 0
+    one = keys.blocks_of(totals.limit(0), "k", "n_before", 10, 100)
+    assert len(one) == 1 and spark.range(1).select(one.of(F.col("id"))).first()[0] == 0
+
+
+def test_stored_frames_leave_no_shuffle_files(spark):
+    from finmesh.operators import keys
+    bus = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {n for n in bus.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in n and n.endswith(".data")}
+    before = shuffles()
+    stored = keys._stored(spark.range(1000).repartition(3, "id").groupBy("id").count(), "freed")
+    assert not shuffles() - before
+    assert stored.count() == 1000
