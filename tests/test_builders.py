@@ -360,3 +360,13 @@ def test_only_used_fields_of_an_entry_are_got(spark, tmp_path):
     assert "$.countryshortname" in plan and "$.project_name" not in plan
     whole = normalize.flatten_projects(P.project_records(P.read_pages(spark, str(tmp_path / "pages.jsonl"))))
     assert sorted(map(str, flat.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_document_bridges_of_one_build_read_their_lists_as_stored(spark, tmp_path):
+    """A text is split, joined to its number and shuffled once for all that is made of its record."""
+    pages = P.read_pages(spark, write_pages(str(tmp_path / "pages.jsonl")))
+    tables = normalize.build_all(P.project_records(pages), P.document_records(pages))
+    for name in ("doc_theme", "doc_sector", "doc_sub_sector"):
+        plan = tables[name]._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan, name
+    assert "theme" not in tables["doc_country"].columns and tables["doc_theme"].count() == tables["doc_theme"].select("doc_theme_id").distinct().count() > 0
